@@ -28,12 +28,13 @@ def ratio(num: Column, den: Column, otherwise: Column | float = 0.0) -> Column:
 
 def page_count(*pages: str) -> Column:
     """Rows on one of ``pages``; never null, unlike a plain ``sum``."""
-    return F.count(F.when(F.col("page").isin(*pages), True))
+    names = ", ".join(f"'{page}'" for page in pages)
+    return F.expr(f"count_if(page IN ({names}))")
 
 
 def page_code(page: Column) -> Column:
     """Position of a page name in the vocabulary, 0 when it is unknown."""
-    vocabulary = F.array(*[F.lit(name) for name in PAGE_VOCABULARY])
+    vocabulary = F.split(F.lit("|".join(PAGE_VOCABULARY)), "[|]")  # folded to a constant array
     return F.greatest(F.array_position(vocabulary, page) - 1, F.lit(0)).cast("int")
 
 
@@ -77,5 +78,5 @@ def squared_norm(values: Column) -> Column:
 
 def minus(left: Column, right: Sequence[float]) -> Column:
     """Element-wise difference between an array column and a fixed vector."""
-    fixed = F.array(*[F.lit(float(v)) for v in right])
+    fixed = F.expr(f"array({', '.join(f'{float(v)!r}D' for v in right)})")
     return F.zip_with(left, fixed, lambda a, b: a - b)

@@ -37,8 +37,8 @@ def require_fields(df: DataFrame, drop_blank_users: bool = True) -> DataFrame:
 
 def split_location(df: DataFrame) -> DataFrame:
     """P7: "city, state" into two columns; a missing part is null."""
-    parts = F.split("location", ", ")
-    return df.withColumns({"city": F.get(parts, F.lit(0)), "state": F.get(parts, F.lit(1))})
+    parts = "get(split(location, ', '), {})"
+    return df.withColumns({"city": F.expr(parts.format(0)), "state": F.expr(parts.format(1))})
 
 
 def parse_user_agent(df: DataFrame, blank_is_unknown: bool = True) -> DataFrame:
@@ -48,13 +48,14 @@ def parse_user_agent(df: DataFrame, blank_is_unknown: bool = True) -> DataFrame:
     "Unknown" for a missing user agent only.
     """
 
-    def named(pattern: str):
-        match = F.regexp_extract("userAgent", pattern, 1)
+
+    def named(pattern: str) -> str:
+        match = f"regexp_extract(userAgent, '{pattern}', 1)"
         if blank_is_unknown:
-            match = F.nullif(match, F.lit(""))
-        return F.coalesce(match, F.lit("Unknown"))
+            match = f"nullif({match}, '')"
+        return f"coalesce({match}, 'Unknown')"
 
-    return df.withColumns({"browser": named(BROWSER_PATTERN), "os": named(OS_PATTERN)})
+    return df.withColumns({"browser": F.expr(named(BROWSER_PATTERN)), "os": F.expr(named(OS_PATTERN))})
 
 
 def add_times(df: DataFrame, truncate_seconds: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from playtide.functions.columns import hash_id, stable_hash, stable_uniform
 from playtide.operators.listening import plays
-from playtide.operators.scale import cut_lineage, global_positions, heavy_keys, salted_join
+from playtide.operators.scale import bounded_broadcast, cut_lineage, global_positions, salted_join
 
 
 def interaction_matrix(df: DataFrame, min_plays: int = 2) -> DataFrame:
@@ -26,9 +26,8 @@ def interaction_matrix(df: DataFrame, min_plays: int = 2) -> DataFrame:
         totals = matrix.groupBy(key).agg(F.sum("play_count").alias("_plays"))
         return totals.filter(F.col("_plays") >= min_plays).select(key)
 
-    hot_users, hot_songs = heavy_keys(matrix, ["userId"]), heavy_keys(matrix, ["song"])
-    by_user = salted_join(matrix, active("userId"), ["userId"], "left_semi", ["song", "artist"], hot_users)
-    kept = salted_join(by_user, active("song"), ["song"], "left_semi", ["userId", "artist"], hot_songs)
+    by_user = salted_join(matrix, active("userId"), ["userId"], "left_semi", ["song", "artist"])
+    kept = salted_join(by_user, active("song"), ["song"], "left_semi", ["userId", "artist"], counted=matrix)
     return kept.select("userId", "song", "artist", "play_count")
 
 
@@ -62,21 +61,13 @@ def dense_ids(df: DataFrame, col: str, idx: str) -> DataFrame:
 
 def encode_interactions(matrix: DataFrame, users: DataFrame, songs: DataFrame) -> DataFrame:
     """Add both indexes and the implicit label 1.0."""
-    hot_users, hot_songs = heavy_keys(matrix, ["userId"]), heavy_keys(matrix, ["song"])
-    with_user = salted_join(matrix, users, ["userId"], "inner", ["song", "artist"], hot_users)
-    with_song = salted_join(with_user, songs, ["song"], "inner", ["userId", "artist"], hot_songs)
+    with_user = salted_join(matrix, users, ["userId"], "inner", ["song", "artist"])
+    with_song = salted_join(with_user, songs, ["song"], "inner", ["userId", "artist"], counted=matrix)
     return with_song.select(
         "userId", "song", "artist", "user_idx", "song_idx", "play_count", F.lit(1.0).alias("label")
     )
 
 
-def _draws(pos: DataFrame, n_songs: Column, first: int, last: int, seed: int) -> DataFrame:
-    """Draws ``first``..``last`` of every positive, as candidate songs."""
-    drawn = pos.withColumn("_draw", F.explode(F.sequence(F.lit(first), F.lit(last))))
-    song = F.pmod(stable_hash(seed, "user_idx", "_pos_song", "_draw"), n_songs)
-    return drawn.withColumn("song_idx", song.cast("int"))
-
-
 def negative_samples(
     pos: DataFrame, n_songs: int, ratio: int = 4, seed: int = 42, attempts: int = 10
 ) -> DataFrame:
@@ -84,33 +75,34 @@ def negative_samples(
 
     A positive may try ``attempts * ratio`` draws and keeps the first ``ratio``
     unseen ones. Drawing per positive, not per user, keeps the work of one
-    heavy listener spread out. A first round makes few draws; only positives
-    left short go on to the rest, which gives the same rows as making all draws
-    at once.
+    heavy listener spread out; a group is one positive's few draws. A first
+    round makes few draws and only positives left short go on to later rounds,
+    which gives the same rows as making all draws at once. Each round is
+    stored, so later ones do not repeat it.
     """
     seen = pos.select("user_idx", "song_idx").distinct()
-    base = seen.withColumnRenamed("song_idx", "_pos_song")
-    size = F.lit(n_songs).cast("long")
-    first_round, all_draws = 2 * ratio, attempts * ratio
-    by_positive = W.partitionBy("user_idx", "_pos_song").orderBy("_draw")
-
-    def unseen(drawn: DataFrame) -> DataFrame:
-        fresh = drawn.join(seen, ["user_idx", "song_idx"], "left_anti")
-        return fresh.withColumn("_rank", F.row_number().over(by_positive)).filter(F.col("_rank") <= ratio)
-
-    early = unseen(_draws(base, size, 1, min(first_round, all_draws), seed))
-    found = early
-    if all_draws > first_round:
-        got = early.groupBy("user_idx", "_pos_song").agg(F.count(F.lit(1)).alias("_got"))
-        short = (
-            base.join(got, ["user_idx", "_pos_song"], "left")
-            .withColumn("_need", F.lit(ratio) - F.coalesce("_got", F.lit(0)))
-            .filter(F.col("_need") > 0)
-            .drop("_got")
+    short = seen.select("user_idx", F.col("song_idx").alias("_pos_song"), F.lit(ratio).alias("_need"))
+    song = F.pmod(stable_hash(seed, "user_idx", "_pos_song", "_draw"), F.lit(n_songs).cast("long"))
+    known = seen.withColumn("_seen", F.lit(True))
+    unseen = F.when(F.col("_seen").isNull(), F.struct("_draw", "song_idx"))
+    last = attempts * ratio
+    rounds, done = [], 0
+    for until in sorted({min(ratio + 1, last), min(5 * ratio, last), last}):
+        drawn = short.withColumn("_draw", F.explode(F.sequence(F.lit(done + 1), F.lit(until))))
+        tried = drawn.withColumn("song_idx", song.cast("int")).join(known, ["user_idx", "song_idx"], "left")
+        drawn_from = cut_lineage(
+            tried.groupBy("user_idx", "_pos_song", "_need")
+            .agg(F.sort_array(F.collect_list(unseen)).alias("_found"))
+            .withColumn("_found", F.slice("_found", F.lit(1), F.col("_need")))
         )
-        late = unseen(_draws(short, size, first_round + 1, all_draws, seed))
-        late = late.filter(F.col("_rank") <= F.col("_need")).drop("_need")
-        found = early.unionByName(late)
+        rounds.append(drawn_from.select("user_idx", F.explode("_found.song_idx").alias("song_idx")))
+        done = until
+        short = drawn_from.withColumn("_need", F.col("_need") - F.size("_found")).filter("_need > 0").drop("_found")
+        if done == last or short.isEmpty():
+            break
+    found = rounds[0]
+    for later in rounds[1:]:
+        found = found.unionByName(later)
     return found.select(
         "user_idx", "song_idx", F.lit(0).cast("long").alias("play_count"), F.lit(0.0).alias("label")
     )
@@ -159,9 +151,10 @@ def stratified_split(
     placed = global_positions(ordered, [by, "_hash", *keys], "_position")
     strata = placed.groupBy(by).agg(F.count(F.lit(1)).alias("_size"), F.min("_position").alias("_start"))
     share = (F.col("_position") - F.col("_start")) / F.col("_size")
+    few = bounded_broadcast(strata)
+    joined = placed.join(few, by) if few is not None else salted_join(placed, strata, [by], "inner", ["_hash"])
     return (
-        placed.join(F.broadcast(strata), by)
-        .withColumn("split", _assign(share, fracs))
+        joined.withColumn("split", _assign(share, fracs))
         .drop("_hash", "_position", "_size", "_start")
     )
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 SALTS = 64
-HOT_SHARE = 1 / 256
+HOT_KEYS = 256
 HOT_ROWS = 1_000_000
+BROADCAST_ROWS = 100_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,23 +33,39 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Path of a folder of its own inside the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: stored rows survive the loss of an executor."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """``df`` written once as a Parquet table in the shared folder and read back.
 
+    The rows survive the loss of any executor, later readers neither repeat the
+    work nor see a random choice made twice, and they read only the columns
+    they need.
+    """
+    path = new_folder(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def heavy_keys(
-    df: DataFrame, on: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Keys holding more than ``share`` of all rows.
 
-    At most ``1 / share`` keys can do so, which bounds the result whatever the
-    input, so the result is safe to broadcast.
+def heavy_keys(df: DataFrame, on: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The ``HOT_KEYS`` keys with most rows, of those with ``min_rows`` or more; None if there are none.
+
+    A key left out holds less than ``1 / HOT_KEYS`` of all rows or fewer than
+    ``min_rows``. The limit bounds the result whatever the input.
     """
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    limit = counts.agg(F.sum("_rows") * F.lit(share)).scalar()
-    return counts.filter((F.col("_rows") >= min_rows) & (F.col("_rows") > limit)).select(*on)
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= min_rows)
+    top = counts.orderBy(F.desc("_rows"), *on).limit(HOT_KEYS).select(*on)
+    found = top.collect()
+    return df.sparkSession.createDataFrame(found, top.schema) if found else None
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
+    """``df`` with a broadcast hint when it has at most ``max_rows`` rows, else None."""
+    few = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if few else None
 
 
 def salted_join(
@@ -56,21 +74,22 @@ def salted_join(
     on: Sequence[str],
     how: str,
     spread: Sequence[str],
-    hot: DataFrame | None = None,
     salts: int = SALTS,
-    share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join whose left side may have hot keys.
 
     Rows of a hot key get a salt from a hash of ``spread``; only the matching
     right rows are repeated, once per salt. Other keys are joined as usual.
-    Rows with a null key match nothing, so they are spread as well. ``hot``
-    gives the hot keys when the caller knows them from a cheaper table.
+    A null key counts as hot too when it fills many rows; such rows match
+    nothing, so the salt only spreads them. Without hot keys this is a plain
+    join. ``counted`` is a cheaper table to find hot keys in.
     """
     on = list(on)
+    hot = heavy_keys(left if counted is None else counted, on, min_rows)
     if hot is None:
-        hot = heavy_keys(left, on, share, min_rows)
+        return left.join(right, on, how)
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     no_key = F.lit(False)
     for key in on:

@@ -194,10 +194,10 @@ gaps AS (
   SELECT feature, max(abs(cr / n_ref::DOUBLE - cc / n_cur::DOUBLE)) AS ks_statistic
   FROM cdf JOIN stats USING (feature) GROUP BY feature),
 scaled AS (
-  SELECT *, ks_statistic * sqrt(n_ref::DOUBLE * n_cur / (n_ref + n_cur)) AS lambda FROM gaps JOIN stats USING (feature)),
+  SELECT *, ks_statistic * sqrt(n_ref::DOUBLE * n_cur / (n_ref + n_cur)) AS lam FROM gaps JOIN stats USING (feature)),
 drift AS (
-  SELECT *, CASE WHEN lambda < 0.2 THEN 1.0::DOUBLE ELSE least(1.0::DOUBLE, greatest(0.0::DOUBLE,
-    (SELECT sum(CASE WHEN k % 2 = 1 THEN 2.0::DOUBLE ELSE -2.0::DOUBLE END * exp(-2.0::DOUBLE * k * k * lambda * lambda))
+  SELECT *, CASE WHEN lam < 0.2 THEN 1.0::DOUBLE ELSE least(1.0::DOUBLE, greatest(0.0::DOUBLE,
+    (SELECT sum(CASE WHEN k % 2 = 1 THEN 2.0::DOUBLE ELSE -2.0::DOUBLE END * exp(-2.0::DOUBLE * k * k * lam * lam))
      FROM range(1, 101) AS t(k)))) END AS p_value
   FROM scaled),
 summary AS (
@@ -210,7 +210,7 @@ summary AS (
 _codes = " ".join(f"WHEN '{page}' THEN {code}" for code, page in enumerate(PAGE_VOCABULARY))
 
 
-def sequences(source: str) -> str:
+def sequences(source: str, min_len: int = 3) -> str:
     return f"""
 ordered AS (
   SELECT "userId", "sessionId", CASE page {_codes} ELSE 0 END AS code,
@@ -219,7 +219,7 @@ ordered AS (
 sequences AS (
   SELECT "userId", "sessionId", count(*) AS session_length,
     list(code ORDER BY position) FILTER (position <= 50) AS codes
-  FROM ordered GROUP BY "userId", "sessionId" HAVING count(*) >= 3)
+  FROM ordered GROUP BY "userId", "sessionId" HAVING count(*) >= {min_len})
 """
 
 
@@ -556,5 +556,33 @@ train AS (SELECT * FROM marked WHERE split = 'train'), test AS (SELECT * FROM ma
         "stream_ingest": with_events(body='SELECT ts, "userId", "sessionId", page, song FROM raw'),
         "stream_silver": with_events(body='SELECT ts, "userId", "sessionId", page, city, browser FROM silver'),
         "stream_velocity": closed_windows(10, "count(*) AS events", ""),
+        "evaluate_scores": with_events(
+            *dense_events,
+            NEGATIVES,
+            f"""marked AS (SELECT *, {split_case(uniform(*_key), PARTS)} AS split FROM training),
+            popularity AS (SELECT song_idx, sum(play_count) AS plays FROM marked
+              WHERE split = 'train' AND label = 1 GROUP BY 1),
+            scored AS (SELECT label, coalesce(plays / (SELECT max(plays) FROM popularity)::DOUBLE, 0.0::DOUBLE) AS score
+              FROM marked LEFT JOIN popularity USING (song_idx) WHERE split = 'test'),
+            steps AS (SELECT score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg
+              FROM scored GROUP BY 1),
+            below AS (SELECT *, sum(neg) OVER (ORDER BY score) - neg AS lower FROM steps)""",
+            body="""SELECT (SELECT round(avg(CAST((score >= 0.5::DOUBLE) = (label = 1) AS DOUBLE)), 9) FROM scored) AS accuracy,
+            round(sum(pos * (lower + neg / 2::DOUBLE)) / (sum(pos) * sum(neg))::DOUBLE, 9) AS auc FROM below""",
+        ),
+        "stream_session_sequences": with_events(
+            sequences("silver", 1),
+            body="""SELECT "userId", "sessionId", session_length, array_to_string(codes, ',') AS page_seq FROM sequences""",
+        ),
+        "stream_closed_sessions": with_events(
+            """marked AS (SELECT "userId", event_time, coalesce(event_time - lag(event_time)
+                OVER (PARTITION BY "userId" ORDER BY event_time) > INTERVAL 30 MINUTE, TRUE) AS opens FROM silver),
+            grouped AS (SELECT *, count(*) FILTER (opens)
+                OVER (PARTITION BY "userId" ORDER BY event_time, opens DESC ROWS UNBOUNDED PRECEDING) AS nr FROM marked),
+            gaps AS (SELECT "userId", min(event_time) AS started, max(event_time) + INTERVAL 30 MINUTE AS ended,
+                count(*) AS session_length FROM grouped GROUP BY "userId", nr)""",
+            body=f"""SELECT "userId", {text_time("started")} AS started, {text_time("ended")} AS ended, session_length
+            FROM gaps WHERE ended <= {CLOSED}""",
+        ),
         "stream_trending": closed_windows(3600, "count(*) AS plays", "song, artist,", "song IS NOT NULL"),
     }

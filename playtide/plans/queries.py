@@ -41,13 +41,6 @@ def text_time(c: str | Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """New folder for a streaming query's files, in the shared folder."""
-    import uuid
-
-    return f"{scale.shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def _raw(spark, sf):
     return adapters.read_raw_events(spark, sf)
 
@@ -511,7 +504,8 @@ def evaluate_scores(spark, sf):
         .join(scores, "song_idx", "left")
         .withColumn("score", F.coalesce(F.col("score") / top, F.lit(0.0)))
     )
-    return recommend.evaluate_scores(scored)
+    found = recommend.evaluate_scores(scored)
+    return found.select(F.round("accuracy", 9).alias("accuracy"), F.round("auc", 9).alias("auc"))
 
 
 def _churn_table(spark, sf):
@@ -574,7 +568,7 @@ def _finish(query) -> None:
 
 def _stream_to_files(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     """Run a stream over what is there and read its Parquet output back."""
-    out = folder(spark, name)
+    out = scale.new_folder(spark, name)
     _finish(
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -594,7 +588,7 @@ def stream_ingest(spark, sf):
     """Payload text of the events as a stream, written to bronze and read back."""
     raw = adapters.stream_raw_events(spark, sf)
     payload = raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
-    out = folder(spark, "bronze")
+    out = scale.new_folder(spark, "bronze")
     _finish(ingest.ingest(payload, f"{out}/rows", f"{out}/checkpoint", every=None))
     return spark.read.parquet(f"{out}/rows").select("ts", "userId", "sessionId", "page", "song")
 
@@ -626,18 +620,28 @@ def stream_closed_sessions(spark, sf):
     )
 
 
-def stream_session_scores(spark, sf):
-    """Sessions in progress scored with a model fitted on the batch sessions."""
-    vectors = scale.cut_lineage(_vectors(spark, sf))
-    model = sessions.fit_threshold(vectors, sessions.fit_session_model(vectors, COMPONENTS))
-    scored = live.stream_session_scores(_live_silver(spark, sf), model)
-    out = folder(spark, "scores")
+def _updates_to_files(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    """Run a stream of updates, one folder per epoch, and keep each session's longest row."""
+    out = scale.new_folder(spark, name)
 
     def save(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/rows/epoch={epoch}")
 
-    _finish(live.start_each_batch(scored, save, f"{out}/checkpoint", "update", every=None))
-    return spark.read.parquet(f"{out}/rows").drop("epoch")
+    _finish(live.start_each_batch(stream, save, f"{out}/checkpoint", "update", every=None))
+    rows = spark.read.schema(stream.schema).parquet(f"{out}/rows/epoch=*")
+    return clean.latest_per_key(rows, ["userId", "sessionId"], [F.desc("session_length")])
+
+
+def stream_session_sequences(spark, sf):
+    rows = _updates_to_files(spark, live.stream_session_sequences(_live_silver(spark, sf)), "sequences")
+    return rows.withColumn("page_seq", F.concat_ws(",", F.transform("page_seq", lambda c: c.cast("string"))))
+
+
+def stream_session_scores(spark, sf):
+    """Sessions in progress scored with a model fitted on the batch sessions."""
+    vectors = scale.cut_lineage(_vectors(spark, sf))
+    model = sessions.fit_threshold(vectors, sessions.fit_session_model(vectors, COMPONENTS))
+    return _updates_to_files(spark, live.stream_session_scores(_live_silver(spark, sf), model), "scores")
 
 
 @cache
@@ -663,6 +667,6 @@ def registry() -> dict[str, Query]:
         churn_predictions churn_evaluation feature_importance multi_seed_validation compare_feature_sets
         layer_stats output_status latest_metrics
         stream_ingest stream_silver stream_velocity stream_trending stream_kpis stream_closed_sessions
-        stream_session_scores
+        stream_session_sequences stream_session_scores
     """
     return {name: globals()[name] for name in names.split()}

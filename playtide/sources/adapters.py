@@ -5,7 +5,7 @@ Every rule looks at one row only, so the mapping works on a stream as well.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playtide.operators.clean import enrich_events
 
@@ -17,52 +17,37 @@ REGISTRATION_START_MS = 1_672_531_200_000
 DAY_MS = 86_400_000
 
 
-def epoch_ms(ts: Column) -> Column:
-    """Whole milliseconds since 1970 of a zone-less timestamp."""
-    zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MILLISECOND", zero, ts.cast("timestamp_ntz"))
+EVENT_COLUMNS = (
+    # Whole milliseconds since 1970 of a zone-less timestamp, whatever the session zone.
+    "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ)) AS ts",
+    "CAST(user_id AS STRING) AS userId",
+    "user_id * 100 + CAST(floor((dayofmonth(ts) - 1) / 3) AS BIGINT) AS sessionId",
+    """CASE event_type
+      WHEN 'view' THEN 'NextSong'
+      WHEN 'click' THEN IF(k % 2 = 0, 'Thumbs Up', 'Add to Playlist')
+      WHEN 'error' THEN CASE k % 3 WHEN 0 THEN 'Error' WHEN 1 THEN 'Help' ELSE 'Thumbs Down' END
+      WHEN 'signup' THEN IF(k % 2 = 0, 'Home', 'Settings')
+      WHEN 'purchase' THEN IF(k % 20 = 0, 'Downgrade', 'Upgrade')
+    END AS page""",
+    "IF(event_id % 3 = 0, 'paid', 'free') AS level",
+    "event_id AS itemInSession",
+    """CASE user_id % 5
+      WHEN 0 THEN 'New York, NY' WHEN 1 THEN 'Chicago, IL' WHEN 2 THEN 'Guam' WHEN 4 THEN 'Austin, TX'
+    END AS location""",
+    f"""CASE user_id % 4
+      WHEN 0 THEN '{CHROME_AGENT}' WHEN 1 THEN '{FIREFOX_AGENT}' WHEN 2 THEN '{OTHER_AGENT}'
+    END AS userAgent""",
+    f"{REGISTRATION_START_MS} + user_id * {DAY_MS} AS registration",
+    "IF(user_id % 2 = 0, 'M', 'F') AS gender",
+    "IF(event_type = 'view', concat('artist_', k % 8), NULL) AS artist",
+    "IF(event_type = 'view', concat('song_', k % 40), NULL) AS song",
+    "IF(event_type = 'view', value, NULL) AS duration",
+)
 
 
 def listening_events(events: DataFrame) -> DataFrame:
     """Raw events of the streaming service from the ``events`` table."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    kind, user = F.col("event_type"), F.col("user_id")
-    page = (
-        F.when(kind == "view", "NextSong")
-        .when(kind == "click", F.when(k % 2 == 0, "Thumbs Up").otherwise("Add to Playlist"))
-        .when(
-            kind == "error",
-            F.when(k % 3 == 0, "Error").when(k % 3 == 1, "Help").otherwise("Thumbs Down"),
-        )
-        .when(kind == "signup", F.when(k % 2 == 0, "Home").otherwise("Settings"))
-        .when(kind == "purchase", F.when(k % 20 == 0, "Downgrade").otherwise("Upgrade"))
-    )
-    played = kind == "view"
-    location = (
-        F.when(user % 5 == 0, "New York, NY")
-        .when(user % 5 == 1, "Chicago, IL")
-        .when(user % 5 == 2, "Guam")
-        .when(user % 5 == 4, "Austin, TX")
-    )
-    agent = (
-        F.when(user % 4 == 0, CHROME_AGENT).when(user % 4 == 1, FIREFOX_AGENT).when(user % 4 == 2, OTHER_AGENT)
-    )
-    third_of_month = F.floor((F.dayofmonth("ts") - 1) / 3).cast("long")
-    return events.select(
-        epoch_ms(F.col("ts")).alias("ts"),
-        user.cast("string").alias("userId"),
-        (user * 100 + third_of_month).alias("sessionId"),
-        page.alias("page"),
-        F.when(F.col("event_id") % 3 == 0, "paid").otherwise("free").alias("level"),
-        F.col("event_id").alias("itemInSession"),
-        location.alias("location"),
-        agent.alias("userAgent"),
-        (F.lit(REGISTRATION_START_MS) + user * F.lit(DAY_MS)).alias("registration"),
-        F.when(user % 2 == 0, "M").otherwise("F").alias("gender"),
-        F.when(played, F.concat(F.lit("artist_"), (k % 8).cast("string"))).alias("artist"),
-        F.when(played, F.concat(F.lit("song_"), (k % 40).cast("string"))).alias("song"),
-        F.when(played, F.col("value")).alias("duration"),
-    )
+    return events.selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k").selectExpr(*EVENT_COLUMNS)
 
 
 def read_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:

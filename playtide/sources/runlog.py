@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from playtide.sources.layers import NOT_THERE_YET, append_layer, read_layer
 
@@ -25,9 +25,10 @@ def log_metrics(rows: DataFrame, path: str) -> None:
 
 
 def latest_metrics(rows: DataFrame) -> DataFrame:
-    """Each metric of the newest run of its experiment."""
-    newest = rows.groupBy("experiment").agg(F.max("run_ts").alias("run_ts"))
-    return rows.join(newest, ["experiment", "run_ts"]).select("experiment", "metric", "value", "run_ts")
+    """Each metric of the newest run of its experiment; a task sends on only its newest run."""
+    newest = W.partitionBy("experiment").orderBy(F.desc("run_ts"))
+    ranked = rows.withColumn("_rank", F.rank().over(newest)).filter("_rank = 1")
+    return ranked.select("experiment", "metric", "value", "run_ts")
 
 
 def latest_metric(spark: SparkSession, path: str, experiment: str, metric: str) -> float | None:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -15,6 +17,9 @@ from playtide.operators.quality import top_n
 from playtide.operators.sessions import SessionModel, reconstruction_error, score_columns, session_vectors
 from playtide.schema import EVENT_KEY, MAX_SESSION_LENGTH, SESSION_KEY
 
+# The functions that run in tasks travel with the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def stream_silver(bronze: DataFrame, lateness: str = "10 minutes", drop_blank_users: bool = True) -> DataFrame:
     """R2: clean and dedupe; a key is remembered until the watermark passes it."""
@@ -93,7 +98,7 @@ def closed_sessions(silver: DataFrame, gap: str = "30 minutes", lateness: str =
 
 
 ITEMS = "array<struct<ts:bigint,item:bigint,code:int>>"
-FOLDED = f"userId string, sessionId long, event_time timestamp, seen long, items {ITEMS}"
+FOLDED = f"userId string, sessionId long, event_ms long, seen long, items {ITEMS}"
 SEQUENCE_OUTPUT = "userId string, sessionId long, session_length long, page_seq array<int>"
 SEQUENCE_STATE = f"seen long, items {ITEMS}"
 
@@ -109,17 +114,23 @@ def _fold_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     This runs before the shuffle, so a hot session sends a few short rows from
     each task, not all of its events.
     """
-    key = list(SESSION_KEY)
     for batch in batches:
-        rows = []
-        for (user, session), part in batch.sort_values(["ts", "item", "code"]).groupby(key, dropna=False):
-            head = part.head(MAX_SESSION_LENGTH)
-            items = [
-                {"ts": ts, "item": item, "code": code}
-                for ts, item, code in zip(head["ts"].tolist(), head["item"].tolist(), head["code"].tolist())
-            ]
-            rows.append((user, session, part["event_time"].max(), len(part), items))
-        yield pd.DataFrame(rows, columns=[*key, "event_time", "seen", "items"])
+        entries, newest = {}, {}
+        columns = [batch[c].tolist() for c in (*SESSION_KEY, "event_ms", "ts", "item", "code")]
+        for user, session, event_ms, ts, item, code in zip(*columns):
+            key = (user, session)
+            entries.setdefault(key, []).append((ts, item, code))
+            newest[key] = max(newest.get(key, event_ms), event_ms)
+        rows = [
+            (
+                *key,
+                newest[key],
+                len(found),
+                [{"ts": t, "item": i, "code": c} for t, i, c in sorted(found)[:MAX_SESSION_LENGTH]],
+            )
+            for key, found in entries.items()
+        ]
+        yield pd.DataFrame(rows, columns=[*SESSION_KEY, "event_ms", "seen", "items"])
 
 
 def _merge_session(gap_ms: int):
@@ -131,7 +142,7 @@ def _merge_session(gap_ms: int):
         first, newest = _entries(items), 0
         for batch in batches:
             seen += int(batch["seen"].sum())
-            newest = max(newest, int(batch["event_time"].max().timestamp() * 1000))
+            newest = max(newest, int(batch["event_ms"].max()))
             for more in batch["items"]:
                 first = sorted([*first, *_entries(more)])[:MAX_SESSION_LENGTH]
         state.update((seen, first))
@@ -159,12 +170,16 @@ def stream_session_sequences(
     """
     events = silver.filter(F.col("page").isNotNull() & F.col("sessionId").isNotNull()).select(
         *SESSION_KEY,
-        "event_time",
+        F.unix_millis("event_time").alias("event_ms"),
         "ts",
         F.coalesce("itemInSession", F.lit(0)).alias("item"),
         page_code(F.col("page")).alias("code"),
     )
-    folded = events.mapInPandas(_fold_batches, FOLDED).withWatermark("event_time", lateness)
+    folded = (
+        events.mapInPandas(_fold_batches, FOLDED)
+        .withColumn("event_time", F.timestamp_millis("event_ms"))
+        .withWatermark("event_time", lateness)
+    )
     return folded.groupBy(*SESSION_KEY).applyInPandasWithState(
         _merge_session(gap_minutes * 60_000),
         SEQUENCE_OUTPUT,
