@@ -25,9 +25,17 @@ def read_layer(
     try:
         return reader.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in NOT_THERE_YET:
-            return None
-        raise
+        if error.getCondition() not in NOT_THERE_YET:
+            raise
+    if not skip_corrupt:
+        return None
+    # The schema comes from one file, which may be a corrupt one: look at all footers.
+    try:
+        return reader.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in NOT_THERE_YET:
+            raise
+        return None
 
 
 def append_layer(df: DataFrame, path: str, by: str | None = "page", rebalance: bool = False) -> None:
