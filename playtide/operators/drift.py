@@ -7,7 +7,7 @@ from datetime import date as Date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from playtide.operators.scale import running_totals
+from playtide.operators.scale import running_totals, stored_ranges
 from playtide.schema import MONITOR_FEATURES
 
 SERIES_TERMS = 100
@@ -39,6 +39,27 @@ def kolmogorov_p(statistic: Column, n1: Column, n2: Column) -> Column:
     return F.when(scaled < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
+def _weighted_stats(counts: DataFrame) -> DataFrame:
+    """Rows, mean and sample deviation of each side from (feature, value, ref, cur) counts."""
+    sides = ("ref", "cur")
+    means = counts.groupBy("feature").agg(
+        *[F.sum(s).alias(f"n_{s}") for s in sides],
+        *[(F.sum(F.col("value") * F.col(s)) / F.nullif(F.sum(s), F.lit(0))).alias(f"{s}_mean") for s in sides],
+    )
+    # One row per feature.
+    centred = counts.join(F.broadcast(means), "feature")
+
+    def squares(side: str) -> Column:
+        gap = F.col("value") - F.col(f"{side}_mean")
+        return F.sum(gap * gap * F.col(side)).alias(f"_squares_{side}")
+
+    spread = centred.groupBy("feature", *[c for c in means.columns if c != "feature"]).agg(*map(squares, sides))
+    deviations = {
+        f"{s}_std": F.when(F.col(f"n_{s}") > 1, F.sqrt(F.col(f"_squares_{s}") / (F.col(f"n_{s}") - 1))) for s in sides
+    }
+    return spread.withColumns(deviations).drop(*[f"_squares_{s}" for s in sides])
+
+
 def ks_drift(
     baseline: DataFrame,
     current: DataFrame,
@@ -47,27 +68,23 @@ def ks_drift(
 ) -> DataFrame:
     """Statistic, p-value, drift flag, means and deviations per feature.
 
-    Values are first counted per (feature, value), on the map side too; the
-    empirical distributions are then running sums of those counts, cut into
-    ranges so that a feature with many distinct values spans many tasks.
+    Values are first counted per (feature, value), on the map side too, and
+    stored; everything else is computed from those counts. The empirical
+    distributions are running sums, cut into ranges so that a feature with many
+    distinct values spans many tasks.
     """
     rows = _long_form(baseline, features, "ref").unionByName(_long_form(current, features, "cur"))
-    is_ref, is_cur = F.col("side") == "ref", F.col("side") == "cur"
-    ref, cur = F.when(is_ref, F.col("value")), F.when(is_cur, F.col("value"))
-    stats = rows.groupBy("feature").agg(
-        F.count_if(is_ref).alias("n_ref"),
-        F.count_if(is_cur).alias("n_cur"),
-        F.avg(ref).alias("ref_mean"),
-        F.avg(cur).alias("cur_mean"),
-        F.stddev_samp(ref).alias("ref_std"),
-        F.stddev_samp(cur).alias("cur_std"),
-    )
-    counts = rows.groupBy("feature", "value").agg(
-        F.count_if(is_ref).alias("ref"), F.count_if(is_cur).alias("cur")
+    counts = stored_ranges(
+        rows.groupBy("feature", "value").agg(
+            F.count_if(F.col("side") == "ref").alias("ref"), F.count_if(F.col("side") == "cur").alias("cur")
+        ),
+        "feature",
+        "value",
     )
+    stats = _weighted_stats(counts)
     running = running_totals(counts, "feature", "value", ["ref", "cur"])
     # One row per feature.
-    gaps = running.join(F.broadcast(stats), "feature").groupBy("feature").agg(
+    gaps = running.join(F.broadcast(stats.select("feature", "n_ref", "n_cur")), "feature").groupBy("feature").agg(
         F.max(F.abs(F.col("running_ref") / F.col("n_ref") - F.col("running_cur") / F.col("n_cur"))).alias(
             "ks_statistic"
         )

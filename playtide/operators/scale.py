@@ -128,26 +128,30 @@ def global_positions(df: DataFrame, order: Sequence[str], name: str = "position"
     )
 
 
-def running_totals(df: DataFrame, group: str, order: str, values: Sequence[str]) -> DataFrame:
-    """Cumulative sums of ``values`` by ``order`` inside each ``group``.
+def stored_ranges(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` sorted and stored, with the number of the range each row fell into as ``_part``."""
+    return cut_lineage(df.sort(*order).withColumn("_part", F.spark_partition_id()))
 
-    A group may be as large as the table: it is cut into ranges of the sorted
-    rows, summed per range, and each range starts from the total of the ones
-    before it.
+
+def running_totals(ranges: DataFrame, group: str, order: str, values: Sequence[str]) -> DataFrame:
+    """Cumulative sums of ``values`` by ``order`` inside each ``group`` of ``stored_ranges``.
+
+    A group may be as large as the table: it is summed range by range, and each
+    range starts from the total of the ones before it.
     """
-    placed = cut_lineage(df.sort(group, order).withColumn("_part", F.spark_partition_id()))
     before = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = (
-        placed.groupBy(group, "_part")
+        ranges.groupBy(group, "_part")
         .agg(*[F.sum(v).alias(v) for v in values])
         .select(
             group, "_part", *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_start_{v}") for v in values]
         )
     )
     inside = W.partitionBy(group, "_part").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    running = placed.select(
+    running = ranges.select(
         group, "_part", order, *[F.sum(v).over(inside).alias(f"_run_{v}") for v in values]
     )
+    # A few rows per range.
     return running.join(F.broadcast(starts), [group, "_part"]).select(
         group, order, *[(F.col(f"_run_{v}") + F.col(f"_start_{v}")).alias(f"running_{v}") for v in values]
     )

@@ -17,6 +17,13 @@ def brute_ks(a, b):
     return d, 1.0 if lam < 0.2 else min(1.0, max(0.0, p))
 
 
+@pytest.fixture(autouse=True)
+def many_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.fixture(scope="module")
 def samples(spark):
     rng = np.random.default_rng(6)

@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 from playtide.operators import scale
 
 
+@pytest.fixture(autouse=True)
+def many_partitions(spark):
+    """Small data would be coalesced into one partition and hide mistakes between partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """Half of the rows on one key, a tenth without a key."""
@@ -52,7 +60,10 @@ def test_running_totals(spark):
     rng = random.Random(3)
     rows = [(rng.choice("ab"), v, rng.randrange(5), rng.randrange(5)) for v in range(3000)]
     df = spark.createDataFrame(rows, "g string, v int, x long, y long").repartition(5)
-    found = {(r.g, r.v): (r.running_x, r.running_y) for r in scale.running_totals(df, "g", "v", ["x", "y"]).collect()}
+    ranges = scale.stored_ranges(df, "g", "v")
+    assert ranges.select("_part").distinct().count() > 1
+    running = scale.running_totals(ranges, "g", "v", ["x", "y"])
+    found = {(r.g, r.v): (r.running_x, r.running_y) for r in running.collect()}
     totals = {"a": [0, 0], "b": [0, 0]}
     for g, v, x, y in rows:
         totals[g][0] += x
