@@ -620,20 +620,16 @@ def stream_closed_sessions(spark, sf):
     )
 
 
-def _updates_to_files(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
-    """Run a stream of updates, one folder per epoch, and keep each session's longest row."""
-    out = scale.new_folder(spark, name)
-
-    def save(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/rows/epoch={epoch}")
-
-    _finish(live.start_each_batch(stream, save, f"{out}/checkpoint", "update", every=None))
-    rows = spark.read.schema(stream.schema).parquet(f"{out}/rows/epoch=*")
+def _longest(spark: SparkSession, out: str, schema: str) -> DataFrame:
+    """Each session's row with most events, over the updates of all epochs."""
+    rows = spark.read.schema(schema).parquet(f"{out}/updates/epoch=*")
     return clean.latest_per_key(rows, ["userId", "sessionId"], [F.desc("session_length")])
 
 
 def stream_session_sequences(spark, sf):
-    rows = _updates_to_files(spark, live.stream_session_sequences(_live_silver(spark, sf)), "sequences")
+    out = scale.new_folder(spark, "sequences")
+    _finish(live.stream_session_sequences(_live_silver(spark, sf), out, f"{out}/checkpoint", every=None))
+    rows = _longest(spark, out, "userId string, sessionId long, session_length long, page_seq array<int>")
     return rows.withColumn("page_seq", F.concat_ws(",", F.transform("page_seq", lambda c: c.cast("string"))))
 
 
@@ -641,7 +637,13 @@ def stream_session_scores(spark, sf):
     """Sessions in progress scored with a model fitted on the batch sessions."""
     vectors = scale.cut_lineage(_vectors(spark, sf))
     model = sessions.fit_threshold(vectors, sessions.fit_session_model(vectors, COMPONENTS))
-    return _updates_to_files(spark, live.stream_session_scores(_live_silver(spark, sf), model), "scores")
+    out = scale.new_folder(spark, "scores")
+    _finish(live.stream_session_scores(_live_silver(spark, sf), model, out, f"{out}/checkpoint", every=None))
+    return _longest(
+        spark,
+        out,
+        "sessionId long, userId string, session_length long, recon_error double, is_anomaly int, anomaly_score double",
+    )
 
 
 @cache

@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from playtide.functions.columns import page_code
 from playtide.operators.clean import enrich_events, require_fields
 from playtide.operators.quality import top_n
 from playtide.operators.sessions import SessionModel, reconstruction_error, score_columns, session_vectors
 from playtide.schema import EVENT_KEY, MAX_SESSION_LENGTH, SESSION_KEY
-
-# The functions that run in tasks travel with the job, so executors need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from playtide.sources import layers
 
 
 def stream_silver(bronze: DataFrame, lateness: str = "10 minutes", drop_blank_users: bool = True) -> DataFrame:
@@ -97,104 +91,136 @@ def closed_sessions(silver: DataFrame, gap: str = "30 minutes", lateness: str =
     )
 
 
-ITEMS = "array<struct<ts:bigint,item:bigint,code:int>>"
-FOLDED = f"userId string, sessionId long, event_ms long, seen long, items {ITEMS}"
-SEQUENCE_OUTPUT = "userId string, sessionId long, session_length long, page_seq array<int>"
-SEQUENCE_STATE = f"seen long, items {ITEMS}"
-
-
-def _entries(items) -> list[tuple]:
-    """(ts, item, code) tuples from the row, dict or tuple forms Arrow may hand over."""
-    return [tuple(e.values()) if isinstance(e, dict) else tuple(e) for e in items]
+ENTRIES = "array<struct<ts:bigint,item:bigint,code:int>>"
+SESSIONS = (
+    f"userId string, sessionId bigint, session_length bigint, newest bigint, entries {ENTRIES}, "
+    "touched boolean, is_open boolean"
+)
 
 
-def _fold_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per Arrow batch, one row per session: count and first entries.
+def fold_sessions(events: DataFrame) -> DataFrame:
+    """Per session of a micro-batch: number of events, newest time, first 50 (time, item, code) entries.
 
-    This runs before the shuffle, so a hot session sends a few short rows from
-    each task, not all of its events.
+    Tasks send on at most 50 rows and one count per session, whatever its size.
     """
-    for batch in batches:
-        entries, newest = {}, {}
-        columns = [batch[c].tolist() for c in (*SESSION_KEY, "event_ms", "ts", "item", "code")]
-        for user, session, event_ms, ts, item, code in zip(*columns):
-            key = (user, session)
-            entries.setdefault(key, []).append((ts, item, code))
-            newest[key] = max(newest.get(key, event_ms), event_ms)
-        rows = [
-            (
-                *key,
-                newest[key],
-                len(found),
-                [{"ts": t, "item": i, "code": c} for t, i, c in sorted(found)[:MAX_SESSION_LENGTH]],
-            )
-            for key, found in entries.items()
-        ]
-        yield pd.DataFrame(rows, columns=[*SESSION_KEY, "event_ms", "seen", "items"])
-
-
-def _merge_session(gap_ms: int):
-    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        seen, items = state.get if state.exists else (0, [])
-        first, newest = _entries(items), 0
-        for batch in batches:
-            seen += int(batch["seen"].sum())
-            newest = max(newest, int(batch["event_ms"].max()))
-            for more in batch["items"]:
-                first = sorted([*first, *_entries(more)])[:MAX_SESSION_LENGTH]
-        state.update((seen, first))
-        state.setTimeoutTimestamp(max(newest + gap_ms, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(
-            {
-                "userId": [key[0]],
-                "sessionId": [key[1]],
-                "session_length": [seen],
-                "page_seq": [[code for _, _, code in first]],
-            }
-        )
-
-    return advance
+    known = events.filter(F.col("page").isNotNull() & F.col("sessionId").isNotNull()).select(
+        *SESSION_KEY, "ts", F.coalesce("itemInSession", F.lit(0)).alias("item"), page_code(F.col("page")).alias("code")
+    )
+    in_order = W.partitionBy(*SESSION_KEY).orderBy("ts", "item", "code")
+    head = known.withColumn("_at", F.row_number().over(in_order)).filter(F.col("_at") <= MAX_SESSION_LENGTH)
+    entries = head.groupBy(*SESSION_KEY).agg(
+        F.sort_array(F.collect_list(F.struct("ts", "item", "code"))).alias("entries")
+    )
+    counts = known.groupBy(*SESSION_KEY).agg(
+        F.count(F.lit(1)).alias("session_length"), F.max("ts").alias("newest")
+    )
+    return entries.join(counts, list(SESSION_KEY))
 
 
-def stream_session_sequences(
-    silver: DataFrame, gap_minutes: int = 30, lateness: str = "10 minutes"
+def advance_sessions(
+    events: DataFrame, previous: DataFrame | None, gap_ms: int, lateness_ms: int = 600_000
 ) -> DataFrame:
-    """The sequence so far of every session that got events in a micro-batch.
+    """Sessions after a micro-batch, from the ``previous`` ones and the batch's events.
 
-    State per session is its first 50 (time, page code) entries and a count,
-    whatever its length, and is freed after ``gap_minutes`` without events.
-    Events arrive in any order, so entries are kept sorted.
+    ``touched`` marks sessions with events in this batch. ``is_open`` marks
+    those that had an event within the gap and the lateness before the newest
+    event; the others are forgotten with the next batch. Events later than the
+    lateness are dropped.
     """
-    events = silver.filter(F.col("page").isNotNull() & F.col("sessionId").isNotNull()).select(
+    spark = events.sparkSession
+    before = spark.createDataFrame([], SESSIONS) if previous is None else previous.filter("is_open")
+    if previous is not None:
+        newest_before = previous.agg(F.max("newest")).scalar()
+        events = events.filter(F.col("ts") > F.coalesce(newest_before, F.lit(0)) - lateness_ms)
+    old = before.select(
         *SESSION_KEY,
-        F.unix_millis("event_time").alias("event_ms"),
-        "ts",
-        F.coalesce("itemInSession", F.lit(0)).alias("item"),
-        page_code(F.col("page")).alias("code"),
+        F.col("session_length").alias("_length"),
+        F.col("newest").alias("_newest"),
+        F.col("entries").alias("_entries"),
     )
-    folded = (
-        events.mapInPandas(_fold_batches, FOLDED)
-        .withColumn("event_time", F.timestamp_millis("event_ms"))
-        .withWatermark("event_time", lateness)
-    )
-    return folded.groupBy(*SESSION_KEY).applyInPandasWithState(
-        _merge_session(gap_minutes * 60_000),
-        SEQUENCE_OUTPUT,
-        SEQUENCE_STATE,
-        "update",
-        GroupStateTimeout.EventTimeTimeout,
+    none = F.expr(f"CAST(array() AS {ENTRIES})")
+    both = F.concat(F.coalesce("_entries", none), F.coalesce("entries", none))
+    merged = fold_sessions(events).join(old, list(SESSION_KEY), "full").select(
+        *SESSION_KEY,
+        (F.coalesce("_length", F.lit(0)) + F.coalesce("session_length", F.lit(0))).alias("session_length"),
+        F.greatest("_newest", "newest").alias("newest"),
+        F.slice(F.sort_array(both), 1, MAX_SESSION_LENGTH).alias("entries"),
+        F.col("entries").isNotNull().alias("touched"),
     )
+    newest = events.agg(F.max("ts")).scalar()
+    if previous is not None:
+        newest = F.greatest(newest, newest_before)
+    return merged.withColumn("is_open", F.col("newest") >= newest - (gap_ms + lateness_ms))
+
+
+def session_state_writer(
+    path: str,
+    on_update: Callable[[DataFrame, int], None],
+    gap_minutes: int = 30,
+    lateness_minutes: int = 10,
+) -> Callable[[DataFrame, int], None]:
+    """Micro-batch function: keeps the sessions as a table under ``path`` and hands on the touched ones.
+
+    Epochs take turns in two folders, each built from the other, so a repeated
+    epoch finds the same previous sessions and writes the same result.
+    """
 
+    def save(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            previous = layers.read_layer(spark, f"{path}/{(epoch - 1) % 2}") if epoch else None
+            current = advance_sessions(batch, previous, gap_minutes * 60_000, lateness_minutes * 60_000)
+            layers.replace_layer(current, f"{path}/{epoch % 2}")
+        finally:
+            batch.unpersist()
+        stored = spark.read.schema(SESSIONS).parquet(f"{path}/{epoch % 2}")
+        sequences = stored.filter("touched").select(
+            *SESSION_KEY, "session_length", F.col("entries.code").alias("page_seq")
+        )
+        on_update(sequences, epoch)
 
-def stream_session_scores(
-    silver: DataFrame, model: SessionModel, gap_minutes: int = 30, lateness: str = "10 minutes"
-) -> DataFrame:
-    """Error, flag and score of sessions in progress."""
-    vectors = session_vectors(stream_session_sequences(silver, gap_minutes, lateness))
-    scored = reconstruction_error(vectors, model)
+    return save
+
+
+def stream_session_sequences(
+    silver: DataFrame,
+    path: str,
+    checkpoint: str,
+    gap_minutes: int = 30,
+    lateness_minutes: int = 10,
+    every: str | None = "60 seconds",
+) -> StreamingQuery:
+    """The sequence so far of every session touched by a micro-batch, in ``path``/updates."""
+
+    def write(sequences: DataFrame, epoch: int) -> None:
+        layers.replace_layer(sequences, f"{path}/updates/epoch={epoch}")
+
+    save = session_state_writer(f"{path}/sessions", write, gap_minutes, lateness_minutes)
+    return start_each_batch(silver, save, checkpoint, "append", every)
+
+
+def score_sequences(sequences: DataFrame, model: SessionModel) -> DataFrame:
+    """Error, flag and score of sequences in progress."""
+    scored = reconstruction_error(session_vectors(sequences), model)
     return scored.withColumns(score_columns(F.col("recon_error"), F.lit(model.threshold))).select(
         "sessionId", "userId", "session_length", "recon_error", "is_anomaly", "anomaly_score"
     )
+
+
+def stream_session_scores(
+    silver: DataFrame,
+    model: SessionModel,
+    path: str,
+    checkpoint: str,
+    gap_minutes: int = 30,
+    lateness_minutes: int = 10,
+    every: str | None = "60 seconds",
+) -> StreamingQuery:
+    """Scores of every session touched by a micro-batch, in ``path``/updates."""
+
+    def write(sequences: DataFrame, epoch: int) -> None:
+        layers.replace_layer(score_sequences(sequences, model), f"{path}/updates/epoch={epoch}")
+
+    save = session_state_writer(f"{path}/sessions", write, gap_minutes, lateness_minutes)
+    return start_each_batch(silver, save, checkpoint, "append", every)

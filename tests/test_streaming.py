@@ -121,36 +121,56 @@ def test_top_songs_are_written_per_epoch(spark, event_files, tmp_path):
     assert max(r["count"] for r in rows.groupBy("epoch").count().collect()) == 2
 
 
-def collect_updates(stream, checkpoint):
-    rows = []
-    live.start_each_batch(
-        stream, lambda batch, epoch: rows.extend(batch.collect()), checkpoint, "update", every=None
-    ).awaitTermination()
-    return rows
+def updates(spark, path):
+    """(epoch, row) of every update written by a session stream."""
+    return spark.read.parquet(f"{path}/updates").collect()
 
 
 def test_sessions_in_progress_grow_to_the_batch_sequences(spark, event_files, tmp_path):
     batch, stream = event_files
-    silver = clean.enrich_events(stream())
-    rows = collect_updates(live.stream_session_sequences(silver, 100 * 60, "100 hours"), str(tmp_path / "c"))
-    final = {}
+    out = str(tmp_path / "o")
+    live.stream_session_sequences(
+        clean.enrich_events(stream()), out, str(tmp_path / "c"), 100 * 60, 100 * 60, every=None
+    ).awaitTermination()
+    rows, final = updates(spark, out), {}
     for r in rows:
         if r.session_length > final.get((r.userId, r.sessionId), (0,))[0]:
             final[r.userId, r.sessionId] = (r.session_length, list(r.page_seq))
     whole = sessions.session_sequences(clean.enrich_events(batch()), min_len=1).collect()
     assert final == {(r.userId, r.sessionId): (r.session_length, list(r.page_seq)) for r in whole}
-    assert len(rows) > len(final)
+    assert len(rows) > len(final) and len({r.epoch for r in rows}) == 4
 
 
 def test_idle_sessions_are_forgotten(spark, event_files, tmp_path):
     _, stream = event_files
-    silver = clean.enrich_events(stream())
-    query = live.start_each_batch(
-        live.stream_session_sequences(silver, 5, "1 minutes"), lambda b, e: b.count(), str(tmp_path / "c"), "update", None
+    out = str(tmp_path / "o")
+    live.stream_session_sequences(
+        clean.enrich_events(stream()), out, str(tmp_path / "c"), 5, 1, every=None
+    ).awaitTermination()
+    # Events are 3 minutes apart: three sessions had one within gap and lateness before the end.
+    assert spark.read.parquet(f"{out}/sessions/1").filter("is_open").count() == 3
+
+
+def test_a_repeated_epoch_gives_the_same_sessions(spark, event_files, tmp_path):
+    batch, _ = event_files
+    path, seen = str(tmp_path / "s"), []
+    save = live.session_state_writer(path, lambda rows, epoch: seen.append(sorted(rows.collect())), 100, 100)
+    half = batch().filter("itemInSession < 200")
+    save(half, 0)
+    save(batch().filter("itemInSession >= 200"), 1)
+    save(batch().filter("itemInSession >= 200"), 1)
+    assert seen[1] == seen[2]
+
+
+def test_late_events_are_dropped(events, spark):
+    base = {"userId": "u", "page": "Home", "itemInSession": 0}
+    first = live.advance_sessions(events({**base, "sessionId": 1, "ts": 1000}), None, 50, 10)
+    second = live.advance_sessions(
+        events({**base, "sessionId": 1, "ts": 980}, {**base, "sessionId": 2, "ts": 995}), first, 50, 10
     )
-    query.awaitTermination()
-    # Events are 3 minutes apart: three sessions are newer than gap and lateness together.
-    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 3
+    rows = {r.sessionId: r for r in second.collect()}
+    assert rows[1].session_length == 1 and not rows[1].touched and rows[1].is_open
+    assert rows[2].session_length == 1 and rows[2].touched
 
 
 def test_live_scores_equal_batch_scores(spark, silver, tmp_path):
@@ -160,7 +180,9 @@ def test_live_scores_equal_batch_scores(spark, silver, tmp_path):
         (r.userId, r.sessionId): (r.is_anomaly, r.recon_error) for r in sessions.anomaly_scores(vectors, model).collect()
     }
     stream = clean.enrich_events(adapters.stream_raw_events(spark, "/root/testdata/sf0.01"))
-    rows = collect_updates(live.stream_session_scores(stream, model), str(tmp_path / "c"))
+    out = str(tmp_path / "o")
+    live.stream_session_scores(stream, model, out, str(tmp_path / "c"), every=None).awaitTermination()
+    rows = updates(spark, out)
     found = {(r.userId, r.sessionId): (r.is_anomaly, r.recon_error) for r in rows if r.session_length >= 3}
     assert found.keys() == expected.keys()
     for key, (flag, error) in expected.items():
