@@ -21,16 +21,12 @@ HEADLINE = (
     "stream_ingest",
     "clean_events",
     "song_rankings",
-    "play_counts",
-    "listening_kpis",
     "velocity",
-    "user_features_v1",
     "user_features_v2",
     "user_features_monitor",
     "interaction_matrix_orders",
     "training_set_orders",
     "session_sequences",
-    "session_vectors",
     "anomaly_scores",
     "ks_drift",
     "decode_ids",
