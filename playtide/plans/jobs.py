@@ -51,9 +51,9 @@ def dense_ratings(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def train_recommendations(
-    spark: SparkSession, silver: str, gold: str, k: int = 10, implicit: bool = False
-) -> float | None:
-    """Factor model, its top ``k`` per user, both id maps and the model; returns the RMSE."""
+    spark: SparkSession, silver: str, gold: str, k: int = 10, implicit: bool = False, metrics: str | None = None
+) -> dict | None:
+    """Factor model, its top ``k`` per user, both id maps and the model; returns RMSE and hit rate."""
     events = layers.read_layer(spark, silver)
     if events is None:
         return None
@@ -64,7 +64,14 @@ def train_recommendations(
     layers.replace_layer(users, f"{gold}/user_mapping")
     layers.replace_layer(songs, f"{gold}/song_mapping")
     layers.save_model(model, f"{gold}/models/als")
-    return recommend.als_rmse(model, test)
+    candidates = recommend.ranking_candidates(test, songs.count(), known=train)
+    result = {
+        "rmse": recommend.als_rmse(model, test),
+        "hr10": recommend.als_hit_rate(model, candidates, 10).first()["hit_rate"],
+    }
+    if metrics:
+        runlog.log_metrics(runlog.metric_rows(spark, "recommend", result, datetime.now()), metrics)
+    return result
 
 
 def train_churn(spark: SparkSession, silver: str, gold: str, metrics: str | None = None) -> dict | None:

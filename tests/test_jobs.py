@@ -49,8 +49,9 @@ def test_rankings(spark, lake):
 
 
 def test_recommendations(spark, lake):
-    rmse = jobs.train_recommendations(spark, f"{lake}/silver", f"{lake}/gold")
-    assert 0 < rmse < 2
+    result = jobs.train_recommendations(spark, f"{lake}/silver", f"{lake}/gold", metrics=f"{lake}/watch/run_metrics")
+    assert 0 < result["rmse"] < 2 and 0 < result["hr10"] < 1
+    assert runlog.latest_metric(spark, f"{lake}/watch/run_metrics", "recommend", "hr10") == result["hr10"]
     assert spark.read.parquet(f"{lake}/gold/recommendations").count() == 150
     assert spark.read.parquet(f"{lake}/gold/song_mapping").count() == 40
 
@@ -73,7 +74,7 @@ def test_churn_then_monitoring(spark, lake):
     assert 0 <= result["auc"] <= 1
     first = jobs.monitor(spark, f"{lake}/silver", f"{lake}/watch", date(2024, 1, 30)).first()
     assert first.n_drifted_cols == 0 and not first.alert
-    assert first.churn_auc == pytest.approx(result["auc"])
+    assert first.churn_auc == pytest.approx(result["auc"]) and first.hr10 > 0
     busier = spark.read.parquet(f"{lake}/silver").withColumn("userId", F.concat("userId", F.lit("x")))
     more = busier.unionByName(busier.withColumn("sessionId", F.col("sessionId") + 1_000_000))
     layers.append_layer(more, f"{lake}/silver2")
