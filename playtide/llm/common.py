@@ -46,7 +46,9 @@ def discard(df: DataFrame) -> None:
 
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z, and only those, in lower case; null counts as empty."""
-    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    text = F.coalesce(text, F.lit(""))
+    ascii_only = F.octet_length(text) == F.length(text)  # lower() touches other letters too
+    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def id_remainder(doc_id: Column, modulus: int) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from playtide.llm import sentencepiece_bpe
+from playtide.llm import exact_dedup, sentencepiece_bpe
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,11 +20,28 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of every document; the largest doc_id of equal texts stays."""
+    return exact_dedup.membership(table(spark, folder, "documents"))
+
+
+OP2 = """
+WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+           FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = max(doc_id) OVER w AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)
+"""
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to a function of (spark, folder of tables)."""
-    return {"op1_sentencepiece": op1_sentencepiece}
+    return {
+        "op1_sentencepiece": op1_sentencepiece,
+        "op2_exact_dedup": op2_exact_dedup,
+    }
 
 
 def statements() -> dict[str, str]:
     """Query name to SQL over the same tables."""
-    return {}
+    return {"op2_exact_dedup": OP2}
