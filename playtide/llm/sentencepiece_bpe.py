@@ -36,12 +36,12 @@ from pyspark.sql import types as T
 from playtide.llm.common import Memo, sliced
 
 SPACE = "▁"
-REMEMBERED = 300_000  # words per generation of the memo
+REMEMBERED = 200_000  # words per generation of the memo
 PARTS = re.compile(r"[^\n.,]+|[.,]+|\n+")
 SHORT = 48  # characters of a word below which its agenda is a row of a matrix
 TOGETHER = 8_192  # rows of such a matrix
 NEVER = np.int32(2**31 - 1)  # no merge
-ROWS, CHARS = 1_000, 4_000_000  # of an Arrow batch that is worked on at once
+ROWS, CHARS = 400, 1_500_000  # of an Arrow batch that is worked on at once
 
 codecs.register_error("byte_by_byte", lambda e: ("�", e.start + 1))
 
