@@ -155,6 +155,12 @@ def fillings(space: int, counts: np.ndarray, most: int, enough: int = BREADTH) -
     found: set[tuple[int, ...]] = set()
     left = {s: int(counts[s]) for s in sizes}
     smallest, looked, perfect = sizes[-1], 0, 0
+    room, greedy = space, ()  # always the largest that fits: there however deep the search gets
+    for s in sizes:
+        use = min(left[s], room // s)
+        room, greedy = room - use * s, greedy + (s,) * use
+    found.add(greedy)
+    perfect += room == 0
     stack: list[tuple[int, int, tuple[int, ...]]] = [(space, 0, ())]
     while stack and looked < LOOKED and perfect < enough:
         room, at, chosen = stack.pop()
@@ -174,7 +180,7 @@ def fillings(space: int, counts: np.ndarray, most: int, enough: int = BREADTH) -
             continue
         rest = room - sizes[at]
         if rest and chosen:  # deeper down only the largest that fits and a pair that fits exactly
-            pair = next((s for s in sizes[at : at + 64] if left.get(room - s, 0) > (room - s == s) + chosen.count(room - s) and room - s <= s), None)
+            pair = next((s for s in sizes[at : at + 64] if room - s <= s and left[s] > chosen.count(s) and left.get(room - s, 0) > (room - s == s) + chosen.count(room - s)), None)
             if pair is not None:
                 found.add((*chosen, pair, room - pair))
                 perfect += 1

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from playtide.llm import exact_dedup, sentencepiece_bpe
+from playtide.llm import exact_dedup, packing, sentencepiece_bpe
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.membership(table(spark, folder, "documents"))
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """The sequence and the place of every piece of every document, in sequences of 2048 tokens."""
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 OP2 = """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
            FROM documents)
@@ -39,6 +44,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_packing": op3_packing,
     }
 
 
