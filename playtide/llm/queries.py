@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from playtide.llm import exact_dedup, packing, sentencepiece_bpe
+from playtide.llm import exact_dedup, langid, lm_score, near_dedup, packing, pii, quality, sentencepiece_bpe, topk, url_filter
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +31,74 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every document among those whose shingle sets are 85 % alike."""
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
+def op5_langid(spark: SparkSession, folder: str) -> DataFrame:
+    """The predicted language of every document."""
+    return langid.identified(table(spark, folder, "documents"))
+
+
+def op6_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram base and model score of every document."""
+    return lm_score.scored(table(spark, folder, "documents"))
+
+
+def op7_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten vectors with the highest inner product for every hundredth vector."""
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and spans of personal data in every document."""
+    return pii.findings(table(spark, folder, "documents"))
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality score of every document."""
+    return quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The rule and the verdict for the url of every page."""
+    return url_filter.judge(table(spark, folder, "pages"), RULES)
+
+
+OP7 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+OP9 = """
+WITH u AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+h AS (
+  SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u),
+p AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+r(host, path, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+m AS (
+  SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict,
+         row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host) DESC NULLS LAST, length(r.path) DESC) AS n
+  FROM p LEFT JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE n = 1
+"""
+
 OP2 = """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
            FROM documents)
@@ -45,9 +114,16 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sentencepiece": op1_sentencepiece,
         "op2_exact_dedup": op2_exact_dedup,
         "op3_packing": op3_packing,
+        "op4_near_dedup": op4_near_dedup,
+        "op5_langid": op5_langid,
+        "op6_lm_score": op6_lm_score,
+        "op7_topk": op7_topk,
+        "op8_quality": op8_quality,
+        "op9_url_filter": op9_url_filter,
+        "op10_pii": op10_pii,
     }
 
 
 def statements() -> dict[str, str]:
     """Query name to SQL over the same tables."""
-    return {"op2_exact_dedup": OP2}
+    return {"op2_exact_dedup": OP2, "op7_topk": OP7, "op9_url_filter": OP9}
