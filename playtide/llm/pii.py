@@ -22,6 +22,8 @@ first one's mark; repeated rows get equal spans; other columns are kept by ``san
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,6 +83,11 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     return whole.withColumns({f"_{k}": matches(F.col("_text"), k) for k in KINDS})
 
 
+def _named(kind: str, made: Callable[[str, Column], Column]) -> Column:
+    """The spans of a kind, each turned into ``made(kind, span)``."""
+    return F.transform(f"_{kind}", lambda s: made(kind, s))
+
+
 def _neighbours(side: str, span: Column) -> Column:
     """Terms and their spans among the ``AROUND`` words before or after an entity."""
     if side == "after":
@@ -107,7 +114,7 @@ def _neighbours(side: str, span: Column) -> Column:
 
 def _mentions(spanned: DataFrame, doc_id: str) -> DataFrame:
     """One row per term next to an entity: document, entity, surrounding, term and its span."""
-    parts = [F.transform(f"_{k}", lambda s, k=k: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS]
+    parts = [_named(k, lambda k, s: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS]
     rows = spanned.select(F.col(doc_id).alias("_id"), F.xxhash64("_text").alias("_hash"), "_text", F.explode(F.concat(*parts)).alias("_span"))
     value = F.substring("_text", F.col("_span.start") + 1, F.col("_span.end") - F.col("_span.start"))
     rows = rows.withColumn("_entity", F.xxhash64("_span.kind", ascii_lower(value)))
@@ -161,7 +168,7 @@ def all_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
 
 
 def _listed(kinds: tuple[str, ...]) -> Column:
-    parts = [F.transform(f"_{k}", lambda s, k=k: F.concat(F.lit(f"{k}:"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))) for k in kinds]
+    parts = [_named(k, lambda k, s: F.concat(F.lit(f"{k}:"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))) for k in kinds]
     return F.array_join(F.concat(*parts), ",")
 
 
@@ -177,7 +184,7 @@ def findings(docs: DataFrame) -> DataFrame:
 
 def sanitised(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with every span replaced by the name of its kind in brackets; texts without spans stay as they are."""
-    parts = [F.transform(f"_{k}", lambda s, k=k: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(f"[{k.upper()}]").alias("mark"))) for k in (*KINDS, "term")]
+    parts = [_named(k, lambda k, s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(f"[{k.upper()}]").alias("mark"))) for k in (*KINDS, "term")]
     spans = F.sort_array(F.concat(*parts))
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
