@@ -86,29 +86,63 @@ def clean_events(
     return enrich_events(kept, truncate_seconds, blank_is_unknown)
 
 
+def _not_stored(raw: DataFrame, silver: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``raw`` whose key, nulls included, is not in ``silver``."""
+    stored = silver.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return raw.join(stored, same, "left_anti")
+
+
 def incremental_filter(
     raw: DataFrame,
     silver: DataFrame | None,
     col: str = "ts",
-    lateness: int = 0,
+    lateness: int | None = None,
     keys: Sequence[str] = EVENT_KEY,
+    newest: int | None = None,
 ) -> DataFrame:
-    """Rows of ``raw`` that silver does not have yet.
+    """Rows of ``raw`` that silver does not have yet, late and tied ones included.
 
-    Without ``lateness`` these are the rows newer than the newest stored one,
-    as a literal that reaches the Parquet scan. With it, rows up to
-    ``lateness`` older are taken as well unless their key is already stored.
+    Rows whose key is stored are left out by an anti-join on the key columns.
+    ``lateness`` bounds how far before the newest stored row a late row may be;
+    both sides then read only that range, and ``late_rows`` gives what it leaves
+    out. ``newest`` saves looking the newest row up. Repeated rows stay;
+    ``clean_events`` drops them.
     """
     if silver is None:
         return raw
-    newest = silver.agg(F.max(col)).first()[0]
+    if lateness is None:
+        return _not_stored(raw, silver, keys)
+    if newest is None:
+        newest = silver.agg(F.max(col)).first()[0]
     if newest is None:
         return raw
-    if lateness <= 0:
-        return raw.filter(F.col(col) > newest)
-    window = F.col(col) > newest - lateness
-    stored = silver.filter(window).select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return dedupe_events(raw.filter(window), keys).join(stored, same, "left_anti")
+    recent = F.col(col) > newest - lateness
+    return _not_stored(raw.filter(recent), silver.filter(recent), keys)
+
+
+def late_rows(
+    raw: DataFrame, silver: DataFrame, lateness: int, col: str = "ts", keys: Sequence[str] = EVENT_KEY
+) -> DataFrame:
+    """Unseen rows that ``incremental_filter`` with this ``lateness`` leaves out."""
+    newest = silver.agg(F.max(col)).scalar()
+    old = F.col(col) <= newest - lateness
+    return _not_stored(raw.filter(old), silver.filter(F.col(col) <= newest - lateness), keys)
+
+
+def increment_report(
+    raw: DataFrame, silver: DataFrame, lateness: int, col: str = "ts", keys: Sequence[str] = EVENT_KEY
+) -> DataFrame:
+    """One row with the rows taken, too late, and known already."""
+    taken = incremental_filter(raw, silver, col, lateness, keys).agg(F.count(F.lit(1)).alias("taken"))
+    late = late_rows(raw, silver, lateness, col, keys).agg(F.count(F.lit(1)).alias("too_late"))
+    total = raw.agg(F.count(F.lit(1)).alias("total"))
+    # Three tables of one row each.
+    return total.select(
+        "total",
+        F.lit(taken.scalar()).alias("taken"),
+        F.lit(late.scalar()).alias("too_late"),
+        (F.col("total") - taken.scalar() - late.scalar()).alias("known"),
+    )

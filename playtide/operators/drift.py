@@ -29,14 +29,15 @@ def kolmogorov_p(statistic: Column, n1: Column, n2: Column) -> Column:
     The alternating series needs more terms than are summed only where the
     p-value is 1 to beyond double precision.
     """
-    size = F.sqrt(n1.cast("double") * n2 / (n1.cast("double") + n2))
+    size = F.sqrt(F.try_divide(n1.cast("double") * n2, n1.cast("double") + n2))
     scaled = statistic * size
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(SERIES_TERMS)),
         F.lit(0.0),
         lambda acc, k: acc + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * scaled * scaled),
     )
-    return F.when(scaled < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+    p_value = F.when(scaled < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+    return F.when(statistic.isNotNull(), p_value)
 
 
 def _weighted_stats(counts: DataFrame) -> DataFrame:
@@ -71,7 +72,8 @@ def ks_drift(
     Values are first counted per (feature, value), on the map side too, and
     stored; everything else is computed from those counts. The empirical
     distributions are running sums, cut into ranges so that a feature with many
-    distinct values spans many tasks.
+    distinct values spans many tasks. A feature without a value on one side has
+    null for statistic, p-value and flag.
     """
     rows = _long_form(baseline, features, "ref").unionByName(_long_form(current, features, "cur"))
     counts = stored_ranges(
@@ -85,7 +87,7 @@ def ks_drift(
     running = running_totals(counts, "feature", "value", ["ref", "cur"])
     # One row per feature.
     gaps = running.join(F.broadcast(stats.select("feature", "n_ref", "n_cur")), "feature").groupBy("feature").agg(
-        F.max(F.abs(F.col("running_ref") / F.col("n_ref") - F.col("running_cur") / F.col("n_cur"))).alias(
+        F.max(F.abs(F.try_divide("running_ref", "n_ref") - F.try_divide("running_cur", "n_cur"))).alias(
             "ks_statistic"
         )
     )
@@ -122,9 +124,10 @@ def drift_summary(
         F.max("n_cur").alias("n_current_users"),
         F.count_if("drift").cast("int").alias("n_drifted_cols"),
         F.count(F.lit(1)).cast("int").alias("n_total_cols"),
+        F.count_if(F.col("drift").isNull()).cast("int").alias("n_untested_cols"),
         F.sort_array(F.collect_list(F.when(F.col("drift"), F.col("feature")))).alias("drifted_columns"),
     )
-    score = F.col("n_drifted_cols") / F.col("n_total_cols")
+    score = F.try_divide("n_drifted_cols", "n_total_cols")
     third = F.floor(F.col("n_total_cols") / 3)
     return counted.select(
         F.lit(on).cast("date").alias("date"),
@@ -135,6 +138,7 @@ def drift_summary(
         score.alias("drift_score"),
         "n_drifted_cols",
         "n_total_cols",
+        "n_untested_cols",
         "drifted_columns",
         (score > alert_above).alias("alert"),
         *[F.lit(v).cast("double").alias(name) for name, v in tracked.items()],
@@ -144,6 +148,7 @@ def drift_summary(
 def alerts(summary: DataFrame) -> DataFrame:
     """One row per run that raised an alert."""
     names = F.array_join(F.transform("drifted_columns", lambda c: F.concat(F.lit("'"), c, F.lit("'"))), ", ")
+    # Fixed text of the alert.
     message = F.concat(
         F.lit("Drift score="), F.format_string("%.2f", "drift_score"), F.lit(" | Drifted: ["), names, F.lit("]")
     )

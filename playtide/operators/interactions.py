@@ -8,15 +8,16 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from playtide.functions.columns import hash_id, stable_hash, stable_uniform
 from playtide.operators.listening import plays
-from playtide.operators.scale import bounded_broadcast, cut_lineage, global_positions, salted_join
+from playtide.operators.scale import cut_lineage, global_positions
 
 
 def interaction_matrix(df: DataFrame, min_plays: int = 2) -> DataFrame:
     """Plays per (userId, song, artist) of active users and songs.
 
     Both activity limits look at the totals before any filtering. A song
-    everybody plays, or a user who plays everything, is a hot key here, so the
-    semi-joins are salted. The counts are stored once, as five reads follow.
+    everybody plays, or a user who plays everything, is a hot key of the
+    semi-joins; adaptive execution splits it. The counts are stored once, as
+    three reads follow.
     """
     matrix = cut_lineage(
         plays(df, "strict").groupBy("userId", "song", "artist").agg(F.count(F.lit(1)).alias("play_count"))
@@ -26,8 +27,7 @@ def interaction_matrix(df: DataFrame, min_plays: int = 2) -> DataFrame:
         totals = matrix.groupBy(key).agg(F.sum("play_count").alias("_plays"))
         return totals.filter(F.col("_plays") >= min_plays).select(key)
 
-    by_user = salted_join(matrix, active("userId"), ["userId"], "left_semi", ["song", "artist"])
-    kept = salted_join(by_user, active("song"), ["song"], "left_semi", ["userId", "artist"], counted=matrix)
+    kept = matrix.join(active("userId"), "userId", "left_semi").join(active("song"), "song", "left_semi")
     return kept.select("userId", "song", "artist", "play_count")
 
 
@@ -61,50 +61,45 @@ def dense_ids(df: DataFrame, col: str, idx: str) -> DataFrame:
 
 def encode_interactions(matrix: DataFrame, users: DataFrame, songs: DataFrame) -> DataFrame:
     """Add both indexes and the implicit label 1.0."""
-    with_user = salted_join(matrix, users, ["userId"], "inner", ["song", "artist"])
-    with_song = salted_join(with_user, songs, ["song"], "inner", ["userId", "artist"], counted=matrix)
-    return with_song.select(
+    return matrix.join(users, "userId").join(songs, "song").select(
         "userId", "song", "artist", "user_idx", "song_idx", "play_count", F.lit(1.0).alias("label")
     )
 
 
-def negative_samples(
-    pos: DataFrame, n_songs: int, ratio: int = 4, seed: int = 42, attempts: int = 10
-) -> DataFrame:
+def negative_samples(pos: DataFrame, n_songs: int, ratio: int = 4, seed: int = 42) -> DataFrame:
     """``ratio`` unseen songs per positive, uniform and with replacement.
 
-    A positive may try ``attempts * ratio`` draws and keeps the first ``ratio``
-    unseen ones. Drawing per positive, not per user, keeps the work of one
-    heavy listener spread out; a group is one positive's few draws. A first
-    round makes few draws and only positives left short go on to later rounds,
-    which gives the same rows as making all draws at once. Each round is
-    stored, so later ones do not repeat it.
+    A draw is a rank among the songs the user does not know, taken from a hash,
+    so every draw is a hit: a user gets all wanted negatives unless no song is
+    unseen. Ranks become songs in one pass over each user's known songs in
+    order: a known song with index s and i known songs before it starts a run
+    whose members are i + 1 above their ranks. One shuffle by user; a user has
+    at most ``n_songs * (ratio + 1)`` rows.
     """
+    own = W.partitionBy("user_idx")
     seen = pos.select("user_idx", "song_idx").distinct()
-    short = seen.select("user_idx", F.col("song_idx").alias("_pos_song"), F.lit(ratio).alias("_need"))
-    song = F.pmod(stable_hash(seed, "user_idx", "_pos_song", "_draw"), F.lit(n_songs).cast("long"))
-    known = seen.withColumn("_seen", F.lit(True))
-    unseen = F.when(F.col("_seen").isNull(), F.struct("_draw", "song_idx"))
-    last = attempts * ratio
-    rounds, done = [], 0
-    for until in sorted({min(ratio + 1, last), min(5 * ratio, last), last}):
-        drawn = short.withColumn("_draw", F.explode(F.sequence(F.lit(done + 1), F.lit(until))))
-        tried = drawn.withColumn("song_idx", song.cast("int")).join(known, ["user_idx", "song_idx"], "left")
-        drawn_from = cut_lineage(
-            tried.groupBy("user_idx", "_pos_song", "_need")
-            .agg(F.sort_array(F.collect_list(unseen)).alias("_found"))
-            .withColumn("_found", F.slice("_found", F.lit(1), F.col("_need")))
-        )
-        rounds.append(drawn_from.select("user_idx", F.explode("_found.song_idx").alias("song_idx")))
-        done = until
-        short = drawn_from.withColumn("_need", F.col("_need") - F.size("_found")).filter("_need > 0").drop("_found")
-        if done == last or short.isEmpty():
-            break
-    found = rounds[0]
-    for later in rounds[1:]:
-        found = found.unionByName(later)
-    return found.select(
-        "user_idx", "song_idx", F.lit(0).cast("long").alias("play_count"), F.lit(0.0).alias("label")
+    counted = seen.select(
+        "user_idx",
+        "song_idx",
+        F.count(F.lit(1)).over(own).alias("_known"),
+        (F.row_number().over(own.orderBy("song_idx")) - 1).alias("_before"),
+    )
+    unseen = F.lit(n_songs).cast("long") - F.col("_known")
+    start = F.struct((F.col("song_idx") - F.col("_before")).cast("long").alias("rank"), (F.col("_before") + 1).alias("shift"))
+    draws = F.transform(
+        F.sequence(F.lit(1), F.lit(ratio)),
+        lambda d: F.struct(
+            F.pmod(stable_hash(seed, "user_idx", "song_idx", d), unseen).alias("rank"), F.lit(None).cast("int").alias("shift")
+        ),
+    )
+    rows = counted.select("user_idx", F.explode(F.when(unseen > 0, F.concat(F.array(start), draws))).alias("_r"))
+    in_order = own.orderBy("rank", F.col("shift").asc_nulls_last()).rowsBetween(W.unboundedPreceding, 0)
+    placed = rows.select("user_idx", "_r.*").withColumn("_shift", F.coalesce(F.max("shift").over(in_order), F.lit(0)))
+    return placed.filter("shift IS NULL").select(
+        "user_idx",
+        (F.col("rank") + F.col("_shift")).cast("int").alias("song_idx"),
+        F.lit(0).cast("long").alias("play_count"),
+        F.lit(0.0).alias("label"),
     )
 
 
@@ -151,10 +146,9 @@ def stratified_split(
     placed = global_positions(ordered, [by, "_hash", *keys], "_position")
     strata = placed.groupBy(by).agg(F.count(F.lit(1)).alias("_size"), F.min("_position").alias("_start"))
     share = (F.col("_position") - F.col("_start")) / F.col("_size")
-    few = bounded_broadcast(strata)
-    joined = placed.join(few, by) if few is not None else salted_join(placed, strata, [by], "inner", ["_hash"])
     return (
-        joined.withColumn("split", _assign(share, fracs))
+        placed.join(strata, by)
+        .withColumn("split", _assign(share, fracs))
         .drop("_hash", "_position", "_size", "_start")
     )
 

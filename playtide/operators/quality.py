@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -94,3 +94,23 @@ def label_disagreements(df: DataFrame, n: int | None = None) -> DataFrame:
         F.when(changed, "label_changed").otherwise("returned").alias("reason"),
     )
     return found if n is None else found.orderBy("reason", "userId").limit(n)
+
+
+def layer_rates(tables: dict[str, DataFrame]) -> DataFrame:
+    """True rows, newest event, events per minute and lag behind the newest layer, one row per layer."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(
+            F.count(F.lit(1)).alias("rows"), F.min("ts").alias("oldest_ms"), F.max("ts").alias("newest_ms")
+        ).withColumn("layer", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    minutes = (F.col("newest_ms") - F.col("oldest_ms")) / 60_000
+    # One row per layer.
+    newest = F.max("newest_ms").over(W.partitionBy())
+    return out.select(
+        "layer",
+        "rows",
+        "newest_ms",
+        F.round(F.try_divide(F.col("rows"), minutes), 6).alias("events_per_minute"),
+        (newest - F.col("newest_ms")).alias("lag_ms"),
+    )

@@ -7,7 +7,9 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from playtide.functions.columns import stable_hash
-from playtide.operators.scale import salted_join
+
+
+RATINGS_PER_BLOCK = 1_000_000
 
 
 def train_als(
@@ -17,10 +19,15 @@ def train_als(
     rank: int = 10,
     iterations: int = 10,
     reg: float = 0.1,
-    blocks: int = 10,
+    blocks: int | None = None,
     seed: int = 42,
 ) -> ALSModel:
-    """M3: non-negative ALS; users or songs unseen in training are dropped when scoring."""
+    """M3: non-negative ALS; users or songs unseen in training are dropped when scoring.
+
+    The number of blocks follows the ratings, ``RATINGS_PER_BLOCK`` each.
+    """
+    if blocks is None:
+        blocks = max(10, -(-ratings.count() // RATINGS_PER_BLOCK))
     als = ALS(
         rank=rank,
         maxIter=iterations,
@@ -73,22 +80,20 @@ def top_k_scores(scores: DataFrame, k: int = 10) -> DataFrame:
 
 
 def decode_ids(
-    df: DataFrame, mapping: DataFrame, idx: str, name: str, prefix: str = "song_", **salting
+    df: DataFrame, mapping: DataFrame, idx: str, name: str, prefix: str = "song_"
 ) -> DataFrame:
     """Index to name, ``prefix`` + index when the mapping lacks it.
 
-    A hit song fills many rows, so the join is salted; a small mapping is still
-    broadcast by the optimizer on its measured size.
+    A hit song fills many rows: a small mapping is broadcast by the optimizer on
+    its measured size, beyond that adaptive execution splits the song.
     """
-    spread = [c for c in df.columns if c != idx]
-    joined = salted_join(df, mapping.select(idx, name), [idx], "left", spread or [idx], **salting)
+    joined = df.join(mapping.select(idx, name), idx, "left")
     return joined.withColumn(name, F.coalesce(F.col(name), F.concat(F.lit(prefix), F.col(idx).cast("string"))))
 
 
 def encode_names(df: DataFrame, mapping: DataFrame, name: str, idx: str) -> DataFrame:
     """Name to index; unknown names are left out."""
-    spread = [c for c in df.columns if c != name]
-    return salted_join(df, mapping.select(name, idx), [name], "inner", spread or [name])
+    return df.join(mapping.select(name, idx), name)
 
 
 def recommendation_text(recs: DataFrame, users: DataFrame, songs: DataFrame, n: int | None = 20) -> DataFrame:
@@ -113,11 +118,11 @@ def ranking_candidates(
     positives: DataFrame,
     n_songs: int,
     known: DataFrame | None = None,
-    n_users: int = 500,
+    n_users: int | None = 500,
     n_neg: int = 99,
     seed: int = 42,
 ) -> DataFrame:
-    """One positive and up to ``n_neg`` unseen songs for sampled users.
+    """One positive and up to ``n_neg`` unseen songs for sampled users, all for ``n_users=None``.
 
     Each user walks the catalogue from a random start with a random step,
     modulo a prime, so it meets every song once. Visiting ``n_neg`` songs more
@@ -126,9 +131,9 @@ def ranking_candidates(
     training positives.
     """
     prime = next_prime(n_songs)
-    users = F.broadcast(
-        positives.select("user_idx").distinct().orderBy(stable_hash(seed, "user_idx"), "user_idx").limit(n_users)
-    )
+    users = positives.select("user_idx").distinct()
+    if n_users is not None:
+        users = users.orderBy(stable_hash(seed, "user_idx"), "user_idx").limit(n_users)
     one = W.partitionBy("user_idx").orderBy(stable_hash(seed, "user_idx", "song_idx"), "song_idx")
     chosen = (
         positives.select("user_idx", "song_idx")
@@ -208,16 +213,14 @@ def hit_rate_at_k(
     n_songs: int,
     known: DataFrame | None = None,
     k: int = 10,
-    n_users: int = 500,
+    n_users: int | None = 500,
     n_neg: int = 99,
     seed: int = 42,
 ) -> DataFrame:
     """M20 for any score table, by (user_idx, song_idx) or by song_idx only."""
     candidates = ranking_candidates(positives, n_songs, known, n_users, n_neg, seed)
     on = [c for c in ("user_idx", "song_idx") if c in scores.columns]
-    # At most n_users * (n_neg + 1) candidate rows.
-    wanted = scores.join(F.broadcast(candidates.select(*on).distinct()), on, "left_semi")
-    scored = candidates.join(wanted, on, "left")
+    scored = candidates.join(scores.select(*on, "score"), on, "left")
     return hit_rate(scored.withColumn("score", F.coalesce(F.col("score").cast("double"), F.lit(0.0))), k)
 
 

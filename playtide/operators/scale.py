@@ -9,28 +9,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-SALTS = 64
-HOT_KEYS = 256
-HOT_ROWS = 1_000_000
-BROADCAST_ROWS = 100_000
-
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, taken from ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a temporary folder.
     """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    local = spark.sparkContext.master.startswith("local")
     if configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(configured)
+        if configured.startswith("file:") and not local:
+            raise ValueError("spark.checkpoint.dir must not be a folder of one machine")
         return configured
-    if not sc.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="playtide-")
-    sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir()
+    return tempfile.mkdtemp(prefix="playtide-")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -50,59 +43,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def heavy_keys(df: DataFrame, on: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The ``HOT_KEYS`` keys with most rows, of those with ``min_rows`` or more; None if there are none.
-
-    A key left out holds less than ``1 / HOT_KEYS`` of all rows or fewer than
-    ``min_rows``. The limit bounds the result whatever the input.
-    """
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= min_rows)
-    top = counts.orderBy(F.desc("_rows"), *on).limit(HOT_KEYS).select(*on)
-    found = top.collect()
-    return df.sparkSession.createDataFrame(found, top.schema) if found else None
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """``df`` with a broadcast hint when it has at most ``max_rows`` rows, else None."""
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else None
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str,
-    spread: Sequence[str],
-    salts: int = SALTS,
-    min_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """Equi-join whose left side may have hot keys.
-
-    Rows of a hot key get a salt from a hash of ``spread``; only the matching
-    right rows are repeated, once per salt. Other keys are joined as usual.
-    A null key counts as hot too when it fills many rows; such rows match
-    nothing, so the salt only spreads them. Without hot keys this is a plain
-    join. ``counted`` is a cheaper table to find hot keys in.
-    """
-    on = list(on)
-    hot = heavy_keys(left if counted is None else counted, on, min_rows)
-    if hot is None:
-        return left.join(right, on, how)
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    no_key = F.lit(False)
-    for key in on:
-        no_key = no_key | F.col(key).isNull()
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    salted_left = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, salt).otherwise(0)
-    )
-    repeats = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.join(hot, on, "left").withColumn("_salt", F.explode(repeats)).drop("_hot")
-    return salted_left.join(salted_right, on + ["_salt"], how).drop("_salt", "_hot")
-
-
 def global_positions(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
     """Zero-based rank of every row in the global order, without a one-task window.
 
@@ -161,15 +101,17 @@ def exact_percentile(df: DataFrame, col: str, fraction: float) -> float | None:
     """Percentile with linear interpolation.
 
     The built-in ``percentile`` keeps every distinct value of the column in one
-    buffer; here only the two rows around the wanted rank leave the sort.
+    buffer. Here equal values are counted first, on the map side too, so a value
+    that fills the table is one row; running totals over the sorted counts then
+    show the two values around the wanted rank.
     """
-    ranked = global_positions(df.select(col).filter(F.col(col).isNotNull()), [col])
-    count = ranked.count()
-    if count == 0:
+    counted = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    ranges = stored_ranges(counted.withColumn("_all", F.lit(0)), col)
+    count = ranges.agg(F.sum("n")).first()[0]
+    if count is None:
         return None
     rank = fraction * (count - 1)
     low, high = math.floor(rank), math.ceil(rank)
-    found = {
-        row["position"]: row[col] for row in ranked.filter(F.col("position").isin(low, high)).collect()
-    }
-    return float(found[low] + (rank - low) * (found[high] - found[low]))
+    running = running_totals(ranges, "_all", col, ["n"])
+    found = running.agg(*[F.min(F.when(F.col("running_n") > r, F.col(col))) for r in (low, high)]).first()
+    return float(found[0] + (rank - low) * (found[1] - found[0]))

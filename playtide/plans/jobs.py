@@ -14,7 +14,7 @@ from playtide.sources import layers, runlog
 SPLIT = {"train": 0.70, "val": 0.15, "test": 0.15}
 
 
-def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, lateness: int = 0) -> bool:
+def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, lateness: int | None = None) -> bool:
     """Clean what bronze has beyond silver and append it; False when bronze is not there yet."""
     raw = layers.read_layer(spark, bronze)
     if raw is None:
@@ -35,7 +35,7 @@ def write_rankings(spark: SparkSession, silver: str, gold: str) -> bool:
 
 def dense_matrix(events: DataFrame, min_plays: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Encoded interactions with their user and song ids, stored once for all readers."""
-    matrix = cut_lineage(interactions.interaction_matrix(events, min_plays))
+    matrix = interactions.interaction_matrix(events, min_plays)
     users = interactions.dense_ids(matrix, "userId", "user_idx")
     songs = interactions.dense_ids(matrix, "song", "song_idx")
     return cut_lineage(interactions.encode_interactions(matrix, users, songs)), users, songs

@@ -75,15 +75,17 @@ def uniform(*parts: str) -> str:
 
 NEGATIVES = f"""
 pairs AS (SELECT DISTINCT user_idx, song_idx FROM encoded),
+unseen AS (
+  SELECT user_idx, song_idx, row_number() OVER (PARTITION BY user_idx ORDER BY song_idx) - 1 AS place,
+    count(*) OVER (PARTITION BY user_idx) AS size
+  FROM (SELECT user_idx, song_idx FROM (SELECT DISTINCT user_idx FROM pairs), songs) ANTI JOIN pairs USING (user_idx, song_idx)),
+sizes AS (SELECT DISTINCT user_idx, size FROM unseen),
 draws AS (
-  SELECT user_idx, song_idx AS pos_song, draw,
-    CAST({hash60("'42'", "user_idx", "song_idx", "draw")} % (SELECT count(*) FROM songs) AS INTEGER) AS song_idx
-  FROM pairs, (SELECT unnest(range(1, 41)) AS draw)),
-fresh AS (
-  SELECT *, row_number() OVER (PARTITION BY user_idx, pos_song ORDER BY draw) AS rank
-  FROM draws ANTI JOIN pairs USING (user_idx, song_idx)),
+  SELECT user_idx, {hash60("'42'", "user_idx", "song_idx", "draw")} % size AS place
+  FROM pairs JOIN sizes USING (user_idx) CROSS JOIN (SELECT unnest(range(1, 5)) AS draw)),
 negatives AS (
-  SELECT user_idx, song_idx, CAST(0 AS BIGINT) AS play_count, CAST(0.0 AS DOUBLE) AS label FROM fresh WHERE rank <= 4),
+  SELECT user_idx, song_idx, CAST(0 AS BIGINT) AS play_count, CAST(0.0 AS DOUBLE) AS label
+  FROM draws JOIN unseen USING (user_idx, place)),
 training AS (
   SELECT user_idx, song_idx, play_count, label FROM encoded UNION ALL SELECT * FROM negatives)
 """
@@ -295,12 +297,36 @@ def closed_windows(seconds: int, columns: str, keys: str, where: str = "TRUE") -
     )
 
 
+SCORED = """
+rated AS (SELECT "userId", "sessionId", abs(session_length - (SELECT avg(session_length) FROM sequences)) AS e FROM sequences),
+limits AS (SELECT quantile_cont(e, 0.95) AS t FROM rated)"""
+
+STORED_PART = """part AS (
+  SELECT "itemInSession" AS item, ts FROM raw WHERE ts <= (SELECT middle FROM mid) AND "itemInSession" % 7 <> 0)"""
+
+
 def statements() -> dict[str, str]:
     """Query name to SQL."""
     dense_events = (EVENT_PLAYS, MATRIX, ENCODED)
     train_parts = f"""
 marked AS (SELECT *, {split_case(uniform("'42'", "user_idx", "song_idx"), HOLDOUT)} AS split FROM encoded),
 train AS (SELECT * FROM marked WHERE split = 'train'), test AS (SELECT * FROM marked WHERE split = 'test')"""
+    hit_rate = (
+        train_parts,
+        candidates("test", "SELECT user_idx, song_idx FROM train"),
+        """popularity AS (SELECT song_idx, CAST(sum(play_count) AS DOUBLE) AS score FROM train GROUP BY 1),
+        ranked AS (SELECT user_idx, is_positive,
+          row_number() OVER (PARTITION BY user_idx ORDER BY coalesce(score, 0.0) DESC, song_idx) AS rank
+          FROM candidates LEFT JOIN popularity USING (song_idx))""",
+    )
+    hit_rate_body = """SELECT count(*) AS users, count(*) FILTER (rank <= 10) AS hits,
+        avg(CASE WHEN rank <= 10 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS hit_rate FROM ranked WHERE is_positive = 1"""
+    own_top = """best AS (SELECT "userId", user_idx, song, play_count,
+        row_number() OVER (PARTITION BY user_idx ORDER BY play_count DESC, song_idx) AS rank FROM encoded
+        QUALIFY rank <= 10)"""
+    scored_body = """SELECT "userId", "sessionId", CAST(e > t AS INTEGER) AS is_anomaly, round(e, 9) AS recon_error,
+        round(least(greatest(CASE WHEN t > 0 THEN e / t WHEN e > 0 THEN 5.0::DOUBLE ELSE 0.0::DOUBLE END, 0), 5), 9) AS anomaly_score
+        FROM rated, limits"""
     agents = "count(*) AS events FROM silver GROUP BY ALL"
     return {
         "parse_events": with_events(
@@ -323,13 +349,35 @@ train AS (SELECT * FROM marked WHERE split = 'train'), test AS (SELECT * FROM ma
             CASE WHEN "userAgent" IS NOT NULL AND os = 'Unknown' THEN '' ELSE os END AS os, {agents}"""
         ),
         "incremental_filter": with_events(
-            body="""SELECT "userId", ts, "sessionId", page FROM raw
-            WHERE ts > (SELECT max(ts) FROM raw WHERE ts <= (SELECT middle FROM mid))"""
+            STORED_PART,
+            body="""SELECT "userId", ts, "sessionId", page FROM raw WHERE "itemInSession" NOT IN (SELECT item FROM part)""",
         ),
         "incremental_filter_late": with_events(
-            body="""SELECT "userId", ts, "sessionId", page FROM raw
-            WHERE NOT (ts <= (SELECT middle FROM mid) AND page <> 'NextSong')
-            QUALIFY row_number() OVER (PARTITION BY "userId", ts, "sessionId" ORDER BY "itemInSession", page, song) = 1"""
+            STORED_PART,
+            body=f"""SELECT "userId", ts, "sessionId", page FROM raw WHERE "itemInSession" NOT IN (SELECT item FROM part)
+            AND ts > (SELECT max(ts) FROM part) - {3 * DAY_MS}""",
+        ),
+        "increment_report": with_events(
+            STORED_PART,
+            f"""fresh AS (SELECT ts > (SELECT max(ts) FROM part) - {3 * DAY_MS} AS recent FROM raw
+              WHERE "itemInSession" NOT IN (SELECT item FROM part))""",
+            body="""SELECT (SELECT count(*) FROM raw) AS total, count(*) FILTER (recent) AS taken,
+            count(*) FILTER (NOT recent) AS too_late, (SELECT count(*) FROM raw) - count(*) AS known FROM fresh""",
+        ),
+        "parse_damaged_events": with_events(
+            body="""SELECT ts, "userId", "sessionId", page, "itemInSession" FROM raw
+            WHERE "itemInSession" % 10 <> 0 AND "itemInSession" % 11 <> 0"""
+        ),
+        "rejected_events": with_events(
+            body="""SELECT "itemInSession" FROM raw WHERE "itemInSession" % 10 = 0 OR "itemInSession" % 11 = 0"""
+        ),
+        "require_fields": with_events(
+            body="""SELECT ts, "userId", "itemInSession" FROM raw
+            WHERE "itemInSession" % 9 <> 0 AND "itemInSession" % 10 <> 0 AND "itemInSession" % 13 <> 0"""
+        ),
+        "require_fields_blank": with_events(
+            body="""SELECT ts, CASE WHEN "itemInSession" % 10 = 0 THEN '' ELSE "userId" END AS "userId", "itemInSession"
+            FROM raw WHERE "itemInSession" % 9 <> 0 AND "itemInSession" % 13 <> 0"""
         ),
         "null_profile": with_events(
             body="""SELECT "column", nulls, total FROM (
@@ -374,6 +422,27 @@ train AS (SELECT * FROM marked WHERE split = 'train'), test AS (SELECT * FROM ma
             body="""SELECT artist, count(*) AS play_count FROM silver WHERE song IS NOT NULL AND artist IS NOT NULL
             GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
         ),
+        "top_artists_orders": with_orders(
+            body="SELECT artist, count(*) AS play_count FROM plays GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"
+        ),
+        "top_songs_per_hour": with_events(
+            body=f"""SELECT {text_time("b")} AS bucket, song, artist, plays FROM (
+            SELECT time_bucket(INTERVAL 1 HOUR, event_time) AS b, song, artist, count(*) AS plays FROM silver
+            WHERE song IS NOT NULL AND artist IS NOT NULL GROUP BY ALL)
+            QUALIFY row_number() OVER (PARTITION BY b ORDER BY plays DESC, song, artist) <= 10"""
+        ),
+        "stream_top_songs": with_events(
+            body=f"""SELECT {text_time("b")} AS bucket, song, artist, plays FROM (
+            SELECT time_bucket(INTERVAL 1 HOUR, event_time) AS b, song, artist, count(*) AS plays FROM silver
+            WHERE song IS NOT NULL AND artist IS NOT NULL GROUP BY ALL)
+            WHERE b + INTERVAL 1 HOUR <= {CLOSED}
+            QUALIFY row_number() OVER (PARTITION BY b ORDER BY plays DESC, song, artist) <= 10"""
+        ),
+        "stream_kpis": closed_windows(
+            3600,
+            "count(*) AS streams, round(count(*) FILTER (level = 'paid') * 100.0::DOUBLE / count(*), 9) AS paid_pct",
+            "",
+        ),
         "top_songs_orders": with_orders(
             body="""SELECT artist, song, count(*) AS play_count FROM plays GROUP BY ALL
             ORDER BY play_count DESC, artist, song LIMIT 100"""
@@ -413,6 +482,7 @@ train AS (SELECT * FROM marked WHERE split = 'train'), test AS (SELECT * FROM ma
         ),
         "interaction_matrix": with_events(EVENT_PLAYS, MATRIX, body="SELECT * FROM matrix"),
         "interaction_matrix_orders": with_orders(MATRIX, body="SELECT * FROM matrix"),
+        "interaction_matrix_active": with_orders(MATRIX.replace(">= 2", ">= 30"), body="SELECT * FROM matrix"),
         "matrix_stats": with_orders(
             MATRIX,
             body="""SELECT count(DISTINCT "userId") AS users, count(DISTINCT song) AS songs, count(*) AS interactions,
@@ -429,6 +499,13 @@ train AS (SELECT * FROM marked WHERE split = 'train'), test AS (SELECT * FROM ma
         "id_mapping": "SELECT c_nationkey AS idx, min(c_name) AS c_name FROM customer GROUP BY 1",
         "encode_interactions": with_events(*dense_events, body="SELECT * FROM encoded"),
         "negative_samples": with_events(*dense_events, NEGATIVES, body="SELECT * FROM negatives"),
+        "negative_samples_dense": with_orders(
+            MATRIX.replace("FROM plays", "FROM (SELECT * REPLACE (artist AS song) FROM plays)"),
+            ENCODED,
+            NEGATIVES,
+            body="""SELECT user_idx, count(*) AS rows, CAST(sum(song_idx) AS BIGINT) AS song_idx_sum
+            FROM negatives GROUP BY 1""",
+        ),
         "training_set": with_events(*dense_events, NEGATIVES, body="SELECT * FROM training"),
         "training_set_orders": with_orders(
             MATRIX,
@@ -453,27 +530,76 @@ train AS (SELECT * FROM marked WHERE split = 'train'), test AS (SELECT * FROM ma
             candidates("encoded", "SELECT user_idx, song_idx FROM encoded"),
             body="SELECT * FROM candidates",
         ),
-        "hit_rate_at_k": with_events(
-            *dense_events,
-            train_parts,
-            candidates("test", "SELECT user_idx, song_idx FROM train"),
-            """popularity AS (SELECT song_idx, CAST(sum(play_count) AS DOUBLE) AS score FROM train GROUP BY 1),
-            ranked AS (SELECT user_idx, is_positive,
-              row_number() OVER (PARTITION BY user_idx ORDER BY coalesce(score, 0.0) DESC, song_idx) AS rank
-              FROM candidates LEFT JOIN popularity USING (song_idx))""",
-            body="""SELECT count(*) AS users, count(*) FILTER (rank <= 10) AS hits,
-            avg(CASE WHEN rank <= 10 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS hit_rate FROM ranked WHERE is_positive = 1""",
-        ),
-        "popularity_top_k": with_events(
+        "ranking_candidates_orders": with_orders(
+            MATRIX,
+            ENCODED,
+            candidates("encoded", "SELECT user_idx, song_idx FROM encoded"),
+            body="SELECT * FROM candidates",
+        ),
+        "hit_rate_at_k": with_events(*dense_events, *hit_rate, body=hit_rate_body),
+        "hit_rate_orders": with_orders(MATRIX, ENCODED, *hit_rate, body=hit_rate_body),
+        "own_plays_top_k": with_events(
             *dense_events,
             body="""SELECT "userId", CAST(rank AS INTEGER) AS rank, song, score FROM (
             SELECT "userId", song, play_count AS score,
               row_number() OVER (PARTITION BY user_idx ORDER BY play_count DESC, song_idx) AS rank FROM encoded)
             WHERE rank <= 10""",
         ),
-        "decode_ids": """SELECT l_partkey AS song_idx, l_orderkey, l_linenumber,
-            coalesce(p_name, 'song_' || l_partkey) AS song
-            FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_retailprice > 1000) ON l_partkey = p_partkey""",
+        "decode_ids": """SELECT l_partkey + l_suppkey AS song_idx, l_orderkey, l_linenumber,
+            coalesce(p_name, 'song_' || (l_partkey + l_suppkey)) AS song
+            FROM lineitem LEFT JOIN part ON l_partkey + l_suppkey = p_partkey""",
+        "recommendation_text": with_events(
+            *dense_events,
+            own_top,
+            body="""SELECT "userId", string_agg(printf('%d. %s (%.2f)', rank, song, play_count::DOUBLE), chr(10) ORDER BY rank) AS recommended
+            FROM best WHERE user_idx < 20 GROUP BY "userId" """,
+        ),
+        "lookup_recommendations": with_events(
+            *dense_events,
+            own_top,
+            body="""SELECT "userId", CAST(rank AS INTEGER) AS rank, song, CAST(play_count AS FLOAT) AS score FROM best WHERE "userId" =
+            (SELECT "userId" FROM encoded GROUP BY 1 ORDER BY sum(play_count) DESC, 1 LIMIT 1)""",
+        ),
+        "evaluate_scores_lines": """WITH scored AS (
+            SELECT l_returnflag = 'R' AS positive, CAST(l_extendedprice AS DOUBLE) AS score FROM lineitem),
+            steps AS (SELECT score, count(*) FILTER (positive) AS pos, count(*) FILTER (NOT positive) AS neg FROM scored GROUP BY 1),
+            below AS (SELECT *, sum(neg) OVER (ORDER BY score) - neg AS lower FROM steps)
+            SELECT (SELECT round(avg(CAST((score >= 40000.0::DOUBLE) = positive AS DOUBLE)), 9) FROM scored) AS accuracy,
+            round(sum(pos * (lower + neg / 2::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg)), 9) AS auc FROM below""",
+        "score_columns": with_events(sequences("silver"), SCORED, body=scored_body),
+        "lookup_anomaly": with_events(
+            sequences("silver"), SCORED, body=scored_body + ' WHERE "sessionId" = (SELECT max("sessionId") FROM silver)'
+        ),
+        "ks_drift_missing": with_events(
+            DRIFT.replace("CAST(thumbs_up AS DOUBLE) AS value, 'cur'", "CAST(NULL AS DOUBLE) AS value, 'cur'").replace(
+                "FROM long GROUP BY feature", "FROM long WHERE value IS NOT NULL GROUP BY feature"
+            ),
+            body="""SELECT feature, CASE WHEN n_cur > 0 THEN p_value < 0.05 END AS drift, n_ref, n_cur,
+            CASE WHEN n_cur > 0 THEN round(ks_statistic, 9) END AS ks_statistic,
+            CASE WHEN n_cur > 0 THEN round(p_value, 9) END AS p_value, round(cur_mean, 9) AS cur_mean FROM drift""",
+        ),
+        "stable_sample_customers": f"""SELECT c_custkey, c_name FROM customer
+            ORDER BY {hash60("'42'", "c_custkey")}, c_custkey LIMIT 500""",
+        "lookup_churn": with_events(
+            SHARES,
+            body=f"""SELECT "userId" || '/' || level AS "userId", churn_prob, churn_prob > 0.5::DOUBLE AS is_churn,
+            {tier(False)} AS risk_level FROM scored ORDER BY 1 LIMIT 1""",
+        ),
+        "validation_verdict": """WITH runs AS (
+            SELECT avg(CAST(o_totalprice > (SELECT avg(o_totalprice) FROM orders) AS DOUBLE)) AS auc FROM orders GROUP BY o_orderpriority),
+            stats AS (SELECT avg(auc) AS m, stddev_samp(auc) AS s, min(auc) AS lo, max(auc) AS hi FROM runs)
+            SELECT CASE WHEN s > 0.08 THEN 'reject: unstable' WHEN m < 0.55 THEN 'reject: no signal' ELSE 'accept' END AS verdict,
+            round(m, 9) AS mean_auc, round(s, 9) AS std_auc, round(lo, 9) AS min_auc, round(hi, 9) AS max_auc FROM stats""",
+        "layer_stats": with_events(
+            """layers AS (SELECT 'all' AS layer, ts FROM raw UNION ALL
+              SELECT 'half', ts FROM raw WHERE ts <= (SELECT middle FROM mid))""",
+            body="""SELECT layer, count(*) AS rows, max(ts) AS newest_ms,
+            round(count(*) / ((max(ts) - min(ts)) / 60000::DOUBLE), 6) AS events_per_minute,
+            (SELECT max(ts) FROM raw) - max(ts) AS lag_ms FROM layers GROUP BY layer""",
+        ),
+        "layer_round_trip": with_events(
+            body='SELECT page, count(*) AS events, CAST(sum("itemInSession") AS BIGINT) AS items FROM raw GROUP BY page'
+        ),
         "encode_names": with_orders(
             body="""SELECT song, "userId", play_count, song_idx FROM
             (SELECT "userId", song, count(*) AS play_count FROM plays GROUP BY ALL) JOIN

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from playtide.functions.columns import risk_level
 from playtide.operators import (
@@ -33,8 +33,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 PARTS = {"train": 0.70, "val": 0.15, "test": 0.15}
 HOLDOUT = {"train": 0.8, "test": 0.2}
 PAIR = ["user_idx", "song_idx"]
-# The test sessions are short, so fewer components than the default leave an error to score.
-COMPONENTS = 4
 
 
 def text_time(c: str | Column) -> Column:
@@ -94,20 +92,61 @@ def parse_user_agent_blank(spark, sf):
     ).agg(F.count(F.lit(1)).alias("events"))
 
 
+def _stored_part(raw: DataFrame) -> DataFrame:
+    """What silver holds: the first half of the log but for every seventh event, which arrives late."""
+    return raw.filter((F.col("ts") <= _middle(raw)) & (F.col("itemInSession") % 7 != 0))
+
+
 def incremental_filter(spark, sf):
+    """The default takes late rows and rows as old as the newest stored one."""
     raw = _raw(spark, sf)
-    stored = raw.filter(F.col("ts") <= _middle(raw))
-    return clean.incremental_filter(raw, stored).select("userId", "ts", "sessionId", "page")
+    return clean.incremental_filter(raw, _stored_part(raw)).select("userId", "ts", "sessionId", "page")
 
 
 def incremental_filter_late(spark, sf):
-    """Silver holds the first half but for its plays, which arrive late."""
+    """Late rows up to three days before the newest stored one."""
     raw = _raw(spark, sf)
-    stored = raw.filter((F.col("ts") <= _middle(raw)) & (F.col("page") != "NextSong"))
-    fresh = clean.incremental_filter(raw, stored, lateness=366 * adapters.DAY_MS)
+    fresh = clean.incremental_filter(raw, _stored_part(raw), lateness=3 * adapters.DAY_MS)
     return fresh.select("userId", "ts", "sessionId", "page")
 
 
+def increment_report(spark, sf):
+    raw = _raw(spark, sf)
+    return clean.increment_report(raw, _stored_part(raw), 3 * adapters.DAY_MS)
+
+
+def _damaged(raw: DataFrame) -> DataFrame:
+    """Payloads of which some are cut off and some have a time that is no number."""
+    whole = F.to_json(F.struct(*raw.columns))
+    cut = F.when(F.col("itemInSession") % 10 == 0, F.lit('{"ts": 17')).otherwise(whole)
+    value = F.when(F.col("itemInSession") % 11 == 0, F.lit('{"ts": "soon"}')).otherwise(cut)
+    return raw.select("itemInSession", value.alias("value"))
+
+
+def parse_damaged_events(spark, sf):
+    return ingest.parse_events(_damaged(_raw(spark, sf))).select("ts", "userId", "sessionId", "page", "itemInSession")
+
+
+def rejected_events(spark, sf):
+    return ingest.rejected_events(_damaged(_raw(spark, sf))).select("itemInSession")
+
+
+def _unnamed(raw: DataFrame) -> DataFrame:
+    """Events of which some have no user, a blank user or no time."""
+    item = F.col("itemInSession")
+    user = F.when(item % 9 == 0, F.lit(None)).when(item % 10 == 0, F.lit("")).otherwise(F.col("userId"))
+    return raw.withColumns({"userId": user, "ts": F.when(item % 13 != 0, F.col("ts"))})
+
+
+def require_fields(spark, sf):
+    return clean.require_fields(_unnamed(_raw(spark, sf))).select("ts", "userId", "itemInSession")
+
+
+def require_fields_blank(spark, sf):
+    kept = clean.require_fields(_unnamed(_raw(spark, sf)), drop_blank_users=False)
+    return kept.select("ts", "userId", "itemInSession")
+
+
 def null_profile(spark, sf):
     return quality.null_profile(_raw(spark, sf))
 
@@ -148,6 +187,20 @@ def top_artists(spark, sf):
     return listening.top_artists(listening.song_rankings(_silver(spark, sf)))
 
 
+def top_artists_orders(spark, sf):
+    return listening.top_artists(listening.song_rankings(adapters.order_plays(spark, sf)))
+
+
+def top_songs_per_hour(spark, sf):
+    """Ten most played songs of every hour."""
+    silver = _silver(spark, sf).filter(F.col("song").isNotNull() & F.col("artist").isNotNull())
+    trend = silver.groupBy(F.window("event_time", "1 hour").alias("w"), "song", "artist").agg(
+        F.count(F.lit(1)).alias("plays")
+    )
+    best = live.top_per_bucket(trend.select(F.col("w.start").alias("bucket"), "song", "artist", "plays"))
+    return best.withColumn("bucket", text_time("bucket"))
+
+
 def top_songs_orders(spark, sf):
     return quality.top_n(
         listening.song_rankings(adapters.order_plays(spark, sf)), 100, [F.desc("play_count"), "artist", "song"]
@@ -209,6 +262,11 @@ def interaction_matrix_orders(spark, sf):
     return interactions.interaction_matrix(adapters.order_plays(spark, sf))
 
 
+def interaction_matrix_active(spark, sf):
+    """Only users and parts with thirty order lines or more."""
+    return interactions.interaction_matrix(adapters.order_plays(spark, sf), min_plays=30)
+
+
 def matrix_stats(spark, sf):
     return interactions.matrix_stats(interactions.interaction_matrix(adapters.order_plays(spark, sf)))
 
@@ -241,6 +299,14 @@ def negative_samples(spark, sf):
     return interactions.negative_samples(positives, songs.count())
 
 
+def negative_samples_dense(spark, sf):
+    """Brands as songs: customers who know nearly all of them still get every negative they want."""
+    plays = adapters.order_plays(spark, sf).withColumn("song", F.col("artist"))
+    positives, _, songs = jobs.dense_matrix(plays)
+    found = interactions.negative_samples(positives, songs.count())
+    return found.groupBy("user_idx").agg(F.count(F.lit(1)).alias("rows"), F.sum("song_idx").alias("song_idx_sum"))
+
+
 def _training(spark, sf):
     positives, _, songs = jobs.dense_matrix(_silver(spark, sf))
     return interactions.training_set(positives, interactions.negative_samples(positives, songs.count()))
@@ -289,12 +355,25 @@ def hit_rate_at_k(spark, sf):
     return recommend.hit_rate_at_k(_popularity(train), test, songs.count(), known=train)
 
 
+def hit_rate_orders(spark, sf):
+    """Hit rate by popularity of 500 of the customers, with 99 unseen parts each."""
+    positives, _, songs = jobs.dense_matrix(adapters.order_plays(spark, sf))
+    split = interactions.hash_split(positives, PAIR, HOLDOUT)
+    train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
+    return recommend.hit_rate_at_k(_popularity(train), test, songs.count(), known=train)
+
+
+def ranking_candidates_orders(spark, sf):
+    positives, _, songs = jobs.dense_matrix(adapters.order_plays(spark, sf))
+    return recommend.ranking_candidates(positives, songs.count())
+
+
 def ranking_candidates(spark, sf):
     positives, _, songs = jobs.dense_matrix(_silver(spark, sf))
     return recommend.ranking_candidates(positives, songs.count())
 
 
-def popularity_top_k(spark, sf):
+def own_plays_top_k(spark, sf):
     """Ten best songs of every user by the user's own plays, decoded to names."""
     positives, users, songs = jobs.dense_matrix(_silver(spark, sf))
     best = recommend.top_k_scores(positives.select(*PAIR, F.col("play_count").alias("score")), 10)
@@ -305,15 +384,12 @@ def popularity_top_k(spark, sf):
 
 
 def decode_ids(spark, sf):
-    """Line items' parts decoded with the names of parts above 1,000; the rest get a placeholder."""
+    """Line items' suppliers decoded with the names of parts; numbers without a part get a placeholder."""
     lines = spark.read.parquet(f"{sf}/lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("song_idx")
+        "l_orderkey", "l_linenumber", (F.col("l_partkey") + F.col("l_suppkey")).alias("song_idx")
     )
     parts = spark.read.parquet(f"{sf}/part.parquet")
-    names = parts.filter(F.col("p_retailprice") > 1000).select(
-        F.col("p_partkey").alias("song_idx"), F.col("p_name").alias("song")
-    )
-    return recommend.decode_ids(lines, names, "song_idx", "song")
+    return recommend.decode_ids(lines, parts.select(F.col("p_partkey").alias("song_idx"), F.col("p_name").alias("song")), "song_idx", "song")
 
 
 def encode_names(spark, sf):
@@ -355,8 +431,31 @@ def session_stats(spark, sf):
     return sessions.session_stats(sessions.session_sequences(_silver(spark, sf)))
 
 
+def _user_vectors(spark, sf):
+    """One session per user, up to 50 events long."""
+    silver = _silver(spark, sf).withColumn("sessionId", F.lit(0).cast("long"))
+    return sessions.session_vectors(sessions.session_sequences(silver))
+
+
 def anomaly_scores(spark, sf):
-    return sessions.anomaly_scores(_vectors(spark, sf), k=COMPONENTS)
+    return sessions.anomaly_scores(_user_vectors(spark, sf))
+
+
+def score_columns(spark, sf):
+    """Flag and score of an error without a model: how far a session's length is from the mean."""
+    found = sessions.session_sequences(_silver(spark, sf)).select("userId", "sessionId", "session_length")
+    mean = found.agg(F.avg("session_length")).scalar()
+    rated = scale.cut_lineage(found.withColumn("recon_error", F.abs(F.col("session_length") - mean)))
+    threshold = scale.exact_percentile(rated, "recon_error", 0.95)
+    scored = rated.withColumns(sessions.score_columns(F.col("recon_error"), F.lit(threshold)))
+    rounded = [F.round(c, 9).alias(c) for c in ("recon_error", "anomaly_score")]
+    return scored.select("userId", "sessionId", "is_anomaly", *rounded)
+
+
+def lookup_anomaly(spark, sf):
+    """Scores of the newest session."""
+    newest = _silver(spark, sf).agg(F.max("sessionId")).first()[0]
+    return sessions.lookup_anomaly(newest, score_columns(spark, sf))
 
 
 def anomaly_share(spark, sf):
@@ -382,6 +481,16 @@ def ks_drift(spark, sf):
     return found.select("feature", "drift", "n_ref", "n_cur", *rounded)
 
 
+def ks_drift_missing(spark, sf):
+    """One feature has no value on the current side."""
+    silver = _silver(spark, sf)
+    baseline = features.user_features_monitor(silver.filter(F.col("ts") <= _middle(silver)))
+    current = features.user_features_monitor(silver).withColumn("thumbs_up", F.lit(None).cast("long"))
+    found = drift.ks_drift(baseline, current)
+    rounded = [F.round(c, 9).alias(c) for c in ("ks_statistic", "p_value", "cur_mean")]
+    return found.select("feature", "drift", "n_ref", "n_cur", *rounded)
+
+
 def _summary(spark, sf):
     return drift.drift_summary(_drift(spark, sf), "2024-01-31")
 
@@ -439,6 +548,26 @@ def top_at_risk(spark, sf):
     return churn.top_at_risk(scored)
 
 
+def stable_sample_customers(spark, sf):
+    people = spark.read.parquet(f"{sf}/customer.parquet")
+    return churn.stable_sample(people, ["c_custkey"], 500).select("c_custkey", "c_name")
+
+
+def lookup_churn(spark, sf):
+    """The first user of the list, by the score without a model."""
+    scored = _share_scores(spark, sf).withColumn("userId", F.concat_ws("/", "userId", "level"))
+    return churn.lookup_churn(scored.agg(F.min("userId")).first()[0], scored)
+
+
+def validation_verdict(spark, sf):
+    """Order priorities as runs, the share of orders above the mean price as their AUC."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    mean = orders.agg(F.avg("o_totalprice")).scalar()
+    runs = orders.groupBy("o_orderpriority").agg(F.avg((F.col("o_totalprice") > mean).cast("double")).alias("auc"))
+    found = churn.validation_verdict(runs)
+    return found.select("verdict", *[F.round(c, 9).alias(c) for c in ("mean_auc", "std_auc", "min_auc", "max_auc")])
+
+
 def stable_sample(spark, sf):
     return churn.stable_sample(_share_scores(spark, sf), ["userId", "level"], 500).select(
         "userId", "level", "total_songs", "churn_prob"
@@ -479,18 +608,34 @@ def als_hit_rate(spark, sf):
     return recommend.als_hit_rate(model, candidates)
 
 
+def _own_lists(positives: DataFrame) -> DataFrame:
+    """Each user's ten best songs by own plays, nested like a factor model's."""
+    best = recommend.top_k_scores(positives.select(*PAIR, F.col("play_count").alias("score")), 10)
+    entry = F.struct("rank", "song_idx", F.col("score").cast("float").alias("rating"))
+    nested = best.groupBy("user_idx").agg(F.sort_array(F.collect_list(entry)).alias("recommendations"))
+    return nested.withColumn("recommendations", F.transform("recommendations", lambda r: F.struct(r["song_idx"].alias("song_idx"), r["rating"].alias("rating"))))
+
+
 def recommendation_text(spark, sf):
-    model, _, _, users, songs = _als(spark, sf)
-    recs = scale.cut_lineage(recommend.recommend_all(model, 10))
-    return recommend.recommendation_text(recs, users, songs, 20)
+    """The lists of the first twenty users as text."""
+    positives, users, songs = jobs.dense_matrix(_silver(spark, sf))
+    return recommend.recommendation_text(_own_lists(positives), users, songs, 20)
 
 
 def lookup_recommendations(spark, sf):
-    """Recommendations of the user with the most plays."""
+    """The list of the user with the most plays."""
+    positives, users, songs = jobs.dense_matrix(_silver(spark, sf))
+    busiest = positives.groupBy("userId").agg(F.sum("play_count").alias("n")).orderBy(F.desc("n"), "userId").first()["userId"]
+    own = positives.filter(F.col("userId") == busiest)
+    return recommend.lookup_recommendations(busiest, _own_lists(own), users, songs, 10)
+
+
+def als_lookup(spark, sf):
+    """Factor model: only the looked-up user is scored."""
     model, train, _, users, songs = _als(spark, sf)
-    recs = recommend.recommend_all(model, 10)
-    busiest = train.groupBy("userId").agg(F.sum("play_count").alias("n")).orderBy(F.desc("n"), "userId").first()
-    return recommend.lookup_recommendations(busiest["userId"], recs, users, songs, 10)
+    busiest = train.groupBy("userId").agg(F.sum("play_count").alias("n")).orderBy(F.desc("n"), "userId").first()["userId"]
+    recs = recommend.recommend_users(model, users.filter(F.col("userId") == busiest), 10)
+    return recommend.lookup_recommendations(busiest, recs, users, songs, 10)
 
 
 def evaluate_scores(spark, sf):
@@ -508,6 +653,14 @@ def evaluate_scores(spark, sf):
     return found.select(F.round("accuracy", 9).alias("accuracy"), F.round("auc", 9).alias("auc"))
 
 
+def evaluate_scores_lines(spark, sf):
+    """Line prices as a score of returned lines: tens of thousands of distinct scores."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    scored = lines.select((F.col("l_returnflag") == "R").cast("double").alias("label"), F.col("l_extendedprice").cast("double").alias("score"))
+    found = recommend.evaluate_scores(scored, limit=40_000.0)
+    return found.select(F.round("accuracy", 9).alias("accuracy"), F.round("auc", 9).alias("auc"))
+
+
 def _churn_table(spark, sf):
     return scale.cut_lineage(features.churn_label(features.user_features_v1(_silver(spark, sf)), "v1"))
 
@@ -543,13 +696,18 @@ def compare_feature_sets(spark, sf):
 
 
 def layer_stats(spark, sf):
-    stats = layers.layer_stats(spark, {"events": f"{sf}/events.parquet", "orders": f"{sf}/orders.parquet"})
-    return stats.select("layer", "files", "size_mb", "status")
+    """Rows, newest event and events per minute of the raw events and of their first half."""
+    raw = _raw(spark, sf)
+    tables = {"all": raw, "half": raw.filter(F.col("ts") <= _middle(raw))}
+    return quality.layer_rates(tables)
 
 
-def output_status(spark, sf):
-    names = ["events", "orders", "lineitem", "recommendations"]
-    return layers.output_status(spark, {n: f"{sf}/{n}.parquet" for n in names})
+def layer_round_trip(spark, sf):
+    """Two increments appended to a layer by page and read back as one."""
+    raw, out = _raw(spark, sf), scale.new_folder(spark, "layer")
+    layers.append_layer(raw.filter(F.col("ts") <= _middle(raw)), out)
+    layers.append_layer(raw.filter(F.col("ts") > _middle(raw)), out)
+    return layers.read_layer(spark, out).groupBy("page").agg(F.count(F.lit(1)).alias("events"), F.sum("itemInSession").alias("items"))
 
 
 def latest_metrics(spark, sf):
@@ -610,6 +768,15 @@ def stream_trending(spark, sf):
 
 def stream_kpis(spark, sf):
     rows = _stream_to_files(spark, live.stream_kpis(_live_silver(spark, sf)), "kpis")
+    # Users and songs are sketches.
+    return rows.select(text_time("bucket").alias("bucket"), "streams", F.round("paid_pct", 9).alias("paid_pct"))
+
+
+def stream_top_songs(spark, sf):
+    """Top ten of every closed hour, written per micro-batch."""
+    out = scale.new_folder(spark, "top")
+    _finish(live.write_top(live.stream_trending(_live_silver(spark, sf)), f"{out}/rows", f"{out}/checkpoint", every=None))
+    rows = spark.read.schema("bucket timestamp, song string, artist string, plays long").parquet(f"{out}/rows/epoch=*")
     return rows.withColumn("bucket", text_time("bucket"))
 
 
@@ -626,19 +793,33 @@ def _longest(spark: SparkSession, out: str, schema: str) -> DataFrame:
     return clean.latest_per_key(rows, ["userId", "sessionId"], [F.desc("session_length")])
 
 
+def _in_files(spark: SparkSession, sf: str, out: str) -> DataFrame:
+    """The events as a stream of six files in time order, one per micro-batch."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    sixth = F.ntile(6).over(W.orderBy("hour"))
+    hours = events.select(F.date_trunc("hour", "ts").alias("hour")).distinct().withColumn("part", sixth)  # few rows
+    parts = events.withColumn("hour", F.date_trunc("hour", "ts")).join(hours, "hour").drop("hour")
+    for part in range(1, 7):
+        parts.filter(F.col("part") == part).drop("part").coalesce(1).write.parquet(f"{out}/part={part}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/part=*")
+    return clean.enrich_events(adapters.listening_events(stream))
+
+
 def stream_session_sequences(spark, sf):
     out = scale.new_folder(spark, "sequences")
-    _finish(live.stream_session_sequences(_live_silver(spark, sf), out, f"{out}/checkpoint", every=None))
-    rows = _longest(spark, out, "userId string, sessionId long, session_length long, page_seq array<int>")
+    silver = _in_files(spark, sf, f"{out}/events")
+    _finish(live.stream_session_sequences(silver, out, f"{out}/checkpoint", every=None))
+    rows = _longest(spark, out, live.SEQUENCES)
     return rows.withColumn("page_seq", F.concat_ws(",", F.transform("page_seq", lambda c: c.cast("string"))))
 
 
 def stream_session_scores(spark, sf):
     """Sessions in progress scored with a model fitted on the batch sessions."""
     vectors = scale.cut_lineage(_vectors(spark, sf))
-    model = sessions.fit_threshold(vectors, sessions.fit_session_model(vectors, COMPONENTS))
+    model = sessions.fit_threshold(vectors, sessions.fit_session_model(vectors, sessions.COMPONENTS))
     out = scale.new_folder(spark, "scores")
-    _finish(live.stream_session_scores(_live_silver(spark, sf), model, out, f"{out}/checkpoint", every=None))
+    silver = _in_files(spark, sf, f"{out}/events")
+    _finish(live.stream_session_scores(silver, model, out, f"{out}/checkpoint", every=None))
     return _longest(
         spark,
         out,
@@ -651,24 +832,28 @@ def registry() -> dict[str, Query]:
     """Query name to function."""
     names = """
         parse_events clean_events dedupe_events split_location parse_user_agent parse_user_agent_blank
-        incremental_filter incremental_filter_late null_profile layer_counts
+        incremental_filter incremental_filter_late increment_report parse_damaged_events rejected_events
+        require_fields require_fields_blank null_profile layer_counts
         song_rankings play_counts listening_kpis value_counts_gender value_counts_level trending velocity
-        top_artists top_songs_orders latest_events
+        top_artists top_artists_orders top_songs_per_hour top_songs_orders latest_events
         user_features_v1 user_features_v2 user_features_monitor latest_per_key
         churn_label_v1 churn_label_v3 label_comparison label_distribution label_disagreements
-        interaction_matrix interaction_matrix_orders matrix_stats dense_ids dense_ids_orders id_mapping hash_ids
-        encode_interactions negative_samples training_set training_set_orders hash_split stratified_split
-        stratified_split_exact class_balance hit_rate_at_k ranking_candidates popularity_top_k decode_ids
+        interaction_matrix interaction_matrix_orders interaction_matrix_active matrix_stats dense_ids dense_ids_orders id_mapping hash_ids
+        encode_interactions negative_samples negative_samples_dense training_set training_set_orders hash_split stratified_split
+        stratified_split_exact class_balance hit_rate_at_k hit_rate_orders ranking_candidates
+        ranking_candidates_orders own_plays_top_k decode_ids
         encode_names
-        session_sequences session_sequences_users session_vectors session_stats anomaly_scores anomaly_share
+        session_sequences session_sequences_users session_vectors session_stats anomaly_scores anomaly_share score_columns
+        lookup_anomaly
         exact_percentile
-        ks_drift drift_summary alerts
+        ks_drift ks_drift_missing drift_summary alerts
         risk_tiers churn_kpis histogram confusion_matrix top_at_risk stable_sample
+        stable_sample_customers lookup_churn validation_verdict
         als_recommendations als_recommendations_hashed als_rmse als_hit_rate recommendation_text
-        lookup_recommendations evaluate_scores
+        lookup_recommendations als_lookup evaluate_scores evaluate_scores_lines
         churn_predictions churn_evaluation feature_importance multi_seed_validation compare_feature_sets
-        layer_stats output_status latest_metrics
-        stream_ingest stream_silver stream_velocity stream_trending stream_kpis stream_closed_sessions
+        layer_stats layer_round_trip latest_metrics
+        stream_ingest stream_silver stream_velocity stream_trending stream_kpis stream_top_songs stream_closed_sessions
         stream_session_sequences stream_session_scores
     """
     return {name: globals()[name] for name in names.split()}

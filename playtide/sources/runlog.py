@@ -41,27 +41,36 @@ def latest_metric(spark: SparkSession, path: str, experiment: str, metric: str)
     return found[0]
 
 
-def _history(spark: SparkSession, path: str, days: int, today) -> DataFrame | None:
+SUMMARY = (
+    "date date, alpha double, n_baseline_users long, n_current_users long, dataset_drift boolean, drift_score double, "
+    "n_drifted_cols int, n_total_cols int, n_untested_cols int, drifted_columns array<string>, alert boolean, "
+    "hr10 double, churn_auc double, day date"
+)
+
+
+def _history(spark: SparkSession, path: str, days: int, today, schema: str) -> DataFrame | None:
+    """Rows of the last ``days`` day folders; the filter on the folder keeps the others unread."""
     try:
-        rows = spark.read.json(path)
+        rows = spark.read.schema(schema).json(path)
     except AnalysisException as error:
         if error.getCondition() in NOT_THERE_YET:
             return None
         raise
     until = F.current_date() if today is None else F.lit(today).cast("date")
-    day = F.col("date").cast("date")
-    return rows.withColumn("date", day).filter(
-        (F.col("date") > F.date_sub(until, days)) & (F.col("date") <= until)
-    )
+    return rows.filter((F.col("day") > F.date_sub(until, days)) & (F.col("day") <= until)).drop("day")
 
 
-def drift_history(spark: SparkSession, path: str, days: int = 30, today=None) -> DataFrame | None:
+def drift_history(
+    spark: SparkSession, path: str, days: int = 30, today=None, schema: str = SUMMARY
+) -> DataFrame | None:
     """Summaries of the last ``days`` days in date order; missing days are fine."""
-    rows = _history(spark, path, days, today)
+    rows = _history(spark, path, days, today, schema)
     return None if rows is None else rows.orderBy("date")
 
 
-def latest_report(spark: SparkSession, path: str, days: int = 7, today=None) -> DataFrame | None:
+def latest_report(
+    spark: SparkSession, path: str, days: int = 7, today=None, schema: str = SUMMARY
+) -> DataFrame | None:
     """Newest summary within ``days`` days."""
-    rows = _history(spark, path, days, today)
+    rows = _history(spark, path, days, today, schema)
     return None if rows is None else rows.orderBy(F.desc("date")).limit(1)

@@ -12,14 +12,13 @@ from playtide.schema import EVENT_SCHEMA
 def read_event_stream(spark: SparkSession, source: str = "kafka", path: str | None = None, **options) -> DataFrame:
     """Stream with a ``value`` column.
 
-    ``kafka`` reads a topic from its first offset, tolerates lost offsets and
-    takes at most 2,000 per trigger; ``text`` and other file formats read files
-    that arrive in ``path``.
+    ``kafka`` reads a topic from its first offset, takes all there is and fails on
+    lost offsets; ``maxOffsetsPerTrigger`` and ``failOnDataLoss`` are options.
+    ``text`` and other file formats read files that arrive in ``path``.
     """
     reader = spark.readStream.format(source)
     if source == "kafka":
-        defaults = {"startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "2000"}
-        options = {**defaults, **options}
+        options = {"startingOffsets": "earliest", **options}
     reader = reader.options(**options)
     return reader.load(path) if path else reader.load()
 

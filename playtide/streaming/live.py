@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from heapq import nsmallest
+from itertools import chain
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from playtide.functions.columns import page_code
 from playtide.operators.clean import enrich_events, require_fields
-from playtide.operators.quality import top_n
 from playtide.operators.sessions import SessionModel, reconstruction_error, score_columns, session_vectors
 from playtide.schema import EVENT_KEY, MAX_SESSION_LENGTH, SESSION_KEY
 from playtide.sources import layers
@@ -58,13 +61,17 @@ def stream_kpis(silver: DataFrame, width: str = "1 hour", lateness: str = "10 mi
     )
 
 
+def top_per_bucket(trend: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` most played songs of each bucket."""
+    best = W.partitionBy("bucket").orderBy(F.desc("plays"), "song", "artist")
+    return trend.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= n).drop("_rank")
+
+
 def write_top(trend: DataFrame, path: str, checkpoint: str, n: int = 10, every: str | None = "60 seconds"):
-    """Top ``n`` songs of each micro-batch's closed buckets, one folder per epoch."""
+    """Top ``n`` songs of every bucket that a micro-batch closes, one folder per epoch."""
 
     def save(batch: DataFrame, epoch: int) -> None:
-        top_n(batch, n, [F.desc("plays"), "song", "artist", "bucket"]).write.mode("overwrite").parquet(
-            f"{path}/epoch={epoch}"
-        )
+        top_per_bucket(batch, n).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
     return start_each_batch(trend, save, checkpoint, "append", every)
 
@@ -91,113 +98,52 @@ def closed_sessions(silver: DataFrame, gap: str = "30 minutes", lateness: str =
     )
 
 
-ENTRIES = "array<struct<ts:bigint,item:bigint,code:int>>"
-SESSIONS = (
-    f"userId string, sessionId bigint, session_length bigint, newest bigint, entries {ENTRIES}, "
-    "touched boolean, is_open boolean"
-)
+SEQUENCES = "userId string, sessionId bigint, session_length bigint, page_seq array<int>"
+SESSION_STATE = "session_length bigint, ts array<bigint>, item array<bigint>, code array<int>"
 
 
-def fold_sessions(events: DataFrame) -> DataFrame:
-    """Per session of a micro-batch: number of events, newest time, first 50 (time, item, code) entries.
+def _advance_session(key, batches, state) -> Iterator[pd.DataFrame]:
+    """The session's state after a micro-batch's events, and its sequence so far."""
+    length, entries = 0, []
+    if state.exists:
+        length, *columns = state.get
+        entries = list(zip(*columns))
+    for rows in batches:
+        length += len(rows)
+        entries = nsmallest(MAX_SESSION_LENGTH, chain(entries, zip(rows["ts"], rows["item"], rows["code"])))
+    ts, item, code = ([int(e[i]) for e in entries] for i in range(3))
+    state.update((int(length), ts, item, code))
+    yield pd.DataFrame({"userId": [key[0]], "sessionId": [key[1]], "session_length": [length], "page_seq": [code]})
 
-    Tasks send on at most 50 rows and one count per session, whatever its size.
-    """
-    known = events.filter(F.col("page").isNotNull() & F.col("sessionId").isNotNull()).select(
-        *SESSION_KEY, "ts", F.coalesce("itemInSession", F.lit(0)).alias("item"), page_code(F.col("page")).alias("code")
-    )
-    in_order = W.partitionBy(*SESSION_KEY).orderBy("ts", "item", "code")
-    head = known.withColumn("_at", F.row_number().over(in_order)).filter(F.col("_at") <= MAX_SESSION_LENGTH)
-    entries = head.groupBy(*SESSION_KEY).agg(
-        F.sort_array(F.collect_list(F.struct("ts", "item", "code"))).alias("entries")
-    )
-    counts = known.groupBy(*SESSION_KEY).agg(
-        F.count(F.lit(1)).alias("session_length"), F.max("ts").alias("newest")
-    )
-    return entries.join(counts, list(SESSION_KEY))
 
+def session_updates(silver: DataFrame) -> DataFrame:
+    """The length and first 50 page codes of every session touched by a micro-batch.
 
-def advance_sessions(
-    events: DataFrame, previous: DataFrame | None, gap_ms: int, lateness_ms: int = 600_000
-) -> DataFrame:
-    """Sessions after a micro-batch, from the ``previous`` ones and the batch's events.
-
-    ``touched`` marks sessions with events in this batch. ``is_open`` marks
-    those that had an event within the gap and the lateness before the newest
-    event; the others are forgotten with the next batch. Events later than the
-    lateness are dropped.
+    Keyed state holds one row of at most 50 entries per (user, session id), so a
+    session goes on where it was however long it rested and in whatever order its
+    events arrive. The cost of a micro-batch follows the sessions it touches.
     """
-    spark = events.sparkSession
-    before = spark.createDataFrame([], SESSIONS) if previous is None else previous.filter("is_open")
-    if previous is not None:
-        newest_before = previous.agg(F.max("newest")).scalar()
-        events = events.filter(F.col("ts") > F.coalesce(newest_before, F.lit(0)) - lateness_ms)
-    old = before.select(
+    known = silver.filter(F.col("page").isNotNull() & F.col("sessionId").isNotNull() & F.col("userId").isNotNull())
+    rows = known.select(
         *SESSION_KEY,
-        F.col("session_length").alias("_length"),
-        F.col("newest").alias("_newest"),
-        F.col("entries").alias("_entries"),
+        "ts",
+        F.coalesce("itemInSession", F.lit(0)).cast("long").alias("item"),
+        page_code(F.col("page")).cast("int").alias("code"),
     )
-    none = F.expr(f"CAST(array() AS {ENTRIES})")
-    both = F.concat(F.coalesce("_entries", none), F.coalesce("entries", none))
-    merged = fold_sessions(events).join(old, list(SESSION_KEY), "full").select(
-        *SESSION_KEY,
-        (F.coalesce("_length", F.lit(0)) + F.coalesce("session_length", F.lit(0))).alias("session_length"),
-        F.greatest("_newest", "newest").alias("newest"),
-        F.slice(F.sort_array(both), 1, MAX_SESSION_LENGTH).alias("entries"),
-        F.col("entries").isNotNull().alias("touched"),
+    return rows.groupBy(*SESSION_KEY).applyInPandasWithState(
+        _advance_session, SEQUENCES, SESSION_STATE, "update", GroupStateTimeout.NoTimeout
     )
-    newest = events.agg(F.max("ts")).scalar()
-    if previous is not None:
-        newest = F.greatest(newest, newest_before)
-    return merged.withColumn("is_open", F.col("newest") >= newest - (gap_ms + lateness_ms))
-
-
-def session_state_writer(
-    path: str,
-    on_update: Callable[[DataFrame, int], None],
-    gap_minutes: int = 30,
-    lateness_minutes: int = 10,
-) -> Callable[[DataFrame, int], None]:
-    """Micro-batch function: keeps the sessions as a table under ``path`` and hands on the touched ones.
-
-    Epochs take turns in two folders, each built from the other, so a repeated
-    epoch finds the same previous sessions and writes the same result.
-    """
-
-    def save(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            previous = layers.read_layer(spark, f"{path}/{(epoch - 1) % 2}") if epoch else None
-            current = advance_sessions(batch, previous, gap_minutes * 60_000, lateness_minutes * 60_000)
-            layers.replace_layer(current, f"{path}/{epoch % 2}")
-        finally:
-            batch.unpersist()
-        stored = spark.read.schema(SESSIONS).parquet(f"{path}/{epoch % 2}")
-        sequences = stored.filter("touched").select(
-            *SESSION_KEY, "session_length", F.col("entries.code").alias("page_seq")
-        )
-        on_update(sequences, epoch)
-
-    return save
 
 
 def stream_session_sequences(
-    silver: DataFrame,
-    path: str,
-    checkpoint: str,
-    gap_minutes: int = 30,
-    lateness_minutes: int = 10,
-    every: str | None = "60 seconds",
+    silver: DataFrame, path: str, checkpoint: str, every: str | None = "60 seconds"
 ) -> StreamingQuery:
     """The sequence so far of every session touched by a micro-batch, in ``path``/updates."""
 
     def write(sequences: DataFrame, epoch: int) -> None:
         layers.replace_layer(sequences, f"{path}/updates/epoch={epoch}")
 
-    save = session_state_writer(f"{path}/sessions", write, gap_minutes, lateness_minutes)
-    return start_each_batch(silver, save, checkpoint, "append", every)
+    return start_each_batch(session_updates(silver), write, checkpoint, "update", every)
 
 
 def score_sequences(sequences: DataFrame, model: SessionModel) -> DataFrame:
@@ -209,18 +155,11 @@ def score_sequences(sequences: DataFrame, model: SessionModel) -> DataFrame:
 
 
 def stream_session_scores(
-    silver: DataFrame,
-    model: SessionModel,
-    path: str,
-    checkpoint: str,
-    gap_minutes: int = 30,
-    lateness_minutes: int = 10,
-    every: str | None = "60 seconds",
+    silver: DataFrame, model: SessionModel, path: str, checkpoint: str, every: str | None = "60 seconds"
 ) -> StreamingQuery:
     """Scores of every session touched by a micro-batch, in ``path``/updates."""
 
     def write(sequences: DataFrame, epoch: int) -> None:
         layers.replace_layer(score_sequences(sequences, model), f"{path}/updates/epoch={epoch}")
 
-    save = session_state_writer(f"{path}/sessions", write, gap_minutes, lateness_minutes)
-    return start_each_batch(silver, save, checkpoint, "append", every)
+    return start_each_batch(session_updates(silver), write, checkpoint, "update", every)
