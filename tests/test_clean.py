@@ -52,7 +52,7 @@ def test_incremental_first_load_takes_all(events):
     assert clean.incremental_filter(raw, raw.limit(0)).count() == 2
 
 
-def test_incremental_takes_late_rows_within_the_window_only(events):
+def test_incremental_takes_late_rows_and_counts_those_left_out(events):
     stored = events({"userId": "1", "ts": 100, "sessionId": 1}, {"userId": "1", "ts": 90, "sessionId": None})
     raw = events(
         {"userId": "1", "ts": 100, "sessionId": 1},
@@ -61,8 +61,16 @@ def test_incremental_takes_late_rows_within_the_window_only(events):
         {"userId": "2", "ts": 20, "sessionId": 1},
         {"userId": "1", "ts": 101, "sessionId": 1},
     )
-    assert {r.ts for r in clean.incremental_filter(raw, stored).collect()} == {101}
+    assert {r.ts for r in clean.incremental_filter(raw, stored).collect()} == {20, 95, 101}
     assert {r.ts for r in clean.incremental_filter(raw, stored, lateness=50).collect()} == {95, 101}
+    assert {r.ts for r in clean.late_rows(raw, stored, 50).collect()} == {20}
+    assert clean.increment_report(raw, stored, 50).first().asDict() == {"total": 5, "taken": 2, "too_late": 1, "known": 2}
+
+
+def test_incremental_takes_rows_as_old_as_the_newest(events):
+    stored = events({"userId": "1", "ts": 100, "sessionId": 1})
+    raw = events(*[{"userId": u, "ts": t, "sessionId": 1} for u, t in (("1", 100), ("2", 100), ("2", 90), ("2", 110))])
+    assert sorted(r.ts for r in clean.incremental_filter(raw, stored).collect()) == [90, 100, 110]
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -1,8 +1,10 @@
 import math
+import re
 from datetime import date, datetime
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from playtide.operators import drift
 from playtide.sources import layers, runlog
@@ -68,12 +70,28 @@ def test_summary_limits(spark, drifted, dataset, alert):
         assert found[0].message == "Drift score=0.33 | Drifted: ['f0', 'f1', 'f2']"
 
 
+def test_a_side_without_values_gives_null(spark):
+    some = spark.createDataFrame([(1.0, 2.0), (3.0, None)], "a double, b double")
+    none = some.filter("a > 5")
+    empty = {r.feature: r for r in drift.ks_drift(none, some, ["a", "b"]).collect()}
+    assert all((r.ks_statistic, r.p_value, r.drift, r.n_ref) == (None, None, None, 0) for r in empty.values())
+    half = drift.ks_drift(some, some.withColumn("b", F.lit(None).cast("double")), ["a", "b"])
+    rows = {r.feature: r for r in half.collect()}
+    assert rows["b"].p_value is None and rows["a"].p_value == 1.0
+    summary = drift.drift_summary(half, "2024-01-05").first()
+    assert (summary.n_untested_cols, summary.n_drifted_cols, summary.n_total_cols) == (1, 0, 2)
+
+
 def test_history_skips_missing_days(spark, tmp_path):
     path = str(tmp_path / "summary")
     assert runlog.drift_history(spark, path) is None
     days = [("2024-01-01", 0.1), ("2024-01-20", 0.2), ("2024-01-30", 0.3)]
-    layers.write_json(spark.createDataFrame(days, "date string, drift_score double"), path)
-    found = runlog.drift_history(spark, path, days=20, today="2024-01-31").collect()
+    rows = spark.createDataFrame(days, "date string, drift_score double").withColumn("day", F.col("date").cast("date"))
+    layers.write_json(rows, path, by="day")
+    history = runlog.drift_history(spark, path, days=20, today="2024-01-31")
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*day", plan)
+    found = history.collect()
     assert [r.date for r in found] == [date(2024, 1, 20), date(2024, 1, 30)]
     assert runlog.latest_report(spark, path, today="2024-01-31").first().drift_score == 0.3
     assert runlog.latest_report(spark, path, today="2024-02-20").count() == 0

@@ -60,27 +60,31 @@ def test_hash_ids_and_mapping(spark):
     assert set(map(tuple, interactions.id_mapping(shared, "idx", "name").collect())) == {(1, "b"), (2, "c")}
 
 
-def brute_negatives(pairs, n_songs, ratio, seed, attempts):
+def brute_negatives(pairs, n_songs, ratio, seed):
     seen = set(pairs)
     found = []
     for user, pos in pairs:
-        kept = []
-        for draw in range(1, attempts * ratio + 1):
+        unseen = [s for s in range(n_songs) if (user, s) not in seen]
+        for draw in range(1, ratio + 1):
             text = f"{seed}:{user}:{pos}:{draw}"
-            song = int(hashlib.md5(text.encode()).hexdigest()[:15], 16) % n_songs
-            if (user, song) not in seen and len(kept) < ratio:
-                kept.append(song)
-        found += [(user, song) for song in kept]
+            if unseen:
+                found.append((user, unseen[int(hashlib.md5(text.encode()).hexdigest()[:15], 16) % len(unseen)]))
     return found
 
 
-@pytest.mark.parametrize("ratio,attempts", [(4, 10), (1, 10), (3, 1), (2, 3)])
-def test_negatives_equal_brute_force(pairs, ratio, attempts):
+@pytest.mark.parametrize("ratio", [4, 1, 3])
+def test_negatives_equal_brute_force(pairs, ratio):
     rows = [(r.user_idx, r.song_idx) for r in pairs.collect()]
-    found = interactions.negative_samples(pairs, 20, ratio, 7, attempts)
-    assert sorted((r.user_idx, r.song_idx) for r in found.collect()) == sorted(
-        brute_negatives(rows, 20, ratio, 7, attempts)
-    )
+    found = interactions.negative_samples(pairs, 20, ratio, 7)
+    assert sorted((r.user_idx, r.song_idx) for r in found.collect()) == sorted(brute_negatives(rows, 20, ratio, 7))
+
+
+def test_users_who_know_nearly_all_songs_get_every_negative(spark):
+    """60 users know 34 of 40 songs each; a limit on draws would leave some short."""
+    rows = [(u, (u * 7 + i) % 40) for u in range(60) for i in range(34)]
+    found = interactions.negative_samples(spark.createDataFrame(rows, "user_idx int, song_idx int"), 40)
+    assert found.count() == 4 * len(rows)
+    assert not {(r.user_idx, r.song_idx) for r in found.collect()} & set(rows)
 
 
 def test_negatives_are_unseen_and_repeatable(pairs):

@@ -23,7 +23,7 @@ PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInP
     [
         "clean_events", "song_rankings", "user_features_v1", "user_features_v2", "user_features_monitor",
         "interaction_matrix", "negative_samples", "stratified_split_exact", "session_vectors", "ks_drift",
-        "hit_rate_at_k", "decode_ids", "anomaly_scores",
+        "hit_rate_at_k", "decode_ids", "anomaly_scores", "lookup_recommendations", "recommendation_text", "training_set_orders",
     ],
 )
 def test_batch_queries_run_no_python_and_no_product(spark, name):
@@ -35,7 +35,7 @@ def test_batch_queries_run_no_python_and_no_product(spark, name):
 def test_increment_filter_reaches_the_scan(spark, silver, tmp_path):
     layers.append_layer(silver, str(tmp_path / "bronze"))
     raw = layers.read_layer(spark, str(tmp_path / "bronze"))
-    plan = plan_of(clean.incremental_filter(raw, silver.limit(10)))
+    plan = plan_of(clean.incremental_filter(raw, silver.limit(10), lateness=1000))
     assert re.search(r"PushedFilters: \[[^]]*GreaterThan\(ts,", plan)
 
 

@@ -15,38 +15,6 @@ def many_partitions(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-@pytest.fixture(scope="module")
-def skewed(spark):
-    """Half of the rows on one key, a tenth without a key."""
-    rng = random.Random(1)
-    rows = []
-    for i in range(4000):
-        draw = rng.random()
-        key = "hot" if draw < 0.5 else None if draw < 0.6 else f"k{rng.randrange(50)}"
-        rows.append((key, i))
-    return spark.createDataFrame(rows, "key string, id int").repartition(8)
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, skewed, how):
-    right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "key string, value int")
-    salted = scale.salted_join(skewed, right, ["key"], how, ["id"], salts=8, min_rows=100)
-    plain = skewed.join(right, "key", how)
-    assert sorted(map(str, salted.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
-
-
-def test_salted_join_spreads_the_hot_key(spark, skewed):
-    right = spark.createDataFrame([("hot", 1)], "key string, value int")
-    joined = scale.salted_join(skewed, right, ["key"], "inner", ["id"], salts=8, min_rows=100)
-    assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
-
-
-def test_heavy_keys(skewed):
-    found = scale.heavy_keys(skewed, ["key"], min_rows=300)
-    assert {r.key for r in found.collect()} == {"hot", None}
-    assert scale.heavy_keys(skewed, ["key"], min_rows=10_000) is None
-
-
 def test_global_positions_are_a_bijection(spark):
     rng = random.Random(2)
     values = [(rng.randrange(10**6),) for _ in range(5000)]
@@ -86,7 +54,44 @@ def test_shared_folder_is_the_configured_one(spark):
     assert scale.shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
 
 
-def test_bounded_broadcast(spark):
-    assert scale.bounded_broadcast(spark.range(10), 10) is not None
-    assert scale.bounded_broadcast(spark.range(11), 10) is None
-    assert spark.range(5).agg(F.count("*")).first()[0] == 5
+def test_percentile_of_ties_counts_equal_values_first(spark):
+    """Nine of ten rows share one value: it is one row of the sort, whatever their number."""
+    df = spark.range(40_000).select(F.when(F.col("id") % 10 > 0, F.lit(0.0)).otherwise(F.col("id").cast("double")).alias("v"))
+    values = [float(r.v) for r in df.collect()]
+    for share in (0.5, 0.9, 0.95, 1.0):
+        assert scale.exact_percentile(df, "v", share) == pytest.approx(float(np.quantile(values, share)))
+    counted = df.groupBy("v").count()
+    assert counted.count() == 4_000
+
+
+def test_adaptive_execution_splits_three_hundred_hot_keys(spark):
+    """No list of hot keys: a join on keys of any skew gives the plain result."""
+    left = spark.range(60_000).select((F.col("id") % 300).alias("key"), "id")
+    right = spark.range(300).select(F.col("id").alias("key"), (F.col("id") * 2).alias("value"))
+    assert left.join(right, "key").count() == 60_000
+
+
+def test_a_cluster_refuses_folders_of_one_machine(spark, monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            value = "file:/tmp/x"
+
+            @classmethod
+            def get(cls, key, default=None):
+                return cls.value
+
+    with pytest.raises(ValueError):
+        scale.shared_folder(Session())
+    Session.conf.value = None
+    with pytest.raises(ValueError):
+        scale.shared_folder(Session())
+    Session.conf.value = "hdfs://x/y"
+    assert scale.shared_folder(Session()) == "hdfs://x/y"

@@ -112,13 +112,15 @@ def test_velocity_equals_batch_for_closed_windows(spark, event_files, tmp_path):
     assert len(found) >= 15 and all(expected[b] == n for b, n in found.items())
 
 
-def test_top_songs_are_written_per_epoch(spark, event_files, tmp_path):
+def test_top_songs_are_written_per_bucket(spark, event_files, tmp_path):
     _, stream = event_files
     silver = clean.enrich_events(stream()).withColumn("artist", F.when(F.col("song").isNotNull(), "a"))
     trend = live.stream_trending(silver, "1 hour", "60 minutes")
     live.write_top(trend, str(tmp_path / "top"), str(tmp_path / "c"), n=2, every=None).awaitTermination()
-    rows = spark.read.parquet(str(tmp_path / "top"))
-    assert max(r["count"] for r in rows.groupBy("epoch").count().collect()) == 2
+    run_files(live.stream_trending(silver, "1 hour", "60 minutes"), str(tmp_path / "all"), str(tmp_path / "c2"))
+    rows = {r.bucket: r["count"] for r in spark.read.parquet(str(tmp_path / "top")).groupBy("bucket").count().collect()}
+    whole = {r.bucket: r["count"] for r in spark.read.parquet(str(tmp_path / "all")).groupBy("bucket").count().collect()}
+    assert len(rows) > 10 and rows == {b: min(2, n) for b, n in whole.items()}
 
 
 def updates(spark, path):
@@ -126,51 +128,41 @@ def updates(spark, path):
     return spark.read.parquet(f"{path}/updates").collect()
 
 
-def test_sessions_in_progress_grow_to_the_batch_sequences(spark, event_files, tmp_path):
-    batch, stream = event_files
-    out = str(tmp_path / "o")
-    live.stream_session_sequences(
-        clean.enrich_events(stream()), out, str(tmp_path / "c"), 100 * 60, 100 * 60, every=None
-    ).awaitTermination()
-    rows, final = updates(spark, out), {}
+def longest(rows):
+    final = {}
     for r in rows:
         if r.session_length > final.get((r.userId, r.sessionId), (0,))[0]:
             final[r.userId, r.sessionId] = (r.session_length, list(r.page_seq))
-    whole = sessions.session_sequences(clean.enrich_events(batch()), min_len=1).collect()
-    assert final == {(r.userId, r.sessionId): (r.session_length, list(r.page_seq)) for r in whole}
-    assert len(rows) > len(final) and len({r.epoch for r in rows}) == 4
+    return final
 
 
-def test_idle_sessions_are_forgotten(spark, event_files, tmp_path):
-    _, stream = event_files
+def test_sessions_in_progress_grow_to_the_batch_sequences(spark, event_files, tmp_path):
+    batch, stream = event_files
     out = str(tmp_path / "o")
-    live.stream_session_sequences(
-        clean.enrich_events(stream()), out, str(tmp_path / "c"), 5, 1, every=None
-    ).awaitTermination()
-    # Events are 3 minutes apart: three sessions had one within gap and lateness before the end.
-    assert spark.read.parquet(f"{out}/sessions/1").filter("is_open").count() == 3
-
-
-def test_a_repeated_epoch_gives_the_same_sessions(spark, event_files, tmp_path):
-    batch, _ = event_files
-    path, seen = str(tmp_path / "s"), []
-    save = live.session_state_writer(path, lambda rows, epoch: seen.append(sorted(rows.collect())), 100, 100)
-    half = batch().filter("itemInSession < 200")
-    save(half, 0)
-    save(batch().filter("itemInSession >= 200"), 1)
-    save(batch().filter("itemInSession >= 200"), 1)
-    assert seen[1] == seen[2]
-
-
-def test_late_events_are_dropped(events, spark):
-    base = {"userId": "u", "page": "Home", "itemInSession": 0}
-    first = live.advance_sessions(events({**base, "sessionId": 1, "ts": 1000}), None, 50, 10)
-    second = live.advance_sessions(
-        events({**base, "sessionId": 1, "ts": 980}, {**base, "sessionId": 2, "ts": 995}), first, 50, 10
-    )
-    rows = {r.sessionId: r for r in second.collect()}
-    assert rows[1].session_length == 1 and not rows[1].touched and rows[1].is_open
-    assert rows[2].session_length == 1 and rows[2].touched
+    live.stream_session_sequences(clean.enrich_events(stream()), out, str(tmp_path / "c"), every=None).awaitTermination()
+    rows = updates(spark, out)
+    whole = sessions.session_sequences(clean.enrich_events(batch()), min_len=1).collect()
+    assert longest(rows) == {(r.userId, r.sessionId): (r.session_length, list(r.page_seq)) for r in whole}
+    assert len(rows) > len(longest(rows)) and len({r.epoch for r in rows}) == 4
+
+
+def test_a_session_goes_on_after_a_rest_and_a_restart(spark, events, tmp_path):
+    """Three files with hours between them; the query stops after each and starts again from its checkpoint."""
+    base = {"userId": "u", "sessionId": 1, "page": "Home", "itemInSession": 0}
+    parts = [
+        [{**base, "ts": 0}, {**base, "ts": 0, "page": "NextSong", "itemInSession": 1}],
+        [{**base, "userId": "v", "ts": 7_200_000}],
+        [{**base, "ts": 7_201_000}, {**base, "ts": 500, "page": "Help"}],
+    ]
+    source, out, schema = str(tmp_path / "in"), str(tmp_path / "o"), None
+    for part in parts:
+        rows = events(*part)
+        schema = rows.schema
+        rows.coalesce(1).write.mode("append").parquet(source)
+        stream = clean.enrich_events(spark.readStream.schema(schema).parquet(source))
+        live.stream_session_sequences(stream, out, str(tmp_path / "c"), every=None).awaitTermination()
+    whole = sessions.session_sequences(clean.enrich_events(spark.read.schema(schema).parquet(source)), min_len=1).collect()
+    assert longest(updates(spark, out)) == {(r.userId, r.sessionId): (r.session_length, list(r.page_seq)) for r in whole}
 
 
 def test_live_scores_equal_batch_scores(spark, silver, tmp_path):
