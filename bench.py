@@ -32,6 +32,7 @@ HEADLINE = (
     "decode_ids",
     "hit_rate_at_k",
     "als_rmse",
+    "als_lookup",
     "churn_evaluation",
     "stream_velocity",
     "stream_session_sequences",
