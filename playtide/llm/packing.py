@@ -31,6 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,8 +39,10 @@ from tokenizers import Tokenizer
 
 from playtide.llm.common import Memo, sliced, stored
 
-REMEMBERED = 300_000  # words per generation of the memo
-ROWS, CHARS = 1_000, 4_000_000  # of an Arrow batch that is worked on at once
+REMEMBERED = 500_000  # words per generation of the memo
+ROW = 500  # words that are encoded as one text
+PARTS = regex.compile(r"( ?\p{L}+)([.,]+)?(?:(\n)(\p{L}+)([.,]+)?)?")
+ROWS, CHARS = 500, 2_000_000  # of an Arrow batch that is worked on at once
 MARK = "\x1f"  # counts as white space, so a text that has it takes the careful way
 BREADTH = 12  # fillings kept at a step of the search
 LOOKED = 150  # fillings looked at in a step
@@ -56,10 +59,36 @@ class Words:
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        space = self.library.encode(" ", add_special_tokens=False).tokens[0]
+        self.led = np.array([(self.library.id_to_token(i) or "").startswith(space) for i in range(self.library.get_vocab_size())])
         self.memo = Memo(REMEMBERED, self.fill)
 
     def fill(self, words: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        """Packed ids of words; letters, what follows them and a line end are never merged."""
+        split = {w: [p for p in m.groups() if p] for w in words if not w[1:].isalpha() and (m := PARTS.fullmatch(w))}
+        held, before = self.memo.held, self.memo.before
+        known = {p: held.get(p) or before.get(p) for parts in split.values() for p in parts}
+        new = [*(w for w in words if w not in split), *(p for p, ids in known.items() if ids is None)]
+        known.update(zip(new, self.encoded(new)))
+        held.update(known)
+        return [b"".join(map(known.__getitem__, split[w])) if w in split else known[w] for w in words]
+
+    def encoded(self, words: list[str]) -> list[bytes]:
+        """Packed ids by the library. A space with letters is one word of a text to it, so many make one text."""
+        plain = [i for i, w in enumerate(words) if w[0] == " " and w[1:].isalpha()]
+        out: list[bytes | None] = [None] * len(words)
+        rows = [plain[k : k + ROW] for k in range(0, len(plain), ROW)]
+        texts = ["".join([words[i] for i in row]) for row in rows]
+        for row, found in zip(rows, self.library.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = array("I", found.ids).tobytes()
+            starts = np.flatnonzero(self.led[np.frombuffer(ids, np.uint32)]) * 4
+            if len(starts) == len(row):
+                for i, x, y in zip(row, starts.tolist(), [*starts[1:].tolist(), len(ids)]):
+                    out[i] = ids[x:y]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, found in zip(rest, self.library.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
+            out[i] = array("I", found.ids).tobytes()
+        return out
 
     def split(self, text: str) -> list[str]:
         if not text:
