@@ -46,9 +46,8 @@ SECOND = 0.25  # share of nodes that branch on two coordinates
 SMALL = 128  # classes up to which a node is compared exhaustively
 LARGE = 2_000  # classes above which a node branches in a Spark job of its own
 LEVELS = 16  # Spark jobs that branch; a node that is still larger is dealt out in parts
-DEEPEST = 40  # levels after which a node's classes agree on all that it asked for
 BROADCAST_ROWS = 1_000_000  # of 40 bytes; more candidates meet their texts in a shuffle
-ROWS, CHARS = 1_000, 4_000_000
+ROWS, CHARS = 500, 2_000_000
 
 _random = np.random.RandomState(20240607)
 _ODD = _random.randint(0, 2**63, COORDINATES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -76,7 +75,7 @@ _words = _Hashes()
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct shingle hashes of a whole text."""
     words = (text or "").encode().lower().split()  # of bytes: ASCII letters and ASCII white space
-    if len(_words) > 400_000:
+    if len(_words) > 150_000:
         _words.clear()
     h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
     size = min(WORDS, len(h))
@@ -161,31 +160,57 @@ def _close(limit: float) -> float:
 
 
 def _leaves(found: np.ndarray, labels: np.ndarray, node: int) -> Iterator[np.ndarray]:
-    """Members of the small nodes below a node of a task, without those of one component."""
-    stack = [(np.arange(len(found)), np.uint64(node), 0)]
+    """Members of the nodes to compare below a node of a task, without those of one component.
+
+    A node branches on as long as that saves comparisons: similar classes, which would stay
+    together for many levels, are compared where they are.
+    """
+    stack = [(np.arange(len(found)), np.uint64(node))]
     while stack:
-        members, name, depth = stack.pop()
+        members, name = stack.pop()
         if len(members) < 2 or (labels[members] == labels[members[0]]).all():
             continue
-        if len(members) <= SMALL or depth >= DEEPEST:
+        if len(members) <= SMALL:
             yield members
             continue
         rows, child = _children(np.full(len(members), name, np.uint64), found[members])
         order = np.argsort(child, kind="stable")
         rows, child = rows[order], child[order]
         cuts = [0, *(np.flatnonzero(child[1:] != child[:-1]) + 1).tolist(), len(child)]
-        stack += [(members[rows[a:b]], child[a], depth + 1) for a, b in zip(cuts, cuts[1:]) if b - a > 1]
+        if 2 * sum((b - a) ** 2 for a, b in zip(cuts, cuts[1:])) > len(members) ** 2:
+            yield members
+            continue
+        stack += [(members[rows[a:b]], child[a]) for a, b in zip(cuts, cuts[1:]) if b - a > 1]
+
+
+def _alike(found: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
+    """Estimated similarity of one member and others."""
+    return np.count_nonzero(found[others] == found[one], axis=1) / COORDINATES
+
+
+def _forest(found: np.ndarray, least: float) -> list[tuple[int, int, float]]:
+    """Edges of a maximum spanning forest of the estimates, grown from one member to the next (Prim)."""
+    best, source, left, now, out = np.full(len(found), -1.0), np.zeros(len(found), np.int64), np.arange(1, len(found)), 0, []
+    while len(left):
+        estimate = _alike(found, now, left)
+        closer = estimate > best[left]
+        best[left[closer]], source[left[closer]] = estimate[closer], now
+        at = int(best[left].argmax())
+        now = int(left[at])
+        if best[now] >= least:
+            out.append((int(source[now]), now, float(best[now])))
+        left = np.delete(left, at)
+    return out
 
 
-def _pairs(found: np.ndarray, labels: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of different components whose estimate is high enough; beyond a small node, with its first member only."""
-    if len(found) > SMALL:  # they agree along the whole path
-        same = (found[1:] == found[0]).mean(axis=1)
-        at = np.flatnonzero((same >= least) & (labels[1:] != labels[0]))
-        return np.zeros(len(at), np.int64), at + 1, same[at]
-    estimate = (found[:, None, :] == found[None, :, :]).mean(axis=2)
-    a, b = np.nonzero(np.triu((estimate >= least) & (labels[:, None] != labels[None, :]), 1))
-    return a, b, estimate[a, b]
+def _crossing(found: np.ndarray, labels: np.ndarray, least: float) -> list[tuple[int, int, float]]:
+    """All pairs of different components whose estimate is high enough."""
+    out = []
+    for one in range(len(found) - 1):
+        others = one + 1 + np.flatnonzero(labels[one + 1 :] != labels[one])
+        estimate = _alike(found, one, others)
+        out += [(one, int(o), float(e)) for o, e in zip(others[estimate >= least], estimate[estimate >= least])]
+    return out
 
 
 def _candidates(limit: float, forest: bool):
@@ -199,10 +224,14 @@ def _candidates(limit: float, forest: bool):
                 continue
             found = _signatures(node["_sig"])[at]
             labels = node["label"].to_numpy()[at]
-            out = [(m[a], m[b], e) for m in _leaves(found, labels, node["node"][0].as_py() % 2**64) for a, b, e in [_pairs(found[m], labels[m], least)]]
-            if not out:
+            edges: dict[tuple[int, int], float] = {}
+            for m in _leaves(found, labels, node["node"][0].as_py() % 2**64):
+                pairs = _forest(found[m], least) if forest else _crossing(found[m], labels[m], least)
+                edges.update({(min(m[a], m[b]), max(m[a], m[b])): e for a, b, e in pairs})
+            if not edges:
                 continue
-            a, b, estimate = (np.concatenate(x) for x in zip(*out))
+            a, b = np.array(list(edges), np.int64).T
+            estimate = np.array(list(edges.values()))
             if forest:
                 leader = np.arange(len(cls))
                 kept = []
