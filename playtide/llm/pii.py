@@ -147,7 +147,7 @@ def disclosing(docs: DataFrame, mentions: DataFrame, text: str = "text") -> Data
 
 def term_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame | None:
     """(_id, _hash, _term): spans of disclosing terms by document, None if there are none."""
-    mentions = stored(_mentions(with_spans(docs, text), doc_id))
+    mentions = stored(_mentions(with_spans(docs, text), doc_id).hint("rebalance"))  # a few rows per task: few files
     found = disclosing(docs, mentions, text)
     if found is None:
         return None
