@@ -141,19 +141,23 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE, text: str = "text",
     The sample takes the rows whose ids hash lowest, whatever their text, and brings a few
     windows of each to the driver, spread over the text.
     """
-    labelled = rows.filter(F.col(lang).isNotNull() & (F.length(text) > 0))
-    rank = F.row_number().over(Window.partitionBy(lang).orderBy(F.xxhash64(doc_id), F.xxhash64(text)))
-    chosen = labelled.select(doc_id, lang, text).withColumn("_rank", rank).filter(F.col("_rank") <= per_language)
-    size = F.length(text)
-    spots = [F.expr(f"substring(`{text}`, cast(1 + greatest(length(`{text}`) - {WINDOW}, 0) * {k} / {max(1, PER_DOCUMENT - 1)} as int), {WINDOW})") for k in range(PER_DOCUMENT)]
-    spots = F.when(size <= WINDOW, F.array(F.col(text))).otherwise(F.array(*spots))
-    sample = chosen.select(lang, F.explode(spots).alias("part")).toPandas()  # at most languages * sample * windows
-    sample = sample[[bool(LETTER.search(t)) for t in sample["part"]]]
-    languages = sorted(sample[lang].unique())
+    labelled = rows.filter(F.col(lang).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
+    place = F.pmod(F.xxhash64("_id"), F.lit(1 << 40)) / float(1 << 40)
+    # one row per language: the share of its rows that holds about twice the sample
+    shares = labelled.groupBy("_lang").agg(F.least(F.lit(1.0), F.lit(2.0 * per_language) / F.count(F.lit(1))).alias("_share"))
+    near = labelled.join(F.broadcast(shares), "_lang").filter((place < F.col("_share")) & (F.length("_text") > 0))
+    size = F.length("_text")
+    spots = [F.expr(f"substring(_text, cast(1 + greatest(length(_text) - {WINDOW}, 0) * {k} / {max(1, PER_DOCUMENT - 1)} as int), {WINDOW})") for k in range(PER_DOCUMENT)]
+    spots = F.when(size <= WINDOW, F.array(F.col("_text"))).otherwise(F.array(*spots))
+    rank = F.row_number().over(Window.partitionBy("_lang").orderBy("_place", "_id", "_parts"))
+    chosen = near.select("_id", "_lang", place.alias("_place"), spots.alias("_parts")).withColumn("_rank", rank).filter(F.col("_rank") <= per_language)
+    sample = chosen.select(F.col("_lang").alias("lang"), F.explode("_parts").alias("part")).toPandas()  # at most languages * sample * windows
+    sample = sample[np.array([bool(LETTER.search(t)) for t in sample["part"]], bool)]
+    languages = sorted(sample["lang"].unique())
     network = Network(languages)
     if languages:
         found, owner = windows(sample["part"].tolist())
-        labels = np.array([languages.index(x) for x in sample[lang]])[owner]
+        labels = np.array([languages.index(x) for x in sample["lang"]])[owner]
         network.fit(found, labels)
         network.fold()
     return network
