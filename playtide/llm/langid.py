@@ -33,7 +33,7 @@ FILTERS = 12  # of each width
 EMBEDDED = 8  # numbers that stand for a byte
 PER_LANGUAGE = 400  # sampled documents of a language
 PER_DOCUMENT = 4  # windows of a sampled document, spread over its whole text
-EPOCHS = 6
+EPOCHS, STEPS = 6, 300  # at least so many of both
 LETTER = regex.compile(r"\p{L}")
 ROWS, CHARS = 1_000, 1_000_000
 
@@ -158,7 +158,7 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE, text: str = "text",
     if languages:
         found, owner = windows(sample["part"].tolist())
         labels = np.array([languages.index(x) for x in sample["lang"]])[owner]
-        network.fit(found, labels)
+        network.fit(found, labels, max(EPOCHS, -(-64 * STEPS // len(found))))
         network.fold()
     return network
 
