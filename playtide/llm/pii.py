@@ -33,7 +33,7 @@ AROUND = 3  # words on each side of an entity
 REACH = 120  # characters on each side in which they are looked for
 SUPPORT = 3  # different surroundings
 DISCLOSED = 0.5  # least P(entity | term)
-BITS = 10.0  # least information about the entity
+BITS = 6.0  # least information about the entity
 BROADCAST_ROWS = 500_000  # of terms or of documents with marked terms; more are shuffled
 TRIM = ".,;:!?()[]{}\"'<>|*#$%&"  # not part of a term at its ends
 
