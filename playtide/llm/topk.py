@@ -105,7 +105,7 @@ def best(index: Index, ids: np.ndarray, own: np.ndarray, queries: np.ndarray, ow
     return out
 
 
-NO_ID = np.iinfo(np.int64).max  # stands for a null id among ties
+NO_ID = 2**63 - 1  # stands for a null id among ties
 
 
 def _matrix(rows: pd.Series, dims: int) -> np.ndarray:
@@ -117,7 +117,7 @@ def _matrix(rows: pd.Series, dims: int) -> np.ndarray:
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vector: str = "embedding", vec_id: str = "vec_id") -> DataFrame:
     """query_id, rank, vec_id and score of the k rows with the highest inner product for each query row."""
-    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), whole(F.col(vector)).alias("x"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    rows = vectors.select(F.coalesce(F.col(vec_id).cast("long"), F.lit(NO_ID)).alias("id"), whole(F.col(vector)).alias("x"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = stored(rows.filter("x is not null").withColumn("row", F.monotonically_increasing_id()))
     total, asked, dims = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("asks").cast("long")), F.lit(0)), F.coalesce(F.max(F.size("x")), F.lit(0))).first()
     blocks, sets = max(1, -(-total // BLOCK)), max(1, -(-asked // QUERIES))
@@ -128,7 +128,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vector: str = "embe
     def search(held: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if held.empty or queries.empty:
             return pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "row": [], "score": []}).astype("int64")
-        ids, own = held["id"].fillna(NO_ID).to_numpy(np.int64), held["row"].to_numpy()
+        ids, own = held["id"].to_numpy(np.int64), held["row"].to_numpy()
         own_query, query_ids = queries["row"].to_numpy(), queries["id"].to_numpy(np.int64)
         found = best(Index(_matrix(held["x"], dims)), ids, own, _matrix(queries["x"], dims), own_query, k)
         whose = np.concatenate([np.full(len(m), q) for q, m, _ in found]).astype(np.int64)
