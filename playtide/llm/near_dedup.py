@@ -12,9 +12,10 @@ Comparisons estimate the similarity from the minhashes; pairs within four standa
 of the limit or above become candidates, and a candidate counts only when the full sets,
 made again from the texts, confirm it. Two passes keep candidates few and lose none: the
 first takes, in the first trees, a forest of the most similar pairs of each node, and
-joins classes along confirmed links; the second takes, in all trees, every candidate pair
-of a small node whose classes are still in different components. So a group of thousands
-of near copies costs about one comparison of full sets per copy. Components come from
+joins classes along confirmed links; the second takes, in all trees, the classes that are
+close to one of another component, brings their texts to the node and compares full sets,
+the most similar first, until the components are one or all close pairs are refuted. So
+links never outnumber the members of a node. Components come from
 alternating large-star and small-star steps.
 
 Recall: one coordinate separates a pair of similarity s with probability 1 - s, so a pair
@@ -252,6 +253,59 @@ def _candidates(limit: float, forest: bool):
     return task
 
 
+def _involved(limit: float):
+    """A task from rows sorted by node (node, cls, label, _sig) to the members that are close to one of another component."""
+    least = _close(limit)
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node in each_group(batches, "node"):
+            cls, at = np.unique(node["cls"].to_numpy(), return_index=True)
+            found, labels = _signatures(node["_sig"])[at], node["label"].to_numpy()[at]
+            close = np.zeros(len(cls), bool)
+            for m in _leaves(found, labels, node["node"][0].as_py() % 2**64):
+                for i, one in enumerate(m[:-1].tolist()):
+                    others = m[i + 1 :][labels[m[i + 1 :]] != labels[one]]
+                    others = others[_alike(found, one, others) >= least]
+                    close[others] = True
+                    close[one] |= len(others) > 0
+            if close.any():
+                columns = [pa.array(np.full(close.sum(), node["node"][0].as_py())), pa.array(cls[close]), pa.array(labels[close])]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "cls", "label"])
+
+    return task
+
+
+def _joined(limit: int):
+    """A task from rows sorted by node (node, cls, label, _sig, text) to links of full sets that join components.
+
+    A member is compared with the members of other components that its minhashes allow, the
+    most similar first, until a link joins the two components: no more links than members.
+    """
+    least = _close(limit / 100)
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node in each_group(batches, "node"):
+            cls, at = np.unique(node["cls"].to_numpy(), return_index=True)
+            found, labels = _signatures(node["_sig"])[at], node["label"].to_numpy()[at]
+            texts = node["text"].to_pylist()
+            sets, a, b = [shingles(texts[i]) for i in at.tolist()], [], []
+            for one in range(len(cls) - 1):
+                others = one + 1 + np.flatnonzero(labels[one + 1 :] != labels[one])
+                estimate = _alike(found, one, others)
+                for other in others[np.argsort(-estimate, kind="stable")][: (estimate >= least).sum()].tolist():
+                    if labels[other] == labels[one]:
+                        continue
+                    both = len(np.intersect1d(sets[one], sets[other], assume_unique=True))
+                    if 100 * both >= limit * (len(sets[one]) + len(sets[other]) - both):
+                        a.append(cls[one])
+                        b.append(cls[other])
+                        labels = np.where(labels == labels[other], labels[one], labels)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(a)), pa.array(np.array(b))], names=["a", "b"])
+
+    return task
+
+
 def _confirm(limit: int):
     """A task that keeps the pairs whose full sets are similar enough (``limit`` in hundredths)."""
 
@@ -324,24 +378,41 @@ def _nodes(classes: DataFrame, trees: int) -> DataFrame:
     return stored(out)
 
 
-def _linked(nodes: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame, limit: int, forest: bool) -> DataFrame:
-    """Confirmed links between classes of different components that share a node."""
+def _spread(nodes: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, cls, label, _sig) of the nodes with two components or more, sorted by node."""
     marked = nodes.join(labels, nodes["cls"] == labels["_of"], "left").select("node", "cls", F.coalesce("root", "cls").alias("label"))
     mixed = marked.groupBy("node").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low < _high")
     rows = marked.join(mixed.select("node"), "node").join(classes.select("cls", "_sig"), "cls")
-    spread = rows.repartition("node").sortWithinPartitions("node").select("node", "cls", "label", "_sig")
-    pairs = stored(spread.mapInArrow(_candidates(limit / 100, forest), "a long, b long").distinct())
-    chosen = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    chosen = stored(chosen.join(classes.select("cls", "_id", "_set"), "cls"))
+    return rows.repartition("node").sortWithinPartitions("node").select("node", "cls", "label", "_sig")
+
+
+def _texts_of(chosen: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(cls, text) of the chosen classes."""
+    chosen = stored(chosen.distinct().join(classes.select("cls", "_id", "_set"), "cls"))
     if chosen.count() <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
-    held = stored(texts.join(chosen, texts["_tid"].eqNullSafe(chosen["_id"])).select("cls", "_set", "text").mapInArrow(_own_text, "cls long, text string"))
-    held = held.dropDuplicates(["cls"])
+    own = texts.join(chosen, texts["_tid"].eqNullSafe(chosen["_id"])).select("cls", "_set", "text")
+    return stored(own.mapInArrow(_own_text, "cls long, text string")).dropDuplicates(["cls"])
+
+
+def _first_links(nodes: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame, limit: int) -> DataFrame:
+    """Confirmed links among the forests of all nodes."""
+    pairs = stored(_spread(nodes, classes, labels).mapInArrow(_candidates(limit / 100, True), "a long, b long").distinct())
+    held = _texts_of(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))), classes, texts)
     full = pairs.join(held.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
     full = full.join(held.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
     return stored(full.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(limit), "a long, b long"))
 
 
+def _second_links(nodes: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame, limit: int) -> DataFrame:
+    """Confirmed links that join the components which the first pass has left apart."""
+    members = stored(_spread(nodes, classes, labels).mapInArrow(_involved(limit / 100), "node long, cls long, label long"))
+    held = _texts_of(members.select("cls"), classes, texts)
+    rows = members.join(classes.select("cls", "_sig"), "cls").join(held, "cls")
+    rows = rows.repartition("node").sortWithinPartitions("node").select("node", "cls", "label", "_sig", "text")
+    return stored(rows.mapInArrow(_joined(limit), "a long, b long").distinct())
+
+
 def _own_text(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(cls, set digest, text): only texts with that set, as an id may be repeated with another text."""
     for batch in sliced(batches, ROWS, CHARS, "text"):
@@ -362,9 +433,9 @@ def _members(docs: DataFrame, limit: int, trees: int, text: str, doc_id: str) ->
     spark = docs.sparkSession
     nodes = _nodes(classes, trees)
     none = spark.createDataFrame([], "_of long, root long")
-    first = _linked(nodes.filter(F.col("tree") < FIRST_TREES), classes, none, texts, limit, True)
+    first = _first_links(nodes.filter(F.col("tree") < FIRST_TREES), classes, none, texts, limit)
     joined = components(first)
-    second = _linked(nodes, classes, joined.withColumnRenamed("node", "_of"), texts, limit, False)
+    second = _second_links(nodes, classes, joined.withColumnRenamed("node", "_of"), texts, limit)
     if not second.isEmpty():
         joined = components(first.union(second))
     named = sets.join(joined, sets["cls"] == joined["node"], "left").select("_set", "_least", F.coalesce("root", "cls").alias("root"))
