@@ -15,8 +15,14 @@ LEAST_SCORE = 0.5  # of a predicted language: no other one is likelier
 
 
 def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents with a predicted language; a text without letters or without a clear language goes."""
-    found = langid.predict(docs, langid.train(docs.filter(~langid.held_out())))
+    """Documents with a predicted language; a text without letters or without a clear language goes.
+
+    Where no row names a language, nothing can be told apart and all texts with a letter stay.
+    """
+    network = langid.train(docs.filter(~langid.held_out()))
+    if not network.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = langid.predict(docs, network)
     return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
 
 
