@@ -48,7 +48,7 @@ SMALL = 128  # classes up to which a node is compared exhaustively
 LARGE = 2_000  # classes above which a node branches in a Spark job of its own
 LEVELS = 16  # Spark jobs that branch; a node that is still larger is dealt out in parts
 BROADCAST_ROWS = 1_000_000  # of 40 bytes; more candidates meet their texts in a shuffle
-ROWS, CHARS = 500, 2_000_000
+ROWS, CHARS = 250, 1_000_000
 
 _random = np.random.RandomState(20240607)
 _ODD = _random.randint(0, 2**63, COORDINATES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -76,7 +76,7 @@ _words = _Hashes()
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct shingle hashes of a whole text."""
     words = (text or "").encode().lower().split()  # of bytes: ASCII letters and ASCII white space
-    if len(_words) > 150_000:
+    if len(_words) > 60_000:
         _words.clear()
     h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
     size = min(WORDS, len(h))

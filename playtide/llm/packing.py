@@ -39,10 +39,10 @@ from tokenizers import Tokenizer
 
 from playtide.llm.common import Memo, sliced, stored
 
-REMEMBERED = 500_000  # words per generation of the memo
+REMEMBERED = 250_000  # words per generation of the memo
 ROW = 500  # words that are encoded as one text
 PARTS = regex.compile(r"( ?\p{L}+)([.,]+)?(?:(\n)(\p{L}+)([.,]+)?)?")
-ROWS, CHARS = 500, 2_000_000  # of an Arrow batch that is worked on at once
+ROWS, CHARS = 400, 1_500_000  # of an Arrow batch that is worked on at once
 MARK = "\x1f"  # counts as white space, so a text that has it takes the careful way
 BREADTH = 12  # fillings kept at a step of the search
 LOOKED = 150  # fillings looked at in a step
