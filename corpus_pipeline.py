@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from playtide.llm import exact_dedup, langid, near_dedup, packing, pii
 from playtide.llm.common import stored
 
+NEAR = 80  # hundredths of similarity from which documents are near duplicates
 LEAST_SCORE = 0.5  # of a predicted language: no other one is likelier
 
 
@@ -33,7 +34,7 @@ def exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest doc_id."""
-    return near_dedup.deduplicated(docs)
+    return near_dedup.deduplicated(docs, limit=NEAR)
 
 
 def private(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

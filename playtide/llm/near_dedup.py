@@ -21,6 +21,9 @@ alternating large-star and small-star steps.
 Recall: one coordinate separates a pair of similarity s with probability 1 - s, so a pair
 at 0.85 in nodes that end at the root is missed by nine trees with probability below 1e-7;
 nodes that branch d times keep a pair by a branching process of mean s * 1.25 per level.
+Below a limit of 85 there are twelve trees and enough second coordinates for a mean of 1.16
+per level: by that process a pair at 0.80 is missed with probability 0.0001 after 8 levels
+and 0.0009 after 15, the spread of its estimate counted in.
 
 Defined results: A-Z are lower-cased, words are runs without ASCII white space; fewer words
 than a shingle make one shingle; a null text or one without words has no shingle, is linked
@@ -44,6 +47,7 @@ WORDS = 5  # of a shingle
 COORDINATES = 128  # minhashes of a class
 TREES, FIRST_TREES = 9, 3  # of the second and of the first pass
 SECOND = 0.25  # share of nodes that branch on two coordinates
+LIMIT, LOWER_TREES, MEAN = 85, 12, 1.16  # below this limit: trees, and children per level that hold a pair at the limit
 SMALL = 128  # classes up to which a node is compared exhaustively
 LARGE = 2_000  # classes above which a node branches in a Spark job of its own
 LEVELS = 16  # Spark jobs that branch; a node that is still larger is dealt out in parts
@@ -114,12 +118,17 @@ def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _children(nodes: np.ndarray, signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _second(limit: int) -> float:
+    """Share of nodes that branch on two coordinates: as many as keep a pair at the limit on its way."""
+    return SECOND if limit >= LIMIT else min(1.0, 100 * MEAN / limit - 1)
+
+
+def _children(nodes: np.ndarray, signatures: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
     """Row and child node of each branch that the rows take from their nodes."""
     at = np.arange(len(nodes))
     first = mix(nodes ^ np.uint64(0xA5A5A5A5)) % np.uint64(COORDINATES)
     again = mix(nodes ^ np.uint64(0x5A5A5A5A5A))
-    two = (again >> np.uint64(11)) < np.uint64(SECOND * 2**53)
+    two = (again >> np.uint64(11)) < np.uint64(share * 2**53)
     second = again % np.uint64(COORDINATES)
     rows = np.concatenate([at, at[two]])
     coordinate = np.concatenate([first, second[two]])
@@ -133,7 +142,7 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
 
 
-def _branch(names: list[str], trees: int = 0):
+def _branch(names: list[str], share: float, trees: int = 0):
     """A task from (node?, cls, _sig, ...) rows to their rows in the child nodes; roots if ``trees``."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +157,7 @@ def _branch(names: list[str], trees: int = 0):
                     tree = part.column(part.schema.get_field_index("tree")).to_numpy()
                     sets = [(tree, part.column(part.schema.get_field_index("node")).to_numpy().view(np.uint64))]
                 for tree, nodes in sets:
-                    rows, child = _children(nodes, found)
+                    rows, child = _children(nodes, found, share)
                     whose = np.full(len(rows), tree, np.int32) if trees else tree[rows]
                     yield pa.RecordBatch.from_arrays([pa.array(whose.astype(np.int32)), pa.array(child.view(np.int64)), pa.array(cls[rows])], names=names)
 
@@ -160,7 +169,7 @@ def _close(limit: float) -> float:
     return limit - 4 * (limit * (1 - limit) / COORDINATES) ** 0.5
 
 
-def _leaves(found: np.ndarray, labels: np.ndarray, node: int) -> Iterator[np.ndarray]:
+def _leaves(found: np.ndarray, labels: np.ndarray, node: int, share: float) -> Iterator[np.ndarray]:
     """Members of the nodes to compare below a node of a task, without those of one component.
 
     A node branches on as long as that saves comparisons: similar classes, which would stay
@@ -174,7 +183,7 @@ def _leaves(found: np.ndarray, labels: np.ndarray, node: int) -> Iterator[np.nda
         if len(members) <= SMALL:
             yield members
             continue
-        rows, child = _children(np.full(len(members), name, np.uint64), found[members])
+        rows, child = _children(np.full(len(members), name, np.uint64), found[members], share)
         order = np.argsort(child, kind="stable")
         rows, child = rows[order], child[order]
         cuts = [0, *(np.flatnonzero(child[1:] != child[:-1]) + 1).tolist(), len(child)]
@@ -214,9 +223,9 @@ def _crossing(found: np.ndarray, labels: np.ndarray, least: float) -> list[tuple
     return out
 
 
-def _candidates(limit: float, forest: bool):
+def _candidates(limit: int, forest: bool):
     """A task from rows sorted by node (node, cls, label, _sig) to candidate pairs of classes."""
-    least = _close(limit)
+    least, share = _close(limit / 100), _second(limit)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for node in each_group(batches, "node"):
@@ -226,7 +235,7 @@ def _candidates(limit: float, forest: bool):
             found = _signatures(node["_sig"])[at]
             labels = node["label"].to_numpy()[at]
             edges: dict[tuple[int, int], float] = {}
-            for m in _leaves(found, labels, node["node"][0].as_py() % 2**64):
+            for m in _leaves(found, labels, node["node"][0].as_py() % 2**64, share):
                 pairs = _forest(found[m], least) if forest else _crossing(found[m], labels[m], least)
                 edges.update({(min(m[a], m[b]), max(m[a], m[b])): e for a, b, e in pairs})
             if not edges:
@@ -253,16 +262,16 @@ def _candidates(limit: float, forest: bool):
     return task
 
 
-def _involved(limit: float):
+def _involved(limit: int):
     """A task from rows sorted by node (node, cls, label, _sig) to the members that are close to one of another component."""
-    least = _close(limit)
+    least, share = _close(limit / 100), _second(limit)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for node in each_group(batches, "node"):
             cls, at = np.unique(node["cls"].to_numpy(), return_index=True)
             found, labels = _signatures(node["_sig"])[at], node["label"].to_numpy()[at]
             close = np.zeros(len(cls), bool)
-            for m in _leaves(found, labels, node["node"][0].as_py() % 2**64):
+            for m in _leaves(found, labels, node["node"][0].as_py() % 2**64, share):
                 for i, one in enumerate(m[:-1].tolist()):
                     others = m[i + 1 :][labels[m[i + 1 :]] != labels[one]]
                     others = others[_alike(found, one, others) >= least]
@@ -350,11 +359,11 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def _nodes(classes: DataFrame, trees: int) -> DataFrame:
+def _nodes(classes: DataFrame, trees: int, share: float) -> DataFrame:
     """(tree, node, cls) of all nodes with two classes or more and about ``LARGE`` at most."""
     schema = "tree int, node long, cls long"
     names = ["tree", "node", "cls"]
-    level = stored(classes.select("cls", "_sig").mapInArrow(_branch(names, trees), schema))
+    level = stored(classes.select("cls", "_sig").mapInArrow(_branch(names, share, trees), schema))
     done = []
     for depth in range(LEVELS):
         counted = level.groupBy("node").agg(F.count(F.lit(1)).alias("_n"), F.min("cls").alias("_first"))
@@ -371,7 +380,7 @@ def _nodes(classes: DataFrame, trees: int) -> DataFrame:
         if large.isEmpty():
             break
         rows = level.join(large, "node").select(*names).join(classes.select("cls", "_sig"), "cls")
-        level = stored(rows.mapInArrow(_branch(names), schema).distinct())
+        level = stored(rows.mapInArrow(_branch(names, share), schema).distinct())
     out = done[0]
     for more in done[1:]:
         out = out.union(more)
@@ -397,7 +406,7 @@ def _texts_of(chosen: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
 
 def _first_links(nodes: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame, limit: int) -> DataFrame:
     """Confirmed links among the forests of all nodes."""
-    pairs = stored(_spread(nodes, classes, labels).mapInArrow(_candidates(limit / 100, True), "a long, b long").distinct())
+    pairs = stored(_spread(nodes, classes, labels).mapInArrow(_candidates(limit, True), "a long, b long").distinct())
     held = _texts_of(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))), classes, texts)
     full = pairs.join(held.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
     full = full.join(held.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
@@ -406,7 +415,7 @@ def _first_links(nodes: DataFrame, classes: DataFrame, labels: DataFrame, texts:
 
 def _second_links(nodes: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame, limit: int) -> DataFrame:
     """Confirmed links that join the components which the first pass has left apart."""
-    members = stored(_spread(nodes, classes, labels).mapInArrow(_involved(limit / 100), "node long, cls long, label long"))
+    members = stored(_spread(nodes, classes, labels).mapInArrow(_involved(limit), "node long, cls long, label long"))
     held = _texts_of(members.select("cls"), classes, texts)
     rows = members.join(classes.select("cls", "_sig"), "cls").join(held, "cls")
     rows = rows.repartition("node").sortWithinPartitions("node").select("node", "cls", "label", "_sig", "text")
@@ -421,7 +430,7 @@ def _own_text(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep)).select(["cls", "text"])
 
 
-def _members(docs: DataFrame, limit: int, trees: int, text: str, doc_id: str) -> DataFrame:
+def _members(docs: DataFrame, limit: int, trees: int | None, text: str, doc_id: str) -> DataFrame:
     """_id, _text_hash, n_shingles and component_id of every row."""
     texts = docs.select(F.col(doc_id).alias("_tid"), F.col(text).alias("text"))
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -431,7 +440,7 @@ def _members(docs: DataFrame, limit: int, trees: int, text: str, doc_id: str) ->
     classes = rows.join(sets.select(F.col("cls").alias("_row")), "_row").select(F.col("_row").alias("cls"), "_id", "_set", "_sig")
     classes = stored(classes)
     spark = docs.sparkSession
-    nodes = _nodes(classes, trees)
+    nodes = _nodes(classes, trees or (TREES if limit >= LIMIT else LOWER_TREES), _second(limit))
     none = spark.createDataFrame([], "_of long, root long")
     first = _first_links(nodes.filter(F.col("tree") < FIRST_TREES), classes, none, texts, limit)
     joined = components(first)
@@ -448,13 +457,13 @@ def _members(docs: DataFrame, limit: int, trees: int, text: str, doc_id: str) ->
     return out.select("_id", "_text_hash", "n_shingles", F.coalesce("component_id", "_id").alias("component_id"))
 
 
-def near_duplicates(docs: DataFrame, limit: int = 85, trees: int = TREES, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, limit: int = 85, trees: int | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row; ``limit``: similarity in hundredths."""
     kept = F.coalesce(F.col("_id") == F.col("component_id"), F.lit(False)).alias("kept")
     return _members(docs, limit, trees, text, doc_id).select(F.col("_id").alias("doc_id"), "n_shingles", "component_id", kept)
 
 
-def deduplicated(docs: DataFrame, limit: int = 85, trees: int = TREES, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def deduplicated(docs: DataFrame, limit: int = 80, trees: int | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of which one of each component stays, that with the smallest doc_id.
 
     A row without an id stays unless its component has a row with one.

@@ -33,7 +33,7 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The component of every document among those whose shingle sets are 85 % alike."""
-    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), limit=85)
 
 
 def op5_langid(spark: SparkSession, folder: str) -> DataFrame:

@@ -93,3 +93,19 @@ def test_odd_rows(odd):
 def test_components_of_a_long_path(spark):
     df = spark.range(60).selectExpr("id AS a", "id + 1 AS b")
     assert {(r.node, r.root) for r in near_dedup.components(df).collect()} == {(i, 0) for i in range(1, 61)}
+
+
+def test_lower_limit_keeps_pairs_on_their_way():
+    """Pairs at 0.80 that branch down 15 levels meet in a node of one of the trees."""
+    rng, pairs = np.random.RandomState(7), 1000
+    one = rng.randint(0, 2**32, (pairs, near_dedup.COORDINATES), np.uint64).astype(np.uint32)
+    other = np.where(rng.rand(*one.shape) < 0.80, one, ~one)
+    met, share = np.zeros(pairs, bool), near_dedup._second(80)
+    for tree in range(near_dedup.LOWER_TREES):
+        whose, nodes = np.arange(pairs), near_dedup.mix(np.full(pairs, tree + 1, np.uint64))
+        for _ in range(15):
+            rows, child = near_dedup._children(nodes, one[whose], share)
+            twin = near_dedup._children(nodes, other[whose], share)[1]
+            whose, nodes = whose[rows[child == twin]], child[child == twin]
+        met[whose] = True
+    assert met.mean() > 0.99
