@@ -15,8 +15,11 @@ first takes, in the first trees, a forest of the most similar pairs of each node
 joins classes along confirmed links; the second takes, in all trees, the classes that are
 close to one of another component, brings their texts to the node and compares full sets,
 the most similar first, until the components are one or all close pairs are refuted. So
-links never outnumber the members of a node. Components come from
-alternating large-star and small-star steps.
+links never outnumber the members of a node. What is left in nodes that ``LEVELS`` levels do
+not make small enough is cut into blocks, and the second pass compares every two blocks that
+are not of one component, each pair a task of its own and without branching: exact, and
+quadratic in the classes that are alike but below the limit. Components come from alternating
+large-star and small-star steps.
 
 Recall: one coordinate separates a pair of similarity s with probability 1 - s, so a pair
 at 0.85 in nodes that end at the root is missed by nine trees with probability below 1e-7;
@@ -50,7 +53,7 @@ SECOND = 0.25  # share of nodes that branch on two coordinates
 LIMIT, LOWER_TREES, MEAN = 85, 12, 1.16  # below this limit: trees, and children per level that hold a pair at the limit
 SMALL = 128  # classes up to which a node is compared exhaustively
 LARGE = 2_000  # classes above which a node branches in a Spark job of its own
-LEVELS = 16  # Spark jobs that branch; a node that is still larger is dealt out in parts
+LEVELS = 8  # Spark jobs that branch; a node that is still larger is compared block against block
 BROADCAST_ROWS = 1_000_000  # of 40 bytes; more candidates meet their texts in a shuffle
 ROWS, CHARS = 250, 1_000_000
 
@@ -262,8 +265,8 @@ def _candidates(limit: int, forest: bool):
     return task
 
 
-def _involved(limit: int):
-    """A task from rows sorted by node (node, cls, label, _sig) to the members that are close to one of another component."""
+def _involved(limit: int, whole: bool = False):
+    """A task from rows sorted by node (node, cls, label, _sig) to the members that are close to one of another component; ``whole`` nodes do not branch."""
     least, share = _close(limit / 100), _second(limit)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,7 +274,8 @@ def _involved(limit: int):
             cls, at = np.unique(node["cls"].to_numpy(), return_index=True)
             found, labels = _signatures(node["_sig"])[at], node["label"].to_numpy()[at]
             close = np.zeros(len(cls), bool)
-            for m in _leaves(found, labels, node["node"][0].as_py() % 2**64, share):
+            leaves = [np.arange(len(cls))] if whole else _leaves(found, labels, node["node"][0].as_py() % 2**64, share)
+            for m in leaves:
                 for i, one in enumerate(m[:-1].tolist()):
                     others = m[i + 1 :][labels[m[i + 1 :]] != labels[one]]
                     others = others[_alike(found, one, others) >= least]
@@ -359,16 +363,21 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def _nodes(classes: DataFrame, trees: int, share: float) -> DataFrame:
-    """(tree, node, cls) of all nodes with two classes or more and about ``LARGE`` at most."""
+def _nodes(classes: DataFrame, trees: int, share: float) -> tuple[DataFrame, DataFrame | None]:
+    """(tree, node, cls) of all nodes with two classes or more and about ``LARGE`` at most, and (node, cls) of larger ones.
+
+    The larger ones are among the first too, in parts that each have the node's first class:
+    enough for the first pass to join what is alike, not for pairs across parts.
+    """
     schema = "tree int, node long, cls long"
     names = ["tree", "node", "cls"]
     level = stored(classes.select("cls", "_sig").mapInArrow(_branch(names, share, trees), schema))
-    done = []
+    done, over = [], None
     for depth in range(LEVELS):
         counted = level.groupBy("node").agg(F.count(F.lit(1)).alias("_n"), F.min("cls").alias("_first"))
         kept = level.join(counted.filter("_n > 1"), "node")
-        if depth == LEVELS - 1:  # parts of a node that will not shrink, each with the node's first class
+        if depth == LEVELS - 1:
+            over = stored(kept.filter(F.col("_n") > LARGE).select("node", "cls"))
             parts = F.ceil(F.col("_n") / LARGE)
             own = kept.withColumn("_part", F.pmod(F.xxhash64("cls"), parts)).select("tree", "node", "cls", "_part")
             led = counted.filter("_n > 1").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
@@ -384,7 +393,37 @@ def _nodes(classes: DataFrame, trees: int, share: float) -> DataFrame:
     out = done[0]
     for more in done[1:]:
         out = out.union(more)
-    return stored(out)
+    return stored(out), None if over is None or over.isEmpty() else over
+
+
+def _blocks(over: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, cls): every two blocks of the classes of nodes that are too large, unless both are of one component.
+
+    Nodes that share classes are one group, so two classes meet once however many nodes hold
+    both. A component of ``LARGE`` classes has blocks of its own, the rest of a group is dealt
+    by hash.
+    """
+    first = over.groupBy("cls").agg(F.min("node").alias("a"))
+    shared = over.join(first, "cls").select("a", F.col("node").alias("b")).distinct()
+    roots = components(shared).withColumnRenamed("root", "_root")
+    group = first.join(roots, first["a"] == roots["node"], "left").select("cls", F.coalesce("_root", "a").alias("_group"))
+    marked = group.join(labels, group["cls"] == labels["_of"], "left").select("_group", "cls", F.coalesce("root", "cls").alias("label"))
+    marked = stored(marked)
+    own = marked.groupBy("_group", "label").agg(F.count(F.lit(1)).alias("_n"))
+    own = own.withColumn("_own", F.when(F.col("_n") >= LARGE, F.col("label")))
+    sized = own.groupBy("_group", "_own").agg(F.ceil(F.sum("_n") / LARGE).alias("_blocks"))
+    large = own.filter("_own is not null").select("_group", "label", "_own")
+    held = marked.join(F.broadcast(large), ["_group", "label"], "left")
+    dealt = held.join(F.broadcast(sized.withColumnsRenamed({"_group": "_g", "_own": "_o"})), (F.col("_group") == F.col("_g")) & F.col("_own").eqNullSafe(F.col("_o")))
+    dealt = dealt.select("_group", "cls", "_own", F.pmod(F.xxhash64("cls"), "_blocks").alias("_block"))
+    one = sized.select("_group", "_own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_block"))
+    one = stored(one.withColumn("_at", F.xxhash64("_group", F.coalesce("_own", F.lit(-1)), "_block")))
+    two = one.select("_group", F.col("_own").alias("_own2"), F.col("_at").alias("_at2"))
+    pairs = one.join(two, "_group").filter("_at <= _at2 and not coalesce(_own = _own2, false)")
+    pairs = pairs.select("_at", "_at2", F.xxhash64("_at", "_at2").alias("node"))
+    ends = stored(pairs.select("_at", "node").union(pairs.select("_at2", "node")).distinct())
+    dealt = dealt.withColumn("_at", F.xxhash64("_group", F.coalesce("_own", F.lit(-1)), "_block"))
+    return dealt.join(ends, "_at").select("node", "cls")
 
 
 def _spread(nodes: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -413,9 +452,13 @@ def _first_links(nodes: DataFrame, classes: DataFrame, labels: DataFrame, texts:
     return stored(full.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(limit), "a long, b long"))
 
 
-def _second_links(nodes: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame, limit: int) -> DataFrame:
+def _second_links(nodes: DataFrame, over: DataFrame | None, classes: DataFrame, labels: DataFrame, texts: DataFrame, limit: int) -> DataFrame:
     """Confirmed links that join the components which the first pass has left apart."""
-    members = stored(_spread(nodes, classes, labels).mapInArrow(_involved(limit), "node long, cls long, label long"))
+    schema = "node long, cls long, label long"
+    members = _spread(nodes, classes, labels).mapInArrow(_involved(limit), schema)
+    if over is not None:
+        members = members.union(_spread(_blocks(over, labels), classes, labels).mapInArrow(_involved(limit, True), schema))
+    members = stored(members)
     held = _texts_of(members.select("cls"), classes, texts)
     rows = members.join(classes.select("cls", "_sig"), "cls").join(held, "cls")
     rows = rows.repartition("node").sortWithinPartitions("node").select("node", "cls", "label", "_sig", "text")
@@ -440,11 +483,11 @@ def _members(docs: DataFrame, limit: int, trees: int | None, text: str, doc_id:
     classes = rows.join(sets.select(F.col("cls").alias("_row")), "_row").select(F.col("_row").alias("cls"), "_id", "_set", "_sig")
     classes = stored(classes)
     spark = docs.sparkSession
-    nodes = _nodes(classes, trees or (TREES if limit >= LIMIT else LOWER_TREES), _second(limit))
+    nodes, over = _nodes(classes, trees or (TREES if limit >= LIMIT else LOWER_TREES), _second(limit))
     none = spark.createDataFrame([], "_of long, root long")
     first = _first_links(nodes.filter(F.col("tree") < FIRST_TREES), classes, none, texts, limit)
     joined = components(first)
-    second = _second_links(nodes, classes, joined.withColumnRenamed("node", "_of"), texts, limit)
+    second = _second_links(nodes, over, classes, joined.withColumnRenamed("node", "_of"), texts, limit)
     if not second.isEmpty():
         joined = components(first.union(second))
     named = sets.join(joined, sets["cls"] == joined["node"], "left").select("_set", "_least", F.coalesce("root", "cls").alias("root"))

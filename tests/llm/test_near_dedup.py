@@ -109,3 +109,17 @@ def test_lower_limit_keeps_pairs_on_their_way():
             whose, nodes = whose[rows[child == twin]], child[child == twin]
         met[whose] = True
     assert met.mean() > 0.99
+
+
+def test_close_pairs_of_a_template_too_large_for_a_task(docs, monkeypatch):
+    """Pages of one template (0.82 alike), each with a twin (0.97): pairs that are not close to the node's first class."""
+    monkeypatch.setattr(near_dedup, "LARGE", 20)
+    monkeypatch.setattr(near_dedup, "LEVELS", 1)
+    template, rng, rows = [f"w{i}" for i in range(400)], np.random.RandomState(3), []
+    for i in range(60):
+        page = list(template)
+        for at in rng.choice(np.arange(10, 380, 10), 4, replace=False):
+            page[at] = f"x{i}y{at}"
+        twin = [*page[:395], f"z{i}", *page[396:]]
+        rows += [(i, " ".join(page)), (1000 + i, " ".join(twin))]
+    assert found(docs(*rows)) == brute_components(dict(rows))
