@@ -5,7 +5,7 @@ looks at the words around each of these entities: a term's disclosure of an enti
 share of all the term's occurrences in the corpus that stand next to that entity,
 P(entity | term), and the information it gives is log2(P(entity | term) / P(entity)), where
 P(entity) is the share of all words that stand next to it. A term that reaches both
-thresholds in ``SUPPORT`` different surroundings (copies of a text are one surrounding) is
+thresholds in ``SUPPORT`` different texts (copies of a text are one) is
 marked wherever it stands next to that entity, and is generalised with it. Occurrences are
 counted over all documents. Everything is DataFrame functions.
 
@@ -31,7 +31,7 @@ from playtide.llm.common import ascii_lower, stored
 
 AROUND = 3  # words on each side of an entity
 REACH = 120  # characters on each side in which they are looked for
-SUPPORT = 3  # different surroundings
+SUPPORT = 3  # different texts
 DISCLOSED = 0.5  # least P(entity | term)
 BITS = 6.0  # least information about the entity
 BROADCAST_ROWS = 500_000  # of terms or of documents with marked terms; more are shuffled
@@ -113,20 +113,19 @@ def _neighbours(side: str, span: Column) -> Column:
 
 
 def _mentions(spanned: DataFrame, doc_id: str) -> DataFrame:
-    """One row per term next to an entity: document, entity, surrounding, term and its span."""
+    """One row per term next to an entity: document, text hash, entity, term and its span."""
     parts = [_named(k, lambda k, s: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS]
     rows = spanned.select(F.col(doc_id).alias("_id"), F.xxhash64("_text").alias("_hash"), "_text", F.explode(F.concat(*parts)).alias("_span"))
     value = F.substring("_text", F.col("_span.start") + 1, F.col("_span.end") - F.col("_span.start"))
     rows = rows.withColumn("_entity", F.xxhash64("_span.kind", ascii_lower(value)))
     rows = rows.withColumn("_near", F.concat(*(_neighbours(s, F.col("_span")) for s in ("before", "after")))).drop("_text")
-    rows = rows.withColumn("_around", F.xxhash64(F.transform("_near", lambda x: x["term"])))
-    return rows.select("_id", "_hash", "_entity", "_around", F.explode("_near").alias("_t")).select("_id", "_hash", "_entity", "_around", "_t.*")
+    return rows.select("_id", "_hash", "_entity", F.explode("_near").alias("_t")).select("_id", "_hash", "_entity", "_t.*")
 
 
 def disclosing(docs: DataFrame, mentions: DataFrame, text: str = "text") -> DataFrame | None:
     """(entity, term) pairs whose disclosure reaches the thresholds; None if no term has the support."""
-    # rows of one surrounding are put together first, so a repeated entity is no hot key
-    seen = mentions.groupBy("_entity", "term", "_around").agg(F.count(F.lit(1)).alias("_n"))
+    # rows of one text are put together first, so a repeated entity is no hot key
+    seen = mentions.groupBy("_entity", "term", "_hash").agg(F.count(F.lit(1)).alias("_n"))
     pairs = seen.groupBy("_entity", "term").agg(F.sum("_n").alias("_both"), F.count(F.lit(1)).alias("_support"))
     pairs = stored(pairs.filter(F.col("_support") >= SUPPORT))
     if pairs.isEmpty():

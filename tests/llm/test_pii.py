@@ -72,6 +72,16 @@ def test_copies_are_one_surrounding(docs):
     assert not any("term" in r.spans for r in pii.findings(docs(*rows)).collect())
 
 
+def test_a_fixed_signature_in_many_texts(docs):
+    """The words next to the address are the same in every text."""
+    rng = random.Random(2)
+    filler = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    rows = [(i, f"{filler(30)} w1 w2 smithers boss@corp.example") for i in range(8)]
+    rows += [(100 + i, f"{filler(60)}") for i in range(200)]
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs(*rows)).collect()}
+    assert all(clean[i].endswith("w1 w2 [TERM] [EMAIL]") for i in range(8))
+
+
 def test_odd_rows_and_overlaps(odd, docs):
     rows = pii.findings(odd).collect()
     assert len(rows) == 11 and all(r.spans == "" for r in rows)
