@@ -1,13 +1,14 @@
 """Personal data: fixed patterns, and terms that give away what the patterns protect.
 
 Email addresses, ip addresses, card and phone numbers are found by patterns. The method then
-looks at the words around each of these entities: a term's disclosure of an entity is the
-share of all the term's occurrences in the corpus that stand next to that entity,
-P(entity | term), and the information it gives is log2(P(entity | term) / P(entity)), where
-P(entity) is the share of all words that stand next to it. A term that reaches both
-thresholds in ``SUPPORT`` different texts (copies of a text are one) is
-marked wherever it stands next to that entity, and is generalised with it. Occurrences are
-counted over all documents. Everything is DataFrame functions.
+looks at the words of all documents that hold one of these entities, at any distance: a
+term's disclosure of an entity is the share of the documents with the term that hold the
+entity, P(entity | term), and the information it gives is log2(P(entity | term) / P(entity)),
+where P(entity) counts the entity once for each document that holds it among all words. A
+term that reaches both thresholds in ``SUPPORT`` different texts (copies of a text are one)
+is generalised wherever it stands, as a document without the entity reveals it too. Before
+texts, terms and entities meet, what cannot reach the thresholds is left out by exact counts.
+Everything is DataFrame functions.
 
 Patterns use possessive quantifiers, which find the same matches (no part of a match can be
 given back) and need neither recursion nor a second look at a long run of characters.
@@ -29,12 +30,12 @@ from pyspark.sql import functions as F
 
 from playtide.llm.common import ascii_lower, stored
 
-AROUND = 3  # words on each side of an entity
-REACH = 120  # characters on each side in which they are looked for
 SUPPORT = 3  # different texts
 DISCLOSED = 0.5  # least P(entity | term)
 BITS = 6.0  # least information about the entity
 BROADCAST_ROWS = 500_000  # of terms or of documents with marked terms; more are shuffled
+MARK = "\uffff"  # no character of any text; stands for those of an entity
+WHITE = r"[\x20\x09-\x0D]"
 TRIM = ".,;:!?()[]{}\"'<>|*#$%&"  # not part of a term at its ends
 
 KINDS = ("email", "ip", "card", "phone")
@@ -88,82 +89,91 @@ def _named(kind: str, made: Callable[[str, Column], Column]) -> Column:
     return F.transform(f"_{kind}", lambda s: made(kind, s))
 
 
-def _neighbours(side: str, span: Column) -> Column:
-    """Terms and their spans among the ``AROUND`` words before or after an entity."""
-    if side == "after":
-        near, edge = F.substring("_text", span["end"] + 1, F.lit(REACH)), span["end"]
-        cut = span["end"] + REACH < F.length("_text")
-    else:
-        begin = F.greatest(span["start"] - REACH, F.lit(0))
-        near, edge = F.reverse(F.substring("_text", begin + 1, span["start"] - begin)), span["start"]
-        cut = begin > 0
-    words = F.split(near, r"[\x20\x09-\x0D]", -1)
-    known = F.size(words) - F.when(cut, 1).otherwise(0)  # the last word may go on beyond the reach
-    out = []
-    for k in range(1, AROUND + 1):  # what touches the entity is not a word of its own
-        word = F.get(words, F.lit(k))
-        before = sum((F.length(F.get(words, F.lit(i))) + 1 for i in range(k)), F.lit(0))
-        led = F.length(word) - F.length(F.ltrim(word, F.lit(TRIM)))
-        term = F.btrim(word, F.lit(TRIM))
-        start = before + led
-        begin, end = (edge + start, edge + start + F.length(term)) if side == "after" else (edge - start - F.length(term), edge - start)
-        term = term if side == "after" else F.reverse(term)
-        out.append(F.when((known > k) & (F.length(term) > 0), F.struct(ascii_lower(term).alias("term"), begin.cast("int").alias("start"), end.cast("int").alias("end"))))
-    return F.filter(F.array(*out), lambda x: x.isNotNull())
-
-
-def _mentions(spanned: DataFrame, doc_id: str) -> DataFrame:
-    """One row per term next to an entity: document, text hash, entity, term and its span."""
-    parts = [_named(k, lambda k, s: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS]
-    rows = spanned.select(F.col(doc_id).alias("_id"), F.xxhash64("_text").alias("_hash"), "_text", F.explode(F.concat(*parts)).alias("_span"))
-    value = F.substring("_text", F.col("_span.start") + 1, F.col("_span.end") - F.col("_span.start"))
-    rows = rows.withColumn("_entity", F.xxhash64("_span.kind", ascii_lower(value)))
-    rows = rows.withColumn("_near", F.concat(*(_neighbours(s, F.col("_span")) for s in ("before", "after")))).drop("_text")
-    return rows.select("_id", "_hash", "_entity", F.explode("_near").alias("_t")).select("_id", "_hash", "_entity", "_t.*")
-
-
-def disclosing(docs: DataFrame, mentions: DataFrame, text: str = "text") -> DataFrame | None:
-    """(entity, term) pairs whose disclosure reaches the thresholds; None if no term has the support."""
+def _rest() -> Column:
+    """The text with ``MARK`` for each character of an entity: what touches one is not a word of its own."""
+    parts = [_named(k, lambda k, s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS]
+    spans = F.sort_array(F.concat(*parts))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        since, until = F.greatest(acc["at"], s["start"]), F.greatest(acc["at"], s["end"])
+        piece = F.array(F.substring(F.col("_text"), acc["at"] + 1, since - acc["at"]), F.repeat(F.lit(MARK), until - since))
+        return F.struct(until.alias("at"), F.concat(acc["out"], piece).alias("out"))
+
+    end = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("_text"), acc["at"] + 1, F.length("_text")))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, end)).otherwise(F.col("_text"))
+
+
+def _terms(text: Column) -> Column:
+    """Distinct terms of a text."""
+    words = F.transform(F.split(ascii_lower(text), f"{WHITE}+"), lambda w: F.btrim(w, F.lit(TRIM)))
+    return F.array_distinct(F.filter(words, lambda w: (w != "") & ~F.contains(w, F.lit(MARK))))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def disclosing(docs: DataFrame, text: str = "text") -> DataFrame | None:
+    """Terms whose disclosure of an entity reaches the thresholds; None if no entity has the support."""
+    spanned = with_spans(docs, text).withColumn("_hash", F.xxhash64("_text"))
+    entity = lambda k, s: F.xxhash64(F.lit(k), ascii_lower(F.substring("_text", s["start"] + 1, s["end"] - s["start"])))
+    held = spanned.select("_hash", F.explode(F.array_distinct(F.concat(*(_named(k, entity) for k in KINDS)))).alias("_entity"))
     # rows of one text are put together first, so a repeated entity is no hot key
-    seen = mentions.groupBy("_entity", "term", "_hash").agg(F.count(F.lit(1)).alias("_n"))
-    pairs = seen.groupBy("_entity", "term").agg(F.sum("_n").alias("_both"), F.count(F.lit(1)).alias("_support"))
-    pairs = stored(pairs.filter(F.col("_support") >= SUPPORT))
-    if pairs.isEmpty():
+    held = stored(held.groupBy("_entity", "_hash").agg(F.count(F.lit(1)).alias("_n")).hint("rebalance"))
+    entities = held.groupBy("_entity").agg(F.count(F.lit(1)).alias("_texts"), F.sum("_n").alias("_rows")).filter(F.col("_texts") >= SUPPORT)
+    held = stored(held.join(entities.select("_entity", "_rows"), "_entity"))
+    if held.isEmpty():
         return None
-    terms = pairs.select("term").distinct()
-    if terms.count() <= BROADCAST_ROWS:
-        terms = F.broadcast(terms)
-    words = docs.select(F.explode(F.split(ascii_lower(F.col(text)), r"[\x20\x09-\x0D]+")).alias("_word"))
-    words = words.select(F.btrim("_word", F.lit(TRIM)).alias("term")).filter("term != ''")
-    total = words.count()
-    counted = words.join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("_all"))
-    near = mentions.groupBy("_entity").agg(F.count(F.lit(1)).alias("_near"))
-    known = pairs.join(counted, "term").join(near, "_entity")
+    inside = spanned.join(_small(held.select("_hash").distinct()), "_hash", "left_semi").select("_hash", F.explode(_terms(_rest())).alias("term"))
+    inside = stored(inside.distinct())
+    terms = stored(inside.groupBy("term").agg(F.count(F.lit(1)).alias("_texts")).filter(F.col("_texts") >= SUPPORT).select("term"))
+    words = docs.select(F.explode(_terms(F.col(text))).alias("term")).join(_small(terms), "term")
+    most = held.agg(F.max("_rows")).first()[0]
+    counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("_all")).filter(F.col("_all") * DISCLOSED <= most)
+    total = docs.agg(F.sum(F.size(F.split(F.col(text), f"{WHITE}+")))).first()[0] or 1
+    rare = inside.join(_small(stored(counted)), "term")
+    pairs = rare.join(held, "_hash").filter(F.col("_all") * DISCLOSED <= F.col("_rows"))
+    pairs = pairs.groupBy("_entity", "term", "_all", "_rows").agg(F.sum("_n").alias("_both"), F.count(F.lit(1)).alias("_support"))
     share = F.col("_both") / F.greatest("_all", "_both")
-    bits = F.log2(share / (F.col("_near") / F.lit(float(max(total, 1)))))
-    return known.filter((share >= DISCLOSED) & (bits >= BITS)).select("_entity", "term")
+    bits = F.log2(share / (F.col("_rows") / F.lit(float(total))))
+    return stored(pairs.filter((F.col("_support") >= SUPPORT) & (share >= DISCLOSED) & (bits >= BITS)).select("term").distinct())
 
 
-def term_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame | None:
-    """(_id, _hash, _term): spans of disclosing terms by document, None if there are none."""
-    mentions = stored(_mentions(with_spans(docs, text), doc_id).hint("rebalance"))  # a few rows per task: few files
-    found = disclosing(docs, mentions, text)
-    if found is None:
+def _places(rest: Column, terms: Column) -> Column:
+    """Spans of all occurrences of the terms as words, without what is trimmed."""
+    trim = "[" + "".join(f"\\{c}" for c in TRIM) + "]*+"
+    quoted = F.transform(terms, lambda t: F.regexp_replace(t, r"([!-/:-@\[-`{-~\x00-\x1F])", r"\\$1"))
+    pattern = F.concat(F.lit(rf"(?i)(?:^|(?<={WHITE})){trim}(?:"), F.array_join(quoted, "|"), F.lit(rf")(?={trim}(?:{WHITE}|\z))"))
+    gaps, found = F.split(rest, pattern, -1), F.regexp_extract_all(rest, pattern, F.lit(0))
+    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"), F.length(F.ltrim(m, F.lit(TRIM))).alias("own")))
+    start = F.struct(F.lit(0).alias("at"), no_spans().alias("spans"))
+
+    def step(acc: Column, x: Column) -> Column:
+        end = acc["at"] + x["gap"] + x["size"]
+        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(F.struct((end - x["own"]).alias("start"), end.alias("end")))).alias("spans"))
+
+    return F.aggregate(pairs, start, step, lambda acc: acc["spans"])
+
+
+def terms_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame | None:
+    """(_id, _hash, _found): disclosing terms by document, None if there are none."""
+    found = disclosing(docs, text)
+    if found is None or found.isEmpty():
         return None
-    marked = mentions.join(found, ["_entity", "term"]).select("_id", "_hash", F.struct("start", "end").alias("_s")).distinct()
-    return stored(marked.groupBy("_id", "_hash").agg(F.sort_array(F.collect_list("_s")).alias("_term")))
+    words = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_hash"), F.explode(_terms(F.col(text))).alias("term"))
+    return stored(words.join(_small(found), "term").groupBy("_id", "_hash").agg(F.sort_array(F.collect_set("term")).alias("_found")))
 
 
 def all_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with _text, _email, _ip, _card, _phone and _term."""
-    found, spanned = term_spans(docs, text, doc_id), with_spans(docs, text)
+    found, spanned = terms_of(docs, text, doc_id), with_spans(docs, text)
     if found is None:
         return spanned.withColumn("_term", no_spans())
-    if found.count() <= BROADCAST_ROWS:
-        found = F.broadcast(found)
     hashed = spanned.withColumn("_key", F.xxhash64("_text"))
-    joined = hashed.join(found, hashed[doc_id].eqNullSafe(found["_id"]) & (hashed["_key"] == found["_hash"]), "left")
-    return joined.withColumn("_term", F.coalesce("_term", no_spans())).drop("_id", "_hash", "_key")
+    joined = hashed.join(_small(found), hashed[doc_id].eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left")
+    places = F.when(F.col("_found").isNotNull(), _places(_rest(), F.col("_found"))).otherwise(no_spans())
+    return joined.withColumn("_term", places).drop("_id", "_hash", "_key", "_found")
 
 
 def _listed(kinds: tuple[str, ...]) -> Column:

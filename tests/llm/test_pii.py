@@ -82,6 +82,18 @@ def test_a_fixed_signature_in_many_texts(docs):
     assert all(clean[i].endswith("w1 w2 [TERM] [EMAIL]") for i in range(8))
 
 
+def test_terms_far_from_the_entity(docs):
+    """A name many words, blank lines and double spaces away from the address, and once in a text without it."""
+    rng = random.Random(3)
+    filler = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    rows = [(i, f'Smithers\n\n{filler(40)}  (can be reached) at boss@corp.example. {filler(40)} "SMITHERS", {filler(3)}') for i in range(8)]
+    rows += [(100 + i, f"{filler(60)}") for i in range(200)] + [(400, f"{filler(20)} smithers. {filler(20)}")]
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs(*rows)).collect()}
+    assert all("smithers" not in t.lower() for t in clean.values())
+    assert all(clean[i].startswith("[TERM]\n\n") and ' "[TERM]", ' in clean[i] and " [EMAIL]" in clean[i] for i in range(8))
+    assert " [TERM]. " in clean[400] and all(clean[i] == t for i, t in rows if 100 <= i < 400)
+
+
 def test_odd_rows_and_overlaps(odd, docs):
     rows = pii.findings(odd).collect()
     assert len(rows) == 11 and all(r.spans == "" for r in rows)
