@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtide.llm import exact_dedup, langid, lm_score, near_dedup, packing, pii, quality, sentencepiece_bpe, topk, url_filter
+from playtide.llm import exact_dedup, langid, lm_score, near_dedup, packing, periodic_runs, pii, quality, sentencepiece_bpe, topk, url_filter
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,6 +61,11 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of words in every document, made periodic in part by its hash, and the text without them."""
+    return periodic_runs.digests(table(spark, folder, "documents"))
+
+
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
@@ -121,6 +126,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_url_filter": op9_url_filter,
         "op10_pii": op10_pii,
+        "op12_periodic_runs": op12_periodic_runs,
     }
 
 
