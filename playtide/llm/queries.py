@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtide.llm import exact_dedup, langid, lm_score, near_dedup, packing, periodic_runs, pii, quality, sentencepiece_bpe, topk, url_filter
+from playtide.llm import exact_dedup, langid, lm_score, near_dedup, packing, periodic_runs, pii, prefix_trie, quality, sentencepiece_bpe, topk, url_filter
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,6 +61,11 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.turns(table(spark, folder, "conversations"))))
+
+
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of words in every document, made periodic in part by its hash, and the text without them."""
     return periodic_runs.digests(table(spark, folder, "documents"))
@@ -112,6 +117,47 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
+# crc32 bit by bit over the decimal digits of the id
+OP11 = """
+WITH t AS (
+  SELECT conv_id, turn, strlen(coalesce(text, ''))::BIGINT AS size,
+         sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, size, digest, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) - 1 AS place FROM t),
+plan AS (
+  SELECT conv_id, count(*) AS turns, conv_id - conv_id % 5 AS source,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                     lambda acc, b: list_reduce(list_prepend(xor(acc, b), range(8)),
+                                          lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)),
+             4294967295) % 9 AS h
+  FROM own GROUP BY conv_id),
+head AS (
+  SELECT p.conv_id, p.h, p.turns, least(p.h, coalesce(s.turns, 0)) AS head, p.source FROM plan p LEFT JOIN plan s ON s.conv_id = p.source),
+built AS (
+  SELECT h.conv_id, o.place, o.digest, o.size FROM head h JOIN own o ON o.conv_id = h.source AND o.place < h.head
+  UNION ALL
+  SELECT h.conv_id, o.place - h.h + h.head, o.digest, o.size FROM head h JOIN own o ON o.conv_id = h.conv_id AND o.place >= h.h),
+m AS (
+  SELECT conv_id, 0 AS depth, '' AS node, NULL AS parent, 0 AS size FROM head
+  UNION ALL
+  SELECT conv_id, place + 1, string_agg(digest, ',') OVER w,
+         CASE WHEN place = 0 THEN '' ELSE string_agg(digest, ',') OVER (PARTITION BY conv_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END, size
+  FROM built WINDOW w AS (PARTITION BY conv_id ORDER BY place)),
+z AS (SELECT conv_id, max(depth) AS last FROM m GROUP BY conv_id),
+n AS (
+  SELECT node, any_value(parent) AS parent, m.depth, min(m.conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+         sha256(coalesce(string_agg(m.conv_id::VARCHAR, ',' ORDER BY m.conv_id) FILTER (WHERE z.last = m.depth), '')) AS ends_sha256
+  FROM m JOIN z USING (conv_id) GROUP BY node, m.depth),
+k AS (
+  SELECT n.*, (SELECT count(*) FROM n c WHERE c.parent = n.node) AS n_children FROM n),
+s AS (
+  SELECT a.node, sum((k.n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((k.n_convs - 1) * k.size)::BIGINT AS saved_tokens
+  FROM k JOIN m a ON a.conv_id = k.conv_id AND a.depth <= k.depth GROUP BY a.node)
+SELECT k.conv_id, k.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, s.n_leaves, s.saved_tokens, k.ends_sha256
+FROM k JOIN s USING (node) LEFT JOIN n p ON p.node = k.parent
+"""
+
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to a function of (spark, folder of tables)."""
@@ -126,10 +172,11 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_url_filter": op9_url_filter,
         "op10_pii": op10_pii,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_periodic_runs": op12_periodic_runs,
     }
 
 
 def statements() -> dict[str, str]:
     """Query name to SQL over the same tables."""
-    return {"op2_exact_dedup": OP2, "op7_topk": OP7, "op9_url_filter": OP9}
+    return {"op2_exact_dedup": OP2, "op7_topk": OP7, "op9_url_filter": OP9, "op11_prefix_trie": OP11}
