@@ -413,8 +413,8 @@ def _blocks(over: DataFrame, labels: DataFrame) -> DataFrame:
     own = own.withColumn("_own", F.when(F.col("_n") >= LARGE, F.col("label")))
     sized = own.groupBy("_group", "_own").agg(F.ceil(F.sum("_n") / LARGE).alias("_blocks"))
     large = own.filter("_own is not null").select("_group", "label", "_own")
-    held = marked.join(F.broadcast(large), ["_group", "label"], "left")
-    dealt = held.join(F.broadcast(sized.withColumnsRenamed({"_group": "_g", "_own": "_o"})), (F.col("_group") == F.col("_g")) & F.col("_own").eqNullSafe(F.col("_o")))
+    held = marked.join(large, ["_group", "label"], "left")
+    dealt = held.join(sized.withColumnsRenamed({"_group": "_g", "_own": "_o"}), (F.col("_group") == F.col("_g")) & F.col("_own").eqNullSafe(F.col("_o")))
     dealt = dealt.select("_group", "cls", "_own", F.pmod(F.xxhash64("cls"), "_blocks").alias("_block"))
     one = sized.select("_group", "_own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_block"))
     one = stored(one.withColumn("_at", F.xxhash64("_group", F.coalesce("_own", F.lit(-1)), "_block")))
