@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtide.llm import exact_dedup, langid, lm_score, near_dedup, packing, periodic_runs, pii, prefix_trie, quality, sentencepiece_bpe, topk, url_filter
+from playtide.llm import embedding_dedup, exact_dedup, langid, lm_score, near_dedup, packing, periodic_runs, pii, prefix_trie, quality, sentencepiece_bpe, topk, url_filter
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -71,6 +71,11 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.digests(table(spark, folder, "documents"))
 
 
+def op13_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every vector among those of its label with a cosine of 0.98 or more, and its links."""
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
@@ -158,6 +163,23 @@ SELECT k.conv_id, k.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, k.n_con
 FROM k JOIN s USING (node) LEFT JOIN n p ON p.node = k.parent
 """
 
+OP13 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.98 ELSE false END),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS b FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, least(e.vec_id, coalesce(c.b, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(c.b, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.a = e.vec_id
+"""
+
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to a function of (spark, folder of tables)."""
@@ -174,9 +196,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_pii": op10_pii,
         "op11_prefix_trie": op11_prefix_trie,
         "op12_periodic_runs": op12_periodic_runs,
+        "op13_embedding_dedup": op13_embedding_dedup,
     }
 
 
 def statements() -> dict[str, str]:
     """Query name to SQL over the same tables."""
-    return {"op2_exact_dedup": OP2, "op7_topk": OP7, "op9_url_filter": OP9, "op11_prefix_trie": OP11}
+    return {"op2_exact_dedup": OP2, "op7_topk": OP7, "op9_url_filter": OP9, "op11_prefix_trie": OP11, "op13_embedding_dedup": OP13}
