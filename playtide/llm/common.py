@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +93,27 @@ def each_group(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table
         yield pa.Table.from_batches(held)
 
 
+def taken(values: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``values``, each of its size, picked by number: the runs one after the other, and their sizes."""
+    starts, own = np.cumsum(sizes) - sizes, sizes[index]
+    ends = np.cumsum(own)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.arange(total) + np.repeat(starts[index] - (ends - own), own)], own
+
+
+def summed(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of ``sizes`` over neighbours, ``counts`` of them each."""
+    ends = np.append(0, np.cumsum(sizes))
+    last = np.cumsum(counts)
+    return ends[last] - ends[last - counts]
+
+
+def coded(words: pa.Array) -> tuple[np.ndarray, list[str]]:
+    """The number of each word and the different words."""
+    found = words.dictionary_encode()
+    return found.indices.to_numpy(zero_copy_only=False).astype(np.int64), found.dictionary.to_numpy(zero_copy_only=False).tolist()
+
+
 class Memo:
     """Values by text in two generations of at most ``limit`` entries each.
 

@@ -5,9 +5,10 @@ front). An agenda holds the adjacent pairs whose joined text is a piece, best sc
 and leftmost among equals; the top pair is merged and its new neighbours join the agenda.
 What stays outside the vocabulary becomes byte pieces. The vocabulary shows which merges
 can happen: if no piece has U+2581 after another character, no merge crosses the start of
-a run of spaces, so the runs of spaces with the word that follows are encoded one by one
-and remembered. Every remembered encoding is compared with the sentencepiece library, one
-call per Arrow batch; a difference raises.
+a run of spaces, so the runs of spaces with the word that follows are encoded one by one,
+each different one once in a batch of at most ``CHARS`` bytes of text; nothing is kept
+between batches. Every encoding of a word and every decoded text is compared with the
+sentencepiece library, one call per batch; a difference raises.
 
 Null or empty text gives no ids; ids that are null decode to an empty text. Other columns
 are kept; a column named like the output is replaced. Rows are independent, so ties,
@@ -24,24 +25,26 @@ from bisect import bisect
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain, groupby
+from itertools import accumulate, chain, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playtide.llm.common import Memo, sliced
+from playtide.llm.common import coded, sliced, summed, taken
 
 SPACE = "▁"
-REMEMBERED = 200_000  # words per generation of the memo
-PARTS = re.compile(r"[^\n.,]+|[.,]+|\n+")
+CUT = "\ue000"  # between words that are cut into runs together
+PARTS = re.compile(f"{CUT}|[^\n.,{CUT}]+|[.,]+|\n+")
 SHORT = 48  # characters of a word below which its agenda is a row of a matrix
 TOGETHER = 8_192  # rows of such a matrix
 NEVER = np.int32(2**31 - 1)  # no merge
-ROWS, CHARS = 400, 1_500_000  # of an Arrow batch that is worked on at once
+ROWS, CHARS = 20_000, 8_000_000  # of an Arrow batch that is worked on at once
+DECODED = 400  # rows that are decoded at once
 
 codecs.register_error("byte_by_byte", lambda e: ("�", e.start + 1))
 
@@ -66,8 +69,6 @@ class Vocabulary:
         for value, i in self.bytes.items():
             self.surface[i] = bytes([value])
         self._pairs()
-        self.words = Memo(REMEMBERED, self.fill)
-        self.runs: dict[str, bytes] = {}
         self.touching = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
 
     def merged(self, text: str) -> list[str]:
@@ -171,35 +172,55 @@ class Vocabulary:
         """Packed ids of one escaped text."""
         return array("i", self.numbers(text)).tobytes()
 
-    def parts(self, word: str) -> list[str]:
-        """Runs of an escaped word between which no merge can happen: no piece has the two characters in a row."""
-        found = PARTS.findall(word)
-        if any(a[-1] + b[0] in self.touching for a, b in zip(found, found[1:])):
-            return [word]
-        return found
-
-    def fill(self, words: list[str]) -> list[bytes]:
-        """Packed ids of words (without their first space), compared with the library's."""
-        split = [self.parts(SPACE + w) for w in words]
-        new = list({p for s in split for p in s}.difference(self.runs))
-        new.sort(key=len)
-        if len(self.runs) > REMEMBERED:
-            self.runs, new = {}, sorted({p for s in split for p in s}, key=len)
+    def runs(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Different runs of escaped words between which no merge can happen, the number of each in order, and runs per word.
+
+        Letters are cut from full stops, commas and line ends, unless a piece has the two
+        characters in a row: then the word is one run.
+        """
+        plain = [w if CUT not in w else "" for w in words]
+        at, names = coded(pa.array(PARTS.findall(CUT.join(plain)), pa.string()))
+        ends = np.array([ord(n[-1]) for n in names], np.int64)[at]
+        starts = np.array([ord(n[0]) for n in names], np.int64)[at]
+        cut = starts == ord(CUT)
+        word = np.cumsum(cut)
+        pair = ends[:-1] << 21 | starts[1:]
+        inside = ~(cut[:-1] | cut[1:])
+        touching = [p for p in np.unique(pair[inside]).tolist() if chr(p >> 21) + chr(p & 0x1FFFFF) in self.touching]
+        whole = set(word[:-1][inside & np.isin(pair, touching)].tolist()).union(i for i, w in enumerate(words) if plain[i] != w)
+        kept = ~cut & ~np.isin(word, list(whole)) if whole else ~cut
+        at, word = at[kept], word[kept]
+        if whole:
+            at, word = np.append(at, len(names) + np.arange(len(whole))), np.append(word, sorted(whole))
+            names += [words[i] for i in sorted(whole)]
+            order = np.argsort(word, kind="stable")
+            at, word = at[order], word[order]
+        return names, at, np.bincount(word, minlength=len(words))
+
+    def fill(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words (without their first space) one after the other and their numbers, compared with the library's."""
+        names, at, counts = self.runs([SPACE + w for w in words])
+        order = sorted(range(len(names)), key=lambda i: len(names[i]))
+        new = [names[i] for i in order]
         short = bisect(new, SHORT, key=len)
+        packed: list[bytes] = []
         for start in range(0, short, TOGETHER):
-            part = new[start : min(short, start + TOGETHER)]
-            self.runs.update(zip(part, self.many(part)))
-        for run in new[short:]:
-            self.runs[run] = self.packed(run)
-        own = [b"".join(map(self.runs.__getitem__, s)) for s in split]
+            packed += self.many(new[start : min(short, start + TOGETHER)])
+        packed += [self.packed(run) for run in new[short:]]
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        place = np.empty(len(names), np.int64)
+        place[order] = np.arange(len(names))
+        own, sizes = taken(np.frombuffer(b"".join(packed), np.int32), sizes, place[at])
+        sizes = summed(sizes, counts)
         theirs = self.library.encode([w.replace(SPACE, " ") for w in words], num_threads=1)
         if "" in words:  # a space that ends a text is an empty word, to which the library adds no space
             theirs[words.index("")] = [self.library.piece_to_id(SPACE)]
-        same = [len(x) for x in own] == [4 * len(x) for x in theirs]
-        if not same or b"".join(own) != array("i", chain.from_iterable(theirs)).tobytes():
-            bad = next(w for w, a, b in zip(words, own, theirs) if a != array("i", b).tobytes())
+        same = np.array_equal(sizes, np.fromiter(map(len, theirs), np.int64, len(theirs)))
+        if not same or own.tobytes() != array("i", chain.from_iterable(theirs)).tobytes():
+            ends = np.cumsum(sizes)
+            bad = next(w for w, b, n, t in zip(words, ends, sizes, theirs) if own[b - n : b].tolist() != t)
             raise ValueError(f"the agenda and the sentencepiece library differ on {bad!r}")
-        return own
+        return own, sizes
 
     def split(self, text: str) -> list[str]:
         """Runs of spaces, less the first space, with the word that follows."""
@@ -211,11 +232,24 @@ class Vocabulary:
             return text.split(" ")
         return [w[1:] for w in re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + text.replace(" ", SPACE))]
 
+    def numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has."""
+        texts = pc.fill_null(texts, "")
+        careful = np.ones(len(texts), bool) if self.whole else pc.match_substring_regex(texts, f"^$|^ | $|  |{SPACE}").to_numpy(zero_copy_only=False)
+        plain = pc.split_pattern(texts.filter(pa.array(~careful)), " ")
+        odd = pa.array([self.split(t) for t in texts.filter(pa.array(careful)).to_pylist()], pa.list_(pa.string()))
+        order = np.argsort(np.append(np.flatnonzero(~careful), np.flatnonzero(careful)), kind="stable")
+        counts = np.concatenate([x.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) for x in (plain, odd)])
+        index, words = coded(pa.concat_arrays([plain.flatten(), odd.flatten()]))
+        index, counts = taken(index, counts, order)
+        ids, sizes = taken(*self.fill(words), index) if words else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        return ids, summed(sizes, counts)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed 32-bit ids of each text."""
-        words = [self.split(t) for t in texts]
-        known = self.words.get(set().union(*words))
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+        ids, sizes = self.numbered(pa.array(texts, pa.string()))
+        ends = np.cumsum(sizes).tolist()
+        return [ids[b - n : b].tobytes() for b, n in zip(ends, sizes.tolist())]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: byte pieces joined, invalid bytes replaced one by one."""
@@ -250,10 +284,8 @@ def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> D
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(model)
         for batch in sliced(batches, ROWS, CHARS, text):
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            packed = words.encode([t or "" for t in texts])
-            ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
-            values = np.frombuffer(b"".join(packed), np.int32)
+            values, sizes = words.numbered(batch.column(batch.schema.get_field_index(text)))
+            ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
             yield _with(batch, ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(values)))
 
     return _add(df, ids, T.ArrayType(T.IntegerType()), task)
@@ -267,12 +299,17 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
             out = []
-            for start in range(0, batch.num_rows, ROWS):
-                part = column.slice(start, ROWS)
-                flat, at = part.flatten().to_pylist(), 0
-                for size in part.value_lengths().fill_null(0).to_pylist():
-                    out.append(words.decode(flat[at : at + size]))
-                    at += size
+            for start in range(0, batch.num_rows, DECODED):
+                part = column.slice(start, DECODED)
+                flat = part.flatten().to_numpy(zero_copy_only=False).tolist()
+                sizes = part.value_lengths().fill_null(0).to_pylist()
+                each = [flat[b - n : b] for b, n in zip(accumulate(sizes), sizes)]
+                own = list(map(words.decode, each))
+                theirs = words.library.decode(each, num_threads=1)
+                if own != theirs:
+                    bad = next(x for x, a, b in zip(each, own, theirs) if a != b)
+                    raise ValueError(f"the decoded text and that of the sentencepiece library differ on {bad[:100]}")
+                out += own
             yield _with(batch, text, pa.array(out, pa.string()))
 
     return _add(df, text, T.StringType(), task)
