@@ -31,78 +31,86 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from playtide.llm.common import Memo, sliced, stored
+from playtide.llm.common import coded, sliced, stored, summed, taken
 
-REMEMBERED = 250_000  # words per generation of the memo
 ROW = 500  # words that are encoded as one text
-PARTS = regex.compile(r"( ?\p{L}+)([.,]+)?(?:(\n)(\p{L}+)([.,]+)?)?")
-ROWS, CHARS = 400, 1_500_000  # of an Arrow batch that is worked on at once
-MARK = "\x1f"  # counts as white space, so a text that has it takes the careful way
+ROWS, CHARS = 20_000, 8_000_000  # of an Arrow batch that is worked on at once
+BLANK = r"[\p{Z}\s\x0b\x1c-\x1f\x{85}]"  # white space, of Arrow's regular expressions
 BREADTH = 12  # fillings kept at a step of the search
 LOOKED = 150  # fillings looked at in a step
 NODES = 1_000  # steps of the search after the first descent
 
 
 class Words:
-    """Token ids of texts, word by word.
+    """Token ids of texts, each different word of a batch encoded once.
 
     The pattern that splits a text before the merges never joins a character that is not
-    white space to a following single space: a text may be cut before such a space.
+    white space to a following single space: a text may be cut before such a space. Texts
+    that hold the string of an added token go to the library as they are.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         space = self.library.encode(" ", add_special_tokens=False).tokens[0]
         self.led = np.array([(self.library.id_to_token(i) or "").startswith(space) for i in range(self.library.get_vocab_size())])
-        self.memo = Memo(REMEMBERED, self.fill)
-
-    def fill(self, words: list[str]) -> list[bytes]:
-        """Packed ids of words; letters, what follows them and a line end are never merged."""
-        split = {w: [p for p in m.groups() if p] for w in words if not w[1:].isalpha() and (m := PARTS.fullmatch(w))}
-        held, before = self.memo.held, self.memo.before
-        known = {p: held.get(p) or before.get(p) for parts in split.values() for p in parts}
-        new = [*(w for w in words if w not in split), *(p for p, ids in known.items() if ids is None)]
-        known.update(zip(new, self.encoded(new)))
-        held.update(known)
-        return [b"".join(map(known.__getitem__, split[w])) if w in split else known[w] for w in words]
-
-    def encoded(self, words: list[str]) -> list[bytes]:
-        """Packed ids by the library. A space with letters is one word of a text to it, so many make one text."""
-        plain = [i for i, w in enumerate(words) if w[0] == " " and w[1:].isalpha()]
-        out: list[bytes | None] = [None] * len(words)
-        rows = [plain[k : k + ROW] for k in range(0, len(plain), ROW)]
-        texts = ["".join([words[i] for i in row]) for row in rows]
-        for row, found in zip(rows, self.library.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = array("I", found.ids).tobytes()
-            starts = np.flatnonzero(self.led[np.frombuffer(ids, np.uint32)]) * 4
-            if len(starts) == len(row):
-                for i, x, y in zip(row, starts.tolist(), [*starts[1:].tolist(), len(ids)]):
-                    out[i] = ids[x:y]
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        for i, found in zip(rest, self.library.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
-            out[i] = array("I", found.ids).tobytes()
-        return out
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
+        self.careful = "|".join([r"^\z", rf"\A{BLANK}", rf"{BLANK}\z", rf"{BLANK}{{2}}", *(rf"\Q{c}\E" for c in self.added)])
+
+    def one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts by the library, one after the other, and their numbers."""
+        found = [array("I", e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.frombuffer(b"".join(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+    def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words that begin with their only space and end with no white space: many make one text.
+
+        Each of them starts with a token that starts with a space, and holds no other.
+        """
+        ids, sizes = self.one_by_one(["".join(words[k : k + ROW]) for k in range(0, len(words), ROW)])
+        starts = np.flatnonzero(self.led[ids])
+        found = np.searchsorted(starts, np.append(0, np.cumsum(sizes)))
+        if (np.diff(found) == [len(words[k : k + ROW]) for k in range(0, len(words), ROW)]).all():
+            return ids, np.diff(np.append(starts, len(ids)))
+        return self.one_by_one(words)
 
     def split(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if text[0].isspace() or text[-1].isspace() or re.search(r"\s\s", text) or MARK in text:
-            first, *rest = re.split(r"(?<=\S) (?=\S)", text)
-            return [first, *(" " + w for w in rest)]
-        return text.replace(" ", MARK + " ").split(MARK)
+        """Words of any text, with the space before them."""
+        if not text or any(c in text for c in self.added):
+            return [text] if text else []
+        first, *rest = re.split(r"(?<=\S) (?=\S)", text)
+        return [first, *(" " + w for w in rest)]
+
+    def numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has."""
+        texts = pc.fill_null(texts, "")
+        careful = pc.match_substring_regex(texts, self.careful).to_numpy(zero_copy_only=False)
+        plain = pc.split_pattern(texts.filter(pa.array(~careful)), " ")
+        odd = pa.array([self.split(t) for t in texts.filter(pa.array(careful)).to_pylist()], pa.list_(pa.string()))
+        order = np.argsort(np.append(np.flatnonzero(~careful), np.flatnonzero(careful)), kind="stable")
+        counts = np.concatenate([x.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) for x in (plain, odd)])
+        spaced = np.ones(len(plain.flatten()), bool)  # all words of a plain text but the first follow a space
+        spaced[np.cumsum(counts[: len(plain)]) - counts[: len(plain)]] = False
+        at, words = coded(plain.flatten().filter(pa.array(spaced)))
+        others, rest = coded(pa.concat_arrays([plain.flatten().filter(pa.array(~spaced)), odd.flatten()]))
+        index = np.empty(len(spaced) + len(odd.flatten()), np.int64)
+        index[: len(spaced)][spaced] = at
+        index[np.append(~spaced, np.ones(len(odd.flatten()), bool))] = others + len(words)
+        index, counts = taken(index, counts, order)
+        values, sizes = zip(self.together([" " + w for w in words]), self.one_by_one(rest))
+        ids, sizes = taken(np.concatenate(values), np.concatenate(sizes), index)
+        return ids, summed(sizes, counts)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed 32-bit ids of each text."""
-        words = [self.split(t) for t in texts]
-        known = self.memo.get(set().union(*words))
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+        ids, sizes = self.numbered(pa.array(texts, pa.string()))
+        ends = np.cumsum(sizes).tolist()
+        return [ids[b - n : b].tobytes() for b, n in zip(ends, sizes.tolist())]
 
 
 @lru_cache(maxsize=4)
@@ -122,8 +130,9 @@ def pieces(docs: DataFrame, path: str, size: int = 2048, end: int = 0, text: str
         words = tokenizer(path)
         for batch in sliced(batches, ROWS, CHARS, "text"):
             owner, piece, start, length, crc, own = [], [], [], [], [], []
-            for row, packed in enumerate(words.encode([t or "" for t in batch.column(1).to_pylist()])):
-                packed += last
+            tokens, sizes = words.numbered(batch.column(1))
+            for row, (stop, number) in enumerate(zip(np.cumsum(sizes).tolist(), sizes.tolist())):
+                packed = tokens[stop - number : stop].tobytes() + last
                 total = len(packed) // 4
                 first = total % size or size  # only a first piece is shorter
                 cuts = [0, *range(min(first, total), total + 1, size)]

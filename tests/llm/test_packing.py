@@ -14,11 +14,16 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def test_words_equal_the_library():
-    words, rng = packing.Words(PATH), random.Random(5)
+    words, library, rng = packing.Words(PATH), Tokenizer.from_file(PATH), random.Random(5)
     parts = ["a", "b", " ", " ", "\n", "\t", "'s", "é", "1", ".", ",", "!", "\x1f", "　", "\r", "<|endoftext|>", "th", "\x85"]
+    many = ["a <|endoftext|> b"]
     for _ in range(10_000):
         text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
-        assert np.frombuffer(words.encode([text])[0], np.uint32).tolist() == words.library.encode(text, add_special_tokens=False).ids, text
+        many.append(text)
+        assert np.frombuffer(words.encode([text])[0], np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, text
+    found = [np.frombuffer(p, np.uint32).tolist() for p in words.encode(many)]
+    assert found == [library.encode(t, add_special_tokens=False).ids for t in many]
+    assert found[0] == [64, 220, 50256, 275]  # the string of an added token is that token
 
 
 def best_possible(lengths, size):
@@ -78,7 +83,6 @@ def check_rows(rows, size=2048):
 
 def test_query_equals_the_tokenizer(spark, texts):
     library = Tokenizer.from_file(PATH)
-    library.encode_special_tokens = True
     rows = queries.op3_packing(spark, "/root/testdata/sf0.01").collect()
     found, by_doc = check_rows(rows), defaultdict(list)
     for r in rows:
