@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -11,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_libc = ctypes.CDLL(None)
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -57,6 +60,26 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(modulus)
 
 
+def apart(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """_own (the id), _words (the text) and _rest (all other columns in one): names of the documents clash with none."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    return docs.select(F.col(doc_id).alias("_own"), F.col(text).alias("_words"), F.struct(*rest).alias("_rest"))
+
+
+def whole(rows: DataFrame, columns: list[str], text: str, words: Column | str = "_words") -> DataFrame:
+    """The documents' columns again from those of ``apart``, with ``words`` as the text."""
+    words = F.col(words) if isinstance(words, str) else words
+    return rows.select(*[words.alias(c) if c == text else F.col("_rest").getField(c).alias(c) for c in columns])
+
+
+def released() -> None:
+    """Give freed memory back to the machine: a worker that waits for its next task holds none of the last one's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(_libc, "malloc_trim", None):  # the GNU library only
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -72,6 +95,7 @@ def sliced(batches: Iterable[pa.RecordBatch], rows: int, chars: int, text: str =
         step = max(1, min(rows, chars // per_row))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
+    released()
 
 
 def each_group(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -91,6 +115,8 @@ def each_group(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table
             last = keys[start]
     if held:
         yield pa.Table.from_batches(held)
+    held = []
+    released()
 
 
 def taken(values: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

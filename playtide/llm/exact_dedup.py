@@ -15,7 +15,7 @@ of the text together, so a collision of one of them does not merge two texts.
 Defined results: texts are equal when identical after lower-casing A-Z; null counts as
 empty. "Smallest" follows ``keep``: the largest or the smallest doc_id; a null id comes
 last, and of repeated rows with one id and text exactly one stays. Empty tables give empty
-results; other columns are kept.
+results; other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playtide.llm.common import ascii_lower, stored
+from playtide.llm.common import apart, ascii_lower, stored, whole
 
 FAN = 5  # a round merges up to 2**FAN runs
 KEY = ["_digest", "_bytes", "_hash"]
@@ -88,14 +88,14 @@ def deduplicated(docs: DataFrame, keep: str = "largest", text: str = "text", doc
     stays = stored(groups(rows, keep).select(*KEY, F.col("keep_id").alias("_id")))
     counted = rows.groupBy(*KEY, "_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     repeated = stored(stays.join(counted.drop("_n"), [stays[c].eqNullSafe(counted[c]) for c in [*KEY, "_id"]], "left_semi"))
-    norm = ascii_lower(F.col(text))
-    keyed = docs.withColumns({"_digest": F.sha2(norm, 256), "_bytes": F.octet_length(norm), "_hash": F.xxhash64(norm)})
+    norm = ascii_lower(F.col("_words"))
+    keyed = apart(docs, text, doc_id).withColumns({"_digest": F.sha2(norm, 256), "_bytes": F.octet_length(norm), "_hash": F.xxhash64(norm)})
 
     def meets(chosen: DataFrame, how: str, left: DataFrame = keyed) -> DataFrame:
-        on = [left[c] == chosen[c] for c in KEY] + [left[doc_id].eqNullSafe(chosen["_id"])]
+        on = [left[c] == chosen[c] for c in KEY] + [left["_own"].eqNullSafe(chosen["_id"])]
         return left.join(chosen, on, how)
 
     kept = meets(stays, "left_semi")
     if not repeated.isEmpty():
-        kept = meets(repeated, "left_anti", kept).unionByName(meets(repeated, "left_semi").dropDuplicates([*KEY, doc_id]))
-    return kept.select(docs.columns)
+        kept = meets(repeated, "left_anti", kept).unionByName(meets(repeated, "left_semi").dropDuplicates([*KEY, "_own"]))
+    return whole(kept, docs.columns, text)

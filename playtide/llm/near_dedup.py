@@ -31,7 +31,8 @@ and 0.0009 after 15, the spread of its estimate counted in.
 Defined results: A-Z are lower-cased, words are runs without ASCII white space; fewer words
 than a shingle make one shingle; a null text or one without words has no shingle, is linked
 with nothing and is its own component. Rows with a null doc_id take part; the smallest
-non-null id names the component. Repeated rows are one class. Other columns are left out.
+non-null id names the component. Repeated rows are one class. An empty table gives no row.
+``near_duplicates`` leaves other columns out, ``deduplicated`` keeps them, whatever their names.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtide.llm.common import each_group, sliced, stored
+from playtide.llm.common import apart, each_group, sliced, stored, whole
 
 WORDS = 5  # of a shingle
 COORDINATES = 128  # minhashes of a class
@@ -474,7 +475,7 @@ def _own_text(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _members(docs: DataFrame, limit: int, trees: int | None, text: str, doc_id: str) -> DataFrame:
-    """_id, _text_hash, n_shingles and component_id of every row."""
+    """_id, _text_hash, n_shingles, component_id and the component's _root (null without shingles) of every row."""
     texts = docs.select(F.col(doc_id).alias("_tid"), F.col(text).alias("text"))
     kind = docs.schema[doc_id].dataType.simpleString()
     signed = texts.withColumn("_hash", F.xxhash64("text")).mapInArrow(_signed, f"_id {kind}, _text_hash long, n_shingles long, _set binary, _sig binary")
@@ -493,11 +494,11 @@ def _members(docs: DataFrame, limit: int, trees: int | None, text: str, doc_id:
     named = sets.join(joined, sets["cls"] == joined["node"], "left").select("_set", "_least", F.coalesce("root", "cls").alias("root"))
     named = stored(named)
     lowest = named.groupBy("root").agg(F.min("_least").alias("component_id"))
-    named = named.join(lowest, "root").select("_set", "component_id")
+    named = named.join(lowest, "root").select("_set", "component_id", F.col("root").alias("_root"))
     # one row per set and partition meets the answer, and the rows of a partition then meet it
     pairs = rows.filter("_set is not null").select("_set", "_part").distinct().join(named, "_set")
     out = rows.select("_id", "_text_hash", "n_shingles", "_set", "_part").join(pairs, ["_set", "_part"], "left")
-    return out.select("_id", "_text_hash", "n_shingles", F.coalesce("component_id", "_id").alias("component_id"))
+    return out.select("_id", "_text_hash", "n_shingles", F.coalesce("component_id", "_id").alias("component_id"), "_root")
 
 
 def near_duplicates(docs: DataFrame, limit: int = 85, trees: int | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -509,12 +510,24 @@ def near_duplicates(docs: DataFrame, limit: int = 85, trees: int | None = None,
 def deduplicated(docs: DataFrame, limit: int = 80, trees: int | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of which one of each component stays, that with the smallest doc_id.
 
-    A row without an id stays unless its component has a row with one.
+    Where rows of a component repeat this id, one of them stays: that of the text with the
+    smallest hash. A row without an id stays unless its component has a row with one.
     """
-    found = _members(docs, limit, trees, text, doc_id).filter("component_id is not null and not (_id <=> component_id)")
-    dropped = stored(found.select("_id", "_text_hash").distinct())
-    if dropped.count() <= BROADCAST_ROWS:
-        dropped = F.broadcast(dropped)
-    hashed = docs.withColumn("_key", F.xxhash64(text))
-    same = hashed[doc_id].eqNullSafe(dropped["_id"]) & (hashed["_key"] == dropped["_text_hash"])
-    return hashed.join(dropped, same, "left_anti").select(docs.columns)
+    found = stored(_members(docs, limit, trees, text, doc_id).filter("component_id is not null"))
+    least = found.filter("_id <=> component_id and _root is not null").groupBy("_root", "_id").agg(F.count(F.lit(1)).alias("_n"), F.min("_text_hash").alias("_key"))
+    again = stored(least.filter("_n > 1").select("_root", "_id", "_key"))
+    other = found.join(again, ["_root", "_id"]).filter("_text_hash != _key")
+    lost = found.filter("not (_id <=> component_id)").select("_id", "_text_hash").union(other.select("_id", "_text_hash"))
+    rows = apart(docs, text, doc_id).withColumn("_key", F.xxhash64("_words"))
+
+    def meets(chosen: DataFrame, how: str) -> DataFrame:
+        if chosen.count() <= BROADCAST_ROWS:
+            chosen = F.broadcast(chosen)
+        return rows.join(chosen, rows["_own"].eqNullSafe(chosen["_id"]) & (rows["_key"] == chosen["_text_hash"]), how)
+
+    lost = stored(lost.distinct())
+    if again.isEmpty():
+        return whole(meets(lost, "left_anti"), docs.columns, text)
+    one = stored(again.select("_id", F.col("_key").alias("_text_hash")).distinct())
+    kept = meets(lost.union(one), "left_anti").unionByName(meets(one, "left_semi").dropDuplicates(["_own", "_key"]))
+    return whole(kept, docs.columns, text)

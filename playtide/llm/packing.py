@@ -23,6 +23,7 @@ gives no piece. Other columns are left out.
 from __future__ import annotations
 
 import math
+import os
 import re
 import zlib
 from array import array
@@ -115,7 +116,8 @@ class Words:
 
 @lru_cache(maxsize=4)
 def tokenizer(path: str) -> Words:
-    """The tokenizer of a file, read once per Python worker."""
+    """The tokenizer of a file, read once per Python worker; its threads would only take the cores of other tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Words(path)
 
 

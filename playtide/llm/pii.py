@@ -18,7 +18,8 @@ points from 0, ends are exclusive.
 Defined results: null text is empty and has no span; a match that fails its check (parts
 over 255, Luhn, digit counts) is dropped and not tried again; spans of two kinds may
 overlap in the lists, and a sanitised text replaces the union of overlapping spans by the
-first one's mark; repeated rows get equal spans; other columns are kept by ``sanitised``.
+first one's mark; repeated rows get equal spans; other columns are kept by ``sanitised``,
+whatever their names; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playtide.llm.common import ascii_lower, stored
+from playtide.llm.common import apart, ascii_lower, stored, whole
 
 SUPPORT = 3  # different texts
 DISCLOSED = 0.5  # least P(entity | term)
@@ -128,9 +129,12 @@ def disclosing(docs: DataFrame, text: str = "text") -> DataFrame | None:
     inside = spanned.join(_small(held.select("_hash").distinct()), "_hash", "left_semi").select("_hash", F.explode(_terms(_rest())).alias("term"))
     inside = stored(inside.distinct())
     terms = stored(inside.groupBy("term").agg(F.count(F.lit(1)).alias("_texts")).filter(F.col("_texts") >= SUPPORT).select("term"))
-    words = docs.select(F.explode(_terms(F.col(text))).alias("term")).join(_small(terms), "term")
+    words = docs.select(F.explode(_terms(F.col(text))).alias("term"))
     most = held.agg(F.max("_rows")).first()[0]
+    few = terms.count() <= BROADCAST_ROWS  # otherwise words are counted in each task before they meet the terms
+    words = words.join(F.broadcast(terms), "term") if few else words
     counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("_all")).filter(F.col("_all") * DISCLOSED <= most)
+    counted = counted if few else counted.join(terms, "term")
     total = docs.agg(F.sum(F.size(F.split(F.col(text), f"{WHITE}+")))).first()[0] or 1
     rare = inside.join(_small(stored(counted)), "term")
     pairs = rare.join(held, "_hash").filter(F.col("_all") * DISCLOSED <= F.col("_rows"))
@@ -183,7 +187,7 @@ def _listed(kinds: tuple[str, ...]) -> Column:
 
 def findings(docs: DataFrame) -> DataFrame:
     """doc_id, counts of each kind, digest of the base spans and all spans."""
-    return all_spans(docs).select(
+    return all_spans(docs.select("doc_id", "text")).select(
         "doc_id",
         *(F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in KINDS),
         F.sha2(_listed(KINDS), 256).alias("base_sha256"),
@@ -203,5 +207,6 @@ def sanitised(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
 
     rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("_text"), acc["at"] + 1, F.length("_text")))
-    clean = F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, rest)).otherwise(F.col(text))
-    return all_spans(docs, text, doc_id).withColumn("_clean", clean).withColumn(text, F.col("_clean")).select(docs.columns)
+    clean = F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, rest)).otherwise(F.col("_words"))
+    found = all_spans(apart(docs, text, doc_id), "_words", "_own")
+    return whole(found, docs.columns, text, clean)

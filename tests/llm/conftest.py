@@ -6,7 +6,8 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 SF = "/root/testdata/sf0.01"
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, _set string, node long"
+EXTRA = {"_set": "x", "node": "1", "_hash": "h", "_digest": "d", "_bytes": "b", "_key": "k", "_text": "t", "_email": "e", "_term": "m", "_id": "i", "_words": "w", "_rest": "r", "_own": "o", "score": "s", "lang_pred": "l"}
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in EXTRA)
 
 
 @pytest.fixture(scope="session")
@@ -14,7 +15,7 @@ def docs(spark):
     """Documents from (doc_id, text) or (doc_id, text, lang), with extra columns whose names operators use inside."""
 
     def build(*rows):
-        full = [(r[0], r[1], r[2] if len(r) > 2 else None, "s", len(r[1] or ""), "x", 1) for r in rows]
+        full = [(r[0], r[1], r[2] if len(r) > 2 else None, "s", len(r[1] or ""), *EXTRA.values()) for r in rows]
         return spark.createDataFrame(full, DOCS).repartition(3)
 
     return build

@@ -86,10 +86,19 @@ def test_odd_rows(odd):
     assert {r.component_id for r in by[4] + by[5] + by[None]} == {4} and {r.component_id for r in by[6] + by[7]} == {6}
     assert not by[None][0].kept and by[6][0].kept and not by[7][0].kept
     kept = near_dedup.deduplicated(odd)
-    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 4, 6, 8, 9]
+    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 6, 8, 9]
     assert near_dedup.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_one_row_of_a_component_stays_where_its_id_is_repeated(docs):
+    """Near copies and equal rows with one id; the same id in another component is another row."""
+    base = [f"w{i}" for i in range(100)]
+    near = [*base[:99], "other"]
+    rows = [(1, " ".join(base)), (1, " ".join(near)), (2, " ".join(near)), (1, " ".join(base)), (1, "quite another text of some words")]
+    kept = [(r.doc_id, r.text.startswith("quite")) for r in near_dedup.deduplicated(docs(*rows)).collect()]
+    assert sorted(kept) == [(1, False), (1, True)]
+
+
 def test_components_of_a_long_path(spark):
     df = spark.range(60).selectExpr("id AS a", "id + 1 AS b")
     assert {(r.node, r.root) for r in near_dedup.components(df).collect()} == {(i, 0) for i in range(1, 61)}
