@@ -9,42 +9,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtide.llm import exact_dedup, langid, near_dedup, packing, pii
-from playtide.llm.common import stored
+from playtide.llm.common import apart, stored, whole
 
 NEAR = 80  # hundredths of similarity from which documents are near duplicates
-LEAST_SCORE = 0.5  # of a predicted language: no other one is likelier
 
 
 def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents with a predicted language; a text without letters or without a clear language goes.
+    """Documents with a predicted language: only a null text or one without letters goes.
 
     Where no row names a language, nothing can be told apart and all texts with a letter stay.
+    Other columns stay as they are, also those named like the prediction's; repeated rows are
+    judged one by one; an empty table stays empty.
     """
     network = langid.train(docs.filter(~langid.held_out()))
     if not network.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    found = langid.predict(docs, network)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+    found = langid.predict(apart(docs, "text", "doc_id"), network, "_words")
+    return whole(found.filter(F.col("lang_pred") != "und"), docs.columns, "text")
 
 
 def exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each text: that with the largest doc_id."""
+    """One document of each text: that with the largest doc_id; null is empty, a repeated row stays once."""
     return exact_dedup.deduplicated(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest doc_id."""
+    """One document of each group of near duplicates: that with the smallest doc_id.
+
+    Texts without a word are no duplicates; a repeated id stays once in its group; a row
+    without an id stays if no row of its group has one.
+    """
     return near_dedup.deduplicated(docs, limit=NEAR)
 
 
 def private(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """All documents with personal data replaced, and n_chars of the new text."""
+    """All documents with personal data replaced, and n_chars of the new text; a null text stays null."""
     clean = pii.sanitised(docs)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The pieces of all documents with their sequences."""
+    """The pieces of all documents with their sequences; a null or empty text is one piece, its end id."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
