@@ -41,7 +41,7 @@ from tokenizers import Tokenizer
 from playtide.llm.common import coded, sliced, stored, summed, taken
 
 ROW = 500  # words that are encoded as one text
-ROWS, CHARS = 20_000, 8_000_000  # of an Arrow batch that is worked on at once
+ROWS, CHARS = 20_000, 2_500_000  # of an Arrow batch that is worked on at once
 BLANK = r"[\p{Z}\s\x0b\x1c-\x1f\x{85}]"  # white space, of Arrow's regular expressions
 BREADTH = 12  # fillings kept at a step of the search
 LOOKED = 150  # fillings looked at in a step

@@ -43,7 +43,7 @@ PARTS = re.compile(f"{CUT}|[^\n.,{CUT}]+|[.,]+|\n+")
 SHORT = 48  # characters of a word below which its agenda is a row of a matrix
 TOGETHER = 8_192  # rows of such a matrix
 NEVER = np.int32(2**31 - 1)  # no merge
-ROWS, CHARS = 20_000, 8_000_000  # of an Arrow batch that is worked on at once
+ROWS, CHARS = 20_000, 4_000_000  # of an Arrow batch that is worked on at once
 DECODED = 400  # rows that are decoded at once
 
 codecs.register_error("byte_by_byte", lambda e: ("�", e.start + 1))
