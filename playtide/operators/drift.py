@@ -11,6 +11,7 @@ from playtide.operators.scale import running_totals, stored_ranges
 from playtide.schema import MONITOR_FEATURES
 
 SERIES_TERMS = 100
+EXACT_PAIRS = 65_536  # product of both sizes up to which the p-value is exact
 
 
 def _long_form(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
@@ -40,6 +41,36 @@ def kolmogorov_p(statistic: Column, n1: Column, n2: Column) -> Column:
     return F.when(statistic.isNotNull(), p_value)
 
 
+def exact_p(statistic: Column, n1: Column, n2: Column) -> Column:
+    """Exact p-value of the two-sample statistic: the share of lattice paths that reach it.
+
+    A path from (0, 0) to (n1, n2) is an order of both samples, and the statistic is
+    its greatest distance from the diagonal. Diagonal by diagonal, the array holds for
+    each i the probability that a random path through (i, s - i) has stayed nearer.
+    """
+    reach = F.round(statistic * n1 * n2).cast("long")
+    places = F.sequence(F.lit(0).cast("long"), n1.cast("long"))
+
+    def step(nearer: Column, s: Column) -> Column:
+        def at(i: Column) -> Column:
+            j = s - i
+            inside = j.between(0, n2) & (F.abs(i * n2 - j * n1) < reach)
+            left = F.coalesce(F.get(nearer, i.cast("int") - 1), F.lit(0.0))
+            return F.when(inside, (i * left + j * F.get(nearer, i.cast("int"))) / s).otherwise(0.0)
+
+        return F.transform(places, at)
+
+    start = F.transform(places, lambda i: F.when(i == 0, 1.0).otherwise(0.0))
+    last = F.aggregate(F.sequence(F.lit(1).cast("long"), n1 + n2), start, step)
+    return F.when(reach <= 0, 1.0).otherwise(1.0 - F.get(last, n1.cast("int")))
+
+
+def two_sample_p(statistic: Column, n1: Column, n2: Column, exact_pairs: int = EXACT_PAIRS) -> Column:
+    """Exact p-value of small samples, asymptotic beyond ``exact_pairs``."""
+    small = statistic.isNotNull() & (n1 * n2 <= exact_pairs)
+    return F.when(small, exact_p(statistic, n1, n2)).otherwise(kolmogorov_p(statistic, n1, n2))
+
+
 def _weighted_stats(counts: DataFrame) -> DataFrame:
     """Rows, mean and sample deviation of each side from (feature, value, ref, cur) counts."""
     sides = ("ref", "cur")
@@ -66,6 +97,7 @@ def ks_drift(
     current: DataFrame,
     features: Sequence[str] = MONITOR_FEATURES,
     alpha: float = 0.05,
+    exact_pairs: int = EXACT_PAIRS,
 ) -> DataFrame:
     """Statistic, p-value, drift flag, means and deviations per feature.
 
@@ -73,7 +105,8 @@ def ks_drift(
     stored; everything else is computed from those counts. The empirical
     distributions are running sums, cut into ranges so that a feature with many
     distinct values spans many tasks. A feature without a value on one side has
-    null for statistic, p-value and flag.
+    null for statistic, p-value and flag. The p-value is exact where the product of
+    both sizes is at most ``exact_pairs``.
     """
     rows = _long_form(baseline, features, "ref").unionByName(_long_form(current, features, "cur"))
     counts = stored_ranges(
@@ -91,7 +124,7 @@ def ks_drift(
             "ks_statistic"
         )
     )
-    p_value = kolmogorov_p(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
+    p_value = two_sample_p(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"), exact_pairs)
     return (
         gaps.join(F.broadcast(stats), "feature")
         .withColumn("p_value", p_value)

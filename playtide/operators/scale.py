@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -83,20 +83,34 @@ def running_totals(ranges: DataFrame, group: str, order: str, values: Sequence[s
     starts = (
         ranges.groupBy(group, "_part")
         .agg(*[F.sum(v).alias(v) for v in values])
-        .select(
-            group, "_part", *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_start_{v}") for v in values]
-        )
+        .select(group, "_part", *[F.sum(v).over(before).alias(f"_start_{v}") for v in values])
+        .filter(F.col(f"_start_{values[0]}").isNotNull())
     )
     inside = W.partitionBy(group, "_part").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     running = ranges.select(
         group, "_part", order, *[F.sum(v).over(inside).alias(f"_run_{v}") for v in values]
     )
-    # A few rows per range.
-    return running.join(F.broadcast(starts), [group, "_part"]).select(
-        group, order, *[(F.col(f"_run_{v}") + F.col(f"_start_{v}")).alias(f"running_{v}") for v in values]
+    # Only the first group of a range goes on from an earlier one: a row per range at most.
+    total = {v: F.col(f"_run_{v}") + F.coalesce(f"_start_{v}", F.lit(0)) for v in values}
+    return running.join(F.broadcast(starts), [group, "_part"], "left").select(
+        group, order, *[c.alias(f"running_{v}") for v, c in total.items()]
     )
 
 
+def carried(ranges: DataFrame, group: str, order: str, value: Column) -> tuple[Column, DataFrame]:
+    """The greatest ``value`` so far in each ``group`` of ``stored_ranges``, ties of ``order`` included.
+
+    Gives a window column for the rows of a range, and a table (group, _part,
+    ``_carry``) of what the first group of a range has from earlier ones: a row
+    per range at most.
+    """
+    inside = W.partitionBy("_part", group).orderBy(order).rangeBetween(W.unboundedPreceding, W.currentRow)
+    before = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    ends = ranges.groupBy(group, "_part").agg(F.max(value).alias("_end"))
+    carry = ends.select(group, "_part", F.max("_end").over(before).alias("_carry")).filter(F.col("_carry").isNotNull())
+    return F.max(value).over(inside), carry
+
+
 def exact_percentile(df: DataFrame, col: str, fraction: float) -> float | None:
     """Percentile with linear interpolation.
 

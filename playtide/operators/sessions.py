@@ -15,13 +15,37 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from playtide.functions.columns import minus, page_code, scaled_sequence, squared_norm
-from playtide.operators.scale import cut_lineage, exact_percentile
+from playtide.operators.scale import carried, cut_lineage, exact_percentile, stored_ranges
 from playtide.schema import MAX_SESSION_LENGTH, MIN_SESSION_LENGTH, SESSION_KEY
 
 COMPONENTS = 16
 ROUNDING = 1e-12
 
 
+def gap_sessions(events: DataFrame, gap_ms: int = 30 * 60_000, by: str = "userId", time: str = "ts") -> DataFrame:
+    """Sessions by inactivity gap, for sources without a session id, in batch.
+
+    A session starts at an event more than ``gap_ms`` after the one before and ends
+    ``gap_ms`` after its last event. Events are sorted in ranges of (user, time), so
+    the events of a hot user lie in many tasks; a range learns from one carried row
+    when the user's last event and last start before it were. Events without a user
+    or a time are left out.
+    """
+    known = events.filter(F.col(by).isNotNull() & F.col(time).isNotNull()).select(by, time)
+    ranges = stored_ranges(known, by, time)
+    _, last = carried(ranges, by, time, F.col(time))
+    before = F.coalesce(F.lag(time).over(W.partitionBy("_part", by).orderBy(time)), F.col("_carry"))
+    opens = F.when(before.isNull() | (F.col(time) - before > gap_ms), F.col(time))
+    marked = cut_lineage(ranges.join(F.broadcast(last), [by, "_part"], "left").select(by, time, "_part", opens.alias("_opens")))
+    inside, first = carried(marked, by, time, F.col("_opens"))
+    placed = marked.withColumn("_inside", inside).join(F.broadcast(first), [by, "_part"], "left")
+    return (
+        placed.groupBy(by, F.coalesce("_inside", "_carry").alias("started"))
+        .agg((F.max(time) + gap_ms).alias("ended"), F.count(F.lit(1)).alias("session_length"))
+        .select(by, "started", "ended", "session_length")
+    )
+
+
 def session_sequences(
     df: DataFrame,
     max_len: int = MAX_SESSION_LENGTH,

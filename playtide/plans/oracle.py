@@ -225,6 +225,35 @@ sequences AS (
 """
 
 
+PART_REST_MS = 6 * 3_600_000
+
+# paths: diagonal by diagonal, the share of lattice paths that have stayed nearer than the statistic
+DAYS_DRIFT = f"""
+daily AS (
+  SELECT floor(ts / {DAY_MS})::BIGINT AS day, count(*)::DOUBLE AS streams, count(DISTINCT "userId")::DOUBLE AS users FROM silver GROUP BY 1),
+sided AS (SELECT *, day <= (SELECT avg(day) FROM daily) AS ref FROM daily),
+longer AS (
+  SELECT 'streams' AS feature, streams AS value, ref FROM sided UNION ALL SELECT 'users', users, ref FROM sided),
+sizes AS (SELECT feature, count(*) FILTER (ref) AS n_ref, count(*) FILTER (NOT ref) AS n_cur FROM longer GROUP BY feature),
+steps AS (
+  SELECT feature, count(*) FILTER (ref) OVER w AS below_ref, count(*) FILTER (NOT ref) OVER w AS below_cur FROM longer
+  WINDOW w AS (PARTITION BY feature ORDER BY value RANGE UNBOUNDED PRECEDING)),
+stat AS (
+  SELECT feature, any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur, max(abs(below_ref / n_ref::DOUBLE - below_cur / n_cur::DOUBLE)) AS ks,
+    max(abs(below_ref * n_cur - below_cur * n_ref)) AS reach
+  FROM steps JOIN sizes USING (feature) GROUP BY feature),
+paths AS (
+  SELECT feature, n_ref, n_cur, ks, reach, 0::BIGINT AS s, list_transform(range(0, n_ref + 1), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS u
+  FROM stat
+  UNION ALL
+  SELECT feature, n_ref, n_cur, ks, reach, s + 1,
+    list_transform(range(0, n_ref + 1), lambda i:
+      CASE WHEN s + 1 - i >= 0 AND s + 1 - i <= n_cur AND abs(i * n_cur - (s + 1 - i) * n_ref) < reach
+        THEN (CASE WHEN i > 0 THEN i * u[i] ELSE 0 END + (s + 1 - i) * u[i + 1]) / (s + 1)::DOUBLE ELSE 0.0::DOUBLE END)
+  FROM paths WHERE s < n_ref + n_cur)
+"""
+
+
 SHARES = f"""
 {V1},
 scored AS (
@@ -352,6 +381,10 @@ train AS (SELECT * FROM marked WHERE split = 'train'), test AS (SELECT * FROM ma
             STORED_PART,
             body="""SELECT "userId", ts, "sessionId", page FROM raw WHERE "itemInSession" NOT IN (SELECT item FROM part)""",
         ),
+        "incremental_filter_indexed": with_events(
+            STORED_PART,
+            body="""SELECT "userId", ts, "sessionId", page FROM raw WHERE "itemInSession" NOT IN (SELECT item FROM part)""",
+        ),
         "incremental_filter_late": with_events(
             STORED_PART,
             body=f"""SELECT "userId", ts, "sessionId", page FROM raw WHERE "itemInSession" NOT IN (SELECT item FROM part)
@@ -696,6 +729,29 @@ train AS (SELECT * FROM marked WHERE split = 'train'), test AS (SELECT * FROM ma
             body="""SELECT (SELECT round(avg(CAST((score >= 0.5::DOUBLE) = (label = 1) AS DOUBLE)), 9) FROM scored) AS accuracy,
             round(sum(pos * (lower + neg / 2::DOUBLE)) / (sum(pos) * sum(neg))::DOUBLE, 9) AS auc FROM below""",
         ),
+        "ks_drift_days": with_events(
+            DAYS_DRIFT,
+            body="""SELECT feature, n_ref, n_cur, round(ks, 9) AS ks_statistic, round(1 - u[n_ref + 1], 9) AS p_value,
+            1 - u[n_ref + 1] < 0.05 AS drift FROM paths WHERE s = n_ref + n_cur""",
+        ).replace("WITH", "WITH RECURSIVE", 1),
+        "gap_sessions": with_events(
+            """marked AS (SELECT "userId", ts, coalesce(ts - lag(ts) OVER (PARTITION BY "userId" ORDER BY ts) > 1800000, TRUE) AS opens
+                FROM silver WHERE "userId" IS NOT NULL AND ts IS NOT NULL),
+            placed AS (SELECT *, max(CASE WHEN opens THEN ts END) OVER (PARTITION BY "userId" ORDER BY ts RANGE UNBOUNDED PRECEDING) AS started
+                FROM marked)""",
+            body="""SELECT "userId", started, max(ts) + 1800000 AS ended, count(*) AS session_length FROM placed GROUP BY "userId", started""",
+        ),
+        "stream_session_parts": with_events(
+            f"""marked AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY "userId", "sessionId" ORDER BY ts) > {PART_REST_MS}, TRUE) AS opens
+                FROM silver WHERE page IS NOT NULL AND "sessionId" IS NOT NULL AND "userId" IS NOT NULL),
+            placed AS (SELECT *, max(CASE WHEN opens THEN ts END)
+                OVER (PARTITION BY "userId", "sessionId" ORDER BY ts RANGE UNBOUNDED PRECEDING) AS started FROM marked),
+            numbered AS (SELECT "userId", "sessionId", started, CASE page {_codes} ELSE 0 END AS code,
+                row_number() OVER (PARTITION BY "userId", "sessionId", started ORDER BY ts, "itemInSession", page) AS position FROM placed)""",
+            body="""SELECT "userId", "sessionId", started, count(*) AS session_length,
+            array_to_string(list(code ORDER BY position) FILTER (position <= 50), ',') AS page_seq
+            FROM numbered GROUP BY "userId", "sessionId", started""",
+        ),
         "stream_session_sequences": with_events(
             sequences("silver", 1),
             body="""SELECT "userId", "sessionId", session_length, array_to_string(codes, ',') AS page_seq FROM sequences""",

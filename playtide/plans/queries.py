@@ -25,7 +25,7 @@ from playtide.operators import (
     sessions,
 )
 from playtide.plans import jobs
-from playtide.sources import adapters, layers, runlog
+from playtide.sources import adapters, keyindex, layers, runlog
 from playtide.streaming import ingest, live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,14 @@ def incremental_filter_late(spark, sf):
     return fresh.select("userId", "ts", "sessionId", "page")
 
 
+def incremental_filter_indexed(spark, sf):
+    """The same rows as the default, from the keys of the increment's days instead of all stored events."""
+    raw = _raw(spark, sf)
+    index = scale.new_folder(spark, "index")
+    keyindex.add_keys(_stored_part(raw), index)
+    return keyindex.unseen_rows(raw, index).select("userId", "ts", "sessionId", "page")
+
+
 def increment_report(spark, sf):
     raw = _raw(spark, sf)
     return clean.increment_report(raw, _stored_part(raw), 3 * adapters.DAY_MS)
@@ -472,7 +480,7 @@ def _drift(spark, sf, alpha=0.05):
     """First half of the log as baseline, all of it as current."""
     silver = _silver(spark, sf)
     baseline = features.user_features_monitor(silver.filter(F.col("ts") <= _middle(silver)))
-    return drift.ks_drift(baseline, features.user_features_monitor(silver), alpha=alpha)
+    return drift.ks_drift(baseline, features.user_features_monitor(silver), alpha=alpha, exact_pairs=0)
 
 
 def ks_drift(spark, sf):
@@ -486,11 +494,24 @@ def ks_drift_missing(spark, sf):
     silver = _silver(spark, sf)
     baseline = features.user_features_monitor(silver.filter(F.col("ts") <= _middle(silver)))
     current = features.user_features_monitor(silver).withColumn("thumbs_up", F.lit(None).cast("long"))
-    found = drift.ks_drift(baseline, current)
+    found = drift.ks_drift(baseline, current, exact_pairs=0)
     rounded = [F.round(c, 9).alias(c) for c in ("ks_statistic", "p_value", "cur_mean")]
     return found.select("feature", "drift", "n_ref", "n_cur", *rounded)
 
 
+def ks_drift_days(spark, sf):
+    """Plays and users of each day, the earlier days against the later ones: small samples, exact p-values."""
+    silver = _silver(spark, sf)
+    days = silver.groupBy(F.floor(F.col("ts") / adapters.DAY_MS).alias("day")).agg(
+        F.count(F.lit(1)).alias("streams"), F.count_distinct("userId").alias("users")
+    )
+    days = scale.cut_lineage(days.crossJoin(days.agg(F.avg("day").alias("middle"))))  # one row
+    earlier, later = days.filter("day <= middle"), days.filter("day > middle")
+    found = drift.ks_drift(earlier, later, ["streams", "users"])
+    rounded = [F.round(c, 9).alias(c) for c in ("ks_statistic", "p_value")]
+    return found.select("feature", "drift", "n_ref", "n_cur", *rounded)
+
+
 def _summary(spark, sf):
     return drift.drift_summary(_drift(spark, sf), "2024-01-31")
 
@@ -813,6 +834,24 @@ def stream_session_sequences(spark, sf):
     return rows.withColumn("page_seq", F.concat_ws(",", F.transform("page_seq", lambda c: c.cast("string"))))
 
 
+PART_REST_MS = 6 * 3_600_000
+
+
+def stream_session_parts(spark, sf):
+    """Sessions that end after six hours without an event; the state of ended ones is gone."""
+    out = scale.new_folder(spark, "parts")
+    silver = _in_files(spark, sf, f"{out}/events")
+    _finish(live.stream_session_parts(silver, out, f"{out}/checkpoint", PART_REST_MS, every=None))
+    rows = spark.read.schema(live.PARTS).parquet(f"{out}/updates/epoch=*")
+    parts = clean.latest_per_key(rows, ["userId", "sessionId", "started"], [F.desc("session_length")])
+    return parts.withColumn("page_seq", F.concat_ws(",", F.transform("page_seq", lambda c: c.cast("string"))))
+
+
+def gap_sessions(spark, sf):
+    """Sessions of each user by gaps of half an hour."""
+    return sessions.gap_sessions(_silver(spark, sf))
+
+
 def stream_session_scores(spark, sf):
     """Sessions in progress scored with a model fitted on the batch sessions."""
     vectors = scale.cut_lineage(_vectors(spark, sf))
@@ -832,7 +871,7 @@ def registry() -> dict[str, Query]:
     """Query name to function."""
     names = """
         parse_events clean_events dedupe_events split_location parse_user_agent parse_user_agent_blank
-        incremental_filter incremental_filter_late increment_report parse_damaged_events rejected_events
+        incremental_filter incremental_filter_late incremental_filter_indexed increment_report parse_damaged_events rejected_events
         require_fields require_fields_blank null_profile layer_counts
         song_rankings play_counts listening_kpis value_counts_gender value_counts_level trending velocity
         top_artists top_artists_orders top_songs_per_hour top_songs_orders latest_events
@@ -846,7 +885,7 @@ def registry() -> dict[str, Query]:
         session_sequences session_sequences_users session_vectors session_stats anomaly_scores anomaly_share score_columns
         lookup_anomaly
         exact_percentile
-        ks_drift ks_drift_missing drift_summary alerts
+        ks_drift ks_drift_missing ks_drift_days drift_summary alerts
         risk_tiers churn_kpis histogram confusion_matrix top_at_risk stable_sample
         stable_sample_customers lookup_churn validation_verdict
         als_recommendations als_recommendations_hashed als_rmse als_hit_rate recommendation_text
@@ -854,6 +893,6 @@ def registry() -> dict[str, Query]:
         churn_predictions churn_evaluation feature_importance multi_seed_validation compare_feature_sets
         layer_stats layer_round_trip latest_metrics
         stream_ingest stream_silver stream_velocity stream_trending stream_kpis stream_top_songs stream_closed_sessions
-        stream_session_sequences stream_session_scores
+        stream_session_sequences stream_session_scores stream_session_parts gap_sessions
     """
     return {name: globals()[name] for name in names.split()}

@@ -135,6 +135,86 @@ def session_updates(silver: DataFrame) -> DataFrame:
     )
 
 
+PARTS = "userId string, sessionId bigint, started bigint, session_length bigint, page_seq array<int>"
+PART_STATE = "started bigint, last bigint, session_length bigint, ts array<bigint>, item array<bigint>, code array<int>"
+
+
+def _with_part(parts: list[list], idle: int, part: list) -> None:
+    """Adds a stretch [start, last event, length, first entries] to disjoint ones, joining what is near."""
+    near = [p for p in parts if part[0] - p[1] <= idle and p[0] - part[1] <= idle]
+    for p in near:
+        parts.remove(p)
+        part = [min(p[0], part[0]), max(p[1], part[1]), p[2] + part[2], nsmallest(MAX_SESSION_LENGTH, chain(p[3], part[3]))]
+    parts.append(part)
+
+
+def _advance_parts(idle: int):
+    """The state update of ``session_parts``."""
+
+    def advance(key, batches, state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        parts: list[list] = []
+        if state.exists:
+            started, last, length, *columns = state.get
+            parts.append([started, last, length, list(zip(*columns))])
+        touched = set()
+        for rows in batches:
+            rows = rows.sort_values(["ts", "item", "code"])
+            ts = rows["ts"].to_numpy()
+            cuts = [0, *((ts[1:] - ts[:-1] > idle).nonzero()[0] + 1).tolist(), len(ts)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a < b:
+                    head = rows.iloc[a : min(b, a + MAX_SESSION_LENGTH)]
+                    entries = [(int(t), int(i), int(c)) for t, i, c in zip(head["ts"], head["item"], head["code"])]
+                    _with_part(parts, idle, [int(ts[a]), int(ts[b - 1]), b - a, entries])
+                    touched.add(int(ts[a]))
+        newest = max(parts)
+        ts, item, code = ([e[i] for e in newest[3]] for i in range(3))
+        state.update((*newest[:3], ts, item, code))
+        state.setTimeoutTimestamp(max(newest[1] + idle, state.getCurrentWatermarkMs()) + 1)
+        out = [p for p in parts if any(p[0] <= t <= p[1] for t in touched)]
+        columns = {"userId": key[0], "sessionId": key[1]}
+        yield pd.DataFrame([{**columns, "started": p[0], "session_length": p[2], "page_seq": [e[2] for e in p[3]]} for p in out])
+
+    return advance
+
+
+def session_parts(silver: DataFrame, idle_ms: int = 6 * 3_600_000, lateness: str = "10 minutes") -> DataFrame:
+    """Like ``session_updates``, with an end: a session that rests for ``idle_ms`` of event time is over.
+
+    Its state goes when the watermark has passed that time, so the state holds the
+    sessions of the last ``idle_ms`` and lateness, not all that ever were. An event
+    of the same user and session id after a longer rest starts a new part, known by
+    its first time, whether or not the old state is gone already; what is later than
+    ``lateness`` is dropped by the watermark. Many live sessions belong into a RocksDB
+    state store (``spark.sql.streaming.stateStore.providerClass``).
+    """
+    known = silver.filter(F.col("page").isNotNull() & F.col("sessionId").isNotNull() & F.col("userId").isNotNull())
+    rows = known.withWatermark("event_time", lateness).select(
+        *SESSION_KEY,
+        "ts",
+        "event_time",
+        F.coalesce("itemInSession", F.lit(0)).cast("long").alias("item"),
+        page_code(F.col("page")).cast("int").alias("code"),
+    )
+    return rows.groupBy(*SESSION_KEY).applyInPandasWithState(
+        _advance_parts(idle_ms), PARTS, PART_STATE, "update", GroupStateTimeout.EventTimeTimeout
+    )
+
+
+def stream_session_parts(
+    silver: DataFrame, path: str, checkpoint: str, idle_ms: int = 6 * 3_600_000, every: str | None = "60 seconds"
+) -> StreamingQuery:
+    """The sequence so far of every session part touched by a micro-batch, in ``path``/updates."""
+
+    def write(parts: DataFrame, epoch: int) -> None:
+        layers.replace_layer(parts, f"{path}/updates/epoch={epoch}")
+
+    return start_each_batch(session_parts(silver, idle_ms), write, checkpoint, "update", every)
+
+
 def stream_session_sequences(
     silver: DataFrame, path: str, checkpoint: str, every: str | None = "60 seconds"
 ) -> StreamingQuery:

@@ -104,3 +104,26 @@ def test_run_metrics(spark, tmp_path):
     runlog.log_metrics(runlog.metric_rows(spark, "churn", {"auc": 0.7, "f1": None}, datetime(2024, 1, 2)), path)
     assert runlog.latest_metric(spark, path, "churn", "auc") == 0.7
     assert runlog.latest_metric(spark, path, "churn", "f1") is None
+
+
+def test_exact_p_counts_all_orders(spark):
+    """Every order of two small samples, and the scipy values of larger ones as fixed numbers."""
+    from itertools import combinations
+
+    rows, wanted = [], []
+    for n1, n2 in [(1, 1), (3, 4), (5, 5), (2, 7)]:
+        reached = []
+        for chosen in combinations(range(n1 + n2), n1):
+            i = j = most = 0
+            for k in range(n1 + n2):
+                i, j = i + (k in chosen), j + (k not in chosen)
+                most = max(most, abs(i * n2 - j * n1))
+            reached.append(most)
+        for reach in sorted(set(reached)):
+            rows.append((reach / (n1 * n2), n1, n2))
+            wanted.append(sum(r >= reach for r in reached) / len(reached))
+    df = spark.createDataFrame(rows, "d double, n1 long, n2 long")
+    found = [r[0] for r in df.select(drift.two_sample_p(F.col("d"), F.col("n1"), F.col("n2"))).collect()]
+    assert found == pytest.approx(wanted, abs=1e-12)
+    large = df.select(drift.two_sample_p(F.lit(18 / 201), F.lit(201), F.lit(201)).alias("exact"), drift.kolmogorov_p(F.lit(18 / 201), F.lit(201), F.lit(201)).alias("far")).first()
+    assert abs(large.exact - large.far) < 0.05 and large.exact != large.far

@@ -7,7 +7,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from playtide.sources import layers
+from playtide.sources import keyindex, layers
 
 
 @pytest.fixture
@@ -95,3 +95,18 @@ def test_json_overwrites_one_day_only(spark, tmp_path):
 def test_other_errors_are_raised(spark, tmp_path):
     with pytest.raises(AnalysisException):
         spark.read.parquet(str(tmp_path / "none"))
+
+
+def test_key_index_reads_the_days_of_the_increment(spark, tmp_path):
+    path, day = str(tmp_path / "index"), keyindex.DAY_MS
+    schema = "userId string, ts long, sessionId long, page string"
+    stored = [(f"u{i % 5}", i * day // 4, i % 3, "p") for i in range(40)] + [(None, 3 * day, None, "p"), ("u", None, 1, "p")]
+    keyindex.add_keys(spark.createDataFrame(stored[:20], schema), path)
+    keyindex.add_keys(spark.createDataFrame(stored[20:], schema), path)
+    assert keyindex.high_water(spark, path) == 39 * day // 4
+    late = [("late", 2 * day + 5, 1, "p"), ("tied", 39 * day // 4, 1, "p"), ("newer", 50 * day, 1, "p"), (None, None, 1, "p"), ("u", None, 2, "p")]
+    found = keyindex.unseen_rows(spark.createDataFrame(stored[5:] + late + late[:1], schema), path)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(late + late[:1], key=str)
+    plan = keyindex.unseen_rows(spark.createDataFrame(late[:1], schema), path)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "IN" in plan.upper().split("PARTITIONFILTERS")[1][:120] or "= 2" in plan
+    assert keyindex.unseen_rows(spark.createDataFrame(late, schema), str(tmp_path / "none")).count() == 5

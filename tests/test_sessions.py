@@ -69,3 +69,23 @@ def test_threshold_zero(spark):
     df = spark.createDataFrame([(0.0,), (0.1,)], "e double")
     cols = sessions.score_columns(F.col("e"), F.lit(0.0))
     assert [(r.is_anomaly, r.anomaly_score) for r in df.withColumns(cols).collect()] == [(0, 0.0), (1, 5.0)]
+
+
+def test_gap_sessions_of_a_hot_user(spark):
+    """Half of the events are one user's; sessions span ranges, and equal times are one event time."""
+    import random
+
+    rng = random.Random(3)
+    rows = [("hot" if i % 2 else f"u{rng.randrange(20)}", rng.randrange(4000) * (1 if i % 4 else 3)) for i in range(3000)]
+    rows += [(None, 5), ("u1", None), *rows[:50]]
+    wanted = []
+    for user in {u for u, _ in rows if u}:
+        times = sorted(t for u, t in rows if u == user and t is not None)
+        start = times[0]
+        for at, t in enumerate(times):
+            if at + 1 == len(times) or times[at + 1] - t > 7:
+                wanted.append((user, start, t + 7, sum(start <= x <= t for x in times)))
+                start = times[at + 1] if at + 1 < len(times) else None
+    df = spark.createDataFrame(rows, "userId string, ts long").repartition(5)
+    assert sorted(map(tuple, sessions.gap_sessions(df, 7).collect())) == sorted(wanted)
+    assert sessions.gap_sessions(df.limit(0), 7).collect() == []

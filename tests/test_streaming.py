@@ -179,3 +179,56 @@ def test_live_scores_equal_batch_scores(spark, silver, tmp_path):
     assert found.keys() == expected.keys()
     for key, (flag, error) in expected.items():
         assert found[key][0] == flag and found[key][1] == pytest.approx(error, abs=1e-12)
+
+
+def part_rows(spark, path):
+    """The longest row of each session part."""
+    best = {}
+    for folder in sorted((path / "updates").glob("epoch=*")):
+        for r in spark.read.schema(live.PARTS).parquet(str(folder)).collect():
+            key = (r.userId, r.sessionId, r.started)
+            if r.session_length > best.get(key, (0,))[0]:
+                best[key] = (r.session_length, list(r.page_seq))
+    return best
+
+
+def test_state_of_ended_sessions_goes_and_a_resumed_one_is_a_new_part(spark, events, tmp_path):
+    """10,000 sessions rest for over six hours: only the newest session is left in the state."""
+    hour, source = 3_600_000, str(tmp_path / "in")
+    schema = events().schema
+    base = {"page": "Home", "itemInSession": 0}
+
+    def add(rows):
+        events(*rows).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = clean.enrich_events(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source))
+        query = live.stream_session_parts(stream, str(tmp_path / "out"), str(tmp_path / "c"), every=None)
+        query.awaitTermination()
+        return query.recentProgress
+
+    add([{**base, "userId": f"u{i}", "sessionId": i, "ts": i} for i in range(10_000)])
+    run()
+    add([{**base, "userId": "u7", "sessionId": 7, "ts": hour, "page": "NextSong"}])
+    run()
+    add([{**base, "userId": "late", "sessionId": 1, "ts": 40 * hour}])
+    last = run()[-1]
+    assert last["stateOperators"][0]["numRowsTotal"] == 1
+    add([{**base, "userId": "u7", "sessionId": 7, "ts": 41 * hour + k, "itemInSession": k} for k in (2, 0, 1)])
+    run()
+    found = part_rows(spark, tmp_path / "out")
+    assert len(found) == 10_002 and {k: v[0] for k, v in found.items() if k[0] == "u7"} == {("u7", 7, 7): 2, ("u7", 7, 41 * hour): 3}
+
+
+def test_parts_do_not_depend_on_the_order_of_stretches():
+    import random
+
+    rng = random.Random(1)
+    for _ in range(50):
+        times = [rng.randrange(200) for _ in range(30)]
+        parts = []
+        for t in times:
+            live._with_part(parts, 5, [t, t, 1, [(t, 0, 0)]])
+        ordered = sorted(times)
+        cuts = [0, *(i for i in range(1, 30) if ordered[i] - ordered[i - 1] > 5), 30]
+        assert sorted(p[:3] for p in parts) == [[ordered[a], ordered[b - 1], b - a] for a, b in zip(cuts, cuts[1:])]
