@@ -207,7 +207,7 @@ def test_state_of_ended_sessions_goes_and_a_resumed_one_is_a_new_part(spark, eve
         query.awaitTermination()
         return query.recentProgress
 
-    add([{**base, "userId": f"u{i}", "sessionId": i, "ts": i} for i in range(10_000)])
+    add([{**base, "userId": f"u{i}", "sessionId": i, "ts": i + 1} for i in range(10_000)])
     run()
     add([{**base, "userId": "u7", "sessionId": 7, "ts": hour, "page": "NextSong"}])
     run()
@@ -217,7 +217,8 @@ def test_state_of_ended_sessions_goes_and_a_resumed_one_is_a_new_part(spark, eve
     add([{**base, "userId": "u7", "sessionId": 7, "ts": 41 * hour + k, "itemInSession": k} for k in (2, 0, 1)])
     run()
     found = part_rows(spark, tmp_path / "out")
-    assert len(found) == 10_002 and {k: v[0] for k, v in found.items() if k[0] == "u7"} == {("u7", 7, 7): 2, ("u7", 7, 41 * hour): 3}
+    assert {f"u{i}" for i in range(10_000)} | {"late"} == {k[0] for k in found}
+    assert len(found) == 10_002 and {k: v[0] for k, v in found.items() if k[0] == "u7"} == {("u7", 7, 8): 2, ("u7", 7, 41 * hour): 3}
 
 
 def test_parts_do_not_depend_on_the_order_of_stretches():
