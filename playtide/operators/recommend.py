@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from playtide.functions.columns import stable_hash
+from playtide.operators.scale import cut_lineage, global_positions
 
 
 RATINGS_PER_BLOCK = 1_000_000
+ITEMS_PER_BLOCK, USERS_PER_PART = 4_096, 20_000
 
 
 def train_als(
@@ -51,9 +57,79 @@ def als_rmse(model: ALSModel, test: DataFrame, rating: str = "play_count") -> fl
     return RegressionEvaluator(metricName="rmse", labelCol=rating, predictionCol="prediction").evaluate(scored)
 
 
+RECS = "array<struct<song_idx:int,rating:float>>"
+
+
+def _best_of_block(users: pa.Table, ids: np.ndarray, vectors: np.ndarray, k: int) -> pa.Table:
+    """(user_idx, recs, least): each user's ``k`` best items of a block; ``least`` is null for fewer than ``k``."""
+    idx, factors = users["user_idx"].to_numpy(), np.array(users["features"].to_pylist(), np.float64)
+    recs, least = [], []
+    for start in range(0, len(idx), 1_000):
+        scores = factors[start : start + 1_000] @ vectors.T
+        for row in scores:
+            take = np.flatnonzero(row >= np.partition(row, -k)[-k]) if len(row) > k else np.arange(len(row))
+            take = take[np.lexsort((ids[take], -row[take]))][:k]
+            recs.append([{"song_idx": int(ids[i]), "rating": float(row[i])} for i in take])
+            least.append(float(row[take[-1]]) if len(take) == k else None)
+    kind = pa.list_(pa.struct([("song_idx", pa.int32()), ("rating", pa.float64())]))
+    return pa.table({"user_idx": pa.array(idx, pa.int32()), "recs": pa.array(recs, kind), "least": pa.array(least, pa.float64())})
+
+
+def top_items(
+    user_factors: DataFrame, item_factors: DataFrame, k: int = 10, block: int = ITEMS_PER_BLOCK, part: int = USERS_PER_PART
+) -> DataFrame:
+    """The ``k`` items with the greatest inner product for every user, without a product of both tables.
+
+    Items are cut into blocks in the order of their norms, the longest first, so that a
+    block's greatest norm times the user's bounds every score in it. All users meet the
+    first block; after that a user meets only the blocks whose bound reaches its ``k``-th
+    score so far, by an equi-join on (block, part of the users). Ties go to the smaller
+    item; factors are (id, features) as a fitted model has them.
+    """
+    schema = "user_idx int, recs array<struct<song_idx:int,rating:double>>, least double"
+    norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
+    users = user_factors.select(F.col("id").alias("user_idx"), "features", norm.alias("_norm"))
+    items = item_factors.select(F.col("id").alias("song_idx"), "features", (-norm).alias("_less"))
+    placed = cut_lineage(
+        global_positions(items, ["_less", "song_idx"])
+        .withColumn("_block", F.floor(F.col("position") / block).cast("int"))
+        .select("_block", "song_idx", "features", "_less")
+    )
+    bounds = {r[0]: r[1] for r in placed.groupBy("_block").agg(-F.min("_less")).collect()}  # one number per block
+    first = placed.filter("_block = 0").select("song_idx", "features").toPandas()  # one block
+    ids, vectors = first["song_idx"].to_numpy(), np.array(first["features"].tolist(), np.float64)
+
+    def meet_first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows and len(ids):
+                yield from _best_of_block(pa.Table.from_batches([batch]), ids, vectors, k).to_batches()
+
+    def meet(users_of: pa.Table, items_of: pa.Table) -> pa.Table:
+        found = np.array(items_of["features"].to_pylist(), np.float64)
+        return _best_of_block(users_of, items_of["song_idx"].to_numpy(), found, k)
+
+    found = cut_lineage(users.select("user_idx", "features").mapInArrow(meet_first, schema))
+    if len(bounds) > 1:
+        # a margin for rounding: a bound is met rather once too often
+        further = F.array(*[F.struct(F.lit(b).alias("_block"), F.lit(bounds[b] * (1 + 1e-9)).alias("_bound")) for b in sorted(bounds) if b])
+        wanted = F.filter(further, lambda x: F.col("least").isNull() | (x["_bound"] * F.col("_norm") >= F.col("least")))
+        reached = users.join(found.select("user_idx", "least"), "user_idx").withColumn("_block", F.explode(F.transform(wanted, lambda x: x["_block"])))
+        parts = max(1, -(-user_factors.count() // part))
+        reached = reached.withColumn("_part", F.pmod(F.xxhash64("user_idx"), F.lit(parts)).cast("int"))
+        spread = placed.filter("_block > 0").withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        sides = (df.groupBy("_block", "_part") for df in (reached.select("_block", "_part", "user_idx", "features"), spread))
+        left, right = sides
+        more = left.cogroup(right).applyInArrow(lambda a, b: meet(a, b) if len(a) and len(b) else _best_of_block(a.slice(0, 0), ids, vectors, k), schema)
+        found = found.unionByName(more)
+    ranked = F.array_sort(F.transform(F.flatten(F.collect_list("recs")), lambda r: F.struct((-r["rating"]).alias("less"), r["song_idx"].alias("song_idx"))))
+    best = found.groupBy("user_idx").agg(F.slice(ranked, 1, k).alias("best"))
+    recs = F.transform("best", lambda r: F.struct(r["song_idx"].alias("song_idx"), (-r["less"]).cast("float").alias("rating")))
+    return best.select("user_idx", recs.cast(RECS).alias("recommendations"))
+
+
 def recommend_all(model: ALSModel, k: int = 10) -> DataFrame:
     """Top ``k`` songs of every user."""
-    return model.recommendForAllUsers(k)
+    return top_items(model.userFactors, model.itemFactors, k)
 
 
 def recommend_users(model: ALSModel, users: DataFrame, k: int = 10) -> DataFrame:

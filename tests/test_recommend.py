@@ -91,3 +91,29 @@ def test_evaluate_scores(spark):
     df = spark.createDataFrame([(1.0, 0.9), (1.0, 0.4), (0.0, 0.5), (0.0, 0.1)], "label double, score double")
     row = recommend.evaluate_scores(df).first()
     assert row.accuracy == 0.5 and row.auc == pytest.approx(0.75)
+
+
+def test_top_items_equal_sql_over_the_factors(spark):
+    """Blocks by norm, of which most users meet few; ties, a block of fewer items than wanted, users without a vector's length."""
+    import duckdb
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(2)
+    items = rng.gamma(1.0, 1.0, (500, 6)) * np.exp(rng.normal(0, 1.5, (500, 1)))
+    items[7] = items[8] = items[9]
+    users = np.vstack([rng.gamma(1.0, 1.0, (80, 6)), np.zeros((1, 6)), -rng.gamma(1.0, 1.0, (3, 6))])
+    frames = {n: pd.DataFrame({"id": range(len(x)), "features": [r.tolist() for r in x.astype(np.float32)]}) for n, x in (("u", users), ("i", items))}
+    con = duckdb.connect()
+    for name, frame in frames.items():
+        con.register(name, frame)
+    wanted = con.sql("""SELECT u.id, i.id, row_number() OVER (PARTITION BY u.id ORDER BY list_inner_product(u.features::DOUBLE[], i.features::DOUBLE[]) DESC, i.id) AS rank
+        FROM u, i QUALIFY rank <= 10""").fetchall()
+    tables = {n: spark.createDataFrame(f, "id int, features array<float>").repartition(3) for n, f in frames.items()}
+    for block, part in ((4096, 20_000), (40, 30), (7, 1000)):
+        df = recommend.top_items(tables["u"], tables["i"], 10, block, part)
+        found = [(r.user_idx, x.song_idx, n + 1) for r in df.collect() for n, x in enumerate(r.recommendations)]
+        assert sorted(found) == sorted(wanted)
+        assert "CartesianProduct" not in df._jdf.queryExecution().toString()
+    assert recommend.top_items(tables["u"], tables["i"].limit(0)).count() == 0
+    assert recommend.top_items(tables["u"].limit(0), tables["i"]).count() == 0
