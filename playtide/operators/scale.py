@@ -129,3 +129,19 @@ def exact_percentile(df: DataFrame, col: str, fraction: float) -> float | None:
     running = running_totals(ranges, "_all", col, ["n"])
     found = running.agg(*[F.min(F.when(F.col("running_n") > r, F.col(col))) for r in (low, high)]).first()
     return float(found[0] + (rank - low) * (found[1] - found[0]))
+
+
+KLL_K = 800  # rank error below half a percent
+
+
+def daily_sketches(df: DataFrame, time: str, col: str, k: int = KLL_K) -> DataFrame:
+    """(day, sketch) of a numeric column; a few KB a day, whatever the rows, nulls left out."""
+    known = df.filter(F.col(col).isNotNull())
+    return known.groupBy(F.to_date(time).alias("day")).agg(F.kll_sketch_agg_double(F.col(col).cast("double"), F.lit(k)).alias("sketch"))
+
+
+def merged_percentile(sketches: DataFrame, fraction: float, *by: str) -> DataFrame:
+    """(rows, percentile) of all sketches, or of those of each ``by``; no event is read again."""
+    merged = sketches.groupBy(*by).agg(F.kll_merge_agg_double("sketch").alias("_merged")).filter(F.kll_sketch_get_n_double("_merged") > 0)
+    found = F.kll_sketch_get_quantile_double("_merged", F.lit(fraction))
+    return merged.select(*by, F.kll_sketch_get_n_double("_merged").alias("rows"), found.alias("percentile"))

@@ -659,6 +659,27 @@ train AS (SELECT * FROM marked WHERE split = 'train'), test AS (SELECT * FROM ma
             body="""SELECT count(*) AS sessions, avg(session_length) AS mean_length, max(session_length) AS max_length
             FROM sequences""",
         ),
+        "late_rows": with_events(
+            """hours AS (SELECT hour, ntile(6) OVER (ORDER BY hour) AS part FROM (SELECT DISTINCT date_trunc('hour', event_time) AS hour FROM silver)),
+            placed AS (SELECT least(6, part + CASE WHEN "itemInSession" % 20 = 0 THEN 2 ELSE 0 END) AS part, ts
+              FROM silver JOIN hours ON date_trunc('hour', event_time) = hour),
+            marks AS (SELECT part, max(max(ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - 600000 AS mark
+              FROM placed GROUP BY part)""",
+            body="""SELECT CAST(part - 1 AS INTEGER) AS batch, count(*) AS late FROM placed JOIN marks USING (part)
+            WHERE ts <= mark GROUP BY 1""",
+        ),
+        "stream_kpi_sketches": with_events(
+            body=f"""SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS day, count(*) AS streams,
+            round(count(*) FILTER (level = 'paid') * 100.0::DOUBLE / count(*), 9) AS paid_pct, TRUE AS users_close, TRUE AS songs_close
+            FROM silver WHERE date_trunc('hour', event_time) + INTERVAL 1 HOUR <= {CLOSED} GROUP BY 1"""
+        ),
+        "sketched_percentile": """SELECT strftime(ts, '%Y-%m') AS month, count(value) AS rows, TRUE AS "close" FROM events
+            GROUP BY 1 HAVING count(value) > 0""",
+        "published_layer": with_events(
+            body="""SELECT 1 AS version, count(*) AS events, max(ts) AS newest_ms FROM raw WHERE ts <= (SELECT middle FROM mid)
+            UNION ALL SELECT 2, count(*), max(ts) FROM raw"""
+        ),
+        "unreadable_files": "SELECT count(*) AS events, CAST(1 AS BIGINT) AS left_out FROM events",
         "exact_percentile": "SELECT count(*) AS rows, round(quantile_cont(value, 0.95), 6) AS p95 FROM events",
         "ks_drift": with_events(
             DRIFT,

@@ -814,12 +814,14 @@ def _longest(spark: SparkSession, out: str, schema: str) -> DataFrame:
     return clean.latest_per_key(rows, ["userId", "sessionId"], [F.desc("session_length")])
 
 
-def _in_files(spark: SparkSession, sf: str, out: str) -> DataFrame:
-    """The events as a stream of six files in time order, one per micro-batch."""
+def _in_files(spark: SparkSession, sf: str, out: str, delay: Column | None = None) -> DataFrame:
+    """The events as a stream of six files in time order, one per micro-batch; ``delay`` moves a row to a later file."""
     events = spark.read.parquet(f"{sf}/events.parquet")
     sixth = F.ntile(6).over(W.orderBy("hour"))
     hours = events.select(F.date_trunc("hour", "ts").alias("hour")).distinct().withColumn("part", sixth)  # few rows
     parts = events.withColumn("hour", F.date_trunc("hour", "ts")).join(hours, "hour").drop("hour")
+    if delay is not None:
+        parts = parts.withColumn("part", F.least(F.lit(6), F.col("part") + delay))
     for part in range(1, 7):
         parts.filter(F.col("part") == part).drop("part").coalesce(1).write.parquet(f"{out}/part={part}")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/part=*")
@@ -847,6 +849,71 @@ def stream_session_parts(spark, sf):
     return parts.withColumn("page_seq", F.concat_ws(",", F.transform("page_seq", lambda c: c.cast("string"))))
 
 
+def late_rows(spark, sf):
+    """Every twentieth event comes two micro-batches late: the rows that each batch finds behind the watermark."""
+    out = scale.new_folder(spark, "late")
+    raw = _in_files(spark, sf, f"{out}/events", F.when(F.col("event_id") % 20 == 0, 2).otherwise(0))
+    query = live.stream_silver(raw).writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint")
+    query = query.trigger(availableNow=True).start()
+    _finish(query)
+    found = [(batch, n) for batch, n in live.late_rows(query).items() if n]
+    return spark.createDataFrame(found, "batch int, late long")
+
+
+def _close(estimate: str, exact: str) -> Column:
+    """Within three standard errors of the distinct-count sketch."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.greatest(F.lit(1.0), 0.05 * F.col(exact))
+
+
+def stream_kpi_sketches(spark, sf):
+    """Closed hours of the stream, stored as sketches and united by day; users and songs against exact counts."""
+    hours = _stream_to_files(spark, live.stream_kpi_sketches(_live_silver(spark, sf)), "sketches")
+    days = listening.united_kpis(hours, F.to_date("bucket").alias("day"))
+    rows = _silver(spark, sf).withColumn("bucket", F.date_trunc("hour", "event_time")).join(hours.select("bucket"), "bucket", "left_semi")
+    exact = rows.groupBy(F.to_date("bucket").alias("day")).agg(F.count_distinct("userId").alias("_users"), F.count_distinct("song").alias("_songs"))
+    return days.join(exact, "day").select(
+        F.col("day").cast("string").alias("day"),
+        "streams",
+        F.round("paid_pct", 9).alias("paid_pct"),
+        _close("users", "_users").alias("users_close"),
+        _close("songs", "_songs").alias("songs_close"),
+    )
+
+
+def sketched_percentile(spark, sf):
+    """P95 of each month from sketches of its days: whether its exact rank is within a percent."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    month = F.date_format("day", "yyyy-MM").alias("month")
+    days = scale.cut_lineage(scale.daily_sketches(events, "ts", "value"))
+    found = scale.merged_percentile(days.select(month, "sketch"), 0.95, "month")
+    rows = events.filter("value IS NOT NULL").select(F.date_format("ts", "yyyy-MM").alias("month"), "value")
+    shares = rows.join(F.broadcast(found), "month").groupBy("month", "rows").agg(  # one row a month
+        F.avg((F.col("value") <= F.col("percentile")).cast("double")).alias("upper"),
+        F.avg((F.col("value") < F.col("percentile")).cast("double")).alias("lower"),
+    )
+    return shares.select("month", "rows", ((F.col("lower") <= 0.96) & (F.col("upper") >= 0.94)).alias("close"))
+
+
+def published_layer(spark, sf):
+    """A table published twice: what a reader between the two and one after them see."""
+    raw, out = _raw(spark, sf), scale.new_folder(spark, "gold")
+    layers.publish_layer(raw.filter(F.col("ts") <= _middle(raw)), out)
+    before = layers.read_published(spark, out)
+    version = layers.publish_layer(raw, out)
+    after = layers.read_published(spark, out)
+    seen = [df.select(F.lit(v).alias("version"), "ts") for v, df in ((version - 1, before), (version, after))]
+    return seen[0].unionByName(seen[1]).groupBy("version").agg(F.count(F.lit(1)).alias("events"), F.max("ts").alias("newest_ms"))
+
+
+def unreadable_files(spark, sf):
+    """Events in a layer with one file that is no Parquet file: events read, files left out."""
+    raw, out = _raw(spark, sf), scale.new_folder(spark, "layer")
+    layers.append_layer(raw, out)
+    spark.range(1).select(F.lit("no parquet").alias("value")).write.mode("append").text(f"{out}/page=NextSong")
+    rows = layers.read_layer(spark, out, skip_corrupt=True).agg(F.count(F.lit(1)).alias("events"))
+    return rows.crossJoin(layers.unreadable_files(spark, out).agg(F.count(F.lit(1)).alias("left_out")))  # one row each
+
+
 def gap_sessions(spark, sf):
     """Sessions of each user by gaps of half an hour."""
     return sessions.gap_sessions(_silver(spark, sf))
@@ -894,5 +961,6 @@ def registry() -> dict[str, Query]:
         layer_stats layer_round_trip latest_metrics
         stream_ingest stream_silver stream_velocity stream_trending stream_kpis stream_top_songs stream_closed_sessions
         stream_session_sequences stream_session_scores stream_session_parts gap_sessions
+        late_rows stream_kpi_sketches sketched_percentile published_layer unreadable_files
     """
     return {name: globals()[name] for name in names.split()}

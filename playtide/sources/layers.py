@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -38,6 +43,38 @@ def read_layer(
         return None
 
 
+def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
+    """Path and length of the files of a layer that ``skip_corrupt`` leaves out.
+
+    Files that give a row are found by reading the layer's rows; only the few others are
+    opened, and those that are whole Parquet files without rows are no loss. A missing
+    layer has no such files. Hidden files (``_`` or ``.`` first) belong to no layer.
+    """
+    found = read_layer(spark, path, recursive=True, skip_corrupt=True)
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as error:
+        if error.getCondition() not in NOT_THERE_YET:
+            raise
+        return spark.createDataFrame([], "path string, length long")
+    name = F.regexp_extract("path", "[^/]+$", 0)
+    files = files.filter(~name.rlike("^[_.]"))
+    if found is not None:
+        read = found.select(F.col("_metadata.file_path").alias("_read")).distinct()
+        plain = lambda c: F.regexp_replace(c, "^file:/+", "/")  # noqa: E731  (one slash or three)
+        files = files.join(read, plain("path") == plain("_read"), "left_anti")
+
+    def broken(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, content in enumerate(batch["content"]):
+                try:
+                    pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+                except pa.ArrowInvalid:
+                    yield batch.select(["path", "length"]).slice(row, 1)
+
+    return files.select("path", "length", "content").mapInArrow(broken, "path string, length long")
+
+
 def append_layer(df: DataFrame, path: str, by: str | None = "page", rebalance: bool = False) -> None:
     """Append, partitioned by ``by``.
 
@@ -57,6 +94,38 @@ def replace_layer(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+VERSIONS = "version long, folder string"
+
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Versions of a published table, the newest first."""
+    rows = read_layer(spark, f"{path}/versions")
+    return [] if rows is None else sorted(((r["version"], r["folder"]) for r in rows.collect()), reverse=True)
+
+
+def publish_layer(df: DataFrame, path: str) -> int:
+    """The next version of a gold table, seen by readers whole or not at all.
+
+    The rows go to a folder of their own; then one small file names it, and appears in
+    one step when it is committed. A reader that has resolved an older version keeps
+    reading it, as no file of it is touched. A job that dies before the naming file
+    leaves a folder that nobody reads. Returns the version; expire old folders by age.
+    One writer at a time: of two that take the same number, the greater folder name wins.
+    """
+    spark = df.sparkSession
+    version = (_versions(spark, path) or [(0, "")])[0][0] + 1
+    folder = f"rows/{version}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{folder}")
+    spark.createDataFrame([(version, folder)], VERSIONS).coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return version
+
+
+def read_published(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    """The newest version of a published table, or the given one; None if there is none."""
+    found = [folder for number, folder in _versions(spark, path) if version in (None, number)]
+    return spark.read.parquet(f"{path}/{found[0]}") if found else None
+
+
 def write_json(df: DataFrame, path: str, by: str | None = None) -> None:
     """JSON copy of a mapping or a summary."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

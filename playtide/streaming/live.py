@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import datetime
 from heapq import nsmallest
 from itertools import chain
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from playtide.functions.columns import page_code
 from playtide.operators.clean import enrich_events, require_fields
+from playtide.operators.listening import kpi_sketches
 from playtide.operators.sessions import SessionModel, reconstruction_error, score_columns, session_vectors
 from playtide.schema import EVENT_KEY, MAX_SESSION_LENGTH, SESSION_KEY
-from playtide.sources import layers
+from playtide.sources import layers, runlog
 
 
 def stream_silver(bronze: DataFrame, lateness: str = "10 minutes", drop_blank_users: bool = True) -> DataFrame:
@@ -61,6 +63,52 @@ def stream_kpis(silver: DataFrame, width: str = "1 hour", lateness: str = "10 mi
     )
 
 
+def stream_kpi_sketches(silver: DataFrame, width: str = "1 hour", lateness: str = "10 minutes") -> DataFrame:
+    """Closed buckets as ``listening.kpi_sketches``, so that any range of them can be united."""
+    return kpi_sketches(silver.withWatermark("event_time", lateness), width)
+
+
+def _dropped(progress) -> int:
+    return sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+
+
+def late_rows(query: StreamingQuery) -> dict[int, int]:
+    """R2: rows behind the watermark that each of the last micro-batches dropped, by batch.
+
+    Exact for ``stream_silver``. Spark holds a batch's rows against the watermark that
+    the batch before it ran with, so a row counts as late if it is older than the newest
+    event of all batches but the last one, less the lateness. A windowed count drops partial aggregates, so its
+    number counts those. How many batches are remembered is
+    ``spark.sql.streaming.numRecentProgressUpdates``; ``LateRowLog`` keeps all.
+    """
+    found: dict[int, int] = {}
+    for progress in query.recentProgress:
+        found[progress.batchId] = found.get(progress.batchId, 0) + _dropped(progress)
+    return found
+
+
+class LateRowLog(StreamingQueryListener):
+    """R2: appends the late rows of every micro-batch of a named query to the run log; register with ``spark.streams.addListener``."""
+
+    def __init__(self, spark: SparkSession, name: str, path: str):
+        self.spark, self.name, self.path = spark, name, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        dropped = _dropped(event.progress)
+        if dropped and event.progress.name == self.name:
+            when = datetime.fromisoformat(event.progress.timestamp)
+            runlog.log_metrics(runlog.metric_rows(self.spark, self.name, {"late_rows": dropped}, when), self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def top_per_bucket(trend: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` most played songs of each bucket."""
     best = W.partitionBy("bucket").orderBy(F.desc("plays"), "song", "artist")

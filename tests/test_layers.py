@@ -110,3 +110,32 @@ def test_key_index_reads_the_days_of_the_increment(spark, tmp_path):
     plan = keyindex.unseen_rows(spark.createDataFrame(late[:1], schema), path)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "IN" in plan.upper().split("PARTITIONFILTERS")[1][:120] or "= 2" in plan
     assert keyindex.unseen_rows(spark.createDataFrame(late, schema), str(tmp_path / "none")).count() == 5
+
+
+def test_unreadable_files_are_listed(spark, tmp_path):
+    path = tmp_path / "layer"
+    assert layers.unreadable_files(spark, str(tmp_path / "none")).count() == 0
+    layers.append_layer(spark.createDataFrame([(i, f"p {i % 2}") for i in range(10)], "id int, page string"), str(path))
+    spark.createDataFrame([], "id int").write.mode("append").parquet(f"{path}/page=empty")  # whole, without rows
+    assert layers.unreadable_files(spark, str(path)).count() == 0
+    (path / "page=p 1" / "broken.parquet").write_text("no parquet")
+    (path / "page=empty" / "cut.parquet").write_bytes(next((path / "page=p 1").glob("part*")).read_bytes()[:-9])
+    found = {r.path.rsplit("/", 1)[1]: r.length for r in layers.unreadable_files(spark, str(path)).collect()}
+    assert set(found) == {"broken.parquet", "cut.parquet"} and found["broken.parquet"] == 10
+
+
+def test_a_published_table_is_seen_whole_or_not_at_all(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    assert layers.read_published(spark, path) is None
+    assert layers.publish_layer(spark.range(10), path) == 1
+    reader = layers.read_published(spark, path)
+
+    def dies(rows):
+        raise ValueError("a task dies")
+
+    with pytest.raises(Exception, match="a task dies"):
+        layers.publish_layer(spark.range(20).mapInArrow(dies, "id long"), path)
+    assert layers.read_published(spark, path).count() == 10
+    assert layers.publish_layer(spark.range(30), path) == 2
+    assert reader.count() == 10 and layers.read_published(spark, path).count() == 30
+    assert layers.read_published(spark, path, 1).count() == 10 and layers.read_published(spark, path, 7) is None

@@ -95,3 +95,17 @@ def test_a_cluster_refuses_folders_of_one_machine(spark, monkeypatch):
         scale.shared_folder(Session())
     Session.conf.value = "hdfs://x/y"
     assert scale.shared_folder(Session()) == "hdfs://x/y"
+
+
+def test_merged_sketches_have_a_bounded_rank_error(spark):
+    rows = spark.range(200_000).selectExpr("timestamp_seconds(id * 20) AS ts", "pmod(hash(id), 100000) AS v")
+    days = scale.daily_sketches(rows.unionByName(spark.sql("SELECT timestamp_seconds(0) AS ts, CAST(NULL AS INT) AS v")), "ts", "v")
+    assert days.count() == 47
+    for fraction in (0.05, 0.5, 0.95):
+        found = scale.merged_percentile(days, fraction).first()
+        below = rows.filter(F.col("v") <= found.percentile).count()
+        assert found.rows == 200_000 and abs(below / 200_000 - fraction) < 0.01
+        one = scale.merged_percentile(days, fraction, "day").filter("day = '1970-01-03'").first()
+        exact = scale.exact_percentile(rows.filter("to_date(ts) = '1970-01-03'"), "v", fraction)
+        assert one.rows == 4_320 and abs(one.percentile - exact) < 2_000
+    assert scale.merged_percentile(days.limit(0), 0.5).count() == 0

@@ -1,12 +1,14 @@
 """Streams over files that arrive in several batches, against the batch results."""
 
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from playtide.operators import clean, sessions
-from playtide.sources import adapters
+from playtide.operators import clean, listening, sessions
+from playtide.sources import adapters, layers
 from playtide.streaming import ingest, live
 
 HOUR = 3_600_000
@@ -233,3 +235,39 @@ def test_parts_do_not_depend_on_the_order_of_stretches():
         ordered = sorted(times)
         cuts = [0, *(i for i in range(1, 30) if ordered[i] - ordered[i - 1] > 5), 30]
         assert sorted(p[:3] for p in parts) == [[ordered[a], ordered[b - 1], b - a] for a, b in zip(cuts, cuts[1:])]
+
+
+def test_late_rows_are_counted_and_logged(spark, tmp_path):
+    folder, log = tmp_path / "in", str(tmp_path / "log")
+    minute = 60_000
+    for hours in ([0, 1], [5], [6], [1, 2, 6], [7, 3]):  # the watermark lags by one batch
+        lines = [payload(ts=1_704_067_200_000 + h * HOUR + minute, userId=h, sessionId=1, page="Home") for h in hours]
+        drop_files(folder, lines)
+    for i, file in enumerate(sorted(folder.iterdir())):  # files are taken by their times
+        os.utime(file, (1_704_067_200 + i, 1_704_067_200 + i))
+    raw = ingest.parse_events(ingest.read_event_stream(spark, "text", str(folder), maxFilesPerTrigger="1"))
+    listener = live.LateRowLog(spark, "silver", log)
+    spark.streams.addListener(listener)
+    try:
+        writer = live.stream_silver(raw).writeStream.queryName("silver").format("parquet")
+        query = writer.option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        found = {batch: n for batch, n in live.late_rows(query).items() if n}
+        deadline = time.time() + 60  # the listener hears of a batch a moment later
+        while time.time() < deadline and (layers.read_layer(spark, log) is None or layers.read_layer(spark, log).agg(F.sum("value")).first()[0] < 3):
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(listener)
+    assert found == {3: 2, 4: 1}
+    assert sorted(r.value for r in spark.read.parquet(log).filter("experiment = 'silver' and metric = 'late_rows'").collect()) == [1.0, 2.0]
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 5  # one repeat
+
+
+def test_streamed_sketches_unite_to_exact_counts(spark, event_files, tmp_path):
+    batch, stream = event_files
+    run_files(live.stream_kpi_sketches(clean.enrich_events(stream()), "1 hour", "60 minutes"), str(tmp_path / "o"), str(tmp_path / "c"))
+    hours = spark.read.parquet(str(tmp_path / "o"))
+    first, last = hours.agg(F.min("bucket"), F.max("bucket")).first()
+    whole = clean.enrich_events(batch()).filter((F.col("event_time") >= first) & (F.col("event_time") < last + F.expr("INTERVAL 1 HOUR")))
+    assert listening.united_kpis(hours).collect() == listening.listening_kpis(whole).collect()
+    assert listening.united_kpis(hours.limit(0)).first().users == 0
