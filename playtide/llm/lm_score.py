@@ -1,24 +1,28 @@
 """Language-model scoring by prediction by partial matching, with a word unigram base.
 
 The model is a byte-context trie of depth ``ORDER`` taken from all training documents and
-not changed while scoring (pretrained). The context of a byte is what stands before it
-since the last space, that space and no more than ``ORDER`` bytes; a node is kept if at
-least one in ``NODES`` of all training bytes runs through it, so an order has no more than
-``NODES`` nodes whatever the corpus. A symbol unseen in a context costs an escape of
-probability 0.5 * distinct / occurrences (and a seen one its occurrences less 0.5), and is
-looked for in the next shorter context without the symbols seen in the longer one
-(exclusion); after the empty context what remains is uniform. A longer context's symbols
-are among the shorter one's, so one number for each context, the occurrences there of the
-longer context's symbols, is all that exclusion needs. A text's score is the log10
-probability of its bytes, A-Z in lower case, and of an end symbol (byte 255, which no text
-has). Runs between spaces are scored once and remembered.
+not changed while scoring (pretrained). The context of a byte is the ``ORDER`` bytes before
+it, whatever they are; before a text stand spaces. No node is left out: the same text and
+the same shares of counts give the same score at every corpus size. A symbol unseen in a
+context costs an escape of probability 0.5 * distinct / occurrences (and a seen one its
+occurrences less 0.5), and is looked for in the next shorter context without the symbols
+seen in the longer one (exclusion); after the empty context what remains is uniform. A
+longer context's symbols are among the shorter one's, so one number for each context, the
+occurrences there of the longer context's symbols, is all that exclusion needs. A text's
+score is the log10 probability of its bytes, A-Z in lower case, and of an end symbol (byte
+255, which no text has).
+
+Counts of words and of grams (a context and its symbol) grow with the corpus and are never
+in one place: each task counts its own and sends them by bucket, to be summed. A bucket of
+grams holds all grams of its contexts' last three bytes, so it is a trie of its own from
+the third order on; the shorter orders (grams of three bytes, no more than 2^24 whatever
+the corpus) go to all tasks. The number of buckets follows the bytes of the documents.
+The words and grams that occur most (no more than ``HOT`` words and ``HOT_GRAMS`` grams,
+with their finished probabilities) also go to all tasks, as a cache that changes no result;
+the others of a chunk of documents go to their buckets as one message each, and return as
+one sum per document. So no word and no gram is a hot key.
 
 The base sums log10((c + 0.1) / (N + 0.1 * (V + 1))) over a text's words and one end token.
-Counts of words and of grams grow with the corpus: each task counts its own and sends them,
-packed by bucket, to be summed. Words with at least one in ``HOT`` of all tokens (no more
-than ``HOT`` words) go back to all tasks; the other words of a chunk of documents go to
-their buckets, meet their counts there and return as one sum per document. So no word is a
-hot key, and the counts of all words are never in one place.
 
 Defined results: null text is empty (one end token); rows are scored one by one, repeated
 ids too; without training rows N = V = 0 and every byte costs log10(256). Other columns
@@ -28,27 +32,28 @@ are left out.
 from __future__ import annotations
 
 import struct
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import chain
-from math import fsum
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtide.llm.common import Memo, id_remainder, partitions, sliced, stored
+from playtide.llm.common import id_remainder, partitions, sliced, stored
 
 HOT = 2**19  # words whose counts all tasks hold, 16 bytes each
+HOT_GRAMS = 2**21  # grams whose probabilities all tasks hold, 16 bytes each
 ORDER = 6  # bytes of the longest context
-NODES = 2**21  # nodes of an order at most, 16 bytes each
+LOW = 2  # orders up to this one go to all tasks
+BUCKET = 2**28  # bytes of documents for each bucket
 ROWS, CHARS = 4_000, 6_000_000  # of a chunk of documents
+PIECE = 2_000_000  # bytes that are looked at together
+SENT = 4_000_000  # counted grams or words that a task holds
 END = b"\xff"  # stands for the end of a text
 LEAD = b" " * ORDER
-REMEMBERED = 200_000  # runs per generation of the memo
 
 
 class _Hashes(dict):
@@ -74,27 +79,29 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), sizes
 
 
-def runs(text: bytes) -> list[bytes]:
-    """What stands between spaces; the last run with the end symbol."""
-    found = text.split(b" ")
-    found[-1] += END
-    return found
+def grams(texts: list[bytes], piece: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Context and symbol of every byte and end as one number, and the text it is of; ``piece`` bytes at a time."""
+    if not texts:
+        return
+    data = np.frombuffer(LEAD + (END + LEAD).join(texts) + END, np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes + ORDER)[: len(data) - ORDER]
+    gaps = (np.cumsum(sizes + ORDER) - ORDER)[:-1]
+    owner[(gaps[:, None] + np.arange(ORDER)).ravel()] = -1  # where the lead of the next text is the symbol
+    for start in range(0, len(owner), piece):
+        raw = data[start : start + piece + ORDER].astype(np.uint64)
+        two = raw[1:] | raw[:-1] << np.uint64(8)
+        four = two[2:] | two[:-2] << np.uint64(16)
+        keys = four[3:] | two[1:-4] << np.uint64(32) | raw[:-6] << np.uint64(48)
+        of = owner[start : start + piece]
+        yield keys[of >= 0], of[of >= 0]
 
 
-def grams(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Context and symbol of every byte of the runs as one number, and where each run starts."""
-    whole = [r if r.endswith(END) else r + b" " for r in found]
-    sizes = np.fromiter(map(len, whole), np.int64, len(whole))
-    raw = np.frombuffer(LEAD + LEAD.join(whole), np.uint8).astype(np.uint64)
-    keys = np.zeros(len(raw) - ORDER, np.uint64)
-    for k in range(ORDER + 1):
-        keys |= raw[ORDER - k : len(raw) - k] << np.uint64(8 * k)
-    starts = np.cumsum(sizes) - sizes
-    keep = np.ones(len(keys), bool)
-    gaps = (starts + sizes + ORDER * np.arange(len(whole)))[:-1]
-    for k in range(ORDER):  # where the lead of the next run is the symbol
-        keep[gaps + k] = False
-    return keys[keep], starts
+def bucket_of(kind: str, keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each word, or of the last three bytes of each gram's context."""
+    if kind == "gram":
+        keys = (keys >> np.uint64(8) & np.uint64(0xFFFFFF)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+    return (keys % np.uint64(buckets)).astype(np.int64)
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,8 +113,7 @@ def _counting(buckets: int):
     """(text, held_out) -> (kind, bucket, keys, counts): words and grams of the training rows of a task."""
 
     def packed(kind: str, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        spread = (keys >> np.uint64(8) & np.uint64(0xFFFF)) * np.uint64(40503) if kind == "gram" else keys  # the two nearest bytes of a context
-        bucket = (spread % np.uint64(buckets)).astype(np.int64)
+        bucket = bucket_of(kind, keys, buckets)
         order = np.argsort(bucket, kind="stable")
         keys, counts, bucket = keys[order], counts[order], bucket[order]
         cuts = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -128,14 +134,12 @@ def _counting(buckets: int):
             if not texts:
                 continue
             held["word"].append(np.unique(tokens(texts)[0], return_counts=True))
-            counted = Counter(chain.from_iterable(map(runs, texts)))
-            keys, starts = grams(list(counted))
-            times = np.fromiter(counted.values(), np.int64, len(counted))
-            held["gram"].append(_summed(keys, np.repeat(times, np.diff(np.append(starts, len(keys))))))
-            if len(held["word"]) > 3:
+            held["gram"] += [np.unique(keys, return_counts=True) for keys, _ in grams(texts)]
+            if len(held["gram"]) > 8:
                 merge()
-                if len(held["word"][0][0]) > 1_000_000:  # a bound on memory: what is sent is summed again
-                    yield from packed("word", *held["word"].pop())
+                for kind, parts in held.items():
+                    if len(parts[0][0]) > SENT:  # a bound on memory: what is sent is summed again
+                        yield from packed(kind, *parts.pop())
         merge()
         for kind, parts in held.items():
             for keys, counts in parts:
@@ -167,22 +171,25 @@ def _sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def kept(keys: np.ndarray, counts: np.ndarray, order: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Grams of an order with ``least`` occurrences or more, from the longest grams."""
-    keys, counts = _summed(keys & np.uint64(2 ** (8 * order + 8) - 1), counts)
-    return keys[counts >= least], counts[counts >= least]
+def shorter(keys: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grams of an order from longer ones."""
+    return _summed(keys & np.uint64(2 ** (8 * order + 8) - 1), counts)
+
+
+def trie_of(low: list[tuple[np.ndarray, np.ndarray]], keys: np.ndarray, counts: np.ndarray) -> Trie:
+    """The trie of a bucket: the low orders of all grams, the others of its own."""
+    return Trie([*low, *(shorter(keys, counts, k) for k in range(LOW + 1, ORDER)), (keys, counts)])
 
 
 class Trie:
-    """Kept grams of each order, and for each context its occurrences, distinct symbols and exclusion."""
+    """Grams of each order, and for each context its occurrences, distinct symbols and exclusion."""
 
     def __init__(self, orders: list[tuple[np.ndarray, np.ndarray]]):
         self.orders, self.contexts = orders, []
         for k, (keys, counts) in enumerate(orders):
             context, at = np.unique(keys >> np.uint64(8), return_inverse=True)
-            n = len(context)
-            shorter = self._count(k - 1, keys) if k else np.zeros(len(keys))
-            sums = [np.bincount(at, weights=w, minlength=n) for w in (counts, np.ones(len(keys)), shorter)]
+            fewer = self._count(k - 1, keys) if k else np.zeros(len(keys))
+            sums = [np.bincount(at, weights=w, minlength=len(context)) for w in (counts, np.ones(len(keys)), fewer)]
             self.contexts.append((context, np.stack(sums)))
 
     def _count(self, order: int, keys: np.ndarray) -> np.ndarray:
@@ -190,44 +197,56 @@ class Trie:
         return _found(found, counts, keys & np.uint64(2 ** (8 * order + 8) - 1))
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of each gram's symbol after its context."""
-        keys, back = np.unique(keys, return_inverse=True)
+        """log10 probability of each gram's symbol after its context; fastest where the grams are sorted."""
         out, left = np.zeros(len(keys)), np.arange(len(keys))
         excluded, fewer = np.zeros(len(keys)), np.zeros(len(keys))
         for k in range(ORDER, -1, -1):
             of = keys[left]
             count = self._count(k, of)
             context, sums = self.contexts[k]
-            total, distinct, shorter = (_found(context, x, (of & np.uint64(2 ** (8 * k + 8) - 1)) >> np.uint64(8)) for x in sums)
+            total, distinct, below = _found(context, sums, (of & np.uint64(2 ** (8 * k + 8) - 1)) >> np.uint64(8))
             n, d = total - excluded, distinct - fewer
             hit, miss = count > 0, (count == 0) & (n > 0)
             out[left[hit]] += np.log10((count[hit] - 0.5) / n[hit])
             out[left[miss]] += np.log10(0.5 * d[miss] / n[miss])
-            left, excluded, fewer = left[~hit], shorter[~hit], distinct[~hit]
+            left, excluded, fewer = left[~hit], below[~hit], distinct[~hit]
         out[left] -= np.log10(256 - fewer)
-        return out[back]
-
-    def score(self, found: list[bytes]) -> np.ndarray:
-        """log10 probability of each run and the space or end after it."""
-        keys, starts = grams(found)
-        return np.add.reduceat(self.log10(keys), starts)
+        return out
 
 
 def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Values of wanted keys among sorted ones, 0 where they are not there."""
+    """Values of wanted keys among sorted ones (the last axis), 0 where they are not there."""
     if not len(keys):
-        return np.zeros(len(wanted))
+        return np.zeros((*values.shape[:-1], len(wanted)))
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], 0)
+    return np.where(keys[at] == wanted, values[..., at], 0)
+
+
+def octave(counts: np.ndarray) -> np.ndarray:
+    """Quarter octave of each count; many grams share one, so a limit in them needs a small table only."""
+    return np.floor(4 * np.log2(counts)).astype(np.int64)
+
+
+def _messages(kind: str, keys: np.ndarray, doc: np.ndarray, times: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket, message) of rows sorted by key: the keys, and for each the documents and how often they have it."""
+    bucket = bucket_of(kind, keys, buckets)
+    order = np.argsort(bucket, kind="stable")
+    keys, doc, times = keys[order], doc[order], times[order]
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for b in np.unique(bucket).tolist():
+        own = keys[cuts[b] : cuts[b + 1]]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        piece = slice(cuts[b], cuts[b + 1])
+        body = [own[first], first.astype(np.int32), doc[piece].astype(np.uint16), times[piece].astype(np.int32)]
+        yield b, struct.pack("<qq", len(first), len(own)) + b"".join(x.tobytes() for x in body)
 
 
 def _scoring(buckets: int, shared):
-    """(doc_id, text, held_out) -> rows of documents, and messages with the words that are not hot."""
-    names = ["bucket", "chunk", "message", "doc_id", "held_out", "row", "n_tokens", "known", "base", "score"]
+    """(doc_id, text, held_out) -> rows of documents, and messages with the words and grams that are not hot."""
+    names = ["kind", "bucket", "chunk", "message", "doc_id", "held_out", "row", "n_tokens", "known", "base", "score"]
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, hot_counts, model = shared.value
-        memo = Memo(REMEMBERED, lambda new: model.score(new).tolist())
+        hot, hot_counts, often, worth = shared.value
         number = TaskContext.get().partitionId() << 32
         for batch in sliced(batches, ROWS, CHARS):
             n, chunk = batch.num_rows, number
@@ -243,101 +262,112 @@ def _scoring(buckets: int, shared):
             now = is_hot[of]
             base = np.bincount(doc[now], weights=times[now] * np.log10(c[of[now]] + 0.1), minlength=n)
             known = np.bincount(doc[now], weights=times[now] * (c[of[now]] > 0), minlength=n).astype(np.int64)
-            score = []
-            for start in range(0, n, 500):
-                parts = [runs(t) for t in texts[start : start + 500]]
-                value = memo.get(set().union(*parts))
-                score += [fsum(map(value.__getitem__, p)) for p in parts]
-            rows = pa.array((np.int64(chunk) << 13) + np.arange(n)) if n <= 1 << 13 else None
-            none = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
+            score, rare = np.zeros(n), []
+            for keys, owner in grams(texts):
+                code, own = pd.factorize(keys)
+                spot = np.minimum(np.searchsorted(often, own), max(0, len(often) - 1))
+                there = often[spot] == own if len(often) else np.zeros(len(own), bool)
+                score += np.bincount(owner, weights=(np.where(there, worth[spot], 0) if len(often) else np.zeros(len(own)))[code], minlength=n)
+                left = np.flatnonzero(~there[code])
+                rare.append((keys[left], owner[left]))
+            keys, at = np.unique(np.concatenate([k for k, _ in rare]), return_inverse=True)
+            pair, often_in = np.unique(at * n + np.concatenate([o for _, o in rare]), return_counts=True)
+            rows = pa.array((np.int64(chunk) << 13) + np.arange(n))
+            none = [pa.nulls(n, pa.string()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays([*none, batch["doc_id"], batch["held_out"], rows, pa.array(sizes), pa.array(known), pa.array(base), pa.array(score)], names=names)
-            rare_of, rare_doc, rare_times = of[~now], doc[~now], times[~now]
-            bucket = (word % np.uint64(buckets)).astype(np.int64)[rare_of]
-            order = np.argsort(bucket, kind="stable")
-            rare_of, rare_doc, rare_times = rare_of[order], rare_doc[order], rare_times[order]
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            sent, messages = [], []
-            for b in range(buckets):
-                piece = slice(cuts[b], cuts[b + 1])
-                if cuts[b] == cuts[b + 1]:
-                    continue
-                first = np.flatnonzero(np.r_[True, rare_of[piece][1:] != rare_of[piece][:-1]])
-                head = struct.pack("<qq", len(first), cuts[b + 1] - cuts[b])
-                body = [word[rare_of[piece][first]], first.astype(np.int32), rare_doc[piece].astype(np.uint16), rare_times[piece].astype(np.int32)]
-                sent.append(b)
-                messages.append(head + b"".join(x.tobytes() for x in body))
-            k = len(sent)
-            if k:
-                other = [pa.nulls(k, batch.schema.field("doc_id").type), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64())]
-                yield pa.RecordBatch.from_arrays([pa.array(sent, pa.int32()), pa.array([chunk] * k, pa.int64()), pa.array(messages, pa.binary()), *other], names=names)
+            sent = [("word", *m) for m in _messages("word", word[of[~now]], doc[~now], times[~now], buckets)]
+            sent += [("gram", *m) for m in _messages("gram", keys[pair // n], pair % n, often_in, buckets)]
+            if sent:
+                k = len(sent)
+                kinds, to, messages = zip(*sent)
+                other = [pa.nulls(k, batch.schema.field("doc_id").type), pa.nulls(k, pa.bool_()), *[pa.nulls(k, pa.int64())] * 3, *[pa.nulls(k, pa.float64())] * 2]
+                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(to, pa.int32()), pa.array([chunk] * k, pa.int64()), pa.array(messages, pa.binary()), *other], names=names)
 
     return task
 
 
-def _answers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows by bucket, counts before messages -> packed sums by chunk and document."""
-    keys, counts, bucket = np.zeros(0, np.uint64), np.zeros(0, np.int64), None
-    for batch in batches:
-        chunks, sums = [], []
-        for b, chunk, k, v, message in zip(*(batch[c].to_pylist() for c in ("bucket", "chunk", "keys", "counts", "message"))):
-            if message is None:
-                keys, counts, bucket = np.frombuffer(k, np.uint64), np.frombuffer(v, np.int64), b
-                continue
-            if b != bucket:
-                keys, counts, bucket = np.zeros(0, np.uint64), np.zeros(0, np.int64), b
-            n, m = struct.unpack_from("<qq", message)
-            word = np.frombuffer(message, np.uint64, n, 16)
-            first = np.frombuffer(message, np.int32, n, 16 + 8 * n)
-            doc = np.frombuffer(message, np.uint16, m, 16 + 12 * n)
-            times = np.frombuffer(message, np.int32, m, 16 + 12 * n + 2 * m)
-            c = np.zeros(n, np.int64)
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, word), len(keys) - 1)
-                c = np.where(keys[at] == word, counts[at], 0)
-            c = np.repeat(c, np.diff(np.r_[first, m]))
-            docs, at = np.unique(doc, return_inverse=True)
-            base = np.bincount(at, weights=times * np.log10(c + 0.1))
-            known = np.bincount(at, weights=times * (c > 0)).astype(np.int64)
-            chunks.append(chunk)
-            sums.append(struct.pack("<q", len(docs)) + docs.tobytes() + base.tobytes() + known.tobytes())
-        if chunks:
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array(chunks, pa.int64()), "sums": pa.array(sums, pa.binary())})
+def _answers(shared):
+    """Rows by kind and bucket, counts before messages -> packed sums by chunk and document."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, last, trie = np.zeros(0, np.uint64), np.zeros(0, np.int64), None, None
+        for batch in batches:
+            kinds, chunks, sums = [], [], []
+            for kind, b, chunk, k, v, message in zip(*(batch[c].to_pylist() for c in ("kind", "bucket", "chunk", "keys", "counts", "message"))):
+                if last != (kind, b):
+                    keys, counts, last, trie = np.zeros(0, np.uint64), np.zeros(0, np.int64), (kind, b), None
+                if message is None:
+                    keys, counts = np.frombuffer(k, np.uint64), np.frombuffer(v, np.int64)
+                    continue
+                n, m = struct.unpack_from("<qq", message)
+                wanted = np.frombuffer(message, np.uint64, n, 16)
+                first = np.frombuffer(message, np.int32, n, 16 + 8 * n)
+                doc = np.frombuffer(message, np.uint16, m, 16 + 12 * n)
+                times = np.frombuffer(message, np.int32, m, 16 + 12 * n + 2 * m)
+                if kind == "gram":
+                    trie = trie or trie_of(shared.value, keys, counts)
+                    worth, there = trie.log10(wanted), np.zeros(n)
+                else:
+                    there = _found(keys, counts, wanted)
+                    worth = np.log10(there + 0.1)
+                worth, there = (np.repeat(x, np.diff(np.r_[first, m])) for x in (worth, there))
+                docs, at = np.unique(doc, return_inverse=True)
+                found = np.bincount(at, weights=times * worth), np.bincount(at, weights=times * (there > 0))
+                kinds.append(kind)
+                chunks.append(chunk)
+                sums.append(struct.pack("<q", len(docs)) + docs.tobytes() + b"".join(x.tobytes() for x in found))
+            if chunks:
+                yield pa.RecordBatch.from_pydict({"kind": kinds, "chunk": pa.array(chunks, pa.int64()), "sums": pa.array(sums, pa.binary())})
+
+    return task
 
 
 def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed sums sorted by chunk -> (row, more_base, more_known)."""
-    base, known, last = np.zeros(1 << 13), np.zeros(1 << 13, np.int64), None
+    """Packed sums sorted by chunk -> (row, more_base, more_known, more_score)."""
+    total, last = np.zeros((3, 1 << 13)), None
 
     def out() -> pa.RecordBatch:
-        rows = (np.int64(last) << 13) + np.arange(1 << 13)
-        there = (base != 0) | (known != 0)
-        return pa.RecordBatch.from_pydict({"row": rows[there], "more_base": base[there], "more_known": known[there]})
+        there = np.flatnonzero(total.any(axis=0))
+        base, known, score = total[:, there]
+        return pa.RecordBatch.from_pydict({"row": (np.int64(last) << 13) + there, "more_base": base, "more_known": known.astype(np.int64), "more_score": score})
 
     for batch in batches:
-        for chunk, sums in zip(*(c.to_pylist() for c in batch.columns)):
+        for kind, chunk, sums in zip(*(batch[c].to_pylist() for c in ("kind", "chunk", "sums"))):
             if last is not None and chunk != last:
                 yield out()
-                base[:], known[:] = 0, 0
+                total[:] = 0
             last = chunk
             (n,) = struct.unpack_from("<q", sums)
             doc = np.frombuffer(sums, np.uint16, n, 8)
-            base[doc] += np.frombuffer(sums[8 + 2 * n :], np.float64, n)
-            known[doc] += np.frombuffer(sums[8 + 10 * n :], np.int64, n)
+            worth, known = np.frombuffer(sums[8 + 2 * n :], np.float64, 2 * n).reshape(2, n)
+            total[2 if kind == "gram" else 0, doc] += worth
+            total[1, doc] += known
     if last is not None:
         yield out()
 
 
+def _low(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Summed buckets -> (kind, key, n): grams of the order ``LOW``, and how many grams each quarter octave has."""
+    for batch in batches:
+        for k, v in zip(batch["keys"].to_pylist(), batch["counts"].to_pylist()):
+            keys, counts = np.frombuffer(k, np.uint64), np.frombuffer(v, np.int64)
+            step, n = np.unique(octave(counts), return_counts=True)
+            for kind, own, times in (("low", *shorter(keys, counts, LOW)), ("octave", step, n)):
+                yield pa.RecordBatch.from_pydict({"kind": [kind] * len(own), "key": own.astype(np.int64), "n": times.astype(np.int64)})
+
+
 def scored(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
-    buckets = partitions(spark)
     held_out = id_remainder(F.col(doc_id), 10) == 0
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), held_out.alias("held_out"))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(partitions(spark), -(-size // BUCKET))
     sent = rows.select("text", "held_out").mapInArrow(_counting(buckets), "kind string, bucket int, keys binary, counts binary")
     sent = sent.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket")
     summed = stored(sent.mapInArrow(_sums, "kind string, bucket int, keys binary, counts binary, total long, distinct long"))
-    words = summed.filter("kind = 'word'")
+    words, all_grams = summed.filter("kind = 'word'"), summed.filter("kind = 'gram'")
     train_tokens, distinct = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     least = max(1, -(-train_tokens // HOT))
 
@@ -350,33 +380,38 @@ def scored(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     hot = words.select("keys", "counts").mapInArrow(frequent, "key long, n long").toPandas()  # at most HOT rows
     hot_keys = hot["key"].to_numpy(np.int64).view(np.uint64)
     order_ = np.argsort(hot_keys)
-    all_grams = summed.filter("kind = 'gram'")
-    needed = max(1, -(-all_grams.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0] // NODES))
 
-    def nodes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # at most 2^24 grams of three bytes, and some hundred octaves
+    small = all_grams.select("keys", "counts").mapInArrow(_low, "kind string, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")).toPandas()
+    grams_ = small[small["kind"] == "low"]
+    keys, counts = grams_["key"].to_numpy(np.int64).view(np.uint64), grams_["n"].to_numpy(np.int64)
+    low = [shorter(keys, counts, k) for k in range(LOW + 1)]
+    octaves = small[small["kind"] == "octave"].sort_values("key", ascending=False)
+    fits = octaves["key"][octaves["n"].cumsum() <= HOT_GRAMS]
+    from_octave = int(fits.min()) if len(fits) else 1 << 20
+    shared_low = spark.sparkContext.broadcast(low)
+
+    def likely(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, v in zip(batch["keys"].to_pylist(), batch["counts"].to_pylist()):
                 keys, counts = np.frombuffer(k, np.uint64), np.frombuffer(v, np.int64)
-                for order in range(1, ORDER + 1):  # a bucket has only a part of the grams below two bytes of context
-                    own, n = kept(keys, counts, order, needed if order > 1 else 1)
-                    yield pa.RecordBatch.from_pydict({"order": pa.array([order], pa.int32()), "keys": [own.tobytes()], "counts": [n.tobytes()]})
-
-    rows_ = all_grams.select("keys", "counts").mapInArrow(nodes, "order int, keys binary, counts binary").collect()  # at most NODES of each order
-    gathered = []
-    for order in range(ORDER + 1):
-        parts = [r for r in rows_ if r["order"] == max(order, 1)]
-        own = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["keys"], np.uint64) for r in parts)])
-        n = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["counts"], np.int64) for r in parts)])
-        gathered.append(kept(own, n, order, needed))
-    shared = spark.sparkContext.broadcast((hot_keys[order_], hot["n"].to_numpy(np.int64)[order_], Trie(gathered)))
-    schema = f"bucket int, chunk long, message binary, doc_id {kind}, held_out boolean, row long, n_tokens long, known long, base double, score double"
+                own = keys[octave(counts) >= from_octave]
+                worth = trie_of(shared_low.value, keys, counts).log10(own)
+                yield pa.RecordBatch.from_pydict({"keys": [own.tobytes()], "worth": [worth.tobytes()]})
+
+    found = all_grams.select("keys", "counts").mapInArrow(likely, "keys binary, worth binary").collect()  # at most HOT_GRAMS grams
+    often = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["keys"], np.uint64) for r in found)])
+    worth = np.concatenate([np.zeros(0), *(np.frombuffer(r["worth"]) for r in found)])
+    by_key = np.argsort(often)
+    shared = spark.sparkContext.broadcast((hot_keys[order_], hot["n"].to_numpy(np.int64)[order_], often[by_key], worth[by_key]))
+    schema = f"kind string, bucket int, chunk long, message binary, doc_id {kind}, held_out boolean, row long, n_tokens long, known long, base double, score double"
     both = stored(rows.mapInArrow(_scoring(buckets, shared), schema))
     nothing = F.lit(None)
-    counts = words.select("bucket", nothing.cast("long").alias("chunk"), "keys", "counts", nothing.cast("binary").alias("message"))
-    asked = both.filter("message is not null").select("bucket", "chunk", nothing.cast("binary").alias("keys"), nothing.cast("binary").alias("counts"), "message")
-    met = counts.union(asked).repartition("bucket").sortWithinPartitions("bucket", F.col("chunk").asc_nulls_first())
-    sums = met.mapInArrow(_answers, "chunk long, sums binary").repartition("chunk").sortWithinPartitions("chunk")
-    more = sums.mapInArrow(_gathered, "row long, more_base double, more_known long")
+    tables = summed.select("kind", "bucket", nothing.cast("long").alias("chunk"), "keys", "counts", nothing.cast("binary").alias("message"))
+    asked = both.filter("message is not null").select("kind", "bucket", "chunk", nothing.cast("binary").alias("keys"), nothing.cast("binary").alias("counts"), "message")
+    met = tables.union(asked).repartition("kind", "bucket").sortWithinPartitions("kind", "bucket", F.col("chunk").asc_nulls_first())
+    sums = met.mapInArrow(_answers(shared_low), "kind string, chunk long, sums binary").repartition("chunk").sortWithinPartitions("chunk", "kind")
+    more = sums.mapInArrow(_gathered, "row long, more_base double, more_known long, more_score double")
     total = F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(train_tokens + 0.1 * (distinct + 1))))
     return both.filter("message is null").join(more, "row", "left").select(
         "doc_id",
@@ -385,5 +420,5 @@ def scored(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
         total.alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )

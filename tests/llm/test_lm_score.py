@@ -1,6 +1,6 @@
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -25,49 +25,81 @@ def test_base_and_counts_equal_brute_force(spark, texts):
 
 def brute_score(counts, text):
     """log10 probability byte by byte from counts by context."""
-    total, lead = 0.0, lm_score.LEAD
-    for run in lm_score.runs(text):
-        whole = lead + (run if run.endswith(lm_score.END) else run + b" ")
-        for at in range(lm_score.ORDER, len(whole)):
-            seen, p = set(), 1.0
-            for k in range(lm_score.ORDER, -1, -1):
-                there = {s: c for (x, s), c in counts[k].items() if x == whole[at - k : at] and s not in seen}
-                if not there:
-                    continue
-                size = sum(there.values())
-                if whole[at] in there:
-                    p *= (there[whole[at]] - 0.5) / size
-                    break
-                p *= 0.5 * len(there) / size
-                seen |= there.keys()
-            else:
-                p /= 256 - len(seen)
-            total += math.log10(p)
+    total = 0.0
+    whole = lm_score.LEAD + text + lm_score.END
+    for at in range(lm_score.ORDER, len(whole)):
+        seen, p = set(), 1.0
+        for k in range(lm_score.ORDER, -1, -1):
+            there = {s: c for s, c in counts[k].get(whole[at - k : at], {}).items() if s not in seen}
+            if not there:
+                continue
+            size = sum(there.values())
+            if whole[at] in there:
+                p *= (there[whole[at]] - 0.5) / size
+                break
+            p *= 0.5 * len(there) / size
+            seen |= there.keys()
+        else:
+            p /= 256 - len(seen)
+        total += math.log10(p)
     return total
 
 
-def small_trie(train, least=1):
-    counts = [Counter() for _ in range(lm_score.ORDER + 1)]
+def brute_counts(train):
+    counts = [defaultdict(Counter) for _ in range(lm_score.ORDER + 1)]
     for text in train:
-        for run in lm_score.runs(text):
-            whole = lm_score.LEAD + (run if run.endswith(lm_score.END) else run + b" ")
-            for at in range(lm_score.ORDER, len(whole)):
-                for k in range(lm_score.ORDER + 1):
-                    counts[k][whole[at - k : at], whole[at]] += 1
-    keys, _ = lm_score.grams([r for t in train for r in lm_score.runs(t)])
+        whole = lm_score.LEAD + text + lm_score.END
+        for at in range(lm_score.ORDER, len(whole)):
+            for k in range(lm_score.ORDER + 1):
+                counts[k][whole[at - k : at]][whole[at]] += 1
+    return counts
+
+
+def small_trie(train):
+    keys = np.concatenate([k for k, _ in lm_score.grams(train, 7)])
     keys, n = lm_score._summed(keys, np.ones(len(keys)))
-    return [{x: c for x, c in k.items() if c >= least} for k in counts], lm_score.Trie([lm_score.kept(keys, n, k, least) for k in range(lm_score.ORDER + 1)])
+    return lm_score.trie_of([lm_score.shorter(keys, n, k) for k in range(lm_score.LOW + 1)], keys, n)
+
+
+def scores(trie, texts, piece=5):
+    out = np.zeros(len(texts))
+    for keys, owner in lm_score.grams(texts, piece):
+        np.add.at(out, owner, trie.log10(keys))
+    return out
+
+
+def test_trie_equals_brute_force():
+    train = [b"the cat sat on the mat", b"a cat and the hat", b"", b"x  y"]
+    counts, trie = brute_counts(train), small_trie(train)
+    texts = [b"the cat", b"zebra  the", b"", b"that at\nhat"]
+    assert scores(trie, texts) == pytest.approx([brute_score(counts, t) for t in texts])
+
+
+@pytest.mark.parametrize("hot", [0, 500, 2**21])
+def test_scores_of_the_operator_equal_a_plain_trie(spark, texts, monkeypatch, hot):
+    """With no gram in the cache, with some and with all: messages and cache give the same."""
+    monkeypatch.setattr(lm_score, "HOT_GRAMS", hot)
+    monkeypatch.setattr(lm_score, "BUCKET", 10_000)
+    some = dict(list(texts.items())[:120])
+    docs = spark.createDataFrame(list(some.items()), "doc_id long, text string").repartition(3)
+    low = {i: t.translate(LOWER).encode() for i, t in some.items()}
+    counts = brute_counts([t for i, t in low.items() if zlib.crc32(str(i).encode()) % 10])
+    found = {r.doc_id: r.score for r in lm_score.scored(docs).collect()}
+    assert found == pytest.approx({i: brute_score(counts, t) for i, t in low.items()})
 
 
-@pytest.mark.parametrize("least", [1, 2])
-def test_trie_equals_brute_force(least):
-    counts, trie = small_trie([b"the cat sat on the mat", b"a cat and the hat", b"", b"x  y"], least)
-    for text in (b"the cat", b"zebra  the", b"", b"that at\nhat"):
-        assert float(trie.score(lm_score.runs(text)).sum()) == pytest.approx(brute_score(counts, text))
+def test_order_of_words_counts(spark):
+    """Contexts go over spaces: a shuffled text scores lower than the same words in a known order."""
+    line = "one two three four five six seven eight nine ten "
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10]
+    out = next(i for i in range(200) if not zlib.crc32(str(i).encode()) % 10)
+    rows = [(i, line * 3) for i in ids[:20]] + [(out, line * 2), (out, "nine one four ten three seven two six eight five " * 2)]
+    found = {r.score for r in lm_score.scored(spark.createDataFrame(rows, "doc_id long, text string")).filter("held_out").collect()}
+    assert min(found) < 3 * max(found)
 
 
 def test_probabilities_of_a_context_sum_to_one():
-    _, trie = small_trie([b"the cat sat on the mat", b"a cat and the hat"])
+    trie = small_trie([b"the cat sat on the mat", b"a cat and the hat"])
     for context in (b"   the", b"    ca", b"zzzzzz", b"      "):
         head = int.from_bytes(context[-lm_score.ORDER :], "big") << 8
         p = 10 ** trie.log10(np.array([head + s for s in range(256)], np.uint64))
