@@ -37,3 +37,23 @@ def test_odd_rows(odd, docs, spark):
     assert quality.train(odd, labels.limit(0)) == 0.5
     assert {r.score for r in quality.score(odd, 0.5).collect()} == {0.5}
     assert quality.score(odd.limit(0), 0.5).count() == 0
+
+
+def test_blocks_of_passages_give_the_same_scores(spark, monkeypatch):
+    network = quality.Attention()
+    texts = [("word " * 4_000,), ("short",), ("A line.\n" * 900,)]
+    docs = spark.createDataFrame(texts, "text string").selectExpr("monotonically_increasing_id() AS doc_id", "text").coalesce(1)
+    whole = [r.score for r in quality.score(docs, network).collect()]
+    monkeypatch.setattr(quality, "BLOCK", 7)
+    found, owner = quality.passages([t.encode() for t, in texts])
+    plain = network.forward(quality.encoded(found), np.searchsorted(owner, np.arange(3)), owner)[-1]
+    assert np.allclose(whole, plain, atol=1e-5) and np.allclose([r.score for r in quality.score(docs, network).collect()], plain, atol=1e-5)
+
+
+def test_few_rows_of_a_label_are_ranked(spark, monkeypatch):
+    labels = spark.range(20_000).selectExpr("id AS doc_id", "CAST(id % 4 = 0 AS INT) AS quality")
+    docs = labels.selectExpr("doc_id", "concat('text ', doc_id) AS text")
+    seen = []
+    monkeypatch.setattr(quality.Attention, "fit", lambda self, x, owner, labels: seen.append(labels))
+    quality.train(docs, labels, per_label=50)
+    assert seen[0].sum() == 50 and len(seen[0]) == 100
