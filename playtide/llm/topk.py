@@ -20,7 +20,9 @@ Defined results: vectors that are null, empty, or hold a null or a component tha
 finite take no part, neither as queries nor as candidates; a shorter vector counts as
 filled with zeros; a query does not find its own row but does find other rows with its id;
 ties go to the smaller vec_id; with fewer candidates than k all are returned; a null id
-takes part as a candidate, last among ties, and is no query.
+takes part as a candidate, last among ties, and is no query; where the dimensions times the
+square of the largest component reach 2^52 bounds are no proof and all candidates are rescored,
+from 2^63 on, where a score may not fit its type, an OverflowError is raised.
 """
 
 from __future__ import annotations
@@ -69,9 +71,17 @@ class Index:
         return least, most, most - least.min(axis=2, keepdims=True)
 
 
-def best(index: Index, ids: np.ndarray, own: np.ndarray, queries: np.ndarray, own_query: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(query, members, scores): the k best of the block for each query, ties by id."""
+def best(index: Index, ids: np.ndarray, own: np.ndarray, queries: np.ndarray, own_query: np.ndarray, k: int, proof: bool = True) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(query, members, scores): the k best of the block for each query, ties by id; without ``proof`` all are rescored."""
     count, n = len(queries), len(ids)
+    if not proof:
+        out = []
+        for q in range(count):
+            reach = np.flatnonzero(own != own_query[q])
+            exact = index.vectors[reach] @ queries[q]
+            order = np.lexsort((ids[reach], -exact))[:k]
+            out.append((q, reach[order], exact[order]))
+        return out
     least, most, impact = index.bounds(queries.astype(np.float64))
     flat_least, flat_most = least.reshape(count, -1), most.reshape(count, -1)
     floor = np.repeat(least.min(axis=2), LEVELS, axis=1)
@@ -119,7 +129,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vector: str = "embe
     """query_id, rank, vec_id and score of the k rows with the highest inner product for each query row."""
     rows = vectors.select(F.coalesce(F.col(vec_id).cast("long"), F.lit(NO_ID)).alias("id"), whole(F.col(vector)).alias("x"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = stored(rows.filter("x is not null").withColumn("row", F.monotonically_increasing_id()))
-    total, asked, dims = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("asks").cast("long")), F.lit(0)), F.coalesce(F.max(F.size("x")), F.lit(0))).first()
+    largest = F.max(F.array_max(F.transform("x", lambda v: F.abs(v.cast("double")))))
+    total, asked, dims, largest = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("asks").cast("long")), F.lit(0)), F.coalesce(F.max(F.size("x")), F.lit(0)), F.coalesce(largest, F.lit(0.0))).first()
+    if dims * largest**2 >= 2.0**63:
+        raise OverflowError(f"components up to {largest / 1024:g} in {dims} dimensions: a score may not fit 64 bits")
+    proof = dims * largest**2 < 2.0**52  # below it the bounds are whole numbers that doubles hold exactly
     blocks, sets = max(1, -(-total // BLOCK)), max(1, -(-asked // QUERIES))
     deal = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     index = rows.select("id", "x", "row", deal(blocks).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(sets - 1))).alias("set"))
@@ -130,7 +144,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vector: str = "embe
             return pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "row": [], "score": []}).astype("int64")
         ids, own = held["id"].to_numpy(np.int64), held["row"].to_numpy()
         own_query, query_ids = queries["row"].to_numpy(), queries["id"].to_numpy(np.int64)
-        found = best(Index(_matrix(held["x"], dims)), ids, own, _matrix(queries["x"], dims), own_query, k)
+        found = best(Index(_matrix(held["x"], dims)), ids, own, _matrix(queries["x"], dims), own_query, k, proof)
         whose = np.concatenate([np.full(len(m), q) for q, m, _ in found]).astype(np.int64)
         members, scores = (np.concatenate([f[i] for f in found]) for i in (1, 2))
         return pd.DataFrame({"query": own_query[whose], "query_id": query_ids[whose], "vec_id": ids[members], "row": own[members], "score": scores})

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from playtide.llm import topk
@@ -46,3 +47,12 @@ def test_odd_vectors(spark):
     assert run(spark, rows, 4) == brute(rows, 4)
     assert run(spark, rows[:1]) == set()
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
+
+
+def test_large_components_are_exact_or_refused(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 40)
+    rng = np.random.RandomState(4)
+    rows = [(i, np.float32(v).tolist()) for i, v in enumerate(rng.normal(0, 100_000, (150, 12)))]
+    assert run(spark, rows) == brute(rows, 10)
+    with pytest.raises(OverflowError):
+        run(spark, [(0, [1e11, 1.0]), (1, [2.0, 1e11])])
