@@ -10,11 +10,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from playtide.functions.columns import risk_level, stable_hash, stable_uniform
 from playtide.operators.quality import histogram, top_n
-from playtide.operators.scale import cut_lineage, running_totals, stored_ranges
+from playtide.operators.scale import cut_lineage, stored_ranges
 from playtide.schema import CHURN_EXTENDED_FEATURES, CHURN_FEATURES, VALIDATION_SEEDS
 
 
@@ -43,22 +43,39 @@ def holdout(df: DataFrame, seed: int = 42, train_share: float = 0.8, key: Sequen
     return df.filter(in_train), df.filter(~in_train)
 
 
-def area_under_roc(scored: DataFrame, label: str = "churn", score: str = "score") -> float:
-    """Exact area under the ROC curve of a numeric score, ties counting half; 0.5 when a class is missing.
+def _standings(scored: DataFrame, label: str, score: str, *by: str) -> DataFrame:
+    """Rows counted by (score, label, ``by``), with ``_won``: the negatives that a positive of that score beats, ties half.
 
-    Rows are counted per distinct score, and running totals over the sorted
-    counts give the negatives below each score, so no size is approximated.
+    The counts are sorted and stored once; a running total over their ranges
+    gives the negatives below, so no size is approximated and nothing is joined
+    but one row per range. Rows without a score are left out.
     """
     positive = F.col(label).cast("double") == 1
-    counted = scored.groupBy(F.lit(0).alias("_all"), F.col(score).cast("double").alias("_score")).agg(
-        F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
+    counted = (
+        scored.groupBy(F.col(score).cast("double").alias("_score"), positive.alias("_positive"), *by)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_score").isNotNull())
+        .withColumn("_neg", F.when(~F.col("_positive"), F.col("_n")).otherwise(0))
     )
     ranges = stored_ranges(counted, "_score")
-    below = running_totals(ranges, "_all", "_score", ["neg"])
-    joined = ranges.join(below.select("_score", "running_neg"), "_score")
-    won = F.sum(F.col("pos") * (F.col("running_neg") - F.col("neg") / 2.0))
-    sums = joined.agg(won.alias("won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).first()
-    return float(sums["won"] / (sums["pos"] * sums["neg"])) if sums["pos"] and sums["neg"] else 0.5
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = ranges.groupBy("_part").agg(F.sum("_neg").alias("_sum"))  # one row per range
+    starts = starts.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    upto = F.sum("_neg").over(W.partitionBy("_part").orderBy("_score").rangeBetween(W.unboundedPreceding, W.currentRow))
+    equal = F.sum("_neg").over(W.partitionBy("_part", "_score"))
+    return ranges.withColumn("_upto", upto - equal / 2.0).join(F.broadcast(starts), "_part").withColumn(
+        "_won", F.when(F.col("_positive"), F.col("_n") * (F.col("_start") + F.col("_upto"))).otherwise(0.0)
+    )
+
+
+def _area(won: float | None, positives: int | None, negatives: int | None) -> float:
+    return float(won / (positives * negatives)) if positives and negatives else 0.5
+
+
+def area_under_roc(scored: DataFrame, label: str = "churn", score: str = "score") -> float:
+    """Exact area under the ROC curve of a numeric score, ties counting half; 0.5 when a class is missing."""
+    positives = F.sum(F.when(F.col("_positive"), F.col("_n")))
+    return _area(*_standings(scored, label, score).agg(F.sum("_won"), positives, F.sum("_neg")).first())
 
 
 def with_score(predicted: DataFrame) -> DataFrame:
@@ -67,16 +84,19 @@ def with_score(predicted: DataFrame) -> DataFrame:
 
 
 def evaluate_binary(scored: DataFrame, label: str = "churn") -> dict[str, float]:
-    """AUC, accuracy and F1 weighted by class, from rows that are scored once."""
-    rows = cut_lineage(with_score(scored).select(F.col(label).cast("double").alias("label"), "score", "prediction"))
-    table = {(r["label"], r["prediction"]): r["n"] for r in rows.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """AUC, accuracy and F1 weighted by class, from one count by (score, label, prediction)."""
+    rows = with_score(scored).select(F.col(label).cast("double").alias("label"), "score", "prediction")
+    standings = _standings(rows, "label", "score", "label", "prediction")
+    found = standings.groupBy("label", "prediction").agg(F.sum("_n").alias("n"), F.sum("_won").alias("won")).collect()
+    table = {(r["label"], r["prediction"]): r["n"] for r in found}
     total, f1 = sum(table.values()), 0.0
     for c in {k[0] for k in table}:
         hits = table.get((c, c), 0)
         actual, called = (sum(n for k, n in table.items() if k[i] == c) for i in (0, 1))
         f1 += actual / total * (2 * hits / (actual + called))
     right = sum(n for (a, b), n in table.items() if a == b)
-    return {"auc": area_under_roc(rows, "label"), "accuracy": right / total if total else 0.0, "f1": f1}
+    sizes = [sum(n for (a, _), n in table.items() if a is not None and (a == 1) == positive) for positive in (True, False)]
+    return {"auc": _area(sum(r["won"] for r in found), *sizes), "accuracy": right / total if total else 0.0, "f1": f1}
 
 
 def predict_churn(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from playtide.functions.columns import stable_hash
 from playtide.operators.scale import cut_lineage, global_positions
@@ -137,6 +137,63 @@ def recommend_users(model: ALSModel, users: DataFrame, k: int = 10) -> DataFrame
     return model.recommendForUserSubset(users, k)
 
 
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda total, x: total + x)
+
+
+def factor_scores(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFrame, name: str = "score") -> DataFrame:
+    """Inner product of the stored factors of each (user_idx, song_idx) pair.
+
+    A pair without one of its factors is left out, as an unseen user or song is when a
+    model scores. Hot users and songs are split by adaptive execution.
+    """
+    users = user_factors.select(F.col("id").alias("user_idx"), F.col("features").alias("_user"))
+    items = item_factors.select(F.col("id").alias("song_idx"), F.col("features").alias("_item"))
+    joined = pairs.join(users, "user_idx").join(items, "song_idx")
+    return joined.withColumn(name, _dot(F.col("_user"), F.col("_item"))).drop("_user", "_item")
+
+
+def factor_rmse(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFrame, rating: str = "play_count") -> DataFrame:
+    """M4: (pairs, rmse) of the stored factors on rated pairs."""
+    scored = factor_scores(pairs, user_factors, item_factors, "_found")
+    off = F.col("_found") - F.col(rating)
+    return scored.agg(F.count(F.lit(1)).alias("pairs"), F.sqrt(F.avg(off * off)).alias("rmse"))
+
+
+def lookup_factors(
+    user: str, user_factors: DataFrame, item_factors: DataFrame, users: DataFrame, songs: DataFrame, k: int = 10
+) -> DataFrame:
+    """One user's ``k`` best songs from stored factors; empty when the user is unknown.
+
+    No model is loaded or fitted: the user's vector is one filtered row, every song is
+    scored by one inner product, and each task keeps ``k`` songs. Ties go to the smaller song.
+    """
+    own = user_factors.join(users.filter(F.col("userId") == user).select(F.col("user_idx").alias("id")), "id").select("id", "features").first()
+    at, vector = own or (None, [])
+    scored = item_factors.filter(F.lit(own is not None)).select(
+        F.lit(at).cast("int").alias("user_idx"),
+        F.col("id").alias("song_idx"),
+        _dot(F.col("features"), F.array(*[F.lit(float(v)) for v in vector]).cast("array<double>")).alias("score"),
+    )
+    return decode_ids(top_k_scores(scored, k), songs, "song_idx", "song").select(F.lit(user).alias("userId"), "rank", "song", "score")
+
+
+def co_listening_factors(plays: DataFrame, size: int = 16) -> tuple[DataFrame, DataFrame]:
+    """(user factors, song factors) without a fit, as (id, features): songs fall into ``size`` groups by their index.
+
+    A user's vector is the plays by group; a song's is the sum of its listeners' vectors,
+    each as often as they played it. Both are sums of fixed width, added on the map side,
+    so a song heard by everyone is one row per task.
+    """
+    group = F.pmod(F.col("song_idx"), F.lit(size))
+    own = [F.sum(F.when(group == i, F.col("play_count")).otherwise(0)).alias(f"_{i}") for i in range(size)]
+    listeners = plays.groupBy("user_idx").agg(*own)
+    users = cut_lineage(listeners.select(F.col("user_idx").alias("id"), F.array(*[F.col(f"_{i}") for i in range(size)]).alias("features")))
+    met = plays.select("user_idx", "song_idx", "play_count").join(users.withColumnRenamed("id", "user_idx"), "user_idx")
+    shared = met.groupBy("song_idx").agg(*[F.sum(F.col("play_count") * F.col("features")[i]).alias(f"_{i}") for i in range(size)])
+    return users, cut_lineage(shared.select(F.col("song_idx").alias("id"), F.array(*[F.col(f"_{i}") for i in range(size)]).alias("features")))
+
+
 def rank_recommendations(recs: DataFrame, k: int = 10) -> DataFrame:
     """One row per recommended song with its rank from 1."""
     return recs.select(

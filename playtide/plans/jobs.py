@@ -53,7 +53,7 @@ def dense_ratings(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def train_recommendations(
     spark: SparkSession, silver: str, gold: str, k: int = 10, implicit: bool = False, metrics: str | None = None
 ) -> dict | None:
-    """Factor model, its top ``k`` per user, both id maps and the model; returns RMSE and hit rate."""
+    """Factor model, its top ``k`` per user, its factors, both id maps and the model; returns RMSE and hit rate."""
     events = layers.read_layer(spark, silver)
     if events is None:
         return None
@@ -63,6 +63,9 @@ def train_recommendations(
     layers.replace_layer(recommend.recommend_all(model, k), f"{gold}/recommendations")
     layers.replace_layer(users, f"{gold}/user_mapping")
     layers.replace_layer(songs, f"{gold}/song_mapping")
+    sides = (("user", model.userFactors, users, "user_idx", "userId"), ("song", model.itemFactors, songs, "song_idx", "song"))
+    named = [f.join(m.select(F.col(i).alias("id"), F.col(n).alias("name")), "id").select(F.lit(kind).alias("kind"), "id", "name", "features") for kind, f, m, i, n in sides]
+    layers.publish_layer(named[0].unionByName(named[1]), f"{gold}/factors")  # one table, so that readers see one training
     layers.save_model(model, f"{gold}/models/als")
     candidates = recommend.ranking_candidates(test, songs.count(), known=train)
     result = {
@@ -74,6 +77,16 @@ def train_recommendations(
     return result
 
 
+def lookup_user(spark: SparkSession, gold: str, user: str, k: int = 10) -> DataFrame | None:
+    """One user's ``k`` best songs from the published factors of one training; None before the first one."""
+    factors = layers.read_published(spark, f"{gold}/factors")
+    if factors is None:
+        return None
+    users, songs = (factors.filter(F.col("kind") == kind).drop("kind") for kind in ("user", "song"))
+    mapped = users.select(F.col("id").alias("user_idx"), F.col("name").alias("userId"))
+    return recommend.lookup_factors(user, users, songs, mapped, songs.select(F.col("id").alias("song_idx"), F.col("name").alias("song")), k)
+
+
 def train_churn(spark: SparkSession, silver: str, gold: str, metrics: str | None = None) -> dict | None:
     """Churn model, scores of all users and the model; returns the test metrics."""
     events = layers.read_layer(spark, silver)

@@ -334,6 +334,18 @@ STORED_PART = """part AS (
   SELECT "itemInSession" AS item, ts FROM raw WHERE ts <= (SELECT middle FROM mid) AND "itemInSession" % 7 <> 0)"""
 
 
+def factors(plays: str, size: int = 16) -> str:
+    """Vectors of users and songs as one column per group of songs, and the score of a pair."""
+    own = ", ".join(f"CAST(sum(CASE WHEN song_idx % {size} = {i} THEN play_count ELSE 0 END) AS DOUBLE) AS u{i}" for i in range(size))
+    shared = ", ".join(f"sum(play_count * u{i}) AS s{i}" for i in range(size))
+    return f"""
+user_factors AS (SELECT user_idx, {own} FROM {plays} GROUP BY 1),
+song_factors AS (SELECT song_idx, {shared} FROM {plays} JOIN user_factors USING (user_idx) GROUP BY 1)"""
+
+
+DOT = " + ".join(f"u{i} * s{i}" for i in range(16))
+
+
 def statements() -> dict[str, str]:
     """Query name to SQL."""
     dense_events = (EVENT_PLAYS, MATRIX, ENCODED)
@@ -353,6 +365,9 @@ train AS (SELECT * FROM marked WHERE split = 'train'), test AS (SELECT * FROM ma
     own_top = """best AS (SELECT "userId", user_idx, song, play_count,
         row_number() OVER (PARTITION BY user_idx ORDER BY play_count DESC, song_idx) AS rank FROM encoded
         QUALIFY rank <= 10)"""
+    by_factors = f"""best AS (SELECT user_idx, song_idx, {DOT} AS score,
+        row_number() OVER (PARTITION BY user_idx ORDER BY {DOT} DESC, song_idx) AS rank
+        FROM user_factors, song_factors QUALIFY rank <= 10)"""
     scored_body = """SELECT "userId", "sessionId", CAST(e > t AS INTEGER) AS is_anomaly, round(e, 9) AS recon_error,
         round(least(greatest(CASE WHEN t > 0 THEN e / t WHEN e > 0 THEN 5.0::DOUBLE ELSE 0.0::DOUBLE END, 0), 5), 9) AS anomaly_score
         FROM rated, limits"""
@@ -593,6 +608,38 @@ train AS (SELECT * FROM marked WHERE split = 'train'), test AS (SELECT * FROM ma
             body="""SELECT "userId", CAST(rank AS INTEGER) AS rank, song, CAST(play_count AS FLOAT) AS score FROM best WHERE "userId" =
             (SELECT "userId" FROM encoded GROUP BY 1 ORDER BY sum(play_count) DESC, 1 LIMIT 1)""",
         ),
+        "factor_recommendations": with_orders(
+            MATRIX,
+            ENCODED,
+            factors("encoded"),
+            by_factors,
+            body="SELECT user_idx, CAST(rank AS INTEGER) AS rank, song_idx, CAST(CAST(score AS FLOAT) AS DOUBLE) AS score FROM best",
+        ),
+        "factor_lookup": with_orders(
+            MATRIX,
+            ENCODED,
+            factors("encoded"),
+            """wanted AS (SELECT "userId", user_idx FROM encoded GROUP BY ALL ORDER BY sum(play_count) DESC, 1 LIMIT 1)""",
+            by_factors.replace("user_factors,", "wanted JOIN user_factors USING (user_idx),"),
+            body="""SELECT "userId", CAST(rank AS INTEGER) AS rank, song, score FROM best JOIN wanted USING (user_idx) JOIN songs USING (song_idx)""",
+        ),
+        "factor_rmse": with_orders(
+            MATRIX,
+            ENCODED,
+            train_parts,
+            factors("train"),
+            body=f"""SELECT count(*) AS pairs, round(sqrt(avg(({DOT} - play_count) * ({DOT} - play_count))), 6) AS rmse
+            FROM test JOIN user_factors USING (user_idx) JOIN song_factors USING (song_idx)""",
+        ),
+        "factor_hit_rate": with_events(
+            *dense_events,
+            *hit_rate[:2],
+            factors("train"),
+            f"""scored AS (SELECT user_idx, is_positive, row_number() OVER (PARTITION BY user_idx ORDER BY {DOT} DESC, song_idx) AS rank
+            FROM candidates JOIN user_factors USING (user_idx) JOIN song_factors USING (song_idx)),
+            ranked AS (SELECT user_idx, coalesce(max(CASE WHEN is_positive = 1 AND rank <= 10 THEN 1 END), 0) AS hit FROM scored GROUP BY 1)""",
+            body="""SELECT count(*) AS users, CAST(sum(hit) AS BIGINT) AS hits, avg(CAST(hit AS DOUBLE)) AS hit_rate FROM ranked""",
+        ),
         "evaluate_scores_lines": """WITH scored AS (
             SELECT l_returnflag = 'R' AS positive, CAST(l_extendedprice AS DOUBLE) AS score FROM lineitem),
             steps AS (SELECT score, count(*) FILTER (positive) AS pos, count(*) FILTER (NOT positive) AS neg FROM scored GROUP BY 1),

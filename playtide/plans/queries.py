@@ -651,12 +651,44 @@ def lookup_recommendations(spark, sf):
     return recommend.lookup_recommendations(busiest, _own_lists(own), users, songs, 10)
 
 
+def _busiest(plays: DataFrame) -> str:
+    return plays.groupBy("userId").agg(F.sum("play_count").alias("n")).orderBy(F.desc("n"), "userId").first()["userId"]
+
+
 def als_lookup(spark, sf):
-    """Factor model: only the looked-up user is scored."""
+    """Factor model: only the looked-up user is scored, on the written factors."""
     model, train, _, users, songs = _als(spark, sf)
-    busiest = train.groupBy("userId").agg(F.sum("play_count").alias("n")).orderBy(F.desc("n"), "userId").first()["userId"]
-    recs = recommend.recommend_users(model, users.filter(F.col("userId") == busiest), 10)
-    return recommend.lookup_recommendations(busiest, recs, users, songs, 10)
+    stored = [scale.cut_lineage(f) for f in (model.userFactors, model.itemFactors)]
+    return recommend.lookup_factors(_busiest(train), *stored, users, songs, 10)
+
+
+def factor_recommendations(spark, sf):
+    """Ten songs for every buyer, from factors that need no fit."""
+    positives, users, songs = jobs.dense_matrix(adapters.order_plays(spark, sf))
+    ranked = recommend.rank_recommendations(recommend.top_items(*recommend.co_listening_factors(positives), 10))
+    return ranked.select("user_idx", "rank", "song_idx", F.col("score").cast("double").alias("score"))
+
+
+def factor_lookup(spark, sf):
+    """The list of the buyer with the most plays, from stored factors."""
+    positives, users, songs = jobs.dense_matrix(adapters.order_plays(spark, sf))
+    return recommend.lookup_factors(_busiest(positives), *recommend.co_listening_factors(positives), users, songs, 10)
+
+
+def factor_rmse(spark, sf):
+    """Error of the factors of the training pairs on the held-out ones."""
+    positives, _, _ = jobs.dense_matrix(adapters.order_plays(spark, sf))
+    train, test = churn.holdout(positives, key=PAIR)
+    found = recommend.factor_rmse(test, *recommend.co_listening_factors(train))
+    return found.select("pairs", F.round("rmse", 6).alias("rmse"))
+
+
+def factor_hit_rate(spark, sf):
+    """Share of users whose held-out song is among the ten best candidates by the factors of the training pairs."""
+    positives, _, songs = jobs.dense_matrix(_silver(spark, sf))
+    train, test = churn.holdout(positives, key=PAIR)
+    candidates = recommend.ranking_candidates(test, songs.count(), known=train)
+    return recommend.hit_rate(recommend.factor_scores(candidates, *recommend.co_listening_factors(train)))
 
 
 def evaluate_scores(spark, sf):
@@ -814,17 +846,23 @@ def _longest(spark: SparkSession, out: str, schema: str) -> DataFrame:
     return clean.latest_per_key(rows, ["userId", "sessionId"], [F.desc("session_length")])
 
 
+ROWS_PER_FILE = 1_000_000
+
+
 def _in_files(spark: SparkSession, sf: str, out: str, delay: Column | None = None) -> DataFrame:
-    """The events as a stream of six files in time order, one per micro-batch; ``delay`` moves a row to a later file."""
+    """The events as a stream of six parts in time order, one per micro-batch, each of as many files as the rows need; ``delay`` moves a row to a later file."""
     events = spark.read.parquet(f"{sf}/events.parquet")
     sixth = F.ntile(6).over(W.orderBy("hour"))
     hours = events.select(F.date_trunc("hour", "ts").alias("hour")).distinct().withColumn("part", sixth)  # few rows
     parts = events.withColumn("hour", F.date_trunc("hour", "ts")).join(hours, "hour").drop("hour")
     if delay is not None:
         parts = parts.withColumn("part", F.least(F.lit(6), F.col("part") + delay))
-    for part in range(1, 7):
-        parts.filter(F.col("part") == part).drop("part").coalesce(1).write.parquet(f"{out}/part={part}")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/part=*")
+    parts.write.partitionBy("part").parquet(f"{out}/dealt")  # the events are read and joined once
+    files = max(1, -(-events.count() // (6 * ROWS_PER_FILE)))
+    for part in range(1, 7):  # a file source goes by the age of files
+        dealt = spark.read.schema(events.schema).parquet(f"{out}/dealt/part={part}")
+        dealt.repartition(files, F.xxhash64("event_id")).write.parquet(f"{out}/part={part}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{out}/part=*")
     return clean.enrich_events(adapters.listening_events(stream))
 
 
@@ -956,7 +994,8 @@ def registry() -> dict[str, Query]:
         risk_tiers churn_kpis histogram confusion_matrix top_at_risk stable_sample
         stable_sample_customers lookup_churn validation_verdict
         als_recommendations als_recommendations_hashed als_rmse als_hit_rate recommendation_text
-        lookup_recommendations als_lookup evaluate_scores evaluate_scores_lines
+        lookup_recommendations als_lookup factor_recommendations factor_lookup factor_rmse factor_hit_rate
+        evaluate_scores evaluate_scores_lines
         churn_predictions churn_evaluation feature_importance multi_seed_validation compare_feature_sets
         layer_stats layer_round_trip latest_metrics
         stream_ingest stream_silver stream_velocity stream_trending stream_kpis stream_top_songs stream_closed_sessions

@@ -44,6 +44,18 @@ def test_model_finds_the_signal(fitted, users):
     assert churn.predict_churn(model, unseen).count() == 5
 
 
+def test_area_equals_counting_pairs(spark):
+    """Ties, scores in several ranges, rows without a score, one class only."""
+    rng = random.Random(3)
+    rows = [(rng.randint(0, 1), rng.choice([None, *(i / 8 for i in range(40))])) for _ in range(700)]
+    df = spark.createDataFrame(rows, "churn int, score double").repartition(6)
+    known = [(c, s) for c, s in rows if s is not None]
+    pos, neg = ([s for c, s in known if c == k] for k in (1, 0))
+    wins = sum((p > n) + (p == n) / 2 for p in pos for n in neg)
+    assert churn.area_under_roc(df) == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-12)
+    assert churn.area_under_roc(df.filter("churn = 1")) == churn.area_under_roc(df.limit(0)) == 0.5
+
+
 def test_multi_seed_and_verdict(spark, users):
     runs = churn.multi_seed_validation(users, seeds=(1, 7), iterations=2)
     rows = {r.seed: r for r in runs.collect()}

@@ -54,6 +54,11 @@ def test_recommendations(spark, lake):
     assert runlog.latest_metric(spark, f"{lake}/watch/run_metrics", "recommend", "hr10") == result["hr10"]
     assert spark.read.parquet(f"{lake}/gold/recommendations").count() == 150
     assert spark.read.parquet(f"{lake}/gold/song_mapping").count() == 40
+    user = spark.read.parquet(f"{lake}/gold/user_mapping").first()
+    recs = spark.read.parquet(f"{lake}/gold/recommendations").filter(F.col("user_idx") == user["user_idx"]).first()["recommendations"]
+    found = jobs.lookup_user(spark, f"{lake}/gold", user["userId"]).orderBy("rank").collect()
+    assert [round(r.score, 5) for r in found] == [round(x.rating, 5) for x in recs]
+    assert jobs.lookup_user(spark, f"{lake}/gold", "nobody").count() == 0 and jobs.lookup_user(spark, f"{lake}/none", "nobody") is None
 
 
 def test_training_set(spark, lake):

@@ -117,3 +117,32 @@ def test_top_items_equal_sql_over_the_factors(spark):
         assert "CartesianProduct" not in df._jdf.queryExecution().toString()
     assert recommend.top_items(tables["u"], tables["i"].limit(0)).count() == 0
     assert recommend.top_items(tables["u"].limit(0), tables["i"]).count() == 0
+
+
+def test_stored_factors_score_as_the_model_does(spark, positives, model, tmp_path):
+    """RMSE, hit rate and one user's list from written factor tables, against the model and SQL over the files."""
+    import duckdb
+
+    for name, table in (("users", model.userFactors), ("items", model.itemFactors)):
+        table.write.parquet(f"{tmp_path}/{name}")
+    users, items = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("users", "items"))
+    row = recommend.factor_rmse(positives.union(spark.createDataFrame([(99, 0, 1), (0, 99, 1)], positives.schema)), users, items).first()
+    assert row.pairs == positives.count() and row.rmse == pytest.approx(recommend.als_rmse(model, positives), abs=1e-6)
+    candidates = recommend.ranking_candidates(positives, 25)
+    assert recommend.hit_rate(recommend.factor_scores(candidates, users, items)).first() == recommend.als_hit_rate(model, candidates).first()
+
+    names = spark.createDataFrame([(3, "cleo"), (77, "new")], "user_idx int, userId string")
+    songs = positives.select("song_idx").distinct().withColumn("song", F.concat(F.lit("s"), F.col("song_idx")))
+    wanted = duckdb.sql(f"""SELECT 's' || i.id, row_number() OVER (ORDER BY list_inner_product(u.features::DOUBLE[], i.features::DOUBLE[]) DESC, i.id) AS rank
+        FROM '{tmp_path}/users/*.parquet' u, '{tmp_path}/items/*.parquet' i WHERE u.id = 3 QUALIFY rank <= 6""").fetchall()
+    found = recommend.lookup_factors("cleo", users, items, names, songs, 6)
+    assert sorted((r.song, r["rank"]) for r in found.collect()) == sorted(wanted)
+    for unknown in ("new", "nobody"):
+        assert recommend.lookup_factors(unknown, users, items, names, songs).count() == 0
+
+
+def test_co_listening_factors(spark):
+    plays = spark.createDataFrame([(0, 0, 2), (0, 3, 1), (1, 3, 5)], "user_idx int, song_idx int, play_count long")
+    users, songs = recommend.co_listening_factors(plays, 2)
+    assert {r.id: r.features for r in users.collect()} == {0: [2, 1], 1: [0, 5]}
+    assert {r.id: r.features for r in songs.collect()} == {0: [4, 2], 3: [2, 26]}
