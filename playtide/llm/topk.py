@@ -1,20 +1,24 @@
 """Exact top-k search by an impact-ordered, score-at-a-time index.
 
 Vectors of whole numbers are dealt into blocks. Within a block every dimension is a list of
-postings cut into segments by quantised value, ``LEVELS`` of equal width. For a query the
+postings (positions of vectors) ordered by quantised value, ``LEVELS`` segments of equal width;
+a block of n vectors has n postings per dimension, whatever they hold. For a query the
 impact of a segment is the query's component times the segment's distance from the value
 that scores least there, so the segments of a dimension come in descending impact from one
 end or the other. Segments are processed score at a time, in ``ROUNDS`` classes of
-descending impact, for all queries of a block at once. After each class every vector has a
-lower and an upper bound of its score: processed postings count with their segment's range,
-the others with what the next segment of their dimension could add. A query stops only on
+descending impact: a round adds the postings of its own segments to the sums of their
+vectors, and no posting is read twice. After each round every vector has a lower and an
+upper bound of its score: processed postings count with the greatest value of their segment,
+for the lower bound less the width of all segments together, each dimension not yet met with
+what the round's limit still allows. A query stops only on
 proof: when the vectors whose upper bound reaches its k-th best lower bound are no more
 than ``FEW``, or when no segment is left. These possible members are rescored exactly in
 whole numbers, so the result is exact wherever a query stops. The k best of each block meet
 in a second step.
 
 Queries are a stated share of the rows; each block of vectors meets each block of queries
-once, and both blocks are bounded.
+once, and both blocks are bounded. Blocks of queries are as large as those of vectors, so
+that neither side is copied oftener than the other needs.
 
 Defined results: vectors that are null, empty, or hold a null or a component that is not
 finite take no part, neither as queries nor as candidates; a shorter vector counts as
@@ -34,11 +38,11 @@ from pyspark.sql import functions as F
 
 from playtide.llm.common import stored
 
-LEVELS = 16  # segments of a dimension's list
+LEVELS = 64  # segments of a dimension's list
 ROUNDS = 4  # classes of impact
 FEW = 64  # possible members that are rescored at once
 BLOCK = 4_096  # vectors of a block
-QUERIES = 512  # queries of a block
+QUERIES = 4_096  # queries of a block
 
 
 def whole(vector: Column) -> Column:
@@ -49,69 +53,66 @@ def whole(vector: Column) -> Column:
 
 
 class Index:
-    """Segments of a block: for each dimension the vectors' levels, and the levels' value ranges."""
+    """Segments of a block: for each dimension the vectors in the order of their levels, and the levels' value ranges."""
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
         n, dims = vectors.shape
         low, high = vectors.min(axis=0), vectors.max(axis=0)
-        self.width = np.maximum(1, -(-(high - low + 1) // LEVELS))
-        level = (vectors - low) // self.width
-        steps = np.arange(LEVELS)
-        self.low = low[:, None] + steps * self.width[:, None]  # least value of a segment
-        self.high = np.minimum(self.low + self.width[:, None] - 1, high[:, None])
+        width = np.maximum(1, -(-(high - low + 1) // LEVELS))
+        level = ((vectors - low) // width).astype(np.int64)
+        self.low = low[:, None] + np.arange(LEVELS) * width[:, None]  # least value of a segment
+        self.high = np.minimum(self.low + width[:, None] - 1, high[:, None])
         self.low = np.minimum(self.low, high[:, None])
-        self.postings = np.zeros((dims * LEVELS, n))  # 1 where a vector is in a segment
-        self.postings[(np.arange(dims) * LEVELS + level).ravel(), np.repeat(np.arange(n), dims)] = 1
-
-    def bounds(self, query: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per query, dimension and level: least and greatest product, and the impact."""
-        a, b = query[:, :, None] * self.low, query[:, :, None] * self.high
+        self.postings = np.ascontiguousarray(np.argsort(level, axis=0, kind="stable").T)
+        self.sizes = np.bincount((np.arange(dims) * LEVELS + level).ravel(), minlength=dims * LEVELS).reshape(dims, LEVELS)
+        self.ends = np.concatenate([np.zeros((dims, 1), np.int64), self.sizes.cumsum(axis=1)], axis=1)
+
+    def possible(self, query: np.ndarray, others: np.ndarray, k: int) -> tuple[np.ndarray, int]:
+        """Positions among ``others`` that may be in the ``k`` best of a query, and the postings read to prove it."""
+        dims, n = self.postings.shape
+        if len(others) <= k:
+            return others, 0
+        a, b = query[:, None] * self.low.astype(np.float64), query[:, None] * self.high.astype(np.float64)
         least, most = np.minimum(a, b), np.maximum(a, b)
-        return least, most, most - least.min(axis=2, keepdims=True)
+        floor = least.min(axis=1, keepdims=True)  # what every vector has at least; left out of both bounds
+        impact = most - floor
+        spread = (most - least).max(axis=1).sum()  # a vector's greatest and least possible score are no farther apart
+        rising, each = query > 0, np.arange(dims)
+        upper, met, read = np.zeros(n), np.zeros(n, np.int64), 0
+        done, before = np.zeros(impact.shape, bool), np.zeros(dims, np.int64)
+        limits = np.ceil(np.quantile(impact, 1 - np.arange(1, ROUNDS + 1) / ROUNDS))
+        limits[-1] = 0
+        reach = others
+        for limit in limits:
+            fresh = (impact >= limit) & ~done
+            done |= fresh
+            upto = before + fresh.sum(axis=1)  # segments met, from the end where impacts are greatest
+            start = np.where(rising, self.ends[each, LEVELS - upto], self.ends[each, before])
+            stop = np.where(rising, self.ends[each, LEVELS - before], self.ends[each, upto])
+            before = upto
+            whose = np.concatenate([self.postings[d, i:j] for d, (i, j) in enumerate(zip(start.tolist(), stop.tolist()))])
+            read += len(whose)
+            upper += np.bincount(whose, np.repeat(impact[fresh], self.sizes[fresh]), n)
+            met += np.bincount(whose, minlength=n)
+            found = upper[others]
+            sure = np.partition(found, len(found) - k)[len(found) - k] - spread
+            reach = others[found + limit * (dims - met[others]) >= sure]
+            if len(reach) <= max(FEW, k):
+                break
+        return reach, read
 
 
 def best(index: Index, ids: np.ndarray, own: np.ndarray, queries: np.ndarray, own_query: np.ndarray, k: int, proof: bool = True) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """(query, members, scores): the k best of the block for each query, ties by id; without ``proof`` all are rescored."""
-    count, n = len(queries), len(ids)
-    if not proof:
-        out = []
-        for q in range(count):
-            reach = np.flatnonzero(own != own_query[q])
-            exact = index.vectors[reach] @ queries[q]
-            order = np.lexsort((ids[reach], -exact))[:k]
-            out.append((q, reach[order], exact[order]))
-        return out
-    least, most, impact = index.bounds(queries.astype(np.float64))
-    flat_least, flat_most = least.reshape(count, -1), most.reshape(count, -1)
-    floor = np.repeat(least.min(axis=2), LEVELS, axis=1)
-    open_, out = np.arange(count), []
-    limits = np.quantile(impact.reshape(count, -1), 1 - np.arange(1, ROUNDS + 1) / ROUNDS, axis=1)
-    for step in range(ROUNDS):
-        done = impact[open_].reshape(len(open_), -1) >= limits[step][open_, None]
-        if step == ROUNDS - 1:
-            done[:] = True
-        # what a posting not yet processed may still score: the best of its dimension's other segments
-        rest = np.where(done, -np.inf, flat_most[open_]).reshape(len(open_), -1, LEVELS).max(axis=2)
-        rest = np.where(np.isneginf(rest), 0, rest)
-        upper = np.where(done, flat_most[open_], np.repeat(rest, LEVELS, axis=1)) @ index.postings
-        lower = np.where(done, flat_least[open_], floor[open_]) @ index.postings
-        stay = []
-        for row, q in enumerate(open_.tolist()):
-            others = own != own_query[q]
-            reach = np.flatnonzero(others)
-            if len(reach) > k:
-                kth = np.partition(lower[row][reach], len(reach) - k)[len(reach) - k]
-                reach = reach[upper[row][reach] >= kth]
-            if len(reach) > max(FEW, k) and step < ROUNDS - 1:
-                stay.append(q)
-                continue
-            exact = index.vectors[reach] @ queries[q]
-            order = np.lexsort((ids[reach], -exact))[:k]
-            out.append((q, reach[order], exact[order]))
-        open_ = np.array(stay, np.int64)
-        if not len(open_):
-            break
+    out = []
+    for q, query in enumerate(queries):
+        reach = np.flatnonzero(own != own_query[q])
+        if proof:
+            reach, _ = index.possible(query, reach, k)
+        exact = index.vectors[reach] @ query
+        order = np.lexsort((ids[reach], -exact))[:k]
+        out.append((q, reach[order], exact[order]))
     return out
 
 

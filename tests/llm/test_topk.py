@@ -40,6 +40,26 @@ def test_it_stops_on_proof():
     found = topk.best(topk.Index(vectors), np.arange(3000), np.arange(3000), queries, np.array([-1, -1]), 10)
     exact = vectors @ queries[0]
     assert all((m == np.lexsort((np.arange(3000), -exact))[:10]).all() for _, m, _ in found)
+    reach, read = topk.Index(vectors).possible(queries[0], np.arange(3000), 10)
+    assert set(range(20)) >= set(found[0][1].tolist()) <= set(reach.tolist()) and len(reach) <= topk.FEW
+    assert 0 < read < 3000 * 16 / 4  # most postings are never read
+
+
+@pytest.mark.parametrize("dims", [1, 7, 1536])
+def test_possible_members_hold_the_best_and_no_posting_is_read_twice(dims):
+    rng = np.random.RandomState(dims)
+    vectors = rng.randint(-40, 41, (400, dims))
+    vectors[5:9] = vectors[5]
+    vectors[:, 0] = 3  # a dimension of one value
+    index = topk.Index(vectors)
+    assert index.postings.nbytes == 8 * vectors.size
+    for query in [*rng.randint(-40, 41, (12, dims)), np.zeros(dims, int)]:
+        others = np.delete(np.arange(400), rng.randint(400))
+        reach, read = index.possible(query, others, 10)
+        exact = vectors[others] @ query
+        kth = np.sort(exact)[-10]
+        assert set(others[exact >= kth].tolist()) <= set(reach.tolist()) <= set(others.tolist())
+        assert read <= vectors.size
 
 
 def test_odd_vectors(spark):
