@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime
 from heapq import nsmallest
 from itertools import chain
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -147,48 +150,15 @@ def closed_sessions(silver: DataFrame, gap: str = "30 minutes", lateness: str =
 
 
 SEQUENCES = "userId string, sessionId bigint, session_length bigint, page_seq array<int>"
-SESSION_STATE = "session_length bigint, ts array<bigint>, item array<bigint>, code array<int>"
-
-
-def _advance_session(key, batches, state) -> Iterator[pd.DataFrame]:
-    """The session's state after a micro-batch's events, and its sequence so far."""
-    length, entries = 0, []
-    if state.exists:
-        length, *columns = state.get
-        entries = list(zip(*columns))
-    for rows in batches:
-        length += len(rows)
-        entries = nsmallest(MAX_SESSION_LENGTH, chain(entries, zip(rows["ts"], rows["item"], rows["code"])))
-    ts, item, code = ([int(e[i]) for e in entries] for i in range(3))
-    state.update((int(length), ts, item, code))
-    yield pd.DataFrame({"userId": [key[0]], "sessionId": [key[1]], "session_length": [length], "page_seq": [code]})
-
-
-def session_updates(silver: DataFrame) -> DataFrame:
-    """The length and first 50 page codes of every session touched by a micro-batch.
-
-    Keyed state holds one row of at most 50 entries per (user, session id), so a
-    session goes on where it was however long it rested and in whatever order its
-    events arrive. The cost of a micro-batch follows the sessions it touches.
-    """
-    known = silver.filter(F.col("page").isNotNull() & F.col("sessionId").isNotNull() & F.col("userId").isNotNull())
-    rows = known.select(
-        *SESSION_KEY,
-        "ts",
-        F.coalesce("itemInSession", F.lit(0)).cast("long").alias("item"),
-        page_code(F.col("page")).cast("int").alias("code"),
-    )
-    return rows.groupBy(*SESSION_KEY).applyInPandasWithState(
-        _advance_session, SEQUENCES, SESSION_STATE, "update", GroupStateTimeout.NoTimeout
-    )
-
-
 PARTS = "userId string, sessionId bigint, started bigint, session_length bigint, page_seq array<int>"
-PART_STATE = "started bigint, last bigint, session_length bigint, ts array<bigint>, item array<bigint>, code array<int>"
+SESSION_STATE = "sessions binary"
+STATE_BUCKETS = 1_024
+ROWS_PER_FOLD = 100_000
+ENTRY = ("ts", "item", "code")
 
 
 def _with_part(parts: list[list], idle: int, part: list) -> None:
-    """Adds a stretch [start, last event, length, first entries] to disjoint ones, joining what is near."""
+    """Adds a stretch [start, last event, length, first entries] to disjoint ones, joining what is near; ``_fold`` does this for many sessions."""
     near = [p for p in parts if part[0] - p[1] <= idle and p[0] - part[1] <= idle]
     for p in near:
         parts.remove(p)
@@ -196,60 +166,164 @@ def _with_part(parts: list[list], idle: int, part: list) -> None:
     parts.append(part)
 
 
-def _advance_parts(idle: int):
-    """The state update of ``session_parts``."""
+class _Parts(NamedTuple):
+    """Session parts by user, session and start, and the first entries of each, in order; ``part`` is an entry's row of the others."""
+
+    users: pa.Array
+    ids: np.ndarray
+    started: np.ndarray
+    last: np.ndarray
+    lengths: np.ndarray
+    touched: np.ndarray
+    entries: dict[str, np.ndarray]
+    part: np.ndarray
+
+
+def _fold(known: _Parts, rows: pd.DataFrame, idle: int | None) -> _Parts:
+    """``known`` with ``rows`` added; without ``idle`` a session is one part."""
+    new = {c: rows[c].astype("int64").to_numpy() for c in ("sessionId", *ENTRY)}  # a missing time raises
+    users = pa.concat_arrays([known.users, pa.array(rows["userId"], pa.string())])
+    ids, started, last = (np.append(a, new[c]) for a, c in ((known.ids, "sessionId"), (known.started, "ts"), (known.last, "ts")))
+    lengths = np.append(known.lengths, np.ones(len(rows), np.int64))
+    touched = np.append(known.touched, np.ones(len(rows), bool))
+    user = users.dictionary_encode().indices.to_numpy()
+    order = np.lexsort((started, ids, user))
+    opens = np.append(True, (np.diff(user[order]) != 0) | (np.diff(ids[order]) != 0))
+    if idle is not None:
+        session = np.cumsum(opens)
+        ends, rank = np.unique(last[order], return_inverse=True)
+        reached = ends[np.maximum.accumulate(session * len(ends) + rank) - session * len(ends)]
+        opens[1:] |= started[order][1:] - reached[:-1] > idle
+    first = np.flatnonzero(opens)
+    part = np.empty(len(order), np.int64)
+    part[order] = np.cumsum(opens) - 1
+    part = np.append(part[known.part], part[len(known.ids) :])
+    heads = {c: np.append(known.entries[c], new[c]) for c in ENTRY}
+    by = np.lexsort((heads["code"], heads["item"], heads["ts"], part))
+    place = np.arange(len(by)) - np.searchsorted(part[by], part[by])
+    by = by[place < MAX_SESSION_LENGTH]
+    return _Parts(
+        users.take(pa.array(order[first])),
+        ids[order][first],
+        started[order][first],
+        np.maximum.reduceat(last[order], first),
+        np.add.reduceat(lengths[order], first),
+        np.logical_or.reduceat(touched[order], first),
+        {c: v[by] for c, v in heads.items()},
+        part[by],
+    )
+
+
+def _only(parts: _Parts, kept: np.ndarray) -> _Parts:
+    of = kept[parts.part]
+    flat = (c[kept] for c in parts[1:6])
+    return _Parts(parts.users.filter(pa.array(kept)), *flat, {c: v[of] for c, v in parts.entries.items()}, (np.cumsum(kept) - 1)[parts.part[of]])
+
+
+def _packed(parts: _Parts) -> bytes:
+    """Parts with their entries, as an Arrow stream of one batch."""
+    at = pa.array(np.searchsorted(parts.part, np.arange(len(parts.ids) + 1)), pa.int32())
+    entries = [pa.ListArray.from_arrays(at, pa.array(parts.entries[c])) for c in ENTRY]
+    batch = pa.record_batch([parts.users, *(pa.array(c) for c in parts[1:5]), *entries], ["user", "id", "started", "last", "length", *ENTRY])
+    with pa.BufferOutputStream() as sink:
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+            writer.write_batch(batch)
+        return sink.getvalue().to_pybytes()
+
+
+def _unpacked(state: bytes | None) -> _Parts:
+    if state is None:
+        none = np.empty(0, np.int64)
+        return _Parts(pa.array([], pa.string()), none, none, none, none, none.astype(bool), dict.fromkeys(ENTRY, none), none)
+    batch = pa.ipc.open_stream(state).read_next_batch()
+    flat = [batch.column(i).to_numpy() for i in range(1, 5)]
+    part = np.repeat(np.arange(batch.num_rows), np.diff(batch.column("ts").offsets.to_numpy()))
+    return _Parts(batch.column(0), *flat, np.zeros(batch.num_rows, bool), {c: batch.column(c).values.to_numpy() for c in ENTRY}, part)
+
+
+def _taken(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows in tables of about ``ROWS_PER_FOLD``."""
+    held, size = [], 0
+    for rows in batches:
+        held.append(rows)
+        size += len(rows)
+        if size >= ROWS_PER_FOLD:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if size:
+        yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+
+
+def _advance_sessions(idle: int | None = None):
+    """The state update of ``session_updates`` and, with ``idle``, of ``session_parts``, for a bucket of sessions."""
 
     def advance(key, batches, state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        parts = _unpacked(state.get[0] if state.exists else None)
+        for rows in () if state.hasTimedOut else _taken(batches):
+            parts = _fold(parts, rows, idle)
+        if parts.touched.any():
+            out = _only(parts, parts.touched)
+            codes = np.split(out.entries["code"], np.searchsorted(out.part, np.arange(1, len(out.ids))))
+            began = {} if idle is None else {"started": out.started}
+            yield pd.DataFrame({"userId": out.users.to_pandas(), "sessionId": out.ids, **began, "session_length": out.lengths, "page_seq": codes})
+        if idle is None:
+            state.update((_packed(parts),))
+            return
+        # only the newest part of a session can go on, until the watermark has passed its end
+        now = state.getCurrentWatermarkMs()
+        user = parts.users.dictionary_encode().indices.to_numpy()
+        newest = np.append((np.diff(user) != 0) | (np.diff(parts.ids) != 0), True)[: len(user)]
+        parts = _only(parts, newest & (parts.last + idle + 1 >= now))
+        if not len(parts.ids):
             state.remove()
             return
-        parts: list[list] = []
-        if state.exists:
-            started, last, length, *columns = state.get
-            parts.append([started, last, length, list(zip(*columns))])
-        touched = set()
-        for rows in batches:
-            rows = rows.sort_values(["ts", "item", "code"])
-            ts = rows["ts"].to_numpy()
-            cuts = [0, *((ts[1:] - ts[:-1] > idle).nonzero()[0] + 1).tolist(), len(ts)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a < b:
-                    head = rows.iloc[a : min(b, a + MAX_SESSION_LENGTH)]
-                    entries = [(int(t), int(i), int(c)) for t, i, c in zip(head["ts"], head["item"], head["code"])]
-                    _with_part(parts, idle, [int(ts[a]), int(ts[b - 1]), b - a, entries])
-                    touched.add(int(ts[a]))
-        newest = max(parts)
-        ts, item, code = ([e[i] for e in newest[3]] for i in range(3))
-        state.update((*newest[:3], ts, item, code))
-        state.setTimeoutTimestamp(max(newest[1] + idle, state.getCurrentWatermarkMs()) + 1)
-        out = [p for p in parts if any(p[0] <= t <= p[1] for t in touched)]
-        columns = {"userId": key[0], "sessionId": key[1]}
-        yield pd.DataFrame([{**columns, "started": p[0], "session_length": p[2], "page_seq": [e[2] for e in p[3]]} for p in out])
+        state.update((_packed(parts),))
+        state.setTimeoutTimestamp(max(int(parts.last.min()) + idle, now) + 1)
 
     return advance
 
 
-def session_parts(silver: DataFrame, idle_ms: int = 6 * 3_600_000, lateness: str = "10 minutes") -> DataFrame:
-    """Like ``session_updates``, with an end: a session that rests for ``idle_ms`` of event time is over.
+def _session_events(silver: DataFrame) -> DataFrame:
+    return silver.filter(F.col("page").isNotNull() & F.col("sessionId").isNotNull() & F.col("userId").isNotNull())
 
-    Its state goes when the watermark has passed that time, so the state holds the
-    sessions of the last ``idle_ms`` and lateness, not all that ever were. An event
-    of the same user and session id after a longer rest starts a new part, known by
-    its first time, whether or not the old state is gone already; what is later than
-    ``lateness`` is dropped by the watermark. Many live sessions belong into a RocksDB
-    state store (``spark.sql.streaming.stateStore.providerClass``).
-    """
-    known = silver.filter(F.col("page").isNotNull() & F.col("sessionId").isNotNull() & F.col("userId").isNotNull())
-    rows = known.withWatermark("event_time", lateness).select(
+
+def _session_state(known: DataFrame, schema: str, timeout: str, idle: int | None = None) -> DataFrame:
+    """Keyed state of ``STATE_BUCKETS`` buckets of sessions, by a hash of the session key."""
+    rows = known.select(
+        F.pmod(F.xxhash64(*SESSION_KEY), F.lit(STATE_BUCKETS)).cast("int").alias("bucket"),
         *SESSION_KEY,
         "ts",
-        "event_time",
+        *([] if idle is None else ["event_time"]),
         F.coalesce("itemInSession", F.lit(0)).cast("long").alias("item"),
         page_code(F.col("page")).cast("int").alias("code"),
     )
-    return rows.groupBy(*SESSION_KEY).applyInPandasWithState(
-        _advance_parts(idle_ms), PARTS, PART_STATE, "update", GroupStateTimeout.EventTimeTimeout
-    )
+    return rows.groupBy("bucket").applyInPandasWithState(_advance_sessions(idle), schema, SESSION_STATE, "update", timeout)
+
+
+def session_updates(silver: DataFrame) -> DataFrame:
+    """The length and first 50 page codes of every session touched by a micro-batch.
+
+    The state holds at most 50 entries per (user, session id), so a session goes on
+    where it was however long it rested and in whatever order its events arrive.
+    Sessions lie in ``STATE_BUCKETS`` buckets that are updated as tables, so a
+    micro-batch calls Python once per bucket and not once per session; it reads and
+    writes the buckets of the sessions that it touches.
+    """
+    return _session_state(_session_events(silver), SEQUENCES, GroupStateTimeout.NoTimeout)
+
+
+def session_parts(silver: DataFrame, idle_ms: int = 6 * 3_600_000, lateness: str = "10 minutes") -> DataFrame:
+    """Like ``session_updates``, with an end: a session that rests for ``idle_ms`` of event time is over.
+
+    It leaves its bucket when the watermark has passed that time, and an empty bucket
+    leaves the state, so the state holds the sessions of the last ``idle_ms`` and lateness,
+    not all that ever were. An event of the same user and session id after a longer rest
+    starts a new part, known by its first time, whether or not the old state is gone
+    already; what is later than ``lateness`` is dropped by the watermark. Many live
+    sessions belong into a RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
+    """
+    known = _session_events(silver).withWatermark("event_time", lateness)
+    return _session_state(known, PARTS, GroupStateTimeout.EventTimeTimeout, idle_ms)
 
 
 def stream_session_parts(

@@ -271,3 +271,39 @@ def test_streamed_sketches_unite_to_exact_counts(spark, event_files, tmp_path):
     whole = clean.enrich_events(batch()).filter((F.col("event_time") >= first) & (F.col("event_time") < last + F.expr("INTERVAL 1 HOUR")))
     assert listening.united_kpis(hours).collect() == listening.listening_kpis(whole).collect()
     assert listening.united_kpis(hours.limit(0)).first().users == 0
+
+
+def test_session_state_is_kept_by_bucket(spark, events, tmp_path):
+    """4,000 sessions in one micro-batch: a state row, and a call of Python, for each bucket and not for each session."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "o")
+    rows = events(*[{"page": "Home", "itemInSession": 0, "userId": f"u{i % 7}", "sessionId": i, "ts": i} for i in range(4_000)])
+    rows.coalesce(1).write.parquet(source)
+    stream = clean.enrich_events(spark.readStream.schema(rows.schema).parquet(source))
+    query = live.stream_session_sequences(stream, out, str(tmp_path / "c"), every=None)
+    query.awaitTermination()
+    assert {(r.userId, r.sessionId, r.session_length) for r in updates(spark, out)} == {(f"u{i % 7}", i, 1) for i in range(4_000)}
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= live.STATE_BUCKETS < 4_000
+
+
+@pytest.mark.parametrize("idle", [None, 5])
+def test_folded_sessions_equal_stretches_added_one_by_one(idle):
+    import random
+
+    import pandas as pd
+
+    rng = random.Random(2)
+    for _ in range(20):
+        rows = [(rng.choice("ab"), rng.randrange(3), rng.randrange(-200, 400), rng.randrange(3), rng.randrange(4)) for _ in range(400)]
+        whole, state = {}, live._unpacked(None)
+        for at in range(0, 400, 80):
+            some = rows[at : at + 80]
+            state = live._fold(state, pd.DataFrame(some, columns=["userId", "sessionId", "ts", "item", "code"]), idle)
+            if idle is None:
+                state = live._unpacked(live._packed(state))
+        for u, s, t, i, c in rows:
+            live._with_part(whole.setdefault((u, s), []), 1_000 if idle is None else idle, [t, t, 1, [(t, i, c)]])
+        entries = [[] for _ in state.ids]
+        for p, *entry in zip(state.part.tolist(), *(state.entries[c].tolist() for c in live.ENTRY)):
+            entries[p].append(tuple(entry))
+        columns = (state.users.to_pylist(), *(c.tolist() for c in (state.ids, state.started, state.last, state.lengths)))
+        assert sorted(zip(*columns, entries)) == sorted((*k, *p) for k in whole for p in whole[k])
