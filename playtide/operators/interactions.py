@@ -14,20 +14,21 @@ from playtide.operators.scale import cut_lineage, global_positions
 def interaction_matrix(df: DataFrame, min_plays: int = 2) -> DataFrame:
     """Plays per (userId, song, artist) of active users and songs.
 
-    Both activity limits look at the totals before any filtering. A song
-    everybody plays, or a user who plays everything, is a hot key of the
-    semi-joins; adaptive execution splits it. The counts are stored once, as
-    three reads follow.
+    Both activity limits look at the totals before any filtering. The counts are
+    stored once, and so are the inactive users and songs, which have fewer than
+    ``min_plays`` plays each: while they are few, they are broadcast on their stored
+    size and the matrix is filtered where it lies; beyond that adaptive execution
+    splits hot keys of the anti-joins.
     """
     matrix = cut_lineage(
         plays(df, "strict").groupBy("userId", "song", "artist").agg(F.count(F.lit(1)).alias("play_count"))
     )
 
-    def active(key: str) -> DataFrame:
+    def inactive(key: str) -> DataFrame:
         totals = matrix.groupBy(key).agg(F.sum("play_count").alias("_plays"))
-        return totals.filter(F.col("_plays") >= min_plays).select(key)
+        return cut_lineage(totals.filter(F.col("_plays") < min_plays).select(key))
 
-    kept = matrix.join(active("userId"), "userId", "left_semi").join(active("song"), "song", "left_semi")
+    kept = matrix.join(inactive("userId"), "userId", "left_anti").join(inactive("song"), "song", "left_anti")
     return kept.select("userId", "song", "artist", "play_count")
 
 

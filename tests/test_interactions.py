@@ -122,3 +122,12 @@ def test_training_set_shuffle_keeps_rows(pairs):
 def test_stable_hash_is_md5(spark):
     value = spark.range(1).select(stable_hash(3, F.lit("a"), F.lit(None), F.lit(5)).alias("h")).first().h
     assert value == int(hashlib.md5(b"3:a::5").hexdigest()[:15], 16)
+
+
+def test_active_cells_are_found_without_moving_the_matrix(spark):
+    """The few inactive users and songs are broadcast on their stored size; the matrix is read where it lies."""
+    cells = [("u", "s"), ("u", "t"), ("v", "s"), ("v", "s"), ("w", "s"), ("u", "once"), ("v", "once2")]
+    rows = spark.createDataFrame([("NextSong", u, s, "a") for u, s in cells], "page string, userId string, song string, artist string")
+    kept = interactions.interaction_matrix(rows, 2)
+    assert {(r.userId, r.song, r.play_count) for r in kept.collect()} == {("u", "s", 1), ("v", "s", 2)}
+    assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
