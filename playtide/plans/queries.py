@@ -846,7 +846,7 @@ def _longest(spark: SparkSession, out: str, schema: str) -> DataFrame:
     return clean.latest_per_key(rows, ["userId", "sessionId"], [F.desc("session_length")])
 
 
-ROWS_PER_FILE = 1_000_000
+ROWS_PER_FILE = 200_000
 
 
 def _in_files(spark: SparkSession, sf: str, out: str, delay: Column | None = None) -> DataFrame:
