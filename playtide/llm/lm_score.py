@@ -48,33 +48,23 @@ HOT = 2**19  # words whose counts all tasks hold, 16 bytes each
 HOT_GRAMS = 2**21  # grams whose probabilities all tasks hold, 16 bytes each
 ORDER = 6  # bytes of the longest context
 LOW = 2  # orders up to this one go to all tasks
-BUCKET = 2**28  # bytes of documents for each bucket
+BUCKET = 2**26  # bytes of documents for each bucket
 ROWS, CHARS = 4_000, 6_000_000  # of a chunk of documents
-PIECE = 2_000_000  # bytes that are looked at together
+PIECE = 2**19  # bytes that are looked at together, some 100 bytes of memory each
 SENT = 4_000_000  # counted grams or words that a task holds
+STRIDE, MERGED = 2**12, 2**18  # rows between two that are looked at for bounds, and rows that are merged together
 END = b"\xff"  # stands for the end of a text
 LEAD = b" " * ORDER
-
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_words = _Hashes()
 END_TOKEN = xxhash.xxh64_intdigest(b" ")  # no word is a space
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes and end tokens of all texts, and how many each text has."""
-    if len(_words) > 400_000:
-        _words.clear()
     parts, sizes = [], np.empty(len(texts), np.int64)
     end = np.array([END_TOKEN], np.uint64)
     for i, text in enumerate(texts):
         words = text.split()  # of bytes: at ASCII white space
-        parts += [np.fromiter(map(_words.__getitem__, words), np.uint64, len(words)), end]
+        parts += [np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)), end]
         sizes[i] = len(words) + 1
     return np.concatenate(parts), sizes
 
@@ -104,9 +94,64 @@ def bucket_of(kind: str, keys: np.ndarray, buckets: int) -> np.ndarray:
     return (keys % np.uint64(buckets)).astype(np.int64)
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    out, at = np.unique(keys, return_inverse=True)
-    return out, np.bincount(at, weights=counts, minlength=len(out)).astype(np.int64)
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where each different one of sorted keys begins."""
+    return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray, kind: str = "quicksort") -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind=kind)
+    keys = keys[order]
+    first = _firsts(keys)
+    return keys[first], np.add.reduceat(counts[order], first).astype(np.int64, copy=False)
+
+
+def _merged(runs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sums of sorted runs, a range of keys of about ``MERGED`` rows at a time: beside the runs and the sums little is held."""
+    seen = np.sort(np.concatenate([keys[::STRIDE] for keys, _ in runs]))
+    bounds = seen[MERGED // STRIDE :: MERGED // STRIDE]
+    cuts = [[0, *np.searchsorted(keys, bounds).tolist(), len(keys)] for keys, _ in runs]
+    parts = []
+    for ends in zip(*(zip(c[:-1], c[1:]) for c in cuts)):
+        own = [(keys[a:b], counts[a:b]) for (keys, counts), (a, b) in zip(runs, ends)]
+        parts.append(_summed(*(np.concatenate(x) for x in zip(*own)), "stable"))
+    return parts
+
+
+class Tally:
+    """Counts by key in sorted runs, merged when the later runs have as many rows as the first.
+
+    So a row is merged again only when the tally has doubled.
+    """
+
+    def __init__(self):
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
+        self.later = 0
+
+    def __len__(self) -> int:
+        return self.later + (len(self.runs[0][0]) if self.runs else 0)
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Count sorted different keys too."""
+        self.later += len(keys) if self.runs else 0
+        self.runs.append((keys, counts))
+        if self.later >= max(MERGED, len(self.runs[0][0])):
+            self.merge()
+
+    def merge(self) -> None:
+        """One run of them all."""
+        if len(self.runs) > 1:
+            parts = _merged(self.runs)
+            self.runs = []
+            keys, counts = zip(*parts)
+            del parts
+            keys = np.concatenate(keys)
+            self.runs, self.later = [(keys, np.concatenate(counts))], 0
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """All sorted keys and their counts; the tally is empty after it."""
+        self.merge()
+        return self.runs.pop()
 
 
 def _counting(buckets: int):
@@ -115,46 +160,39 @@ def _counting(buckets: int):
     def packed(kind: str, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         bucket = bucket_of(kind, keys, buckets)
         order = np.argsort(bucket, kind="stable")
-        keys, counts, bucket = keys[order], counts[order], bucket[order]
-        cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-        for b in np.unique(bucket).tolist():
-            piece = slice(cuts[b], cuts[b + 1])
+        cuts = np.cumsum(np.bincount(bucket, minlength=buckets))
+        del bucket
+        for b in np.flatnonzero(np.diff(cuts, prepend=0)).tolist():
+            piece = order[cuts[b - 1] if b else 0 : cuts[b]]
             yield pa.RecordBatch.from_pydict({"kind": [kind], "bucket": pa.array([b], pa.int32()), "keys": [keys[piece].tobytes()], "counts": [counts[piece].tobytes()]})
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {"word": [], "gram": []}
-
-        def merge() -> None:
-            for kind, parts in held.items():
-                if len(parts) > 1:
-                    held[kind] = [_summed(*(np.concatenate(x) for x in zip(*parts)))]
-
+        held = {"word": Tally(), "gram": Tally()}
         for batch in sliced(batches, ROWS, CHARS):
             texts = [(t or "").encode().lower() for t, h in zip(batch["text"].to_pylist(), batch["held_out"].to_pylist()) if not h]
             if not texts:
                 continue
-            held["word"].append(np.unique(tokens(texts)[0], return_counts=True))
-            held["gram"] += [np.unique(keys, return_counts=True) for keys, _ in grams(texts)]
-            if len(held["gram"]) > 8:
-                merge()
-                for kind, parts in held.items():
-                    if len(parts[0][0]) > SENT:  # a bound on memory: what is sent is summed again
-                        yield from packed(kind, *parts.pop())
-        merge()
-        for kind, parts in held.items():
-            for keys, counts in parts:
-                yield from packed(kind, keys, counts)
+            held["word"].add(*np.unique(tokens(texts)[0], return_counts=True))
+            for keys, _ in grams(texts):
+                held["gram"].add(*np.unique(keys, return_counts=True))
+                for kind, tally in held.items():
+                    if len(tally) > SENT:
+                        tally.merge()
+                        if len(tally) > SENT * 3 // 4:  # a bound on memory: what is sent is summed again
+                            yield from packed(kind, *tally.taken())
+        for kind, tally in held.items():
+            if len(tally):
+                yield from packed(kind, *tally.taken())
 
     return task
 
 
 def _sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packed counts sorted by (kind, bucket) -> one row of each with the sums, their total and their number."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    last = None
+    held, last = Tally(), None
 
     def out() -> pa.RecordBatch:
-        keys, counts = _summed(*(np.concatenate(x) for x in zip(*held)))
+        keys, counts = held.taken()
         row = {"kind": [last[0]], "bucket": pa.array([last[1]], pa.int32()), "keys": [keys.tobytes()], "counts": [counts.tobytes()], "total": [int(counts.sum())], "distinct": [len(keys)]}
         return pa.RecordBatch.from_pydict(row)
 
@@ -162,12 +200,9 @@ def _sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for kind, bucket, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
             if last is not None and last != (kind, bucket):
                 yield out()
-                held = []
             last = (kind, bucket)
-            held.append((np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64)))
-            if len(held) > 16:
-                held = [_summed(*(np.concatenate(x) for x in zip(*held)))]
-    if held:
+            held.add(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64))
+    if last is not None:
         yield out()
 
 

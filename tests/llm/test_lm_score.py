@@ -1,8 +1,10 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import LOWER
 
@@ -113,3 +115,45 @@ def test_odd_rows(odd):
     assert lm_score.scored(odd.limit(0)).count() == 0
     untrained = lm_score.scored(odd.filter("doc_id IN (2) AND crc32(CAST(doc_id AS STRING)) % 10 = 0"))
     assert all(r.train_tokens == 0 for r in untrained.collect())
+
+
+def differing(size, seed):
+    """A text of random bytes, whose grams nearly all differ."""
+    return bytes(np.random.RandomState(seed).randint(0x21, 0x7F, size, np.uint8)).decode()
+
+
+def batches_of(texts):
+    for t in texts:
+        yield pa.RecordBatch.from_pydict({"text": [t], "held_out": [False]})
+
+
+def test_counting_holds_little():
+    """Counts that a task holds are merged by ranges instead of being sorted anew all at once."""
+    texts = [differing(1_500_000, i) for i in range(6)]
+    tracemalloc.start()
+    try:
+        sent = sum(len(k) // 8 for r in lm_score._counting(8)(batches_of(texts)) for k in r["keys"].to_pylist())
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert sent > 8_000_000 and peak < 300e6
+
+
+@pytest.mark.parametrize("sent", [300, 4_000_000])
+def test_counts_are_whole_however_they_are_sent(monkeypatch, sent):
+    monkeypatch.setattr(lm_score, "SENT", sent)
+    monkeypatch.setattr(lm_score, "MERGED", 64)
+    monkeypatch.setattr(lm_score, "STRIDE", 4)
+    texts = ["the cat sat on the mat " * 5, differing(900, 1), "", "a cat and the hat", differing(900, 1), "é"]
+    packed = sorted(((r["kind"][0].as_py(), r["bucket"][0].as_py(), r["keys"][0].as_py(), r["counts"][0].as_py()) for r in lm_score._counting(5)(batches_of(texts))), key=lambda r: r[:2])
+    rows = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*packed)], names=["kind", "bucket", "keys", "counts"])
+    found = {"word": Counter(), "gram": Counter()}
+    for row in lm_score._sums([rows.slice(0, 3), rows.slice(3)]):
+        (r,) = row.to_pylist()
+        keys, counts = np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64)
+        assert (np.diff(keys.astype(object)) > 0).all() and (r["total"], r["distinct"]) == (counts.sum(), len(keys))
+        found[r["kind"]].update(dict(zip(keys.tolist(), counts.tolist())))
+    raw = [t.encode().lower() for t in texts]
+    assert found["gram"] == Counter(np.concatenate([k for k, _ in lm_score.grams(raw)]).tolist())
+    assert found["word"] == Counter(lm_score.tokens(raw)[0].tolist())
+    assert (len(packed) > 10) == (sent == 300)
