@@ -300,9 +300,13 @@ def _scoring(buckets: int, shared):
             score, rare = np.zeros(n), []
             for keys, owner in grams(texts):
                 code, own = pd.factorize(keys)
-                spot = np.minimum(np.searchsorted(often, own), max(0, len(often) - 1))
-                there = often[spot] == own if len(often) else np.zeros(len(own), bool)
-                score += np.bincount(owner, weights=(np.where(there, worth[spot], 0) if len(often) else np.zeros(len(own)))[code], minlength=n)
+                order = np.argsort(own)  # a search for sorted keys stays in the CPU's cache
+                there, value = np.zeros(len(own), bool), np.zeros(len(own))
+                if len(often):
+                    spot = np.minimum(np.searchsorted(often, own[order]), len(often) - 1)
+                    there[order] = hit = often[spot] == own[order]
+                    value[order] = np.where(hit, worth[spot], 0)
+                score += np.bincount(owner, weights=value[code], minlength=n)
                 left = np.flatnonzero(~there[code])
                 rare.append((keys[left], owner[left]))
             keys, at = np.unique(np.concatenate([k for k, _ in rare]), return_inverse=True)
