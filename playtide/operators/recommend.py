@@ -15,7 +15,8 @@ from playtide.operators.scale import cut_lineage, global_positions
 
 
 RATINGS_PER_BLOCK = 1_000_000
-ITEMS_PER_BLOCK, USERS_PER_PART = 4_096, 20_000
+ITEMS_PER_BLOCK, BLOCKS_PER_GROUP, USERS_PER_PART = 4_096, 32, 20_000
+FEW_PARTS, PART_GROWS = 8, 5  # parts beyond the first few hold so many times the users
 
 
 def train_als(
@@ -60,19 +61,122 @@ def als_rmse(model: ALSModel, test: DataFrame, rating: str = "play_count") -> fl
 RECS = "array<struct<song_idx:int,rating:float>>"
 
 
-def _best_of_block(users: pa.Table, ids: np.ndarray, vectors: np.ndarray, k: int) -> pa.Table:
-    """(user_idx, recs, least): each user's ``k`` best items of a block; ``least`` is null for fewer than ``k``."""
-    idx, factors = users["user_idx"].to_numpy(), np.array(users["features"].to_pylist(), np.float64)
-    recs, least = [], []
-    for start in range(0, len(idx), 1_000):
-        scores = factors[start : start + 1_000] @ vectors.T
-        for row in scores:
-            take = np.flatnonzero(row >= np.partition(row, -k)[-k]) if len(row) > k else np.arange(len(row))
-            take = take[np.lexsort((ids[take], -row[take]))][:k]
-            recs.append([{"song_idx": int(ids[i]), "rating": float(row[i])} for i in take])
-            least.append(float(row[take[-1]]) if len(take) == k else None)
+def _matrix(lists: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as the rows of a matrix."""
+    values = lists.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return values.reshape(len(lists), -1) if len(lists) else np.empty((0, 0))
+
+
+def _lists(rows: np.ndarray, n: int, values: pa.Array) -> pa.ListArray:
+    """``n`` lists of ``values``, which are in the order of their ``rows``."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(n + 1)), pa.int32()), values)
+
+
+def _recs(rows: np.ndarray, n: int, ids: np.ndarray, scores: np.ndarray) -> pa.ListArray:
+    return _lists(rows, n, pa.StructArray.from_arrays([pa.array(ids, pa.int32()), pa.array(scores, pa.float64())], ["song_idx", "rating"]))
+
+
+def _most(users: np.ndarray, axis: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """For each user and block, no less than the greatest inner product with an item of the block.
+
+    Vectors are split along and off the unit vector ``axis``: the parts along it multiply,
+    those off it reach the product of their lengths at most. ``limits`` has a block's greatest
+    and least part along the axis, its greatest length off it and its greatest length.
+    """
+    along = users @ axis
+    off = np.linalg.norm(users - np.outer(along, axis), axis=1)
+    whole = np.outer(np.linalg.norm(users, axis=1), limits[:, 3])
+    split = np.maximum(np.outer(along, limits[:, 0]), np.outer(along, limits[:, 1])) + np.outer(off, limits[:, 2])
+    return np.minimum(split, whole) + 1e-9 * whole  # a margin for rounding: a bound is met rather once too often
+
+
+def _limits(vectors: np.ndarray, axis: np.ndarray) -> np.ndarray:
+    """The row of ``_most``'s limits for the block of these items."""
+    along = vectors @ axis
+    off = np.linalg.norm(vectors - np.outer(along, axis), axis=1)
+    return np.array([[along.max(), along.min(), off.max(), np.linalg.norm(vectors, axis=1).max()]])
+
+
+def _add_block(best: tuple, users: np.ndarray, at: np.ndarray, least: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple:
+    """``best`` with a block's items: (user, item, score) of the ``k`` best by user, ties to the smaller item.
+
+    ``at`` are the rows of ``users`` that meet the block; their ``least``, below which no
+    score counts, is raised to their ``k``-th score in place.
+    """
+    scores = users[at] @ vectors.T
+    kept = scores >= least[at, None]
+    many = np.flatnonzero(np.count_nonzero(kept, axis=1) > k)
+    if len(many):
+        kept[many] = scores[many] >= np.partition(scores[many], -k, axis=1)[:, -k, None]
+    row, col = np.nonzero(kept)
+    if not len(row):
+        return best
+    rows, items, found = (np.concatenate(x) for x in zip(best, (at[row], ids[col], scores[row, col])))
+    order = np.lexsort((items, -found, rows))
+    rows, items, found = rows[order], items[order], found[order]
+    rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    last = rank == k - 1
+    least[rows[last]] = np.maximum(least[rows[last]], found[last])
+    return rows[rank < k], items[rank < k], found[rank < k]
+
+
+def _nothing() -> tuple:
+    return np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.float64)
+
+
+USERS_AT_ONCE = 1_000
+
+
+def _meet_first(
+    users: pa.Table, ids: np.ndarray, vectors: np.ndarray, axis: np.ndarray, limits: np.ndarray, groups: np.ndarray, starts: np.ndarray, k: int
+) -> Iterator[pa.RecordBatch]:
+    """(user_idx, recs, least, wanted, features): the best of the first block and the ``groups`` of further blocks that can add to them.
+
+    The rows of ``limits`` are the further blocks in the order of their groups, which begin
+    at ``starts``. Features are kept for users who want a group.
+    """
+    factors = _matrix(users["features"])
+    for start in range(0, len(factors), USERS_AT_ONCE):
+        own = factors[start : start + USERS_AT_ONCE]
+        n, least = len(own), np.full(len(own), -np.inf)
+        rows, items, found = _add_block(_nothing(), own, np.arange(n), least, ids, vectors, k)
+        wants, group = np.empty(0, np.int64), np.empty(0, np.int64)
+        if len(groups):
+            wants, group = np.nonzero(np.maximum.reduceat(_most(own, axis, limits), starts, axis=1) >= least[:, None])
+        still = np.unique(wants)
+        kept = _lists(np.repeat(still, own.shape[1]), n, pa.array(own[still].ravel(), pa.float64()))
+        columns = [
+            users["user_idx"].slice(start, n).combine_chunks(),
+            _recs(rows, n, items, found),
+            pa.array(least),
+            _lists(wants, n, pa.array(groups[group], pa.int32())),
+            kept,
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["user_idx", "recs", "least", "wanted", "features"])
+
+
+def _meet_group(users: pa.Table, items: pa.Table, axis: np.ndarray, k: int) -> pa.Table:
+    """(user_idx, recs): what the blocks of a group add to the best of these users; users meet those whose bound reaches their least score."""
     kind = pa.list_(pa.struct([("song_idx", pa.int32()), ("rating", pa.float64())]))
-    return pa.table({"user_idx": pa.array(idx, pa.int32()), "recs": pa.array(recs, kind), "least": pa.array(least, pa.float64())})
+    empty = pa.table({"user_idx": pa.array([], pa.int32()), "recs": pa.array([], kind)})
+    if not len(users) or not len(items):
+        return empty
+    number = items["_block"].to_numpy()
+    order = np.argsort(number, kind="stable")
+    ids, vectors = items["song_idx"].to_numpy()[order], _matrix(items["features"])[order]
+    cuts = [0, *(np.flatnonzero(np.diff(number[order])) + 1), len(order)]
+    blocks = [(ids[a:b], vectors[a:b], _limits(vectors[a:b], axis)) for a, b in zip(cuts, cuts[1:])]
+    factors, idx, bar, out = _matrix(users["features"]), users["user_idx"].to_numpy(), users["least"].to_numpy(), [empty]
+    for start in range(0, len(idx), USERS_AT_ONCE):
+        own, least = factors[start : start + USERS_AT_ONCE], bar[start : start + USERS_AT_ONCE].copy()
+        most, best = _most(own, axis, np.concatenate([x for _, _, x in blocks])), _nothing()
+        for i, (songs, rows, _) in enumerate(blocks):
+            at = np.flatnonzero(most[:, i] >= least)
+            if len(at):
+                best = _add_block(best, own, at, least, songs, rows, k)
+        some, row = np.unique(best[0], return_inverse=True)
+        out.append(pa.table({"user_idx": pa.array(idx[start + some], pa.int32()), "recs": _recs(row, len(some), *best[1:])}))
+    return pa.concat_tables(out)
 
 
 def top_items(
@@ -80,51 +184,63 @@ def top_items(
 ) -> DataFrame:
     """The ``k`` items with the greatest inner product for every user, without a product of both tables.
 
-    Items are cut into blocks in the order of their norms, the longest first, so that a
-    block's greatest norm times the user's bounds every score in it. All users meet the
-    first block; after that a user meets only the blocks whose bound reaches its ``k``-th
-    score so far, by an equi-join on (block, part of the users). Ties go to the smaller
-    item; factors are (id, features) as a fitted model has them.
+    Items are cut into blocks in the order of their norms, the longest first. All users meet
+    the first block; after that a user meets only the blocks whose bound (``_most``, along and
+    off the mean direction of the first block) reaches the ``k``-th score so far. They go
+    there by an equi-join on (group of ``BLOCKS_PER_GROUP`` blocks, part of the users who want
+    the group): a group that nobody wants is not copied, others once for each ``part`` of the
+    users who want them, beyond ``FEW_PARTS`` copies once for each ``part * PART_GROWS``; a
+    user goes once to each wanted group. Users whose first block is proved to be enough are
+    not shuffled. Ties go to the smaller item; factors are (id, features) as a fitted model
+    has them, one row per id.
     """
-    schema = "user_idx int, recs array<struct<song_idx:int,rating:double>>, least double"
     norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
-    users = user_factors.select(F.col("id").alias("user_idx"), "features", norm.alias("_norm"))
+    users = user_factors.select(F.col("id").alias("user_idx"), "features")
     items = item_factors.select(F.col("id").alias("song_idx"), "features", (-norm).alias("_less"))
     placed = cut_lineage(
         global_positions(items, ["_less", "song_idx"])
         .withColumn("_block", F.floor(F.col("position") / block).cast("int"))
-        .select("_block", "song_idx", "features", "_less")
+        .select("_block", F.floor(F.col("_block") / BLOCKS_PER_GROUP).cast("int").alias("_group"), "song_idx", "features", "_less")
     )
-    bounds = {r[0]: r[1] for r in placed.groupBy("_block").agg(-F.min("_less")).collect()}  # one number per block
     first = placed.filter("_block = 0").select("song_idx", "features").toPandas()  # one block
     ids, vectors = first["song_idx"].to_numpy(), np.array(first["features"].tolist(), np.float64)
+    total = vectors.sum(axis=0)
+    axis = total / (np.linalg.norm(total) or 1.0)
+    line = F.array(*[F.lit(float(x)) for x in np.atleast_1d(axis)])
+    split = placed.filter("_block > 0").withColumn("_along", _dot(F.col("features"), line))
+    off = F.aggregate(F.zip_with("features", line, lambda x, y: x - F.col("_along") * y), F.lit(0.0), lambda a, x: a + x * x)
+    most = [F.max("_along"), F.min("_along"), F.max(F.sqrt(off)), -F.min("_less")]
+    bounds = split.groupBy("_group", "_block").agg(*most).orderBy("_block").collect()  # a row per block
+    limits = np.array([r[2:] for r in bounds], np.float64).reshape(-1, 4)
+    groups, starts = np.unique(np.array([r["_group"] for r in bounds], np.int32), return_index=True)
 
     def meet_first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows and len(ids):
-                yield from _best_of_block(pa.Table.from_batches([batch]), ids, vectors, k).to_batches()
-
-    def meet(users_of: pa.Table, items_of: pa.Table) -> pa.Table:
-        found = np.array(items_of["features"].to_pylist(), np.float64)
-        return _best_of_block(users_of, items_of["song_idx"].to_numpy(), found, k)
-
-    found = cut_lineage(users.select("user_idx", "features").mapInArrow(meet_first, schema))
-    if len(bounds) > 1:
-        # a margin for rounding: a bound is met rather once too often
-        further = F.array(*[F.struct(F.lit(b).alias("_block"), F.lit(bounds[b] * (1 + 1e-9)).alias("_bound")) for b in sorted(bounds) if b])
-        wanted = F.filter(further, lambda x: F.col("least").isNull() | (x["_bound"] * F.col("_norm") >= F.col("least")))
-        reached = users.join(found.select("user_idx", "least"), "user_idx").withColumn("_block", F.explode(F.transform(wanted, lambda x: x["_block"])))
-        parts = max(1, -(-user_factors.count() // part))
-        reached = reached.withColumn("_part", F.pmod(F.xxhash64("user_idx"), F.lit(parts)).cast("int"))
-        spread = placed.filter("_block > 0").withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        sides = (df.groupBy("_block", "_part") for df in (reached.select("_block", "_part", "user_idx", "features"), spread))
-        left, right = sides
-        more = left.cogroup(right).applyInArrow(lambda a, b: meet(a, b) if len(a) and len(b) else _best_of_block(a.slice(0, 0), ids, vectors, k), schema)
-        found = found.unionByName(more)
-    ranked = F.array_sort(F.transform(F.flatten(F.collect_list("recs")), lambda r: F.struct((-r["rating"]).alias("less"), r["song_idx"].alias("song_idx"))))
-    best = found.groupBy("user_idx").agg(F.slice(ranked, 1, k).alias("best"))
-    recs = F.transform("best", lambda r: F.struct(r["song_idx"].alias("song_idx"), (-r["less"]).cast("float").alias("rating")))
-    return best.select("user_idx", recs.cast(RECS).alias("recommendations"))
+                yield from _meet_first(pa.Table.from_batches([batch]), ids, vectors, axis, limits, groups, starts, k)
+
+    recs = "recs array<struct<song_idx:int,rating:double>>"
+    found = cut_lineage(
+        users.mapInArrow(meet_first, f"user_idx int, {recs}, least double, wanted array<int>, features array<double>")
+    )
+    best = found.filter("size(wanted) = 0").select("user_idx", F.col("recs").alias("best"))
+    if len(bounds):
+        reached = found.select("user_idx", "features", "least", F.explode("wanted").alias("_group"))
+        n = F.count(F.lit(1))
+        parts = F.greatest(F.ceil(n / (part * PART_GROWS)), F.least(F.ceil(n / part), F.lit(FEW_PARTS))).cast("int")
+        sizes = F.broadcast(reached.groupBy("_group").agg(parts.alias("_parts")))  # a row per group
+        to = F.pmod(F.xxhash64("user_idx"), F.col("_parts")).cast("int").alias("_part")
+        own = reached.join(sizes, "_group").select("_group", to, "user_idx", "features", "least")
+        copies = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part")
+        spread = placed.filter("_block > 0").join(sizes, "_group").select("_group", copies, "_block", "song_idx", "features")
+        left, right = (df.groupBy("_group", "_part") for df in (own, spread))
+        more = left.cogroup(right).applyInArrow(lambda a, b: _meet_group(a, b, axis, k), f"user_idx int, {recs}")
+        both = found.filter("size(wanted) > 0").select("user_idx", "recs").unionByName(more)
+        in_order = F.transform(F.flatten(F.collect_list("recs")), lambda r: F.struct((-r["rating"]).alias("less"), r["song_idx"].alias("song_idx")))
+        merged = both.groupBy("user_idx").agg(F.slice(F.array_sort(in_order), 1, k).alias("_in_order"))
+        again = F.transform("_in_order", lambda r: F.struct(r["song_idx"].alias("song_idx"), (-r["less"]).alias("rating")))
+        best = best.unionByName(merged.select("user_idx", again.alias("best")))
+    return best.select("user_idx", F.col("best").cast(RECS).alias("recommendations"))
 
 
 def recommend_all(model: ALSModel, k: int = 10) -> DataFrame:

@@ -119,6 +119,62 @@ def test_top_items_equal_sql_over_the_factors(spark):
     assert recommend.top_items(tables["u"].limit(0), tables["i"]).count() == 0
 
 
+def _shuffled(plan):
+    """Rows written by all shuffles of an executed plan."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _shuffled(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return _shuffled(plan.plan())
+    own = plan.metrics().get("shuffleRecordsWritten")
+    below = plan.children()
+    return (own.get().value() if own.isDefined() else 0) + sum(_shuffled(below.apply(i)) for i in range(below.size()))
+
+
+def _factors(spark, rows):
+    import pandas as pd
+
+    frame = pd.DataFrame({"id": range(len(rows)), "features": [r.tolist() for r in rows]})
+    return spark.createDataFrame(frame, "id int, features array<double>")
+
+
+def _best_by_sort(users, items, k):
+    import numpy as np
+
+    return [(u, int(i), n + 1) for u, row in enumerate(users @ items.T) for n, i in enumerate(np.lexsort((np.arange(len(row)), -row))[:k])]
+
+
+def test_top_items_copies_blocks_only_for_users_who_want_them(spark):
+    """Items of one direction but for a few, which a few users want: all blocks were copied for each part of the users."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    items = rng.uniform(50, 100, (2000, 1)) * (1 + rng.uniform(0, 0.02, (2000, 4)))
+    items[::500] = [0, 0, 0, 101]
+    users = 1 + rng.integers(0, 4, (600, 4)).astype(float)
+    users[:3] = [0, 0, 0, 1]
+    df = recommend.top_items(_factors(spark, users), _factors(spark, items), 10, 40, 10)
+    found = [(r.user_idx, x.song_idx, n + 1) for r in df.collect() for n, x in enumerate(r.recommendations)]
+    assert sorted(found) == sorted(_best_by_sort(users, items, 10))
+    assert _shuffled(df._jdf.queryExecution().executedPlan()) < 2 * (len(users) + len(items))
+
+
+@pytest.mark.parametrize("few", [1, 8])
+def test_top_items_in_all_directions(spark, monkeypatch, few):
+    """No block can be left out for most users: many groups and parts, negative parts, ties, equal and zero vectors."""
+    import numpy as np
+
+    monkeypatch.setattr(recommend, "BLOCKS_PER_GROUP", 3)
+    monkeypatch.setattr(recommend, "FEW_PARTS", few)
+    rng = np.random.default_rng(6)
+    items, users = rng.integers(-3, 4, (400, 5)).astype(float), rng.integers(-3, 4, (90, 5)).astype(float)
+    items[100:110], users[7] = items[0], 0
+    for block in (4, 25):
+        df = recommend.top_items(_factors(spark, users), _factors(spark, items), 6, block, 5)
+        found = [(r.user_idx, x.song_idx, n + 1) for r in df.collect() for n, x in enumerate(r.recommendations)]
+        assert sorted(found) == sorted(_best_by_sort(users, items, 6))
+
+
 def test_stored_factors_score_as_the_model_does(spark, positives, model, tmp_path):
     """RMSE, hit rate and one user's list from written factor tables, against the model and SQL over the files."""
     import duckdb
