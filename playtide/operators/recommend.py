@@ -17,6 +17,7 @@ from playtide.operators.scale import cut_lineage, global_positions
 RATINGS_PER_BLOCK = 1_000_000
 ITEMS_PER_BLOCK, BLOCKS_PER_GROUP, USERS_PER_PART = 4_096, 32, 20_000
 FEW_PARTS, PART_GROWS = 8, 5  # parts beyond the first few hold so many times the users
+USERS_AT_ONCE, LOOK_FIRST = 500, 256  # the best of the items looked at first bar most others of their block from ranking
 
 
 def train_als(
@@ -124,9 +125,6 @@ def _nothing() -> tuple:
     return np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.float64)
 
 
-USERS_AT_ONCE = 1_000
-
-
 def _meet_first(
     users: pa.Table, ids: np.ndarray, vectors: np.ndarray, axis: np.ndarray, limits: np.ndarray, groups: np.ndarray, starts: np.ndarray, k: int
 ) -> Iterator[pa.RecordBatch]:
@@ -139,7 +137,10 @@ def _meet_first(
     for start in range(0, len(factors), USERS_AT_ONCE):
         own = factors[start : start + USERS_AT_ONCE]
         n, least = len(own), np.full(len(own), -np.inf)
-        rows, items, found = _add_block(_nothing(), own, np.arange(n), least, ids, vectors, k)
+        best = _nothing()
+        for piece in (slice(0, LOOK_FIRST), slice(LOOK_FIRST, None)):
+            best = _add_block(best, own, np.arange(n), least, ids[piece], vectors[piece], k)
+        rows, items, found = best
         wants, group = np.empty(0, np.int64), np.empty(0, np.int64)
         if len(groups):
             wants, group = np.nonzero(np.maximum.reduceat(_most(own, axis, limits), starts, axis=1) >= least[:, None])
@@ -202,7 +203,7 @@ def top_items(
         .withColumn("_block", F.floor(F.col("position") / block).cast("int"))
         .select("_block", F.floor(F.col("_block") / BLOCKS_PER_GROUP).cast("int").alias("_group"), "song_idx", "features", "_less")
     )
-    first = placed.filter("_block = 0").select("song_idx", "features").toPandas()  # one block
+    first = placed.filter("_block = 0").orderBy("_less").select("song_idx", "features").toPandas()  # one block
     ids, vectors = first["song_idx"].to_numpy(), np.array(first["features"].tolist(), np.float64)
     total = vectors.sum(axis=0)
     axis = total / (np.linalg.norm(total) or 1.0)
